@@ -231,16 +231,21 @@ def histograms(df: DataFrame, bins: dict[str, int]) -> DataFrame:
         F.struct(F.lit(c).alias("column"), _bin(col(c), r["lo"], r["hi"], bins[c]).alias("bin")) for c, r in limits.items()
     ])
     counts = df.select(F.inline(placed)).where(F.col("bin").isNotNull()).groupBy("column", "bin").agg(F.count("*").alias("n"))
-    edges = [(c, b, r["lo"] + (r["hi"] - r["lo"]) * (b - 1) / bins[c], r["lo"] + (r["hi"] - r["lo"]) * b / bins[c])
+    edges = [(c, b, r["lo"] + (b - 1) * (r["hi"] - r["lo"]) / bins[c], r["lo"] + b * (r["hi"] - r["lo"]) / bins[c])
              for c, r in limits.items() for b in range(1, bins[c] + 1)]
     frame = df.sparkSession.createDataFrame(edges, "column string, bin bigint, bin_start double, bin_end double")
     return frame.join(counts, ["column", "bin"], "left").fillna(0, ["n"])
 
 
 def _bin(v: Column, lo: float, hi: float, n: int) -> Column:
+    """1-based bin of a value. Bins are closed at their lower edge, the last one also at its upper; the edges decide."""
     if lo == hi:
         return F.when(v.isNotNull(), F.lit(1).cast("bigint"))
-    return F.least(F.width_bucket(v, F.lit(lo), F.lit(hi), F.lit(n).cast("bigint")), F.lit(n).cast("bigint"))
+    step = (hi - lo) / n
+    guess = F.least(F.floor((v - lo) / F.lit(hi - lo) * F.lit(float(n))), F.lit(n - 1).cast("bigint"))
+    too_high = v < F.lit(lo) + guess * F.lit(step)
+    too_low = (v >= F.lit(lo) + (guess + 1) * F.lit(step)) & (guess < n - 1)
+    return guess + F.when(too_high, 0).when(too_low, 2).when(v.isNotNull(), 1)
 
 
 def category_shares(df: DataFrame, spec: PanelSpec) -> DataFrame:

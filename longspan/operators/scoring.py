@@ -11,7 +11,8 @@ from longspan.functions.quantiles import grouped_quantiles
 from longspan.operators.catalogue import hazard_band
 from longspan.operators.ordering import block_window, core_rows, with_blocks
 
-ERROR = F.col("prediction") - F.col("actual")
+def forecast_error() -> Column:
+    return F.col("prediction") - F.col("actual")
 
 
 def naive_forecasts(df: DataFrame, spec: PanelSpec, train_median: float, span: int = 7) -> DataFrame:
@@ -37,7 +38,7 @@ def forecast_vs_actual(predictions: DataFrame, panel: DataFrame, spec: PanelSpec
     )
     joined = predictions.join(actuals, [spec.entity, spec.time])
     return joined.withColumns({
-        "error": ERROR,
+        "error": forecast_error(),
         "predicted_category": hazard_band(F.col("prediction")),
         "actual_category": hazard_band(F.col("actual")),
     }).withColumn("category_match", F.col("predicted_category") == F.col("actual_category"))
@@ -52,14 +53,14 @@ def regression_metrics(scored: DataFrame) -> DataFrame:
     """RMSE, MAE, R2 and MAPE (percent, zero actuals skipped) per model."""
     total = F.var_pop("actual") * F.count("*")
     return scored.groupBy("model").agg(
-        F.count("*").alias("n"), F.sqrt(F.avg(ERROR * ERROR)).alias("rmse"), F.avg(F.abs(ERROR)).alias("mae"),
-        (F.lit(1.0) - F.try_divide(F.sum(ERROR * ERROR), total)).alias("r2"),
-        (F.avg(F.abs(F.try_divide(ERROR, F.col("actual")))) * 100.0).alias("mape"),
+        F.count("*").alias("n"), F.sqrt(F.avg(forecast_error() * forecast_error())).alias("rmse"), F.avg(F.abs(forecast_error())).alias("mae"),
+        (F.lit(1.0) - F.try_divide(F.sum(forecast_error() * forecast_error()), total)).alias("r2"),
+        (F.avg(F.abs(F.try_divide(forecast_error(), F.col("actual")))) * 100.0).alias("mape"),
     )
 
 
 def huber_loss(scored: DataFrame, delta: float = 1.0) -> DataFrame:
-    return scored.groupBy("model").agg(F.avg(huber(ERROR, delta)).alias("huber"))
+    return scored.groupBy("model").agg(F.avg(huber(forecast_error(), delta)).alias("huber"))
 
 
 def confusion(scored: DataFrame) -> DataFrame:
@@ -68,7 +69,7 @@ def confusion(scored: DataFrame) -> DataFrame:
 
 def confusion_matrix(scored: DataFrame) -> DataFrame:
     """One row per (model, actual category), one count column per predicted category."""
-    counts = scored.groupBy("model", "actual_category").pivot("predicted_category", list(CATEGORY_LABELS)).agg(F.count("*"))
+    counts = scored.groupBy("model", "actual_category").pivot("predicted_category", list(CATEGORY_LABELS)).agg(F.count(F.lit(1)))
     names = {c: "as_" + c.lower().replace(" ", "_") for c in CATEGORY_LABELS}
     return counts.select("model", "actual_category", *[F.coalesce(col(c), F.lit(0)).alias(n) for c, n in names.items()])
 
@@ -116,7 +117,7 @@ def ablation(metrics: DataFrame, variants: list[str], by: str = "rmse") -> DataF
 
 
 def residual_summary(scored: DataFrame) -> DataFrame:
-    rows = scored.withColumn("residual", ERROR)
+    rows = scored.withColumn("residual", forecast_error())
     base = rows.groupBy("model").agg(
         F.count("residual").alias("n"), F.avg("residual").alias("mean"), F.stddev_samp("residual").alias("std"),
         F.min("residual").alias("min"), F.max("residual").alias("max"),
@@ -126,12 +127,12 @@ def residual_summary(scored: DataFrame) -> DataFrame:
 
 def residual_histogram(scored: DataFrame, width: float) -> DataFrame:
     """Counts of residuals in bins of a fixed width, bin 0 starting at 0."""
-    return scored.groupBy("model", F.floor(ERROR / F.lit(width)).alias("bin")).agg(F.count("*").alias("n"))
+    return scored.groupBy("model", F.floor(forecast_error() / F.lit(width)).alias("bin")).agg(F.count("*").alias("n"))
 
 
 def residual_spread(scored: DataFrame) -> dict[str, float]:
     """Population standard deviation of the error per model, for symmetric intervals."""
-    return {r["model"]: r["s"] for r in scored.groupBy("model").agg(F.stddev_pop(ERROR).alias("s")).collect()}
+    return {r["model"]: r["s"] for r in scored.groupBy("model").agg(F.stddev_pop(forecast_error()).alias("s")).collect()}
 
 
 def with_interval(predictions: DataFrame, spread: dict[str, float], z: float = 1.96) -> DataFrame:

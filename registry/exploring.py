@@ -110,7 +110,6 @@ def monthly_orders(spark, sf):
 
 
 _PAIRS = list(combinations(NUMERIC, 2))
-_UPPER = [(a, b) for a, b in _PAIRS]
 
 
 def _mirror(parts: str, value: str) -> str:
@@ -161,16 +160,15 @@ _BINS = {**{m: 40 for m in MEASURES}, "target": 60}
 
 
 def _histogram(c: str, n: int) -> str:
-    return f"""SELECT '{c}' AS "column", bin, {sql.r(f'lo + (hi - lo) * (bin - 1) / {n}', 'bin_start', 4)}, {sql.r(f'lo + (hi - lo) * bin / {n}', 'bin_end', 4)}, count(v) AS n
+    return f"""SELECT '{c}' AS "column", bin, {sql.r('max(lo) + (bin - 1) * max(hi - lo) / ' + str(n), 'bin_start')}, {sql.r('max(lo) + bin * max(hi - lo) / ' + str(n), 'bin_end')}, count(v) AS n
     FROM (SELECT min({c}) AS lo, max({c}) AS hi FROM panel) CROSS JOIN (SELECT unnest(range(1, {n + 1})) AS bin)
-    LEFT JOIN (SELECT {c} AS v, CAST(least(floor(({c} - lo) / (hi - lo) * {n}) + 1, {n}) AS BIGINT) AS b
-               FROM panel CROSS JOIN (SELECT min({c}) AS lo, max({c}) AS hi FROM panel) WHERE {c} IS NOT NULL) ON b = bin
-    GROUP BY bin, lo, hi"""
+    LEFT JOIN (SELECT {c} AS v FROM panel WHERE {c} IS NOT NULL) ON v >= lo + (bin - 1) * ((hi - lo) / {n}) AND (v < lo + bin * ((hi - lo) / {n}) OR bin = {n})
+    GROUP BY bin"""
 
 
 @query("E15_histograms", sql.with_(sql.PANEL, sql.union(_histogram(c, n) for c, n in _BINS.items())))
 def histograms(spark, sf):
-    return tidy(explore.histograms(panel(spark, sf), _BINS), 4)
+    return tidy(explore.histograms(panel(spark, sf), _BINS))
 
 
 def _month_ends(where: str, keys: str) -> str:
@@ -188,9 +186,6 @@ def month_end_means(spark, sf):
     return tidy(explore.month_end_means(panel(spark, sf), SPEC))
 
 
-_SOME = ["CHINA", "FRANCE", "INDIA", "NATION_1", "NATION_5"]
-
-
 @query("E16_month_end_by_entity", sql.with_(sql.PANEL + "," + _month_ends("true", "entity"), f"""
 SELECT entity, CAST(month_end AS VARCHAR) AS month_end, {sql.r('mean', 'mean')} FROM months LEFT JOIN means USING (entity, month_end)"""))
 def month_end_by_entity(spark, sf):

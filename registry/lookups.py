@@ -84,7 +84,7 @@ _FUZZY = sql.SCALED + f""",
 roc AS (SELECT entity, d, pos, scaled_target, 0.5::DOUBLE * {_relative('qty_a')} + 0.3::DOUBLE * {_relative('price_a')} + 0.2::DOUBLE * {_relative('qty_n')} AS u FROM scaled),
 sets AS (SELECT *, exp(-(u * u) / 0.02::DOUBLE) AS stable,
   CASE WHEN u IS NOT NULL THEN greatest(0.0::DOUBLE, least((u - 0.05::DOUBLE) / 0.10::DOUBLE, 1.0::DOUBLE, (0.45::DOUBLE - u) / 0.15::DOUBLE)) END AS moderate,
-  1.0::DOUBLE / (1.0::DOUBLE + exp(greatest(-15.0::DOUBLE * (u - 0.35::DOUBLE), -700.0::DOUBLE))) AS surge FROM roc),
+  1.0::DOUBLE / (1.0::DOUBLE + exp(least(-15.0::DOUBLE * (u - 0.35::DOUBLE), 700.0::DOUBLE + 0 * u))) AS surge FROM roc),
 gammas AS MATERIALIZED (SELECT *, 1.0::DOUBLE + 0.5::DOUBLE * moderate + surge - 0.3::DOUBLE * stable AS gamma FROM sets)"""
 
 
@@ -147,8 +147,10 @@ def csv_export(spark, sf):
     return tidy(files.read_raw_csv(spark, path).select("entity", "d", *[F.col(c).cast("double").alias(c) for c in NUMERIC]))
 
 
-@query("B31_readiness", sql.with_(sql.PANEL, """, runs AS (SELECT entity, d - CAST(row_number() OVER (PARTITION BY entity ORDER BY d) AS INTEGER) AS run FROM panel),
-lengths AS (SELECT entity, run, count(*) AS n FROM runs GROUP BY 1, 2)
-SELECT entity, CAST(sum(n) AS BIGINT) AS n_rows, max(n) AS longest_run, sum(n) >= 31 AS enough_rows, max(n) >= 31 AS enough_consecutive FROM lengths GROUP BY entity""").replace("bucket FROM keyed)\n,", "bucket FROM keyed),").replace(")\n, runs", "),\nruns"))
+@query("B31_readiness", sql.with_(sql.PANEL + """,
+runs AS (SELECT entity, d - CAST(row_number() OVER (PARTITION BY entity ORDER BY d) AS INTEGER) AS run FROM panel),
+lengths AS (SELECT entity, run, count(*) AS n FROM runs GROUP BY 1, 2)""", """
+SELECT entity, CAST(sum(n) AS BIGINT) AS n_rows, max(n) AS longest_run, sum(n) >= 31 AS enough_rows, max(n) >= 31 AS enough_consecutive
+FROM lengths GROUP BY entity"""))
 def readiness(spark, sf):
     return catalogue.readiness(panel(spark, sf), SPEC, 31)

@@ -77,10 +77,10 @@ def boosted_trees(spark, sf):
     return scored.select("entity", "target_time", "split", "y", F.round("prediction", 4).alias("prediction"))
 
 
-@query("B26_expanding_folds", sql.with_(sql.SPLIT, """
-, parts AS (SELECT entity, d, CAST(floor((pos - 1) * 6 / n::DOUBLE) AS BIGINT) AS part FROM splits)
+@query("B26_expanding_folds", sql.with_(sql.SPLIT + """,
+parts AS (SELECT entity, d, CAST(floor((pos - 1) * 6 / n::DOUBLE) AS BIGINT) AS part FROM splits)""", """
 SELECT entity, CAST(d AS VARCHAR) AS d, fold, CASE WHEN part < fold THEN 'train' ELSE 'validate' END AS role
-FROM parts JOIN (SELECT unnest(range(1, 6)) AS fold) ON part <= fold""").replace("FROM sizes)\n\n, parts", "FROM sizes),\nparts"))
+FROM parts JOIN (SELECT unnest(range(1, 6)) AS fold) ON part <= fold"""))
 def expanding_folds(spark, sf):
     return tidy(baseline.expanding_folds(prepared(spark, sf).table, SPEC).select("entity", "d", "fold", "role"))
 

@@ -38,7 +38,7 @@ def look_back_windows(spark, sf):
 
 
 @query("Q2_horizon_targets", sql.with_(sql.windows(horizon=3), f"""
-SELECT {_META}, {sql.r('y', 'y', 3)}, {sql.r('y_scaled', 'y_scaled', 3)}, target_observed FROM candidates"""))
+SELECT {_META}, {sql.r('y::DOUBLE', 'y', 3)}, {sql.r('y_scaled::DOUBLE', 'y_scaled', 3)}, target_observed FROM candidates"""))
 def horizon_targets(spark, sf):
     out = _windows(spark, sf, SequenceConfig(horizon=3))
     return tidy(out.select("entity", "input_start", "input_end", "target_time", "split", "y", "y_scaled", "target_observed"), 3)
@@ -59,12 +59,12 @@ def window_counts(spark, sf):
     return sequences.window_counts(_windows(spark, sf), CONTINUOUS)
 
 
-@query("Q6_continuous_history", sql.with_(sql.windows(), f"SELECT {_META}, target_observed, {sql.r('y', 'y', 3)} FROM candidates"))
+@query("Q6_continuous_history", sql.with_(sql.windows(), f"SELECT {_META}, target_observed, {sql.r('y::DOUBLE', 'y', 3)} FROM candidates"))
 def continuous_history(spark, sf):
     return tidy(_windows(spark, sf).select("entity", "input_start", "input_end", "target_time", "split", "target_observed", "y"), 3)
 
 
-@query("Q7_isolated_partition", sql.with_(sql.windows(isolated=True), f"SELECT {_META}, target_observed, {sql.r('y', 'y', 3)} FROM candidates"))
+@query("Q7_isolated_partition", sql.with_(sql.windows(isolated=True), f"SELECT {_META}, target_observed, {sql.r('y::DOUBLE', 'y', 3)} FROM candidates"))
 def isolated_partition(spark, sf):
     return tidy(_windows(spark, sf, ISOLATED).select("entity", "input_start", "input_end", "target_time", "split", "target_observed", "y"), 3)
 
@@ -75,7 +75,7 @@ def isolated_counts(spark, sf):
 
 
 @query("Q8_sample_metadata", sql.with_(sql.windows(), f"""
-SELECT {_META}, {sql.r('y', 'y', 3)}, {sql.r('y_scaled', 'y_scaled', 3)}, target_observed FROM candidates WHERE target_observed"""))
+SELECT {_META}, {sql.r('y::DOUBLE', 'y', 3)}, {sql.r('y_scaled::DOUBLE', 'y_scaled', 3)}, target_observed FROM candidates WHERE target_observed"""))
 def sample_metadata(spark, sf):
     out = sequences.keep_observed(_windows(spark, sf), CONTINUOUS)
     return tidy(out.select("entity", "input_start", "input_end", "target_time", "split", "y", "y_scaled", "target_observed"), 3)
