@@ -25,8 +25,23 @@ def unpivot(df: DataFrame, keys: list[str], columns: Iterable[str], name: str =
     return df.select(*[col(k) for k in keys], F.inline(pairs))
 
 
+def index_pairs(pairs: list[tuple[int, int]]) -> Column:
+    """Generator over (pair, _a, _b): positions in an array column. As data, not code, 78 pairs cost no more than one."""
+    return F.inline(F.array(*[
+        F.struct(F.lit(i).alias("pair"), F.lit(a).alias("_a"), F.lit(b).alias("_b")) for i, (a, b) in enumerate(pairs)
+    ]))
+
+
+def column_stats(df: DataFrame, columns: Iterable[str], metrics: dict[str, Column], keys: list[str] | None = None) -> DataFrame:
+    """One row per (keys, column) with aggregates of ``value`` over the long form; combined before the small shuffle."""
+    keys = keys or []
+    return unpivot(df, keys, columns).groupBy(*[col(k) for k in keys], "column").agg(
+        *[e.alias(n) for n, e in metrics.items()]
+    )
+
+
 def per_column(df: DataFrame, columns: Iterable[str], metrics: dict) -> DataFrame:
-    """One row per column from one wide aggregate, so the rows themselves are never multiplied.
+    """One row per column, of any type, from one wide aggregate.
 
     ``metrics`` maps a metric name to a function from column name to an aggregate expression.
     """

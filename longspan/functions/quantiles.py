@@ -1,84 +1,109 @@
 """Exact, linearly interpolated quantiles of groups of any size.
 
-The built-in exact percentile keeps every distinct value of a group in one buffer. Here a bounded sketch first brackets
-each wanted rank; one aggregate then counts everything outside the bracket and keeps only the distinct values inside it,
-so no task holds more than a sliver of a group. The counts decide the answer, the sketch only sets how narrow the
-bracket is.
+The built-in exact percentile keeps every distinct value of a group in one buffer, which is right while groups have few
+distinct values; that is checked first. Otherwise a bounded sketch brackets each wanted rank; one aggregate then counts
+the values between the brackets and keeps distinct values only inside them, so no task holds more than a sliver of a
+group. The counts decide the answer, the sketch only sets how narrow the brackets are.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from longspan.functions.columns import col, unpivot
 from longspan.session import pin
 
+ACCURACY = 50_000
+BUFFERED_VALUES = 1_000_000   # distinct values of one group that fit an aggregation buffer
+BROADCAST_GROUPS = 100_000    # groups whose brackets are broadcast
+HOT_ROWS = 50_000_000         # rows of one group that may be joined in one task
+
 
 def grouped_quantiles(
-    df: DataFrame, keys: list[str], value: str, probs: list[float], accuracy: int = 100_000, names: list[str] | None = None
+    df: DataFrame, keys: list[str], value: str, probs: list[float], names: list[str] | None = None,
+    buffered: int = BUFFERED_VALUES,
 ) -> DataFrame:
     """One row per group with its non-null count ``n`` and one column per probability."""
     names = names or [f"p{round(p * 100):d}" for p in probs]
     rows = df.select(*[col(k) for k in keys], col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    if not keys:
-        rows = rows.withColumn("_all", F.lit(1))
-    group = [col(k) for k in keys] or [F.col("_all")]
-    group_names = keys or ["_all"]
+    group = [col(k) for k in keys]
+    distinct = rows.groupBy(*group).agg(F.approx_count_distinct("_v").alias("_d"))
+    widest = distinct.agg(F.max("_d").alias("d")).first()["d"] or 0
+    if widest > buffered:
+        return bracketed_quantiles(rows, keys, probs, names)
+    q = F.percentile("_v", [float(p) for p in probs])
+    out = rows.groupBy(*group).agg(F.count("*").alias("n"), q.alias("_q"))
+    return out.select(*group, "n", *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)])
+
+
+def _with_brackets(rows: DataFrame, sketch: DataFrame, keys: list[str], broadcast_groups: int, hot_rows: int) -> DataFrame:
+    """Attach each group's brackets without moving a large group into one task.
 
+    Few groups: broadcast. Many: only the large ones, of which there can be no more than rows / hot_rows.
+    """
+    if sketch.count() <= broadcast_groups:
+        return rows.join(F.broadcast(sketch), keys)
+    hot = sketch.where(F.col("_n") > hot_rows)
+    cold = rows.join(F.broadcast(hot.select(*[col(k) for k in keys])), keys, "left_anti").join(
+        sketch.where(F.col("_n") <= hot_rows), keys)
+    return cold.unionByName(rows.join(F.broadcast(hot), keys))
+
+
+def bracketed_quantiles(
+    rows: DataFrame, keys: list[str], probs: list[float], names: list[str], accuracy: int = ACCURACY,
+    broadcast_groups: int = BROADCAST_GROUPS, hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Quantiles of ``_v`` by sketch and count, for groups with any number of distinct values."""
+    group = [col(k) for k in keys]
+    # The sketch is pinned: every task of the second pass, retried or not, must see the same brackets.
     margin = 3.0 / accuracy
     ends = [e for p in probs for e in (max(0.0, p - margin), min(1.0, p + margin))]
-    sketch = rows.groupBy(*group).agg(
+    sketch = pin(rows.groupBy(*group).agg(
         F.count("*").alias("_n"), F.percentile_approx("_v", ends, F.lit(accuracy)).alias("_ends")
-    )
-    brackets = F.array(*[
-        F.struct(F.lit(i).alias("_i"), F.col("_ends")[2 * i].alias("_lo"), F.col("_ends")[2 * i + 1].alias("_hi"))
-        for i in range(len(probs))
-    ])
-    sketch = pin(sketch.select(*group, "_n", brackets.alias("_brackets")))
+    ))
 
-    placed = rows.join(sketch, group_names).select(*group, "_n", "_v", F.inline("_brackets"))
-    side = F.when(F.col("_v") < F.col("_lo"), -1).when(F.col("_v") > F.col("_hi"), 1).otherwise(0)
-    placed = placed.withColumn("_side", side).withColumn("_key", F.when(F.col("_side") == 0, F.col("_v")))
-    tally = placed.groupBy(*group, "_n", "_i", "_side", "_key").agg(
+    v, low, high = F.col("_v"), lambda i: F.col("_ends")[2 * i], lambda i: F.col("_ends")[2 * i + 1]
+    inside = reduce(lambda a, b: a | b, [(v >= low(i)) & (v <= high(i)) for i in range(len(probs))])
+    gap = reduce(lambda a, b: a + b, [F.when(v > high(i), 1).otherwise(0) for i in range(len(probs))])
+    placed = _with_brackets(rows, sketch, keys, broadcast_groups, hot_rows).select(*group, "_n", "_v", gap.alias("_gap"), F.when(inside, v).alias("_key"))
+    tally = placed.groupBy(*group, "_n", "_gap", "_key").agg(
         F.count("*").alias("_c"), F.min("_v").alias("_min"), F.max("_v").alias("_max")
     )
+    # Tally rows cover disjoint value intervals, so ordering by their minimum orders the group.
+    upto = F.sum("_c").over(Window.partitionBy(*group).orderBy("_min").rowsBetween(Window.unboundedPreceding, 0))
+    tally = tally.withColumn("_upto", upto)
 
-    order = Window.partitionBy(*group, "_i").orderBy("_side", "_key").rowsBetween(Window.unboundedPreceding, 0)
-    tally = tally.withColumn("_upto", F.sum("_c").over(order)).withColumn("_before", F.col("_upto") - F.col("_c"))
-    prob = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("_i") + 1)
-    tally = tally.withColumn("_rank", prob * (F.col("_n") - 1).cast("double"))
+    def at(rank: Column) -> Column:
+        holds = (F.col("_upto") - F.col("_c") < rank) & (rank <= F.col("_upto"))
+        found = (
+            F.when(F.col("_key").isNotNull(), F.col("_key"))
+            .when(rank == F.col("_upto"), F.col("_max"))
+            .when(rank == F.col("_upto") - F.col("_c") + 1, F.col("_min"))
+            .otherwise(F.raise_error(F.lit("quantile rank fell outside its bracket; raise accuracy")).cast("double"))
+        )
+        return F.max(F.when(holds, found))
 
-    low = _value_at(F.floor("_rank") + 1)
-    high = _value_at(F.ceil("_rank") + 1)
-    picked = tally.groupBy(*group, "_n", "_i").agg(
-        F.max(low).alias("_a"), F.max(high).alias("_b"), F.first("_rank").alias("_rank")
-    )
-    frac = F.col("_rank") - F.floor("_rank")
-    picked = picked.withColumn("_q", F.when(F.col("_a") == F.col("_b"), F.col("_a")).otherwise(
-        F.col("_a") * (F.lit(1.0) - frac) + F.col("_b") * frac))
-    out = picked.groupBy(*group).agg(
-        F.first("_n").alias("n"), *[F.max(F.when(F.col("_i") == i, F.col("_q"))).alias(nm) for i, nm in enumerate(names)]
-    )
-    return out.drop("_all")
+    def rank(p: float) -> Column:
+        return F.lit(float(p)) * (F.col("_n") - 1).cast("double")
 
+    picked = tally.groupBy(*group, "_n").agg(*[
+        e for i, p in enumerate(probs)
+        for e in (at(F.floor(rank(p)) + 1).alias(f"_a{i}"), at(F.ceil(rank(p)) + 1).alias(f"_b{i}"))
+    ])
 
-def _value_at(rank: Column) -> Column:
-    """The value at a 1-based rank if this tally row holds it; a rank lost in the outer counts is an error, never a guess."""
-    holds = (F.col("_before") < rank) & (rank <= F.col("_upto"))
-    value = (
-        F.when(F.col("_side") == 0, F.col("_key"))
-        .when((F.col("_side") == -1) & (rank == F.col("_upto")), F.col("_max"))
-        .when((F.col("_side") == 1) & (rank == F.col("_before") + 1), F.col("_min"))
-        .otherwise(F.raise_error(F.lit("quantile rank fell outside its bracket; raise accuracy")).cast("double"))
-    )
-    return F.when(holds, value)
+    def between(i: int, p: float) -> Column:
+        a, b, part = F.col(f"_a{i}"), F.col(f"_b{i}"), rank(p) - F.floor(rank(p))
+        return F.when(a == b, a).otherwise(a * (F.lit(1.0) - part) + b * part)
+
+    return picked.select(*group, F.col("_n").alias("n"), *[between(i, p).alias(names[i]) for i, p in enumerate(probs)])
 
 
 def column_quantiles(
-    df: DataFrame, columns: list[str], probs: list[float], keys: list[str] | None = None,
-    names: list[str] | None = None, accuracy: int = 100_000,
+    df: DataFrame, columns: list[str], probs: list[float], keys: list[str] | None = None, names: list[str] | None = None,
 ) -> DataFrame:
     """Quantiles of several columns at once: rows (keys, column, n, one column per probability)."""
     keys = keys or []
-    return grouped_quantiles(unpivot(df, keys, columns), [*keys, "column"], "value", probs, accuracy, names)
+    return grouped_quantiles(unpivot(df, keys, columns), [*keys, "column"], "value", probs, names)

@@ -19,11 +19,5 @@ def adjusted_skewness(c: Column) -> Column:
 
 
 def pearson(x: Column, y: Column) -> Column:
-    """Pairwise-complete Pearson correlation; null (not an error) when either side is constant."""
-    xs = F.when(y.isNotNull(), x)
-    ys = F.when(x.isNotNull(), y)
-    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(xs) * F.stddev_pop(ys))
-
-
-def pair_count(x: Column, y: Column) -> Column:
-    return F.count_if(x.isNotNull() & y.isNotNull())
+    """Pearson correlation of rows complete in both; null (not an error) when either side is constant."""
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))

@@ -8,12 +8,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from longspan.config import PanelSpec
-from longspan.functions.columns import col, per_column, percent, unpivot
+from longspan.functions.columns import col, column_stats, index_pairs, percent, unpivot
 from longspan.functions.quantiles import column_quantiles, grouped_quantiles
-from longspan.functions.stats import adjusted_skewness, pair_count, pearson, sample_std
+from longspan.functions.stats import adjusted_skewness, pearson, sample_std
 from longspan.operators import profile
 from longspan.operators.ranks import rank_correlations
 from longspan.operators.validate import duplicate_keys, duplicate_rows
+from longspan.session import pin
 
 DISTRIBUTION_PROBS = [0.05, 0.25, 0.50, 0.75, 0.95, 0.99]
 DISTRIBUTION_NAMES = ["p5", "p25", "median", "p75", "p95", "p99"]
@@ -67,35 +68,31 @@ def fences(df: DataFrame, columns: list[str], reach: float = 1.5) -> DataFrame:
     )
 
 
+def _against_fences(df: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Fences and the long form of the values next to the fences of their column (one row per column)."""
+    limits = pin(fences(df, columns))
+    return limits, unpivot(df, [], columns).where("value is not null").join(
+        F.broadcast(limits.select("column", "lower", "upper")), "column")
+
+
 def outlier_audit(df: DataFrame, columns: list[str]) -> DataFrame:
     """Values strictly outside the interquartile fences, per column; nothing is removed."""
-    bounds = {r["column"]: r for r in fences(df, columns).collect()}
-    limits = df.sparkSession.createDataFrame(list(bounds.values()), fences_schema())
-    counted = per_column(df, list(bounds), {
-        "n_outliers": lambda c: F.count_if((col(c) < bounds[c]["lower"]) | (col(c) > bounds[c]["upper"])),
-    })
+    limits, values = _against_fences(df, columns)
+    outside = (F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper"))
+    counted = values.groupBy("column").agg(F.count_if(outside).alias("n_outliers"))
     return limits.join(counted, "column").withColumn("pct_outliers", percent(F.col("n_outliers"), F.col("n_valid")))
 
 
 def box_plot(df: DataFrame, columns: list[str]) -> DataFrame:
     """Quartiles, whisker ends (furthest values within the fences) and outlier count per column."""
-    bounds = {r["column"]: r for r in fences(df, columns).collect()}
-    limits = df.sparkSession.createDataFrame(list(bounds.values()), fences_schema()).drop("iqr", "lower", "upper")
-
-    def inside(c: str) -> Column:
-        return F.when(col(c).between(bounds[c]["lower"], bounds[c]["upper"]), col(c))
-
-    ends = per_column(df, list(bounds), {
-        "whisker_low": lambda c: F.min(inside(c)),
-        "whisker_high": lambda c: F.max(inside(c)),
-        "n_outliers": lambda c: F.count(col(c)) - F.count(inside(c)),
-    })
+    limits, values = _against_fences(df, columns)
+    inside = F.when(F.col("value").between(F.col("lower"), F.col("upper")), F.col("value"))
+    ends = values.groupBy("column").agg(
+        F.min(inside).alias("whisker_low"), F.max(inside).alias("whisker_high"),
+        (F.count("*") - F.count(inside)).alias("n_outliers"),
+    )
     medians = column_quantiles(df, columns, [0.5], names=["median"]).drop("n")
-    return limits.join(medians, "column").join(ends, "column")
-
-
-def fences_schema() -> str:
-    return "column string, n_valid bigint, q25 double, q75 double, iqr double, lower double, upper double"
+    return limits.drop("iqr", "lower", "upper").join(medians, "column").join(ends, "column")
 
 
 def entity_statistics(df: DataFrame, spec: PanelSpec) -> DataFrame:
@@ -111,16 +108,15 @@ def entity_statistics(df: DataFrame, spec: PanelSpec) -> DataFrame:
 
 
 def distribution_summary(df: DataFrame, columns: list[str]) -> DataFrame:
-    base = per_column(df, columns, {**profile.BASIC, "skewness": lambda c: adjusted_skewness(col(c))})
+    base = column_stats(df, columns, {**profile.basic_stats(), "skewness": adjusted_skewness(F.col("value"))})
     q = column_quantiles(df, columns, DISTRIBUTION_PROBS, names=DISTRIBUTION_NAMES).drop("n")
     return base.join(q, "column")
 
 
 def target_summary(df: DataFrame, spec: PanelSpec) -> DataFrame:
-    base = per_column(df, [spec.target], {
-        **profile.BASIC, "n_missing": lambda c: F.count_if(col(c).isNull()),
-        "skewness": lambda c: adjusted_skewness(col(c)),
-    })
+    v = F.col("value")
+    base = column_stats(df, [spec.target], {
+        **profile.basic_stats(), "n_missing": F.count_if(v.isNull()), "skewness": adjusted_skewness(v)})
     probs, names = [*DISTRIBUTION_PROBS, 0.90], [*DISTRIBUTION_NAMES, "p90"]
     q = column_quantiles(df, [spec.target], probs, names=names).drop("n")
     return base.join(q, "column").withColumn("iqr", F.col("p75") - F.col("p25"))
@@ -174,59 +170,70 @@ def missing_ranking(df: DataFrame) -> DataFrame:
     return profile.missing_by_column(df).where("pct_missing > 0").orderBy(F.desc("pct_missing"), "column")
 
 
-def pearson_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
-    """All (x, y, r): one aggregate over the upper triangle, mirrored."""
-    pairs = list(combinations(columns, 2))
-    wide = df.agg(*[pearson(col(a), col(b)).alias(f"_{i}") for i, (a, b) in enumerate(pairs)],
-                  *[(F.count(col(c)) > 1).alias(f"_d{i}") for i, c in enumerate(columns)],
-                  *[(F.min(col(c)) < F.max(col(c))).alias(f"_v{i}") for i, c in enumerate(columns)])
-    cells = [_cell(x, y, F.col(f"_{i}")) for i, (a, b) in enumerate(pairs) for x, y in ((a, b), (b, a))]
-    cells += [_cell(c, c, F.when(F.col(f"_d{i}") & F.col(f"_v{i}"), F.lit(1.0))) for i, c in enumerate(columns)]
-    return wide.select(F.inline(F.array(*cells)))
+def _over_pairs(df: DataFrame, pairs: list[tuple[str, str]], metrics: dict) -> DataFrame:
+    """(x, y, metrics): aggregates of every named column pair on the rows complete for it.
+
+    ``metrics`` maps a name to a function of the two value columns.
+    """
+    columns = sorted({c for p in pairs for c in p})
+    at = {c: i for i, c in enumerate(columns)}
+    rows = df.select(F.array(*[col(c).cast("double") for c in columns]).alias("_v"))
+    rows = rows.select("_v", index_pairs([(at[x], at[y]) for x, y in pairs]))
+    rows = rows.select("pair", F.get("_v", "_a").alias("a"), F.get("_v", "_b").alias("b"))
+    rows = rows.where(F.col("a").isNotNull() & F.col("b").isNotNull())
+    found = rows.groupBy("pair").agg(*[fn(F.col("a"), F.col("b")).alias(n) for n, fn in metrics.items()])
+    names = df.sparkSession.createDataFrame([(i, x, y) for i, (x, y) in enumerate(pairs)], "pair int, x string, y string")
+    return names.join(found, "pair", "left").drop("pair")
+
 
+def _with_diagonal(upper: DataFrame, df: DataFrame, columns: list[str], value: str) -> DataFrame:
+    """Mirror the upper triangle and add the diagonal: 1, or null for a constant column."""
+    cells = F.array(F.struct("x", "y", value), F.struct(F.col("y").alias("x"), F.col("x").alias("y"), F.col(value)))
+    v = F.col("value")
+    own = column_stats(df, columns, {value: F.when(F.min(v) < F.max(v), F.lit(1.0))})
+    grid = df.sparkSession.createDataFrame([(a, b) for a in columns for b in columns], "x string, y string")
+    found = upper.select(F.inline(cells)).unionByName(own.select(F.col("column").alias("x"), F.col("column").alias("y"), value))
+    return grid.join(found, ["x", "y"], "left")
 
-def _cell(x: str, y: str, value: Column) -> Column:
-    return F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), value.alias("r"))
+
+def pearson_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
+    """All (x, y, r), each pair on the rows complete for it."""
+    upper = _over_pairs(df, list(combinations(columns, 2)), {"r": pearson})
+    return _with_diagonal(upper, df, columns, "r")
 
 
-def spearman_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
+def spearman_matrix(df: DataFrame, spec: PanelSpec, columns: list[str]) -> DataFrame:
     """All (x, y, rho), ranks taken afresh on the rows complete for each pair."""
-    upper = rank_correlations(df, list(combinations(columns, 2))).select("x", "y", "rho")
-    lower = upper.select(F.col("y").alias("x"), F.col("x").alias("y"), "rho")
-    diagonal = per_column(df, columns, {"rho": lambda c: F.when(F.min(col(c)) < F.max(col(c)), F.lit(1.0))})
-    return upper.unionByName(lower).unionByName(diagonal.select(F.col("column").alias("x"), F.col("column").alias("y"), "rho"))
+    upper = rank_correlations(df, [spec.entity, spec.time], list(combinations(columns, 2))).select("x", "y", "rho")
+    return _with_diagonal(upper, df, columns, "rho")
+
+
+def _with_rho(base: DataFrame, df: DataFrame, spec: PanelSpec, measures: list[str]) -> DataFrame:
+    rho = rank_correlations(df, [spec.entity, spec.time], [(m, spec.target) for m in measures])
+    rho = rho.select(F.col("x").alias("column"), F.col("rho").alias("spearman_rho"))
+    return base.withColumnRenamed("x", "column").drop("y").join(rho, "column", "left").fillna(0, ["n_pairs"])
 
 
 def target_correlations(df: DataFrame, spec: PanelSpec) -> DataFrame:
     """Pearson, Spearman and pair count of every measure with the target."""
-    y = col(spec.target)
-    base = per_column(df, spec.measures, {
-        "pearson_r": lambda c: pearson(col(c), y), "n_pairs": lambda c: pair_count(col(c), y),
-    })
-    rho = rank_correlations(df, [(m, spec.target) for m in spec.measures]).select(
-        F.col("x").alias("column"), F.col("rho").alias("spearman_rho")
-    )
-    return base.join(rho, "column", "left")
+    base = _over_pairs(df, [(m, spec.target) for m in spec.measures], {"pearson_r": pearson, "n_pairs": F.regr_count})
+    return _with_rho(base, df, spec, list(spec.measures))
 
 
 def regression_lines(df: DataFrame, spec: PanelSpec, measures: list[str]) -> DataFrame:
     """Least-squares line of the target on a measure, with r and rho."""
-    y = col(spec.target)
-    lines = per_column(df, measures, {
-        "slope": lambda c: F.regr_slope(y, col(c)), "intercept": lambda c: F.regr_intercept(y, col(c)),
-        "r2": lambda c: F.regr_r2(y, col(c)), "n_pairs": lambda c: F.regr_count(y, col(c)),
-        "pearson_r": lambda c: pearson(col(c), y),
+    lines = _over_pairs(df, [(m, spec.target) for m in measures], {
+        "slope": lambda x, y: F.regr_slope(y, x), "intercept": lambda x, y: F.regr_intercept(y, x),
+        "r2": lambda x, y: F.regr_r2(y, x), "n_pairs": F.regr_count, "pearson_r": pearson,
     })
-    rho = rank_correlations(df, [(m, spec.target) for m in measures]).select(
-        F.col("x").alias("column"), F.col("rho").alias("spearman_rho")
-    )
-    return lines.join(rho, "column", "left")
+    return _with_rho(lines, df, spec, measures)
 
 
 def histograms(df: DataFrame, bins: dict[str, int]) -> DataFrame:
     """Equal-width bin counts between each column's minimum and maximum; empty bins are present with 0."""
-    limits = {r["column"]: r for r in per_column(df, list(bins), {
-        "lo": lambda c: F.min(col(c)), "hi": lambda c: F.max(col(c))}).collect() if r["lo"] is not None}
+    v = F.col("value")
+    spans = column_stats(df, list(bins), {"lo": F.min(v), "hi": F.max(v)}).where("lo is not null").collect()
+    limits = {r["column"]: r for r in spans}
     placed = F.array(*[
         F.struct(F.lit(c).alias("column"), _bin(col(c), r["lo"], r["hi"], bins[c]).alias("bin")) for c, r in limits.items()
     ])
@@ -279,6 +286,6 @@ def explore_report(df: DataFrame, spec: PanelSpec) -> DataFrame:
         lf(yearly_statistics(df, spec), "yearly", ["year"]),
         lf(monthly_statistics(df, spec), "monthly", ["month"]),
         lf(pearson_matrix(df, spec.numeric), "pearson", ["x", "y"]),
-        lf(spearman_matrix(df, spec.numeric), "spearman", ["x", "y"]),
+        lf(spearman_matrix(df, spec, spec.numeric), "spearman", ["x", "y"]),
         lf(target_correlations(df, spec), "target_correlations", ["column"]),
     ])

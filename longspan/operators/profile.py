@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from longspan.config import PanelSpec
-from longspan.functions.columns import col, per_column, percent
+from longspan.functions.columns import col, column_stats, per_column, percent
 from longspan.functions.quantiles import column_quantiles
 from longspan.functions.stats import sample_std
 
@@ -44,19 +44,15 @@ def availability(df: DataFrame, columns: list[str]) -> DataFrame:
     })
 
 
-BASIC = {
-    "n": lambda c: F.count(col(c)),
-    "mean": lambda c: F.avg(col(c)),
-    "std": lambda c: sample_std(col(c)),
-    "min": lambda c: F.min(col(c)),
-    "max": lambda c: F.max(col(c)),
-}
+def basic_stats() -> dict[str, Column]:
+    v = F.col("value")
+    return {"n": F.count(v), "mean": F.avg(v), "std": sample_std(v), "min": F.min(v), "max": F.max(v)}
 
 
 def numeric_summary(df: DataFrame, columns: list[str]) -> DataFrame:
     """Count, mean, sample std, min, quartiles and max; a column without values keeps its row with nulls."""
     quartiles = column_quantiles(df, columns, [0.25, 0.5, 0.75]).drop("n")
-    return per_column(df, columns, BASIC).join(quartiles, "column", "left")
+    return column_stats(df, columns, basic_stats()).join(quartiles, "column", "left")
 
 
 def category_counts(df: DataFrame, spec: PanelSpec) -> DataFrame:

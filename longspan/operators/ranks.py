@@ -1,70 +1,119 @@
 """Spearman correlation of many column pairs without ranking a whole column in one task.
 
-Distinct values are counted first. They are cut into value ranges at sketched quantiles of their column, ranked inside a
-range, and shifted by the running count of the ranges before it. Where the cuts fall only affects balance.
+The rank of a value depends only on its column, the value and which partner must be present. So distinct values are
+counted once per column, together with how often each partner is present, and turned into one vector of ranks per
+(column, value). Each row looks up the vectors of its values: in a broadcast table while that is small (checked), else by
+a join.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from longspan.functions.columns import col, unpivot
+from longspan.functions.columns import col, index_pairs
+from longspan.session import pin
 
-RANGES = 1024  # a power of two; the cut table holds one row of RANGES doubles per column
+RANGE_VALUES = 1_000_000       # distinct values ordered in one task
+BROADCAST_BYTES = 128 * 2**20  # size of the rank table up to which it is broadcast
+MAX_RANGES = 4096
 
 
-def value_cuts(df: DataFrame, columns: list[str], ranges: int = RANGES) -> DataFrame:
-    """(column, cuts): ascending range borders. Fetched once so that every stage sees the same borders."""
-    probs = [i / ranges for i in range(1, ranges)]
-    rows = unpivot(df, [], columns).where("value is not null").groupBy("column").agg(
-        F.percentile_approx("value", probs, F.lit(10 * ranges)).alias("cuts")
-    ).collect()
-    return df.sparkSession.createDataFrame([(r["column"], r["cuts"]) for r in rows], "column string, cuts array<double>")
+def _cells(df: DataFrame, key: list[str], columns: list[str]) -> DataFrame:
+    """(key, row hash, presence of every column, column number c, value v) for each known value."""
+    values = [col(c).cast("double") for c in columns]
+    known = F.array(*[v.isNotNull().cast("long") for v in values])
+    rows = df.select(*[col(k) for k in key], F.xxhash64(*values).alias("_h"), known.alias("known"), F.array(*values).alias("values"))
+    return rows.select(*[col(k) for k in key], "_h", "known", F.posexplode("values").alias("c", "v")).where("v is not null")
+
 
+def _value_ranges(counts: DataFrame, ranges: int) -> DataFrame:
+    """Cut each column's distinct values into ranges at sketched quantiles; where the cuts fall only affects balance.
 
-def centred_ranks(counts: DataFrame, cuts: DataFrame, ranges: int = RANGES) -> DataFrame:
-    """(pair, column, value, c) -> average rank of each distinct value within its (pair, column), minus the mean rank."""
-    placed = counts.join(F.broadcast(cuts), "column").withColumn("_range", F.lit(0))
+    The cuts (one row per column) are fetched once so that every stage sees the same ones.
+    """
+    probs = [i / ranges for i in range(1, ranges)]
+    rows = counts.groupBy("c").agg(F.percentile_approx("v", probs, F.lit(10 * ranges)).alias("cuts")).collect()
+    cuts = counts.sparkSession.createDataFrame([(r["c"], r["cuts"]) for r in rows], "c int, cuts array<double>")
+    placed = counts.join(F.broadcast(cuts), "c").withColumn("_range", F.lit(0))
     step = ranges // 2
     while step:  # halving search: how many cuts lie at or below the value
-        beyond = F.get("cuts", F.col("_range") + (step - 1)) <= F.col("value")
+        beyond = F.get("cuts", F.col("_range") + (step - 1)) <= F.col("v")
         placed = placed.withColumn("_range", F.col("_range") + F.when(beyond, step).otherwise(0))
         step //= 2
-    placed = placed.drop("cuts")
+    return placed.drop("cuts")
 
-    side = Window.partitionBy("pair", "column")
-    totals = placed.groupBy("pair", "column", "_range").agg(F.sum("c").alias("_c"))
-    before = F.sum("_c").over(side.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
-    totals = totals.select(
-        "pair", "column", "_range", F.coalesce(before, F.lit(0)).alias("_offset"), F.sum("_c").over(side).alias("_n")
-    )
-    in_range = Window.partitionBy("pair", "column", "_range").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = placed.withColumn("_upto", F.sum("c").over(in_range)).join(totals, ["pair", "column", "_range"])
-    rank = F.col("_offset") + F.col("_upto") - (F.col("c") - 1) / F.lit(2.0)
-    return ranked.select("pair", "column", "value", (rank - (F.col("_n") + 1) / F.lit(2.0)).alias("rank"))
-
-
-def rank_correlations(df: DataFrame, pairs: list[tuple[str, str]], ranges: int = RANGES) -> DataFrame:
-    """(x, y, rho, n_pairs): ties share their average rank; rho is null when a side is constant."""
-    cuts = value_cuts(df, sorted({c for p in pairs for c in p}), ranges)
-    cells = F.array(*[
-        F.struct(F.lit(i).alias("pair"), F.lit(a).alias("x"), F.lit(b).alias("y"),
-                 col(a).cast("double").alias("vx"), col(b).cast("double").alias("vy"))
-        for i, (a, b) in enumerate(pairs)
+
+def rank_vectors(counts: DataFrame, n_columns: int, range_values: int = RANGE_VALUES) -> DataFrame:
+    """(c, v, times, ranks): per partner, how often the value occurs with it and its average rank minus the mean rank."""
+    width = range(n_columns)
+    largest = counts.groupBy("c").count().agg(F.max("count").alias("n")).first()["n"] or 0
+    ranges = 1
+    while ranges * range_values < 2 * largest and ranges < MAX_RANGES and largest > range_values:
+        ranges *= 2
+    placed = _value_ranges(counts, ranges) if ranges > 1 else counts.withColumn("_range", F.lit(0))
+
+    whole = Window.partitionBy("c")
+    earlier = whole.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = placed.groupBy("c", "_range").agg(*[F.sum(f"n{j}").alias(f"t{j}") for j in width])
+    totals = totals.select("c", "_range", *[
+        (F.coalesce(F.sum(f"t{j}").over(earlier), F.lit(0)) - (F.sum(f"t{j}").over(whole) + 1) / F.lit(2.0)).alias(f"o{j}")
+        for j in width
     ])
-    cells = df.select(F.inline(cells)).where(F.col("vx").isNotNull() & F.col("vy").isNotNull())
-    cells = cells.groupBy("pair", "x", "y", "vx", "vy").agg(F.count("*").alias("w"))
+    upto = Window.partitionBy("c", "_range").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = placed.select("*", *[F.sum(f"n{j}").over(upto).alias(f"u{j}") for j in width])
+    ranked = ranked.join(F.broadcast(totals), ["c", "_range"])  # columns * MAX_RANGES rows at most
+    ranks = [F.col(f"o{j}") + F.col(f"u{j}") - (F.col(f"n{j}") - 1) / F.lit(2.0) for j in width]
+    return ranked.select("c", "v", F.array(*[F.col(f"n{j}") for j in width]).alias("times"), F.array(*ranks).alias("ranks"))
+
+
+def _looked_up(df: DataFrame, columns: list[str], vectors: DataFrame) -> tuple[DataFrame, list[Column], Column]:
+    """Rank vectors per row from broadcast tables; (rows, vector per column, row weight)."""
+    out = df.select(*[col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(columns)])
+    for i in range(len(columns)):
+        one = vectors.where(F.col("c") == i).select(F.col("v").alias(f"_v{i}"), F.col("ranks").alias(f"_r{i}"))
+        out = out.join(F.broadcast(one), f"_v{i}", "left")
+    return out, [F.col(f"_r{i}") for i in range(len(columns))], F.lit(1.0)
+
+
+def _joined_back(cells: DataFrame, key: list[str], n_columns: int, vectors: DataFrame) -> tuple[DataFrame, list[Column], Column]:
+    """Rank vectors per row by a join on (column, value) and regrouping by row; rows equal in key and values share a group."""
+    keys = [col(k) for k in key]
+    found = cells.select(*keys, "_h", "c", "v").join(vectors.select("c", "v", "ranks"), ["c", "v"])
+    rows = found.groupBy(*keys, "_h").agg(F.collect_list(F.struct("c", "ranks")).alias("_cells"))
+    rows = rows.withColumn("_once", F.array_distinct("_cells"))
+    rows = rows.select((F.size("_cells") / F.size("_once")).alias("_w"), F.map_from_entries("_once").alias("_r"))
+    return rows, [F.try_element_at("_r", F.lit(i)) for i in range(n_columns)], F.col("_w")
+
+
+def rank_correlations(
+    df: DataFrame, key: list[str], pairs: list[tuple[str, str]], range_values: int = RANGE_VALUES,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """(x, y, rho, n_pairs): ties share their average rank; rho is null when a side is constant.
+
+    ``key`` names columns that tell rows apart; rows equal in key and in all values are counted as often as they occur.
+    """
+    columns = sorted({c for p in pairs for c in p})
+    m, number = len(columns), {c: i for i, c in enumerate(columns)}
+    cells = _cells(df, key, columns)
+    counts = pin(cells.groupBy("c", "v").agg(*[F.sum(F.col("known")[j]).alias(f"n{j}") for j in range(m)]))
+    vectors = pin(rank_vectors(counts, m, range_values))
+    small = counts.count() * (8 * m + 64) <= broadcast_bytes
+    rows, rank, weight = _looked_up(df, columns, vectors) if small else _joined_back(cells, key, m, vectors)
+
+    rows = rows.select(weight.alias("_w"), F.array(*rank).alias("_r"))
+    rows = rows.select("_w", "_r", index_pairs([(number[a], number[b]) for a, b in pairs]))
+    product = F.get(F.get("_r", "_a"), F.col("_b")) * F.get(F.get("_r", "_b"), F.col("_a"))
+    crossed = rows.select("_w", "pair", product.alias("_p")).where("_p is not null")
+    crossed = crossed.groupBy("pair").agg(F.sum(F.col("_w") * F.col("_p")).alias("sxy"), F.sum("_w").cast("long").alias("n_pairs"))
 
-    sides = F.array(
-        F.struct(F.col("x").alias("column"), F.col("vx").alias("value")),
-        F.struct(F.col("y").alias("column"), F.col("vy").alias("value")),
+    squares = vectors.select("c", F.posexplode(F.arrays_zip("times", "ranks")).alias("partner", "_z")).groupBy("c", "partner").agg(
+        F.sum(F.col("_z.times") * F.col("_z.ranks") * F.col("_z.ranks")).alias("ss")
     )
-    counts = cells.select("pair", "w", F.inline(sides)).groupBy("pair", "column", "value").agg(F.sum("w").alias("c"))
-    ranks = centred_ranks(counts, cuts, ranges)
-    rx = ranks.select("pair", F.col("column").alias("x"), F.col("value").alias("vx"), F.col("rank").alias("rx"))
-    ry = ranks.select("pair", F.col("column").alias("y"), F.col("value").alias("vy"), F.col("rank").alias("ry"))
-    both = cells.join(rx, ["pair", "x", "vx"]).join(ry, ["pair", "y", "vy"])
-    w, a, b = F.col("w").cast("double"), F.col("rx"), F.col("ry")
-    rho = F.try_divide(F.sum(w * a * b), F.sqrt(F.sum(w * a * a) * F.sum(w * b * b)))
-    return both.groupBy("x", "y").agg(rho.alias("rho"), F.sum("w").alias("n_pairs"))
+    names = [(i, a, b, number[a], number[b]) for i, (a, b) in enumerate(pairs)]
+    names = df.sparkSession.createDataFrame(names, "pair int, x string, y string, cx int, cy int")
+    sx = squares.select(F.col("c").alias("cx"), F.col("partner").alias("cy"), F.col("ss").alias("sxx"))
+    sy = squares.select(F.col("c").alias("cy"), F.col("partner").alias("cx"), F.col("ss").alias("syy"))
+    out = names.join(crossed, "pair").join(sx, ["cx", "cy"]).join(sy, ["cx", "cy"])
+    return out.select("x", "y", F.try_divide(F.col("sxy"), F.sqrt(F.col("sxx") * F.col("syy"))).alias("rho"), "n_pairs")

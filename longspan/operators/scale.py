@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from longspan.functions.columns import col, per_column
+from longspan.functions.columns import col, column_stats
 from longspan.functions.quantiles import column_quantiles
 
 
@@ -44,14 +44,12 @@ def standard_scale(variance: float) -> float:
     return variance ** 0.5 if variance > 0 else 1.0
 
 
-MOMENTS = {
-    "n_known": lambda c: F.count(col(c)),
-    "n_missing": lambda c: F.count_if(col(c).isNull()),
-    "mean": lambda c: F.avg(col(c)),
-    "variance": lambda c: F.var_pop(col(c)),
-    "min": lambda c: F.min(col(c)),
-    "max": lambda c: F.max(col(c)),
-}
+def moments(df: DataFrame, columns: list[str]) -> DataFrame:
+    v = F.col("value")
+    return column_stats(df, columns, {
+        "n_known": F.count(v), "n_missing": F.count_if(v.isNull()), "mean": F.avg(v), "variance": F.var_pop(v),
+        "min": F.min(v), "max": F.max(v),
+    })
 
 
 def fit_fill_and_scale(filled: DataFrame, columns: list[str]) -> dict[str, ColumnParams]:
@@ -63,7 +61,7 @@ def fit_fill_and_scale(filled: DataFrame, columns: list[str]) -> dict[str, Colum
     train = filled.where(F.col("split") == "train")
     medians = {r["column"]: r["median"] for r in column_quantiles(train, columns, [0.5], names=["median"]).collect()}
     fitted = {}
-    for r in per_column(train, columns, MOMENTS).collect():
+    for r in moments(train, columns).collect():
         c, known, missing = r["column"], r["n_known"], r["n_missing"]
         med = float(medians.get(c, 0.0))
         if known == 0:
@@ -80,7 +78,7 @@ def fit_fill_and_scale(filled: DataFrame, columns: list[str]) -> dict[str, Colum
 def fit_standard(train: DataFrame, columns: list[str]) -> dict[str, ColumnParams]:
     """Mean and population variance of complete columns, one aggregate."""
     fitted = {}
-    for r in per_column(train, columns, MOMENTS).collect():
+    for r in moments(train, columns).collect():
         if r["n_known"] == 0:
             fitted[r["column"]] = ColumnParams(r["column"], 0.0, 0.0, 0.0, 1.0, 0.0, 0.0)
             continue
@@ -105,8 +103,8 @@ def fit_robust(train: DataFrame, columns: list[str]) -> dict[str, tuple[float, f
 
 def fit_minmax(train: DataFrame, columns: list[str]) -> dict[str, tuple[float, float]]:
     """Minimum and range per column; a zero range counts as 1."""
-    rows = per_column(train, columns, {"lo": lambda c: F.min(col(c)), "hi": lambda c: F.max(col(c))}).collect()
-    return {r["column"]: (r["lo"], (r["hi"] - r["lo"]) or 1.0) for r in rows if r["lo"] is not None}
+    rows = moments(train, columns).collect()
+    return {r["column"]: (r["min"], (r["max"] - r["min"]) or 1.0) for r in rows if r["n_known"]}
 
 
 def apply_shift_scale(df: DataFrame, params: dict[str, tuple[float, float]], prefix: str) -> DataFrame:

@@ -138,7 +138,7 @@ _spearman_cte, _spearman_body = _mirror(
 
 @query("E12_spearman_matrix", sql.with_(sql.PANEL + _spearman_cte, _spearman_body))
 def spearman_matrix(spark, sf):
-    return tidy(explore.spearman_matrix(panel(spark, sf), NUMERIC))
+    return tidy(explore.spearman_matrix(panel(spark, sf), SPEC, NUMERIC))
 
 
 _TARGET_CORR = sql.union(f"""SELECT '{m}' AS "column", (SELECT corr({m}, target) FROM panel) AS pearson_r,
