@@ -86,13 +86,13 @@ def flatten_samples(windows: DataFrame, features: list[str], summary_of: list[st
     extras = []
     for name in summary_of:
         i = features.index(name)
-        series = F.transform(STEPS, lambda s, i=i: s[i].cast("double"))
+        series = F.transform(STEPS, lambda s: s[i].cast("double"))
         for span in spans:
             tail = F.slice(series, F.greatest(F.size(STEPS) - span + 1, F.lit(1)), span)
             n = F.size(tail).cast("double")
             mean = F.aggregate(tail, F.lit(0.0), lambda a, v: a + v) / n
             spread = F.aggregate(
-                F.transform(tail, lambda v, m=mean: (v - m) * (v - m)), F.lit(0.0), lambda a, v: a + v
+                F.transform(tail, lambda v: (v - mean) * (v - mean)), F.lit(0.0), lambda a, v: a + v
             )
             std = F.coalesce(F.sqrt(F.try_divide(spread, n - 1)), F.lit(0.0))
             extras += [mean, std, F.array_min(tail), F.array_max(tail)]
