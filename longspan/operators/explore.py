@@ -202,22 +202,24 @@ def pearson_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     return _with_diagonal(upper, df, columns, "r")
 
 
-def spearman_matrix(df: DataFrame, spec: PanelSpec, columns: list[str]) -> DataFrame:
+def spearman_matrix(df: DataFrame, spec: PanelSpec, columns: list[str], upper: DataFrame | None = None) -> DataFrame:
     """All (x, y, rho), ranks taken afresh on the rows complete for each pair."""
-    upper = rank_correlations(df, [spec.entity, spec.time], list(combinations(columns, 2))).select("x", "y", "rho")
-    return _with_diagonal(upper, df, columns, "rho")
+    if upper is None:
+        upper = rank_correlations(df, [spec.entity, spec.time], list(combinations(columns, 2)))
+    return _with_diagonal(upper.select("x", "y", "rho"), df, columns, "rho")
 
 
-def _with_rho(base: DataFrame, df: DataFrame, spec: PanelSpec, measures: list[str]) -> DataFrame:
-    rho = rank_correlations(df, [spec.entity, spec.time], [(m, spec.target) for m in measures])
-    rho = rho.select(F.col("x").alias("column"), F.col("rho").alias("spearman_rho"))
+def _with_rho(base: DataFrame, df: DataFrame, spec: PanelSpec, measures: list[str], rho: DataFrame | None = None) -> DataFrame:
+    if rho is None:
+        rho = rank_correlations(df, [spec.entity, spec.time], [(m, spec.target) for m in measures])
+    rho = rho.where(F.col("y") == spec.target).select(F.col("x").alias("column"), F.col("rho").alias("spearman_rho"))
     return base.withColumnRenamed("x", "column").drop("y").join(rho, "column", "left").fillna(0, ["n_pairs"])
 
 
-def target_correlations(df: DataFrame, spec: PanelSpec) -> DataFrame:
-    """Pearson, Spearman and pair count of every measure with the target."""
+def target_correlations(df: DataFrame, spec: PanelSpec, rho: DataFrame | None = None) -> DataFrame:
+    """Pearson, Spearman and pair count of every measure with the target; ``rho`` may hold rank correlations already at hand."""
     base = _over_pairs(df, [(m, spec.target) for m in spec.measures], {"pearson_r": pearson, "n_pairs": F.regr_count})
-    return _with_rho(base, df, spec, list(spec.measures))
+    return _with_rho(base, df, spec, list(spec.measures), rho)
 
 
 def regression_lines(df: DataFrame, spec: PanelSpec, measures: list[str]) -> DataFrame:
@@ -272,6 +274,7 @@ def correlation_ranking(df: DataFrame, spec: PanelSpec) -> DataFrame:
 def explore_report(df: DataFrame, spec: PanelSpec) -> DataFrame:
     """All sections in long form (section, key, metric, value)."""
     lf = profile.long_form
+    rho = pin(rank_correlations(df, [spec.entity, spec.time], list(combinations(spec.numeric, 2))))
     return profile.union_all([
         lf(overview(df, spec), "dataset_overview", []),
         lf(rows_per_entity(df, spec), "rows_per_entity", [spec.entity]),
@@ -286,6 +289,6 @@ def explore_report(df: DataFrame, spec: PanelSpec) -> DataFrame:
         lf(yearly_statistics(df, spec), "yearly", ["year"]),
         lf(monthly_statistics(df, spec), "monthly", ["month"]),
         lf(pearson_matrix(df, spec.numeric), "pearson", ["x", "y"]),
-        lf(spearman_matrix(df, spec, spec.numeric), "spearman", ["x", "y"]),
-        lf(target_correlations(df, spec), "target_correlations", ["column"]),
+        lf(spearman_matrix(df, spec, spec.numeric, rho), "spearman", ["x", "y"]),
+        lf(target_correlations(df, spec, rho), "target_correlations", ["column"]),
     ])

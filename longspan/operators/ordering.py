@@ -84,14 +84,13 @@ def _nearest_known(
     known = {c: F.when(col(c).isNotNull(), F.struct(F.col(POS).alias("pos"), col(c).alias("value"))) for c in columns}
 
     df = df.withColumn(BLOCK, block_of(spec))
-    inner = Window.partitionBy(*key_cols, BLOCK).orderBy(POS)
-    outer = Window.partitionBy(*key_cols).orderBy(BLOCK)
-    if backward:
-        inner, outer = inner.rowsBetween(Window.unboundedPreceding, 0), outer.rowsBetween(Window.unboundedPreceding, -1)
-        within, border = (lambda x: F.last(x, ignorenulls=True)), F.max
-    else:
-        inner, outer = inner.rowsBetween(0, Window.unboundedFollowing), outer.rowsBetween(1, Window.unboundedFollowing)
-        within, border = (lambda x: F.first(x, ignorenulls=True)), F.min
+    # Looking ahead is looking back in reverse order: a frame that only grows is read once per row.
+    pos, block, border = (F.col(POS), F.col(BLOCK), F.max) if backward else (F.col(POS).desc(), F.col(BLOCK).desc(), F.min)
+    inner = Window.partitionBy(*key_cols, BLOCK).orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
+    outer = Window.partitionBy(*key_cols).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+
+    def within(c: Column) -> Column:
+        return F.last(c, ignorenulls=True)
 
     filled = df.select("*", *[within(known[c]).over(inner).alias(f"{prefix}{c}") for c in columns])
     # Only entities longer than one block have anything to carry from one block to the next.

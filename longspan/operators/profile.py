@@ -99,5 +99,5 @@ def profile_report(df: DataFrame, spec: PanelSpec, checks: DataFrame | None = No
         long_form(entity_profile(df, spec), "entity_profiles", [spec.entity]),
     ]
     if checks is not None:
-        parts.append(long_form(checks.drop("severity"), "integrity_audit", ["check_name", "column"]))
+        parts.append(long_form(checks.drop("severity", "n_rows"), "integrity_audit", ["check_name", "column"]))
     return union_all(parts)

@@ -86,6 +86,7 @@ class ValidationReport:
     invalid_numbers: dict[str, int] = field(default_factory=dict)
     negative_values: dict[str, int] = field(default_factory=dict)
     invalid_categories: int = 0
+    checks: list[tuple] = field(default_factory=list)
     errors: list[str] = field(default_factory=list)
     warnings: list[str] = field(default_factory=list)
 
@@ -102,7 +103,10 @@ SEVERITY = {
 
 
 def check_counts(raw: DataFrame, spec: PanelSpec) -> DataFrame:
-    """Validation counters in long form: (check_name, column, severity, n). ``raw`` has its null tokens cleared."""
+    """Validation counters in long form: (check_name, column, severity, n, n_rows). ``raw`` has its null tokens cleared.
+
+    Everything but the duplicates comes from one pass, which also counts the rows.
+    """
     require(raw, spec.required)
     cells: list[tuple[str, str, Column]] = [
         ("empty_entities", spec.entity, empty_key(col(spec.entity))),
@@ -111,8 +115,8 @@ def check_counts(raw: DataFrame, spec: PanelSpec) -> DataFrame:
     ]
     cells += [("invalid_numbers", c, bad_number(col(c))) for c in spec.numeric]
     cells += [("negative_values", c, parse_number(col(c)) < 0) for c in spec.numeric]
-    wide = raw.agg(*[F.count_if(e).alias(f"_{i}") for i, (_, _, e) in enumerate(cells)])
-    entries = [_entry(name, c, F.col(f"_{i}")) for i, (name, c, _) in enumerate(cells)]
+    wide = raw.agg(F.count("*").alias("_rows"), *[F.count_if(e).alias(f"_{i}") for i, (_, _, e) in enumerate(cells)])
+    entries = [_entry(name, c, F.col(f"_{i}"), F.col("_rows")) for i, (name, c, _) in enumerate(cells)]
     counted = wide.select(F.inline(F.array(*entries)))
     rows = duplicate_rows(raw).select(F.inline(F.array(_entry("duplicate_rows", "*", F.col("n_duplicates")))))
     keys = duplicate_keys(raw, spec).select(
@@ -121,12 +125,17 @@ def check_counts(raw: DataFrame, spec: PanelSpec) -> DataFrame:
     return counted.unionByName(rows).unionByName(keys)
 
 
-def _entry(name: str, column: str, n: Column) -> Column:
+def _entry(name: str, column: str, n: Column, n_rows: Column | None = None) -> Column:
+    n_rows = F.lit(None).cast("bigint") if n_rows is None else n_rows
     return F.struct(
-        F.lit(name).alias("check_name"), F.lit(column).alias("column"), F.lit(SEVERITY[name]).alias("severity"), n.alias("n")
+        F.lit(name).alias("check_name"), F.lit(column).alias("column"), F.lit(SEVERITY[name]).alias("severity"),
+        n.alias("n"), n_rows.alias("n_rows"),
     )
 
 
+CHECKS_SCHEMA = "check_name string, column string, severity string, n bigint, n_rows bigint"
+
+
 def validate_raw(raw: DataFrame, spec: PanelSpec) -> tuple[DataFrame | None, ValidationReport]:
     """Type the panel and report every problem; no table comes back when required columns are missing."""
     report = ValidationReport(column_count=len(raw.columns))
@@ -138,8 +147,13 @@ def validate_raw(raw: DataFrame, spec: PanelSpec) -> tuple[DataFrame | None, Val
         return None, report
 
     raw = clean_nulls(raw)
-    report.row_count = raw.count()
-    for r in check_counts(raw, spec).where("n > 0").orderBy("check_name", "column").collect():
+    panel = typed(raw, spec)
+    counted = check_counts(raw, spec).orderBy("check_name", "column").collect()
+    report.checks = [tuple(r) for r in counted]
+    report.row_count = next(r["n_rows"] for r in counted if r["n_rows"] is not None)
+    for r in counted:
+        if r["n"] == 0:
+            continue
         if r["check_name"] in ("invalid_numbers", "negative_values"):
             getattr(report, r["check_name"])[r["column"]] = r["n"]
         else:
@@ -152,7 +166,7 @@ def validate_raw(raw: DataFrame, spec: PanelSpec) -> tuple[DataFrame | None, Val
             detail = f", values {[u['value'] for u in unexpected]}"
         message = f"{r['check_name']}: {r['n']} in {r['column']}{detail}"
         (report.errors if r["severity"] == "error" else report.warnings).append(message)
-    return typed(raw, spec), report
+    return panel, report
 
 
 def strict_counts(df: DataFrame, spec: PanelSpec) -> DataFrame:

@@ -23,7 +23,8 @@ def ingest(spark: SparkSession, raw_path: str, table_path: str, report_path: str
     panel, report = validate.validate_raw(raw, spec)
     if panel is None:
         raise ValueError(f"validation failed: {report.errors}")
-    checks = validate.check_counts(validate.clean_nulls(raw), spec)
+    panel = pin(panel)  # parse the text once; the profile and the table both read the typed rows
+    checks = spark.createDataFrame(report.checks, validate.CHECKS_SCHEMA)
     files.write_report(profile.profile_report(panel, spec, checks), report_path)
     if not report.is_valid:
         raise ValueError(f"validation failed: {report.errors}")

@@ -57,11 +57,20 @@ def _flat(spark, sf, lookback=30, names=None):
     return sequences.flatten_samples(windows, names, _SUMMARY_OF)
 
 
-@query("B24_tabular_samples", sql.with_(sql.windows(), f"""
-SELECT entity, {sql.day('input_end', 'input_end')}, split, CAST(30 * 82 + 32 AS BIGINT) AS width, {sql.r('x_first', 'first_value', 4)} FROM candidates WHERE target_observed"""))
+_TAIL = "OVER (PARTITION BY entity ORDER BY d ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"
+_VALUE = "CAST(scaled_qty_a AS FLOAT)::DOUBLE"
+
+
+@query("B24_tabular_samples", sql.with_(sql.windows() + f""",
+tails AS (SELECT entity, d, avg({_VALUE}) {_TAIL} AS mean_7, stddev_samp({_VALUE}) {_TAIL} AS std_7, min({_VALUE}) {_TAIL} AS min_7,
+          max({_VALUE}) {_TAIL} AS max_7 FROM model)""", f"""
+SELECT c.entity, {sql.day('input_end', 'input_end')}, split, CAST(30 * 82 + 32 AS BIGINT) AS width, {sql.r('x_first', 'first_value', 4)},
+  {sql.r('mean_7', 'mean_7', 4)}, {sql.r('std_7', 'std_7', 4)}, {sql.r('min_7', 'min_7', 4)}, {sql.r('max_7', 'max_7', 4)}
+FROM candidates c JOIN tails t ON t.entity = c.entity AND t.d = c.input_end WHERE target_observed"""))
 def tabular_samples(spark, sf):
-    out = _flat(spark, sf)
-    return tidy(out.select("entity", "input_end", "split", F.size("flat").alias("width"), F.col("flat")[0].alias("first_value")), 4)
+    flat = F.col("flat")
+    extras = [flat[30 * 82 + i].alias(n) for i, n in enumerate(("mean_7", "std_7", "min_7", "max_7"))]
+    return tidy(_flat(spark, sf).select("entity", "input_end", "split", F.size(flat).alias("width"), flat[0].alias("first_value"), *extras), 4)
 
 
 def _small(spark, sf):

@@ -92,7 +92,7 @@ _CHECKS += [f"SELECT 'negative_values', '{c}', 'warning', count(*) FILTER (WHERE
 
 @query("V10_validation_report", sql.with_(sql.RAW, sql.union(_CHECKS)))
 def validation_report(spark, sf):
-    return validate.check_counts(clean_raw(spark, sf), SPEC)
+    return validate.check_counts(clean_raw(spark, sf), SPEC).drop("n_rows")
 
 
 @query("V11_strict_validation", sql.with_(sql.PANEL, f"""
