@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from longspan.config import PanelSpec
 from longspan.functions.columns import col
-from longspan.operators.ordering import POS, block_window, core_rows, with_blocks
+from longspan.operators.ordering import POS, ROWS, block_window, core_rows, with_blocks
 
 # Weights of the three indicator measures, guard of the ratio, and the shape of each fuzzy set.
 COMPOSITE_WEIGHTS = (0.5, 0.3, 0.2)
@@ -59,7 +59,7 @@ def attention_weights(df: DataFrame, spec: PanelSpec, score: str, lookback: int
     A missing gamma (first row of an entity) leaves the score unchanged.
     """
     df = df.withColumn("_e", col(score) * F.coalesce(F.col("gamma"), F.lit(1.0)))
-    rows = with_blocks(df.select(col(spec.entity), col(spec.time), POS, "_e"), spec, back=lookback - 1)
+    rows = with_blocks(df.select(col(spec.entity), col(spec.time), POS, ROWS, "_e"), spec, back=lookback - 1)
     energies = F.collect_list("_e").over(block_window(spec).rowsBetween(-(lookback - 1), 0))
     rows = core_rows(rows.withColumn("_energies", energies)).where(F.col(POS) >= lookback)
     rows = rows.withColumn("_peak", F.array_max("_energies"))

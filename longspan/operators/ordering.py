@@ -70,7 +70,7 @@ def _by_bucket(df: DataFrame, spec: PanelSpec) -> DataFrame:
 
 def fits_one_block(df: DataFrame, spec: PanelSpec) -> bool:
     """Whether every entity is known to fit one block; unknown counts as no."""
-    longest = df.schema[ROWS].metadata.get("longest")
+    longest = df.schema[ROWS].metadata.get("longest") if ROWS in df.columns else None
     return longest is not None and longest <= spec.block_rows
 
 
