@@ -28,6 +28,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def pin(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: a derived table that later jobs and retried tasks all read in the same state."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write a derived table to the shared folder and read it back.
+
+    Later jobs and retried tasks all see the same rows, its lineage ends here, scans read only the columns they need, and
+    its size is known to the planner. Cleaning the folder is left to its owner.
+    """
+    path = scratch_path(df.sparkSession, "pinned")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
