@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from longspan.llm import decontaminate
+import public_tokenizers
+
+from longspan.llm import bpe, decontaminate, langid, quality, simhash
 from longspan.llm.register import ORACLES, QUERIES, query, table
 
+#: Vocabulary file of the encoding operator.
+TOKENIZER = "word_bpe_49k.json"
 _FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_FOLD}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -27,4 +31,24 @@ def benchmark_decontamination(spark, sf):
     return decontaminate.digest(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+@query("op2_language_id")
+def language_id(spark, sf):
+    return langid.digest(table(spark, sf, "documents"))
+
+
+@query("op3_bpe")
+def byte_pair_encoding(spark, sf):
+    return bpe.digest(table(spark, sf, "documents"), public_tokenizers.path(TOKENIZER))
+
+
+@query("op7_quality_rules")
+def quality_rules(spark, sf):
+    return quality.digest(table(spark, sf, "documents"))
+
+
+@query("op10_simhash_near_dedup")
+def simhash_near_dedup(spark, sf):
+    return simhash.near_duplicates(table(spark, sf, "documents"))
+
+
 __all__ = ["ORACLES", "QUERIES"]

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -40,16 +42,29 @@ def blocks(batch: pa.RecordBatch, column: str, max_bytes: int = BLOCK_BYTES) ->
         start = stop
 
 
+def map_batches(df: DataFrame, fn: Callable, schema: str | T.StructType) -> DataFrame:
+    """``mapInArrow`` with this package on the path of Python workers, where it lies at the same place for them.
+
+    Where it does not, ship it with ``--py-files``.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    environment = df.sparkSession.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    return df.mapInArrow(fn, schema)
+
+
 def map_blocks(df: DataFrame, text: str, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | T.StructType,
                max_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``mapInArrow`` over blocks of bounded size; ``fn`` may return None for no rows."""
+    """``map_batches`` over blocks of bounded size; ``fn`` may return None for no rows."""
     def run(batches):
         for batch in batches:
             for block in blocks(batch, text, max_bytes):
                 out = fn(block)
                 if out is not None and out.num_rows:
                     yield out
-    return df.mapInArrow(run, schema)
+    return map_batches(df, run, schema)
 
 
 def raw_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
