@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from longspan.llm import bpe, decontaminate, langid, quality, simhash
+from longspan.llm import bpe, decontaminate, langid, licenses, lineruns, pagediff, passages, quality, simhash, warc
 from longspan.llm.register import ORACLES, QUERIES, query, table
 
 #: Vocabulary file of the encoding operator.
@@ -41,6 +41,37 @@ def byte_pair_encoding(spark, sf):
     return bpe.digest(table(spark, sf, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+@query("op1_license_scan")
+def license_scan(spark, sf):
+    return licenses.digest(table(spark, sf, "documents"))
+
+
+@query("op4_html_extraction")
+def html_extraction(spark, sf):
+    return pagediff.extract(table(spark, sf, "pages"))
+
+
+@query("op6_warc", """
+WITH p AS (SELECT row_number() OVER () AS r, page_id, coalesce(html, '') AS h, sha256(coalesce(html, '')) AS d FROM pages),
+first AS (SELECT d, min(page_id) AS f FROM p WHERE strlen(h) >= 100 GROUP BY d)
+SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, p.d AS payload_digest,
+  CASE WHEN first.d IS NULL OR page_id IS NOT DISTINCT FROM f THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN first.d IS NULL OR page_id IS NOT DISTINCT FROM f THEN NULL ELSE f END AS refers_to
+FROM p LEFT JOIN first ON p.d = first.d""")
+def web_archive(spark, sf):
+    return warc.digest(table(spark, sf, "pages"))
+
+
+@query("op8_substring_dedup")
+def substring_dedup(spark, sf):
+    return passages.repeated_passages(table(spark, sf, "documents"))
+
+
+@query("op9_line_dedup")
+def line_dedup(spark, sf):
+    return lineruns.repeated_runs(table(spark, sf, "documents"))
+
+
 @query("op7_quality_rules")
 def quality_rules(spark, sf):
     return quality.digest(table(spark, sf, "documents"))
