@@ -133,7 +133,8 @@ def _runs(held: DataFrame, doc_id: str, text: str, min_words: int) -> DataFrame:
     lines = pin(_sequences(held, doc_id, text))
     rows = _window_rows(lines, min_words)
     marks = pin(rows.where("fresh").groupBy("mark").agg(F.count("*").alias("n")).where("n > 1").select("mark"))
-    rows = rows.drop("fresh").join(marks, "mark", "left_semi")
+    # Written before the next join on the same key, so that a line of very many documents can be split in each of the two.
+    rows = pin(rows.drop("fresh").join(marks, "mark", "left_semi"))
     first = pin(rows.groupBy("mark", "content").agg(F.min(_order()).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"))
     later = rows.join(first, ["mark", "content"]).where(
         (F.col("place") != F.col("first.place")) | (F.col("at") != F.col("first.at")))
