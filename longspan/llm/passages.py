@@ -262,7 +262,8 @@ def _classes(paragraphs: DataFrame, similarity: float, recall: float, chunk: int
     buckets = buckets.withColumns({"lead": F.min("content").over(w), "top": F.max("content").over(w)})
     members = pin(buckets.where("lead < top").select("bucket", "content", "lead"))
     wanted = members.select("content").distinct()
-    texts = pin(paragraphs.select("content", "words").join(wanted, "content", "left_semi").groupBy("content").agg(F.first("words").alias("words")))
+    once = paragraphs.groupBy("content").agg(F.first("words").alias("words"))  # copies meet in their task before they move
+    texts = pin(once.join(wanted, "content", "left_semi"))
     pairs = members.where("content != lead").select(F.col("lead").alias("a"), F.col("content").alias("b")).distinct()
     links = pin(_verify(pairs, texts, similarity))
     roots = components(links)
