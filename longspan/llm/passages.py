@@ -23,7 +23,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from longspan.llm.components import components
@@ -227,9 +226,10 @@ def _residual(members: DataFrame, roots: DataFrame, texts: DataFrame, similarity
     """Links inside buckets that still hold more than one component."""
     joined = members.join(roots, F.col("content") == F.col("node"), "left").select(
         "bucket", "content", F.coalesce("root", "content").alias("root"))
-    w = W.partitionBy("bucket")
-    split = joined.withColumns({"low": F.min("root").over(w), "high": F.max("root").over(w), "n": F.count("*").over(w)})
-    split = pin(split.where("low < high").select("bucket", "content", "root", F.ceil(F.col("n") / chunk).cast("int").alias("k")))
+    joined = pin(joined)
+    open_ = joined.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"))
+    open_ = pin(open_.where("low < high").select("bucket", F.ceil(F.col("n") / chunk).cast("int").alias("k")))
+    split = joined.join(open_, "bucket")
     own = F.pmod(F.xxhash64("content"), F.col("k")).cast("int")
     rows = split.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
     rows = rows.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "root", "content")
@@ -257,10 +257,10 @@ def _residual(members: DataFrame, roots: DataFrame, texts: DataFrame, similarity
 def _classes(paragraphs: DataFrame, similarity: float, recall: float, chunk: int) -> DataFrame:
     """``node, root`` of the contents that are linked to others."""
     bands, rows = tune_bands(similarity, recall)
-    w = W.partitionBy("bucket")
-    buckets = _band_rows(paragraphs, bands, rows).repartition("bucket").groupBy("bucket", "content").agg(F.lit(1).alias("one"))
-    buckets = buckets.withColumns({"lead": F.min("content").over(w), "top": F.max("content").over(w)})
-    members = pin(buckets.where("lead < top").select("bucket", "content", "lead"))
+    told = _band_rows(paragraphs, bands, rows)
+    buckets = told.groupBy("bucket").agg(F.min("content").alias("lead"), F.max("content").alias("top"))
+    buckets = pin(buckets.where("lead < top").select("bucket", "lead"))
+    members = pin(told.join(buckets, "bucket").distinct())
     wanted = members.select("content").distinct()
     once = paragraphs.groupBy("content").agg(F.first("words").alias("words"))  # copies meet in their task before they move
     texts = pin(once.join(wanted, "content", "left_semi"))
