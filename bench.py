@@ -11,6 +11,7 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from pyspark.sql import SparkSession  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 
 from longspan.config import SequenceConfig  # noqa: E402
 from longspan.operators import explore, features, profile, sequences, split  # noqa: E402
@@ -21,7 +22,7 @@ from registry.core import FEATURES, NUMERIC, SPEC, panel  # noqa: E402
 
 
 def run(spark: SparkSession, sf: str) -> dict[str, float]:
-    paths = {n: scratch_path(spark, n) for n in ("panel", "prepared", "params", "samples", "sample_params")}
+    paths = {n: scratch_path(spark, n) for n in ("panel", "raw", "typed", "profile", "prepared", "params", "samples", "sample_params")}
     seconds: dict[str, float] = {}
 
     def timed(name, fn):
@@ -35,13 +36,16 @@ def run(spark: SparkSession, sf: str) -> dict[str, float]:
 
     timed("panel_build", lambda: files.write_panel(panel(spark, sf), paths["panel"]))
     base = files.read_panel(spark, paths["panel"])
+    base.select(*[F.col(c).cast("string") for c in SPEC.required]).write.option("header", True).csv(paths["raw"])
+    timed("ingest", lambda: stages.ingest(spark, paths["raw"], paths["typed"], paths["profile"], SPEC))
+    timed("profile_report", lambda: drain(profile.profile_report(base, SPEC)))
     timed("chronological_split", lambda: drain(split.assign_split(base, SPEC)))
     timed("split_and_fill", lambda: drain(stages.split_and_fill(base, SPEC)))
     timed("preprocess", lambda: stages.preprocess(spark, paths["panel"], paths["prepared"], paths["params"], SPEC))
     prepared = files.read_panel(spark, paths["prepared"])
     timed("features", lambda: drain(features.engineer(prepared, SPEC, FEATURES)))
 
-    table, names, _ = stages.model_table(pin(prepared), SPEC, FEATURES, pinned=True)
+    table, names, _ = timed("feature_table", lambda: stages.model_table(prepared, SPEC, FEATURES, pinned=True))
     timed("window_index", lambda: drain(sequences.candidate_windows(table, SPEC, SequenceConfig())))
     timed("build_samples", lambda: stages.build_samples(
         spark, paths["prepared"], paths["samples"], paths["sample_params"], SPEC, FEATURES))

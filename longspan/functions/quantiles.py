@@ -1,9 +1,10 @@
 """Exact, linearly interpolated quantiles of groups of any size.
 
 The built-in exact percentile keeps every distinct value of a group in one buffer, which is right while groups have few
-distinct values; that is checked first. Otherwise a bounded sketch brackets each wanted rank; one aggregate then counts
-the values between the brackets and keeps distinct values only inside them, so no task holds more than a sliver of a
-group. The counts decide the answer, the sketch only sets how narrow the brackets are.
+distinct values; that is checked first. Otherwise a bounded sketch brackets each wanted rank, and brackets that still hold
+many values are narrowed by sketches of what is inside them. One aggregate then counts the values between the brackets and
+keeps distinct values only inside them, so no task holds more than a sliver of a group. The counts decide the answer, the
+sketches only set how narrow the brackets are. Null is a group like any other on either way.
 """
 
 from __future__ import annotations
@@ -13,48 +14,101 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from longspan.functions.columns import col, unpivot
+from longspan.functions.columns import col, column_stats, unpivot
 from longspan.session import pin
 
 ACCURACY = 50_000
 BUFFERED_VALUES = 1_000_000   # distinct values of one group that fit an aggregation buffer
+BUFFERED_GROUPS = 128         # groups whose buffers one task of a hash aggregate may hold at a time (Spark's own limit)
+BUFFERED_TOTAL = 8_000_000    # distinct values that all of these may hold together
+SLIVER_ROWS = 1_000_000       # rows of one bracket that one task may order
+GRID = 256                    # values by which a bracket is cut when it is narrowed
 BROADCAST_GROUPS = 100_000    # groups whose brackets are broadcast
 HOT_ROWS = 50_000_000         # rows of one group that may be joined in one task
 
 
 def grouped_quantiles(
     df: DataFrame, keys: list[str], value: str, probs: list[float], names: list[str] | None = None,
-    buffered: int = BUFFERED_VALUES,
+    buffered: int = BUFFERED_VALUES, known: tuple[int, int] | None = None,
 ) -> DataFrame:
-    """One row per group with its non-null count ``n`` and one column per probability."""
+    """One row per group with its non-null count ``n`` and one column per probability.
+
+    ``known`` tells the distinct values of the widest group (roughly) and the number of groups where a caller has them already.
+    """
     names = names or [f"p{round(p * 100):d}" for p in probs]
     rows = df.select(*[col(k) for k in keys], col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
     group = [col(k) for k in keys]
-    distinct = rows.groupBy(*group).agg(F.approx_count_distinct("_v").alias("_d"))
-    widest = distinct.agg(F.max("_d").alias("d")).first()["d"] or 0
-    if widest > buffered:
+    if known is None:
+        distinct = rows.groupBy(*group).agg(F.approx_count_distinct("_v").alias("_d"))
+        found = distinct.agg(F.max("_d").alias("d"), F.count("*").alias("n")).first()
+        known = found["d"] or 0, found["n"]
+    widest, held = known[0], min(known[1], BUFFERED_GROUPS)
+    if widest > buffered or widest * held > max(buffered, BUFFERED_TOTAL):
         return bracketed_quantiles(rows, keys, probs, names)
     q = F.percentile("_v", [float(p) for p in probs])
     out = rows.groupBy(*group).agg(F.count("*").alias("n"), q.alias("_q"))
     return out.select(*group, "n", *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)])
 
 
+def _same_group(rows: DataFrame, keyed: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on the keys, null equal to null; without keys there is one row to attach."""
+    if not keys:
+        return rows.crossJoin(keyed) if how == "inner" else rows.where(F.lit(False))
+    other = keyed.withColumnsRenamed({k: f"_key{i}" for i, k in enumerate(keys)})
+    on = reduce(lambda a, b: a & b, [col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)])
+    return rows.join(other, on, how).drop(*[f"_key{i}" for i in range(len(keys))])
+
+
 def _with_brackets(rows: DataFrame, sketch: DataFrame, keys: list[str], broadcast_groups: int, hot_rows: int) -> DataFrame:
     """Attach each group's brackets without moving a large group into one task.
 
     Few groups: broadcast. Many: only the large ones, of which there can be no more than rows / hot_rows.
     """
     if sketch.count() <= broadcast_groups:
-        return rows.join(F.broadcast(sketch), keys)
+        return _same_group(rows, F.broadcast(sketch), keys)
     hot = sketch.where(F.col("_n") > hot_rows)
-    cold = rows.join(F.broadcast(hot.select(*[col(k) for k in keys])), keys, "left_anti").join(
-        sketch.where(F.col("_n") <= hot_rows), keys)
-    return cold.unionByName(rows.join(F.broadcast(hot), keys))
+    cold = _same_group(rows, F.broadcast(hot.select(*[col(k) for k in keys])), keys, "left_anti")
+    cold = _same_group(cold, sketch.where(F.col("_n") <= hot_rows), keys)
+    return cold.unionByName(_same_group(rows, F.broadcast(hot), keys))
+
+
+def _narrowed(
+    rows: DataFrame, sketch: DataFrame, keys: list[str], probs: list[float], broadcast_groups: int, hot_rows: int, sliver_rows: int
+) -> DataFrame | None:
+    """Brackets cut down to the part of a grid of their values that holds the wanted ranks; None if that gains nothing."""
+    group = [col(k) for k in keys]
+    m = len(probs)
+    placed = _with_brackets(rows, sketch, keys, broadcast_groups, hot_rows)
+    v = F.col("_v")
+    inside = [v.between(F.col("_ends")[2 * i], F.col("_ends")[2 * i + 1]) for i in range(m)]
+    grid = [F.percentile_approx(F.when(inside[i], v), [k / GRID for k in range(GRID + 1)], F.lit(GRID * 20)) for i in range(m)]
+    cut = pin(placed.groupBy(*group, "_n", "_ends").agg(
+        F.array(*[F.count_if(v < F.col("_ends")[2 * i]) for i in range(m)]).alias("_below"),
+        F.array(*[F.count_if(x) for x in inside]).alias("_in"), F.array(*grid).alias("_grid")))
+    ends = []
+    for i, p in enumerate(probs):
+        rank = F.lit(float(p)) * (F.col("_n") - 1).cast("double")
+        place = (rank - F.col("_below")[i]) / F.greatest(F.col("_in")[i], F.lit(1)) * GRID
+        low = F.greatest(F.floor(place).cast("int") - 1, F.lit(0))
+        high = F.least(F.ceil(place).cast("int") + 2, F.lit(GRID))
+        small = F.col("_in")[i] <= sliver_rows
+        ends += [F.when(small, F.col("_ends")[2 * i + k]).otherwise(F.get(F.col("_grid")[i], e)) for k, e in enumerate((low, high))]
+    out = pin(cut.select(*group, "_n", F.array(*ends).alias("_ends"), F.col("_ends").alias("_before")))
+    moved = out.where(~F.col("_ends").eqNullSafe(F.col("_before"))).limit(1).count()
+    return out.drop("_before") if moved else None
+
+
+def _widest(placed: DataFrame, keys: list[str], m: int) -> int:
+    """Distinct values, roughly, that the fullest bracket of any group holds."""
+    v = F.col("_v")
+    inside = [F.approx_count_distinct(F.when(v.between(F.col("_ends")[2 * i], F.col("_ends")[2 * i + 1]), v)) for i in range(m)]
+    counted = placed.groupBy(*[col(k) for k in keys]).agg(F.greatest(*inside, F.lit(0)).alias("_w"))
+    return counted.agg(F.max("_w").alias("w")).first()["w"] or 0
 
 
 def bracketed_quantiles(
     rows: DataFrame, keys: list[str], probs: list[float], names: list[str], accuracy: int = ACCURACY,
-    broadcast_groups: int = BROADCAST_GROUPS, hot_rows: int = HOT_ROWS,
+    broadcast_groups: int = BROADCAST_GROUPS, hot_rows: int = HOT_ROWS, sliver_rows: int = SLIVER_ROWS,
 ) -> DataFrame:
     """Quantiles of ``_v`` by sketch and count, for groups with any number of distinct values."""
     group = [col(k) for k in keys]
@@ -65,6 +119,12 @@ def bracketed_quantiles(
         F.count("*").alias("_n"), F.percentile_approx("_v", ends, F.lit(accuracy)).alias("_ends")
     ))
 
+    while _widest(_with_brackets(rows, sketch, keys, broadcast_groups, hot_rows), keys, len(probs)) > sliver_rows:
+        narrower = _narrowed(rows, sketch, keys, probs, broadcast_groups, hot_rows, sliver_rows)
+        if narrower is None:
+            break
+        sketch = narrower
+
     v, low, high = F.col("_v"), lambda i: F.col("_ends")[2 * i], lambda i: F.col("_ends")[2 * i + 1]
     inside = reduce(lambda a, b: a | b, [(v >= low(i)) & (v <= high(i)) for i in range(len(probs))])
     gap = reduce(lambda a, b: a + b, [F.when(v > high(i), 1).otherwise(0) for i in range(len(probs))])
@@ -103,7 +163,16 @@ def bracketed_quantiles(
 
 def column_quantiles(
     df: DataFrame, columns: list[str], probs: list[float], keys: list[str] | None = None, names: list[str] | None = None,
+    known: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Quantiles of several columns at once: rows (keys, column, n, one column per probability)."""
     keys = keys or []
-    return grouped_quantiles(unpivot(df, keys, columns), [*keys, "column"], "value", probs, names)
+    return grouped_quantiles(unpivot(df, keys, columns), [*keys, "column"], "value", probs, names, known=known)
+
+
+def stats_and_quantiles(df: DataFrame, columns: list[str], metrics: dict[str, Column], probs: list[float], names: list[str]) -> DataFrame:
+    """One row per column with aggregates of ``value`` and quantiles, in two scans: the first also counts distinct values."""
+    base = pin(column_stats(df, columns, {**metrics, "_d": F.approx_count_distinct("value")}))
+    found = base.agg(F.max("_d").alias("d"), F.count("*").alias("n")).first()
+    q = column_quantiles(df, columns, probs, names=names, known=(found["d"] or 0, found["n"]))
+    return base.drop("_d").join(q.drop("n"), "column", "left")

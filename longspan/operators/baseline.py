@@ -20,38 +20,63 @@ def expanding_folds(df: DataFrame, spec: PanelSpec, folds: int = 5) -> DataFrame
     return df.select("*", F.inline(uses))
 
 
-def fit_boosted_trees(samples: DataFrame, rounds: int = 20, depth: int = 5, step: float = 0.1, seed: int = 42) -> GBTRegressionModel:
-    """Boosted regression trees on the ``flat`` array of training samples."""
-    train = samples.where(F.col("split") == "train").select(array_to_vector("flat").alias("features"), F.col("y").cast("double").alias("label"))
-    model = GBTRegressor(maxIter=rounds, maxDepth=depth, stepSize=step, seed=seed, subsamplingRate=0.8)
-    return model.fit(train)
+# The baseline's rounds, depth, step, and shares of rows and columns.
+ROUNDS, DEPTH, STEP, ROW_SHARE, COLUMN_SHARE = 300, 6, 0.03, 0.8, 0.8
+
+
+def fit_boosted_trees(
+    samples: DataFrame, rounds: int = ROUNDS, depth: int = DEPTH, step: float = STEP, tolerance: float = 1e-4, seed: int = 42
+) -> GBTRegressionModel:
+    """Boosted regression trees on the ``flat`` array of training samples.
+
+    Rounds end where the error on the ``val`` samples no longer falls by ``tolerance`` of itself, ``rounds`` at the latest.
+    """
+    data = samples.where(F.col("split").isin("train", "val")).select(
+        array_to_vector("flat").alias("features"), F.col("y").cast("double").alias("label"), (F.col("split") == "val").alias("held"))
+    trees = GBTRegressor(maxIter=rounds, maxDepth=depth, stepSize=step, seed=seed, subsamplingRate=ROW_SHARE,
+                         featureSubsetStrategy=str(COLUMN_SHARE), validationIndicatorCol="held", validationTol=tolerance)
+    return trees.fit(data)
 
 
 def predict(model: GBTRegressionModel, samples: DataFrame) -> DataFrame:
     return model.transform(samples.withColumn("features", array_to_vector("flat"))).drop("features")
 
 
-def permuted(df: DataFrame, key: list[str], name: str, groups: int) -> DataFrame:
-    """Replace a column's values by those of another row, along a hash order within hashed groups.
+GROUP_ROWS = 100_000  # rows that one task orders
+
 
-    ``groups`` grows with the table so that each group stays small; no global numbering is needed.
+def group_count(df: DataFrame, group_rows: int = GROUP_ROWS) -> int:
+    """Groups that keep a group at about ``group_rows`` rows, whatever the table's size."""
+    return max(1, -(-df.count() // group_rows))
+
+
+def permuted(df: DataFrame, key: list[str], names: list[str], groups: int) -> DataFrame:
+    """Replace columns by those of another row, the next in the order of a digest of the key within digest groups.
+
+    The columns move together. No global numbering is needed; the last row of a group takes the values of its first.
     """
-    mixed = F.xxhash64(*[col(k) for k in key], F.lit(name))
-    rows = df.withColumns({"_g": F.pmod(mixed, F.lit(groups)), "_h": F.xxhash64(mixed, F.lit(1))})
-    in_group = Window.partitionBy("_g").orderBy("_h", *[col(k) for k in key])
+    mixed = F.md5(F.concat_ws("|", *[col(k).cast("string") for k in key], F.lit(",".join(names))).cast("binary"))
+    group = F.pmod(F.conv(F.substring("_m", 1, 8), 16, 10).cast("bigint"), F.lit(groups))
+    rows = df.withColumn("_m", mixed).withColumn("_g", group)
+    in_group = Window.partitionBy("_g").orderBy("_m", *[col(k) for k in key])
     whole = in_group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    moved = F.coalesce(F.lead(col(name), 1).over(in_group), F.first(col(name)).over(whole))
-    return rows.withColumn(name, moved).drop("_g", "_h")
+    both = F.struct(*[col(n).alias(f"c{i}") for i, n in enumerate(names)])
+    moved = rows.withColumn("_moved", F.coalesce(F.lead(both, 1).over(in_group), F.first(both).over(whole)))
+    return moved.withColumns({n: F.col(f"_moved.c{i}") for i, n in enumerate(names)}).drop("_g", "_m", "_moved")
+
 
+def permutation_importance(
+    df: DataFrame, key: list[str], inputs: dict[str, list[str]], forecast, actual: str, group_rows: int = GROUP_ROWS
+) -> DataFrame:
+    """Rise of the RMSE when the columns of one input are shuffled; ``forecast`` appends ``prediction``."""
+    groups = group_count(df, group_rows)
 
-def permutation_importance(df: DataFrame, key: list[str], columns: list[str], forecast, actual: str, groups: int) -> DataFrame:
-    """Rise of the RMSE when one input column is shuffled; ``forecast`` appends ``prediction``."""
     def rmse(frame: DataFrame, label: str) -> DataFrame:
         err = F.col("prediction") - col(actual)
         return forecast(frame).agg(F.sqrt(F.avg(err * err)).alias("rmse")).select(F.lit(label).alias("column"), "rmse")
 
     out = rmse(df, "")
-    for c in columns:
-        out = out.unionByName(rmse(permuted(df, key, c, groups), c))
-    base = F.max(F.when(F.col("column") == "", F.col("rmse"))).over(Window.partitionBy(F.lit(0)))
+    for name, columns in inputs.items():
+        out = out.unionByName(rmse(permuted(df, key, columns, groups), name))
+    base = F.max(F.when(F.col("column") == "", F.col("rmse"))).over(Window.partitionBy(F.lit(0)))  # a row per input
     return out.withColumn("increase", F.col("rmse") - base).where("column <> ''")

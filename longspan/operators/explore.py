@@ -4,16 +4,15 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from longspan.config import PanelSpec
 from longspan.functions.columns import col, column_stats, index_pairs, percent, unpivot
-from longspan.functions.quantiles import column_quantiles, grouped_quantiles
+from longspan.functions.quantiles import column_quantiles, grouped_quantiles, stats_and_quantiles
 from longspan.functions.stats import adjusted_skewness, pearson, sample_std
 from longspan.operators import profile
 from longspan.operators.ranks import rank_correlations
-from longspan.operators.validate import duplicate_keys, duplicate_rows
 from longspan.session import pin
 
 DISTRIBUTION_PROBS = [0.05, 0.25, 0.50, 0.75, 0.95, 0.99]
@@ -55,15 +54,21 @@ def missing_by_period(df: DataFrame, spec: PanelSpec, columns: list[str]) -> Dat
 
 
 def duplicate_summary(df: DataFrame, spec: PanelSpec) -> DataFrame:
-    rows = duplicate_rows(df).select(F.lit("rows").alias("kind"), "n_duplicates")
-    return rows.unionByName(duplicate_keys(df, spec).select(F.lit("keys").alias("kind"), "n_duplicates"))
+    """Rows beyond the first of equal rows, and of equal keys, from one reading of the table."""
+    equal = df.groupBy(*[col(c) for c in df.columns]).agg(F.count("*").alias("_c"))
+    keys = equal.groupBy(col(spec.entity), col(spec.time)).agg(F.sum("_c").alias("_n"), F.sum(F.col("_c") - 1).alias("_r"))
+    wide = keys.agg(F.coalesce(F.sum("_r"), F.lit(0)).alias("rows"), F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("keys"))
+    return wide.select(F.inline(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("n_duplicates")) for k in ("rows", "keys")])))
 
 
 def fences(df: DataFrame, columns: list[str], reach: float = 1.5) -> DataFrame:
-    q = column_quantiles(df, columns, [0.25, 0.75], names=["q25", "q75"])
+    return _fenced(column_quantiles(df, columns, [0.25, 0.5, 0.75], names=["q25", "median", "q75"]), reach)
+
+
+def _fenced(q: DataFrame, reach: float = 1.5) -> DataFrame:
     iqr = F.col("q75") - F.col("q25")
     return q.select(
-        "column", F.col("n").alias("n_valid"), "q25", "q75", iqr.alias("iqr"),
+        "column", F.col("n").alias("n_valid"), "q25", "median", "q75", iqr.alias("iqr"),
         (F.col("q25") - reach * iqr).alias("lower"), (F.col("q75") + reach * iqr).alias("upper"),
     )
 
@@ -80,7 +85,7 @@ def outlier_audit(df: DataFrame, columns: list[str]) -> DataFrame:
     limits, values = _against_fences(df, columns)
     outside = (F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper"))
     counted = values.groupBy("column").agg(F.count_if(outside).alias("n_outliers"))
-    return limits.join(counted, "column").withColumn("pct_outliers", percent(F.col("n_outliers"), F.col("n_valid")))
+    return limits.drop("median").join(counted, "column").withColumn("pct_outliers", percent(F.col("n_outliers"), F.col("n_valid")))
 
 
 def box_plot(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -91,8 +96,7 @@ def box_plot(df: DataFrame, columns: list[str]) -> DataFrame:
         F.min(inside).alias("whisker_low"), F.max(inside).alias("whisker_high"),
         (F.count("*") - F.count(inside)).alias("n_outliers"),
     )
-    medians = column_quantiles(df, columns, [0.5], names=["median"]).drop("n")
-    return limits.drop("iqr", "lower", "upper").join(medians, "column").join(ends, "column")
+    return limits.drop("iqr", "lower", "upper").join(ends, "column")
 
 
 def entity_statistics(df: DataFrame, spec: PanelSpec) -> DataFrame:
@@ -102,24 +106,29 @@ def entity_statistics(df: DataFrame, spec: PanelSpec) -> DataFrame:
     base = df.groupBy(e).agg(
         F.count("*").alias("n_rows"), F.count(y).alias("n_valid"), F.count_if(y.isNull()).alias("n_missing"),
         F.avg(y).alias("mean"), sample_std(y).alias("std"), F.min(y).alias("min"), F.max(y).alias("max"),
+        F.approx_count_distinct(y).alias("_d"),
     )
-    median = grouped_quantiles(df, [spec.entity], spec.target, [0.5], names=["median"]).drop("n")
-    return base.join(median, spec.entity, "left")
+    return _with_median(df, base, spec.entity, spec.target)
+
+
+def _with_median(df: DataFrame, base: DataFrame, key: str, value: str) -> DataFrame:
+    """Statistics per key (with the distinct values as ``_d``) next to the median: one scan each."""
+    base = pin(base)
+    found = base.agg(F.max("_d").alias("d"), F.count("*").alias("n")).first()
+    median = grouped_quantiles(df, [key], value, [0.5], names=["median"], known=(found["d"] or 0, found["n"])).drop("n")
+    return base.drop("_d").join(median, key, "left")
 
 
 def distribution_summary(df: DataFrame, columns: list[str]) -> DataFrame:
-    base = column_stats(df, columns, {**profile.basic_stats(), "skewness": adjusted_skewness(F.col("value"))})
-    q = column_quantiles(df, columns, DISTRIBUTION_PROBS, names=DISTRIBUTION_NAMES).drop("n")
-    return base.join(q, "column")
+    metrics = {**profile.basic_stats(), "skewness": adjusted_skewness(F.col("value"))}
+    return stats_and_quantiles(df, columns, metrics, DISTRIBUTION_PROBS, DISTRIBUTION_NAMES)
 
 
 def target_summary(df: DataFrame, spec: PanelSpec) -> DataFrame:
     v = F.col("value")
-    base = column_stats(df, [spec.target], {
-        **profile.basic_stats(), "n_missing": F.count_if(v.isNull()), "skewness": adjusted_skewness(v)})
-    probs, names = [*DISTRIBUTION_PROBS, 0.90], [*DISTRIBUTION_NAMES, "p90"]
-    q = column_quantiles(df, [spec.target], probs, names=names).drop("n")
-    return base.join(q, "column").withColumn("iqr", F.col("p75") - F.col("p25"))
+    metrics = {**profile.basic_stats(), "n_missing": F.count_if(v.isNull()), "skewness": adjusted_skewness(v)}
+    out = stats_and_quantiles(df, [spec.target], metrics, [*DISTRIBUTION_PROBS, 0.90], [*DISTRIBUTION_NAMES, "p90"])
+    return out.withColumn("iqr", F.col("p75") - F.col("p25"))
 
 
 def _period_statistics(df: DataFrame, period: Column, name: str, value: str) -> DataFrame:
@@ -128,10 +137,9 @@ def _period_statistics(df: DataFrame, period: Column, name: str, value: str) ->
     y = F.col("_value")
     base = rows.groupBy(name).agg(
         F.count(y).alias("n"), F.avg(y).alias("mean"), F.stddev_samp(y).alias("std"),
-        F.min(y).alias("min"), F.max(y).alias("max"),
+        F.min(y).alias("min"), F.max(y).alias("max"), F.approx_count_distinct(y).alias("_d"),
     )
-    median = grouped_quantiles(rows, [name], "_value", [0.5], names=["median"]).drop("n")
-    return base.join(median, name, "left")
+    return _with_median(rows, base, name, "_value")
 
 
 def yearly_statistics(df: DataFrame, spec: PanelSpec) -> DataFrame:
@@ -161,13 +169,18 @@ def month_end_means(df: DataFrame, spec: PanelSpec, entities: list[str] | None =
     return calendar.join(means, [*keys, "month_end"], "left")
 
 
+def _ranked(df: DataFrame, *order) -> DataFrame:
+    """Rows of a summary (one per column or entity) in order, with their place."""
+    return df.withColumn("place", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order))).orderBy("place")
+
+
 def entity_ranking(df: DataFrame, spec: PanelSpec) -> DataFrame:
-    return df.where(col(spec.target).isNotNull()).groupBy(col(spec.entity)).agg(
-        F.avg(col(spec.target)).alias("mean")).orderBy("mean", col(spec.entity))
+    means = df.where(col(spec.target).isNotNull()).groupBy(col(spec.entity)).agg(F.avg(col(spec.target)).alias("mean"))
+    return _ranked(means, "mean", col(spec.entity))
 
 
 def missing_ranking(df: DataFrame) -> DataFrame:
-    return profile.missing_by_column(df).where("pct_missing > 0").orderBy(F.desc("pct_missing"), "column")
+    return _ranked(profile.missing_by_column(df).where("pct_missing > 0"), F.desc("pct_missing"), "column")
 
 
 def _over_pairs(df: DataFrame, pairs: list[tuple[str, str]], metrics: dict) -> DataFrame:
@@ -264,31 +277,136 @@ def category_shares(df: DataFrame, spec: PanelSpec) -> DataFrame:
 
 
 def outlier_ranking(df: DataFrame, columns: list[str]) -> DataFrame:
-    return outlier_audit(df, columns).orderBy(F.desc("pct_outliers"), "column")
+    return _ranked(outlier_audit(df, columns), F.desc("pct_outliers"), "column")
 
 
 def correlation_ranking(df: DataFrame, spec: PanelSpec) -> DataFrame:
-    return target_correlations(df, spec).orderBy(F.desc_nulls_last("pearson_r"), "column")
+    return _ranked(target_correlations(df, spec), F.desc_nulls_last("pearson_r"), "column")
+
+
+def _target_groups(df: DataFrame, spec: PanelSpec) -> Column:
+    """(kind, key, v): the target value of a row under its entity, year, month and category."""
+    t, y = col(spec.time), col(spec.target).cast("double")
+    keys = {"entity": col(spec.entity), "year": F.year(t), "month": F.month(t), "category": F.coalesce(col(spec.category), F.lit("Missing"))}
+    return F.array(*[F.struct(F.lit(k).alias("kind"), c.cast("string").alias("key"), y.alias("v")) for k, c in keys.items()])
+
+
+def _own_value(columns: list[str]) -> Column:
+    """(kind, key, v): each column's value under the column's name."""
+    return F.array(*[F.struct(F.lit("column").alias("kind"), F.lit(c).alias("key"), col(c).cast("double").alias("v")) for c in columns])
+
+
+def _pairs_and_outliers(df: DataFrame, columns: list[str], pairs: list[tuple[str, str]], limits: DataFrame) -> DataFrame:
+    """(x, y, r, n_pairs, n_outliers) from one scan: column pairs, and each column (y null) against its fences."""
+    bounds = {r["column"]: (r["lower"], r["upper"]) for r in limits.collect()}  # a row per column
+    at = {c: i for i, c in enumerate(columns)}
+
+    def outside(c: str) -> Column:
+        low, high = bounds.get(c, (None, None))
+        return F.when(col(c).isNotNull(), ((col(c) < F.lit(low)) | (col(c) > F.lit(high))).cast("double"))
+
+    values = [*[col(c).cast("double") for c in columns], *[outside(c) for c in columns], F.lit(0.0)]
+    places = [(at[x], at[y]) for x, y in pairs] + [(len(columns) + i, 2 * len(columns)) for i in range(len(columns))]
+    rows = df.select(F.array(*values).alias("_v")).select("_v", index_pairs(places))
+    a, b = F.get("_v", "_a"), F.get("_v", "_b")
+    rows = rows.select("pair", a.alias("a"), b.alias("b")).where(F.col("a").isNotNull() & F.col("b").isNotNull())
+    a, b = F.col("a"), F.col("b")
+    found = rows.groupBy("pair").agg(pearson(a, b).alias("r"), F.count("*").alias("n_pairs"), F.sum("a").cast("long").alias("_sum"))
+    named = [(i, x, y) for i, (x, y) in enumerate(pairs)] + [(len(pairs) + i, c, None) for i, c in enumerate(columns)]
+    names = df.sparkSession.createDataFrame(named, "pair int, x string, y string")
+    return names.join(found, "pair", "left").select("x", "y", "r", F.coalesce("n_pairs", F.lit(0)).alias("n_pairs"),
+                                                    F.when(F.col("y").isNull(), F.coalesce("_sum", F.lit(0))).alias("n_outliers"))
 
 
 def explore_report(df: DataFrame, spec: PanelSpec) -> DataFrame:
-    """All sections in long form (section, key, metric, value)."""
-    lf = profile.long_form
-    rho = pin(rank_correlations(df, [spec.entity, spec.time], list(combinations(spec.numeric, 2))))
+    """All sections in long form (section, key, metric, value).
+
+    The panel is written once, whole-table statistics being observed meanwhile, and then read six times: counts and moments by
+    entity, year, month and category; quantiles of all of these and of the columns; column pairs and outliers; duplicates; and
+    two passes of the rank correlations.
+    """
+    lf, spark, numeric = profile.long_form, df.sparkSession, spec.numeric
+    others = [c for c in df.columns if c not in (spec.entity, spec.time)]
+    whole = Observation("whole")
+    per_column = {"known": lambda c: F.count(col(c))}
+    per_number = {"n": F.count, "mean": F.avg, "std": sample_std, "min": F.min, "max": F.max, "skewness": adjusted_skewness,
+                  "d": F.approx_count_distinct}
+    watched = [F.count("*").alias("n_rows"), F.min(col(spec.time)).alias("min_date"), F.max(col(spec.time)).alias("max_date")]
+    watched += [fn(c).alias(f"{m}|{c}") for m, fn in per_column.items() for c in df.columns]
+    watched += [fn(col(c).cast("double")).alias(f"{m}|{c}") for m, fn in per_number.items() for c in numeric]
+    df = pin(df.observe(whole, *watched))
+    seen = whole.get
+
+    groups = pin(df.select(*[col(c) for c in others], F.inline(_target_groups(df, spec))).where("key is not null").groupBy("kind", "key").agg(
+        F.count("*").alias("n_rows"), F.count("v").alias("n_valid"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
+        F.min("v").alias("min"), F.max("v").alias("max"), F.approx_count_distinct("v").alias("d"),
+        *[F.count_if(col(c).isNull()).alias(f"_null_{c}") for c in others]))
+    found = groups.agg(F.max("d").alias("d"), F.count("*").alias("n"), F.count_if(F.col("kind") == "entity").alias("e")).first()
+    widest = max([found["d"] or 0, *[seen[f"d|{c}"] or 0 for c in numeric]])
+
+    cells = df.select(F.inline(F.concat(_own_value(numeric), F.filter(_target_groups(df, spec), lambda g: g["kind"] != "category"))))
+    probs, names = [*DISTRIBUTION_PROBS, 0.90], [*DISTRIBUTION_NAMES, "p90"]
+    quantiles = pin(grouped_quantiles(cells.where("key is not null"), ["kind", "key"], "v", probs, names, known=(widest, found["n"] + len(numeric))))
+    own = quantiles.where("kind = 'column'").withColumnRenamed("key", "column")
+    limits = _fenced(own.select("column", "n", F.col("p25").alias("q25"), "median", F.col("p75").alias("q75"))).drop("median")
+
+    pairs = list(combinations(numeric, 2))
+    crossed = pin(_pairs_and_outliers(df, numeric, pairs, limits))
+    rho = pin(rank_correlations(df, [spec.entity, spec.time], pairs))
+
+    def number_rows(columns: list[str], metrics: list[str]) -> DataFrame:
+        kinds = {"n": "bigint"}
+        schema = ", ".join(["column string", *[f"{m} {kinds.get(m, 'double')}" for m in metrics]])
+        return spark.createDataFrame([(c, *[seen[f"{m}|{c}"] for m in metrics]) for c in columns], schema)
+
+    def by(kind: str, key: str, columns: list[str]) -> DataFrame:
+        median = quantiles.where(F.col("kind") == kind).select("key", "median")
+        single = F.when(F.col("n_valid") == 1, F.lit(0.0)).otherwise(F.col("std"))
+        rows = groups.where(F.col("kind") == kind).join(median, "key", "left")
+        rows = rows.withColumns({"n": F.col("n_valid"), "n_missing": F.col("n_rows") - F.col("n_valid"),
+                                 "std": single if kind == "entity" else F.col("std")})
+        return rows.select(F.col("key").alias(key), *columns)
+
+    days = (seen["max_date"] - seen["min_date"]).days + 1 if seen["min_date"] is not None else 0
+    overall = spark.createDataFrame(
+        [(seen["n_rows"], len(df.columns), found["e"], seen["min_date"], seen["max_date"], days)],
+        "n_rows bigint, n_columns bigint, n_entities bigint, min_date date, max_date date, span_days bigint")
+    missing = spark.createDataFrame(
+        [(c, seen["n_rows"] - seen[f"known|{c}"], 100.0 * (seen["n_rows"] - seen[f"known|{c}"]) / max(1, seen["n_rows"])) for c in df.columns],
+        "column string, n_missing bigint, pct_missing double")
+    by_entity = groups.where("kind = 'entity'").select(F.col("key").alias("entity"), F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), percent(col(f"_null_{c}"), F.col("n_rows")).alias("pct_missing")) for c in others])))
+    moments = ["n", "mean", "std", "min", "max", "skewness"]
+    target = number_rows([spec.target], moments).join(own.drop("n", "kind"), "column", "left").withColumns({
+        "n_missing": F.lit(seen["n_rows"] - seen[f"known|{spec.target}"]), "iqr": F.col("p75") - F.col("p25")}).drop("column")
+    outliers = limits.join(crossed.where("y is null").select(F.col("x").alias("column"), "n_outliers"), "column").withColumn(
+        "pct_outliers", percent(F.col("n_outliers"), F.col("n_valid")))
+    upper = crossed.where("y is not null").select("x", "y", "r", "n_pairs")
+    against = upper.where(F.col("y") == spec.target).select("x", "y", F.col("r").alias("pearson_r"), "n_pairs")
+    statistics = ["n", "mean", "median", "std", "min", "max"]
     return profile.union_all([
-        lf(overview(df, spec), "dataset_overview", []),
-        lf(rows_per_entity(df, spec), "rows_per_entity", [spec.entity]),
-        lf(profile.missing_by_column(df), "missing_values", ["column"]),
-        lf(missing_by_entity(df, spec).drop("n_rows"), "missing_by_entity", [spec.entity, "column"]),
+        lf(overall, "dataset_overview", []),
+        lf(by("entity", "entity", ["n_rows"]), "rows_per_entity", ["entity"]),
+        lf(missing, "missing_values", ["column"]),
+        lf(by_entity, "missing_by_entity", ["entity", "column"]),
         lf(duplicate_summary(df, spec), "duplicates", ["kind"]),
-        lf(outlier_audit(df, spec.numeric), "outliers", ["column"]),
-        lf(entity_statistics(df, spec), "entity_statistics", [spec.entity]),
-        lf(distribution_summary(df, list(spec.measures)), "measure_summaries", ["column"]),
-        lf(target_summary(df, spec).drop("column"), "target_summary", []),
-        lf(profile.category_counts(df, spec), "category_distribution", ["category"]),
-        lf(yearly_statistics(df, spec), "yearly", ["year"]),
-        lf(monthly_statistics(df, spec), "monthly", ["month"]),
-        lf(pearson_matrix(df, spec.numeric), "pearson", ["x", "y"]),
-        lf(spearman_matrix(df, spec, spec.numeric, rho), "spearman", ["x", "y"]),
-        lf(target_correlations(df, spec, rho), "target_correlations", ["column"]),
+        lf(outliers, "outliers", ["column"]),
+        lf(by("entity", "entity", ["n_rows", "n_valid", "n_missing", "mean", "median", "std", "min", "max"]), "entity_statistics", ["entity"]),
+        lf(number_rows(list(spec.measures), moments).join(own.drop("n", "kind", "p90"), "column", "left"), "measure_summaries", ["column"]),
+        lf(target, "target_summary", []),
+        lf(groups.where("kind = 'category'").select(F.col("key").alias("category"), F.col("n_rows").alias("n")), "category_distribution", ["category"]),
+        lf(by("year", "year", statistics), "yearly", ["year"]),
+        lf(by("month", "month", statistics), "monthly", ["month"]),
+        lf(_matrix(upper.select("x", "y", "r"), numeric, seen, "r"), "pearson", ["x", "y"]),
+        lf(_matrix(rho.select("x", "y", "rho"), numeric, seen, "rho"), "spearman", ["x", "y"]),
+        lf(_with_rho(against, df, spec, list(spec.measures), rho), "target_correlations", ["column"]),
     ])
+
+
+def _matrix(upper: DataFrame, columns: list[str], seen: dict, value: str) -> DataFrame:
+    """Both triangles and the diagonal (1, null for a constant column) from the upper triangle and observed minima and maxima."""
+    varies = {c: seen[f"min|{c}"] is not None and seen[f"min|{c}"] < seen[f"max|{c}"] for c in columns}
+    own = upper.sparkSession.createDataFrame([(c, c, 1.0 if varies[c] else None) for c in columns], f"x string, y string, {value} double")
+    grid = upper.sparkSession.createDataFrame([(a, b) for a in columns for b in columns], "x string, y string")
+    both = upper.unionByName(upper.select(F.col("y").alias("x"), F.col("x").alias("y"), value)).unionByName(own)
+    return grid.join(both, ["x", "y"], "left")

@@ -20,7 +20,7 @@ def calendar_exprs(spec: PanelSpec, cfg: FeatureConfig) -> dict[str, Column]:
     t = col(spec.time)
     month = F.month(t)
     season = F.lit(0)
-    for m, s in cfg.month_to_season.items():
+    for m, s in cfg.seasons.items():
         season = F.when(month == m, s).otherwise(season)
     phases = {
         "day_of_week": F.weekday(t) / F.lit(7.0),
@@ -50,20 +50,28 @@ class _Frames:
     def std(self, c: str, w: int) -> Column:
         return F.coalesce(F.stddev_samp(col(c)).over(self.trailing(w)), F.lit(0.0))
 
+    def low(self, c: str, w: int) -> Column:
+        return F.min(col(c)).over(self.trailing(w))
+
+    def high(self, c: str, w: int) -> Column:
+        return F.max(col(c)).over(self.trailing(w))
+
 
 def lag_exprs(f: _Frames, cfg: FeatureConfig) -> dict[str, Column]:
-    return {f"{c}_lag_{k}": f.lagged(c, k) for c in cfg.lag_columns for k in cfg.lags}
+    return {f"{c}_lag_{k}": f.lagged(c, k) for c in cfg.lags.columns for k in cfg.lags.steps}
 
 
 def rolling_exprs(f: _Frames, cfg: FeatureConfig) -> dict[str, Column]:
-    out: dict[str, Column] = {}
-    for c in cfg.rolling_columns:
-        out.update({f"{c}_roll_mean_{w}": f.mean(c, w) for w in cfg.mean_windows})
-        out.update({f"{c}_roll_std_{w}": f.std(c, w) for w in cfg.std_windows})
-        for w in cfg.minmax_windows:
-            out[f"{c}_roll_min_{w}"] = F.min(col(c)).over(f.trailing(w))
-            out[f"{c}_roll_max_{w}"] = F.max(col(c)).over(f.trailing(w))
-    return out
+    how = {"mean": f.mean, "std": f.std, "min": f.low, "max": f.high}
+    return {f"{c}_roll_{kind}_{w}": how[kind](c, w) for c in cfg.rolling.columns for kind, w in _rolling_kinds(cfg)}
+
+
+def _rolling_kinds(cfg: FeatureConfig) -> list[tuple[str, int]]:
+    """Statistics and lengths in model order: all lengths of a statistic, but the lowest and highest of a length together."""
+    windows = cfg.rolling.windows
+    out = [(kind, w) for kind in ("mean", "std") for w in windows.get(kind, ())]
+    extremes = sorted({*windows.get("min", ()), *windows.get("max", ())})
+    return out + [(kind, w) for w in extremes for kind in ("min", "max") if w in windows.get(kind, ())]
 
 
 def clip(value: Column, low: float, high: float) -> Column:
@@ -73,16 +81,12 @@ def clip(value: Column, low: float, high: float) -> Column:
 
 def feature_names(spec: PanelSpec, cfg: FeatureConfig) -> dict[str, list[str]]:
     """Engineered columns by category, in model order."""
-    rolling: list[str] = []
-    for c in cfg.rolling_columns:
-        rolling += [f"{c}_roll_mean_{w}" for w in cfg.mean_windows] + [f"{c}_roll_std_{w}" for w in cfg.std_windows]
-        rolling += [f"{c}_roll_{m}_{w}" for w in cfg.minmax_windows for m in ("min", "max")]
     return {
         "calendar": [f"{n}_{fn}" for n in ("day_of_week", "month", "day_of_year", "season") for fn in ("sin", "cos")],
-        "lag": [f"{c}_lag_{k}" for c in cfg.lag_columns for k in cfg.lags],
-        "rolling": rolling,
-        "roc": [f"{c}_roc_{k}" for c in cfg.roc_columns for k in cfg.roc_lags],
-        "volatility": [f"{c}_volatility_{w}" for c in cfg.volatility_columns for w in cfg.volatility_windows],
+        "lag": [f"{c}_lag_{k}" for c in cfg.lags.columns for k in cfg.lags.steps],
+        "rolling": [f"{c}_roll_{kind}_{w}" for c in cfg.rolling.columns for kind, w in _rolling_kinds(cfg)],
+        "roc": [f"{c}_roc_{k}" for c in cfg.change.columns for k in cfg.change.steps],
+        "volatility": [f"{c}_volatility_{w}" for c in cfg.volatility.columns for w in cfg.volatility.lengths],
     }
 
 
@@ -105,16 +109,24 @@ def engineer(
     df: DataFrame, spec: PanelSpec, cfg: FeatureConfig,
     categories: tuple[str, ...] = ("calendar", "lag", "rolling", "roc", "volatility"),
 ) -> DataFrame:
-    """All requested features from one shuffle and one sort. Inputs carry split positions and hold no nulls.
+    """All requested features from one shuffle and one sort. Inputs carry split positions.
 
-    For inputs with nulls use ``anchored_lag``; rolling statistics skip nulls by themselves.
+    Lags and changes are those of columns without nulls; a null in one of them fails the job, since a shift that is then
+    back-filled (``anchored_lag``) would give other values. Rolling statistics skip nulls.
     """
-    out = df
+    shifted = {"lag": cfg.lags.columns, "roc": cfg.change.columns}
+    complete = {c for family, columns in shifted.items() if family in categories for c in columns}
+    out = df.withColumns({c: _present(c) for c in sorted(complete) if df.schema[c].nullable})
     if set(categories) - {"calendar"}:
-        out = _windowed(df, spec, cfg, categories)
+        out = _windowed(out, spec, cfg, categories)
     return calendar_features(out, spec, cfg) if "calendar" in categories else out
 
 
+def _present(c: str) -> Column:
+    message = F.lit(f"column '{c}' holds nulls: fill it, or take its lags with anchored_lag")
+    return F.when(col(c).isNull(), F.raise_error(message).cast("double")).otherwise(col(c))
+
+
 def _windowed(df: DataFrame, spec: PanelSpec, cfg: FeatureConfig, categories: tuple[str, ...]) -> DataFrame:
     f = _Frames(spec)
     wanted: dict[str, Column] = {}
@@ -132,17 +144,17 @@ def _windowed(df: DataFrame, spec: PanelSpec, cfg: FeatureConfig, categories: tu
 
     late: dict[str, Column] = {}
     if "roc" in categories:
-        for c in cfg.roc_columns:
-            for k in cfg.roc_lags:
+        for c in cfg.change.columns:
+            for k in cfg.change.steps:
                 prev = shared(f"{c}_lag_{k}", f.lagged(c, k))
-                late[f"{c}_roc_{k}"] = clip((col(c) - prev) / (F.abs(prev) + F.lit(cfg.roc_epsilon)), *cfg.roc_clip)
+                late[f"{c}_roc_{k}"] = clip((col(c) - prev) / (F.abs(prev) + F.lit(cfg.change.guard)), *cfg.change.bounds)
     if "volatility" in categories:
-        for c in cfg.volatility_columns:
-            for w in cfg.volatility_windows:
+        for c in cfg.volatility.columns:
+            for w in cfg.volatility.lengths:
                 mean = shared(f"{c}_roll_mean_{w}", f.mean(c, w))
                 std = shared(f"{c}_roll_std_{w}", f.std(c, w))
-                cv = std / (F.abs(mean) + F.lit(cfg.volatility_epsilon))
-                late[f"{c}_volatility_{w}"] = clip(cv, 0.0, cfg.volatility_max)
+                cv = std / (F.abs(mean) + F.lit(cfg.volatility.guard))
+                late[f"{c}_volatility_{w}"] = clip(cv, 0.0, cfg.volatility.bound)
 
     rows = with_blocks(df, spec, back=cfg.reach)
     rows = rows.select("*", *[e.alias(n) for n, e in {**wanted, **helpers}.items()])

@@ -56,14 +56,15 @@ def multiplier(df: DataFrame) -> DataFrame:
 def attention_weights(df: DataFrame, spec: PanelSpec, score: str, lookback: int = 30) -> DataFrame:
     """Per full look-back window ending at a row: the softmax of score * gamma over its steps, oldest first.
 
-    A missing gamma (first row of an entity) leaves the score unchanged.
+    A missing gamma (first row of an entity) leaves the score unchanged. A missing score keeps its place with weight 0.
     """
     df = df.withColumn("_e", col(score) * F.coalesce(F.col("gamma"), F.lit(1.0)))
     rows = with_blocks(df.select(col(spec.entity), col(spec.time), POS, ROWS, "_e"), spec, back=lookback - 1)
-    energies = F.collect_list("_e").over(block_window(spec).rowsBetween(-(lookback - 1), 0))
-    rows = core_rows(rows.withColumn("_energies", energies)).where(F.col(POS) >= lookback)
+    steps = F.collect_list(F.struct("_e")).over(block_window(spec).rowsBetween(-(lookback - 1), 0))  # a bare null would be left out
+    rows = core_rows(rows.withColumn("_steps", steps)).where(F.col(POS) >= lookback)
+    rows = rows.withColumn("_energies", F.transform("_steps", lambda s: s["_e"]))
     rows = rows.withColumn("_peak", F.array_max("_energies"))
-    rows = rows.withColumn("_exp", F.transform("_energies", lambda e: F.exp(e - F.col("_peak"))))
+    rows = rows.withColumn("_exp", F.transform("_energies", lambda e: F.coalesce(F.exp(e - F.col("_peak")), F.lit(0.0))))
     rows = rows.withColumn("_total", F.aggregate("_exp", F.lit(0.0), lambda a, v: a + v))
-    weights = F.transform("_exp", lambda v: v / F.col("_total"))
+    weights = F.transform("_exp", lambda v: F.coalesce(F.try_divide(v, F.col("_total")), F.lit(0.0)))
     return rows.select(col(spec.entity), col(spec.time), weights.alias("weights"))

@@ -40,11 +40,18 @@ def missing_counts(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def require_complete(df: DataFrame, columns: list[str]) -> None:
-    left = missing_counts(df, columns).where(F.col("n_missing") > 0).limit(20).collect()
+    left = missing_counts(df, columns).where(F.col("n_missing") > 0).collect()  # a row per split and column at most
     if left:
         raise ValueError(f"missing values remain after imputation: {[tuple(r) for r in left]}")
 
 
+def validity_by_split(df: DataFrame, spec: PanelSpec) -> DataFrame:
+    """Rows with and without a truly observed target, per split."""
+    flag = col(spec.valid_flag)
+    return df.groupBy("split").agg(F.count_if(flag).alias("n_observed"), F.count_if(~flag).alias("n_missing"),
+                                   (F.avg(flag.cast("int")) * 100.0).alias("pct_observed"))
+
+
 def interpolate(df: DataFrame, spec: PanelSpec, columns: list[str], max_gap: int = 5) -> DataFrame:
     """Linear interpolation over gaps of up to ``max_gap`` rows, then forward and backward padding, inside (entity, split)."""
     out = next_known(last_known(df, spec, columns, SCOPE, "_prev_"), spec, columns, SCOPE, "_next_")

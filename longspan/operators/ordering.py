@@ -21,14 +21,18 @@ BLOCK = "_block"
 CORE = "_core"  # false on rows copied in from a neighbouring block
 
 
+UNTIMED_BUCKETS = 4096  # rows without a time have no order among themselves, so any buckets do
+
+
 def time_bucket(df: DataFrame, spec: PanelSpec) -> Column:
-    """Coarse time step of a row; rows without a time come last, as in the ordering of positions."""
+    """Coarse time step of a row; rows without a time come last, as in the ordering of positions, spread over many buckets."""
     t = col(spec.time)
     if isinstance(df.schema[spec.time].dataType, T.DateType):
         step = F.floor(F.unix_date(t) / spec.bucket_days)
     else:
-        step = F.floor(F.unix_seconds(t) / (spec.bucket_days * 86_400))
-    return F.coalesce(step, F.lit(2**62))
+        step = F.floor(F.unix_seconds(t) / F.lit(spec.bucket_days * 86_400.0))
+    untimed = F.lit(2**62) + F.pmod(F.xxhash64(*[col(c) for c in df.columns]), F.lit(UNTIMED_BUCKETS))
+    return F.coalesce(step.cast("bigint"), untimed)
 
 
 def longest_series(df: DataFrame, spec: PanelSpec) -> int:

@@ -3,7 +3,8 @@
 The rank of a value depends only on its column, the value and which partner must be present. So distinct values are
 counted once per column, together with how often each partner is present, and turned into one vector of ranks per
 (column, value). Each row looks up the vectors of its values: in a broadcast table while that is small (checked), else by
-a join.
+a join in which the values that fill much of a column are broadcast and only the others move. Rows are told apart by their
+key and all their values, nulls included.
 """
 
 from __future__ import annotations
@@ -16,15 +17,15 @@ from longspan.session import pin
 
 RANGE_VALUES = 1_000_000       # distinct values ordered in one task
 BROADCAST_BYTES = 128 * 2**20  # size of the rank table up to which it is broadcast
-MAX_RANGES = 4096
+HOT_CELLS = 1_000_000          # cells with one value from which on its vector is broadcast; rows / HOT_CELLS values at most
 
 
 def _cells(df: DataFrame, key: list[str], columns: list[str]) -> DataFrame:
-    """(key, row hash, presence of every column, column number c, value v) for each known value."""
+    """(key, all values of the row, presence of every column, column number c, value v) for each known value."""
     values = [col(c).cast("double") for c in columns]
     known = F.array(*[v.isNotNull().cast("long") for v in values])
-    rows = df.select(*[col(k) for k in key], F.xxhash64(*values).alias("_h"), known.alias("known"), F.array(*values).alias("values"))
-    return rows.select(*[col(k) for k in key], "_h", "known", F.posexplode("values").alias("c", "v")).where("v is not null")
+    rows = df.select(*[col(k) for k in key], known.alias("known"), F.array(*values).alias("_row"))
+    return rows.select(*[col(k) for k in key], "_row", "known", F.posexplode("_row").alias("c", "v")).where("v is not null")
 
 
 def _value_ranges(counts: DataFrame, ranges: int) -> DataFrame:
@@ -49,7 +50,7 @@ def rank_vectors(counts: DataFrame, n_columns: int, range_values: int = RANGE_VA
     width = range(n_columns)
     largest = counts.groupBy("c").count().agg(F.max("count").alias("n")).first()["n"] or 0
     ranges = 1
-    while ranges * range_values < 2 * largest and ranges < MAX_RANGES and largest > range_values:
+    while ranges * range_values < 2 * largest and largest > range_values:
         ranges *= 2
     placed = _value_ranges(counts, ranges) if ranges > 1 else counts.withColumn("_range", F.lit(0))
 
@@ -62,7 +63,7 @@ def rank_vectors(counts: DataFrame, n_columns: int, range_values: int = RANGE_VA
     ])
     upto = Window.partitionBy("c", "_range").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = placed.select("*", *[F.sum(f"n{j}").over(upto).alias(f"u{j}") for j in width])
-    ranked = ranked.join(F.broadcast(totals), ["c", "_range"])  # columns * MAX_RANGES rows at most
+    ranked = ranked.join(totals, ["c", "_range"])  # both sides lie by (column, range) already
     ranks = [F.col(f"o{j}") + F.col(f"u{j}") - (F.col(f"n{j}") - 1) / F.lit(2.0) for j in width]
     return ranked.select("c", "v", F.array(*[F.col(f"n{j}") for j in width]).alias("times"), F.array(*ranks).alias("ranks"))
 
@@ -76,11 +77,17 @@ def _looked_up(df: DataFrame, columns: list[str], vectors: DataFrame) -> tuple[D
     return out, [F.col(f"_r{i}") for i in range(len(columns))], F.lit(1.0)
 
 
-def _joined_back(cells: DataFrame, key: list[str], n_columns: int, vectors: DataFrame) -> tuple[DataFrame, list[Column], Column]:
+def _joined_back(
+    cells: DataFrame, key: list[str], n_columns: int, vectors: DataFrame, hot_cells: int
+) -> tuple[DataFrame, list[Column], Column]:
     """Rank vectors per row by a join on (column, value) and regrouping by row; rows equal in key and values share a group."""
     keys = [col(k) for k in key]
-    found = cells.select(*keys, "_h", "c", "v").join(vectors.select("c", "v", "ranks"), ["c", "v"])
-    rows = found.groupBy(*keys, "_h").agg(F.collect_list(F.struct("c", "ranks")).alias("_cells"))
+    slim, ranks = cells.select(*keys, "_row", "c", "v"), vectors.select("c", "v", "ranks")
+    hot = F.get("times", F.col("c")) >= hot_cells
+    frequent, rare = vectors.where(hot).select("c", "v", "ranks"), ranks.join(vectors.where(hot).select("c", "v"), ["c", "v"], "left_anti")
+    found = slim.join(F.broadcast(frequent), ["c", "v"]).unionByName(
+        slim.join(F.broadcast(frequent.select("c", "v")), ["c", "v"], "left_anti").join(rare, ["c", "v"]))
+    rows = found.groupBy(*keys, "_row").agg(F.collect_list(F.struct("c", "ranks")).alias("_cells"))
     rows = rows.withColumn("_once", F.array_distinct("_cells"))
     rows = rows.select((F.size("_cells") / F.size("_once")).alias("_w"), F.map_from_entries("_once").alias("_r"))
     return rows, [F.try_element_at("_r", F.lit(i)) for i in range(n_columns)], F.col("_w")
@@ -88,7 +95,7 @@ def _joined_back(cells: DataFrame, key: list[str], n_columns: int, vectors: Data
 
 def rank_correlations(
     df: DataFrame, key: list[str], pairs: list[tuple[str, str]], range_values: int = RANGE_VALUES,
-    broadcast_bytes: int = BROADCAST_BYTES,
+    broadcast_bytes: int = BROADCAST_BYTES, hot_cells: int = HOT_CELLS,
 ) -> DataFrame:
     """(x, y, rho, n_pairs): ties share their average rank; rho is null when a side is constant.
 
@@ -100,7 +107,7 @@ def rank_correlations(
     counts = pin(cells.groupBy("c", "v").agg(*[F.sum(F.col("known")[j]).alias(f"n{j}") for j in range(m)]))
     vectors = pin(rank_vectors(counts, m, range_values))
     small = counts.count() * (8 * m + 64) <= broadcast_bytes
-    rows, rank, weight = _looked_up(df, columns, vectors) if small else _joined_back(cells, key, m, vectors)
+    rows, rank, weight = _looked_up(df, columns, vectors) if small else _joined_back(cells, key, m, vectors, hot_cells)
 
     rows = rows.select(weight.alias("_w"), F.array(*rank).alias("_r"))
     rows = rows.select("_w", "_r", index_pairs([(number[a], number[b]) for a, b in pairs]))

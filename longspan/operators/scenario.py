@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from longspan.config import CATEGORY_LABELS
 from longspan.functions.columns import col
 from longspan.operators.catalogue import hazard_band
 
@@ -47,6 +48,6 @@ def compare(df: DataFrame, scenarios: dict[str, dict[str, float]], forecast: Cal
 
 
 def _severity(name: str) -> Column:
-    value = F.col(name)
-    return (F.when(value <= 50, 0).when(value <= 100, 1).when(value <= 200, 2).when(value <= 300, 3)
-            .when(value <= 400, 4).when(value.isNotNull(), 5))
+    """Place of the value's band; null for a missing value."""
+    band = F.array_position(F.array(*[F.lit(c) for c in CATEGORY_LABELS]), hazard_band(F.col(name)))
+    return F.when(F.col(name).isNotNull(), band)

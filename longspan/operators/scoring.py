@@ -122,7 +122,8 @@ def residual_summary(scored: DataFrame) -> DataFrame:
         F.count("residual").alias("n"), F.avg("residual").alias("mean"), F.stddev_samp("residual").alias("std"),
         F.min("residual").alias("min"), F.max("residual").alias("max"),
     )
-    return base.join(grouped_quantiles(rows, ["model"], "residual", [0.05, 0.25, 0.5, 0.75, 0.95]).drop("n"), "model")
+    found = grouped_quantiles(rows, ["model"], "residual", [0.05, 0.25, 0.5, 0.75, 0.95]).drop("n").withColumnRenamed("model", "_model")
+    return base.join(found, F.col("model").eqNullSafe(F.col("_model")), "left").drop("_model")
 
 
 def residual_histogram(scored: DataFrame, width: float) -> DataFrame:
@@ -130,16 +131,16 @@ def residual_histogram(scored: DataFrame, width: float) -> DataFrame:
     return scored.groupBy("model", F.floor(forecast_error() / F.lit(width)).alias("bin")).agg(F.count("*").alias("n"))
 
 
-def residual_spread(scored: DataFrame) -> dict[str, float]:
-    """Population standard deviation of the error per model, for symmetric intervals."""
-    return {r["model"]: r["s"] for r in scored.groupBy("model").agg(F.stddev_pop(forecast_error()).alias("s")).collect()}
+def residual_spread(scored: DataFrame) -> DataFrame:
+    """``model, spread``: population standard deviation of the error, for symmetric intervals."""
+    return scored.groupBy("model").agg(F.stddev_pop(forecast_error()).alias("spread"))
 
 
-def with_interval(predictions: DataFrame, spread: dict[str, float], z: float = 1.96) -> DataFrame:
-    half = F.lit(None).cast("double")
-    for model, s in spread.items():
-        half = F.when(F.col("model") == model, F.lit(z * s)).otherwise(half)
-    return predictions.withColumns({"lower": F.col("prediction") - half, "upper": F.col("prediction") + half})
+def with_interval(predictions: DataFrame, spread: DataFrame, z: float = 1.96) -> DataFrame:
+    """Interval of each prediction; without a spread for its model the ends are null."""
+    half, other = z * F.col("spread"), spread.withColumnRenamed("model", "_model")
+    joined = predictions.join(other, F.col("model").eqNullSafe(F.col("_model")), "left")
+    return joined.withColumns({"lower": F.col("prediction") - half, "upper": F.col("prediction") + half}).drop("_model", "spread")
 
 
 def interval_coverage(scored: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from longspan.config import PanelSpec, SequenceConfig
@@ -11,21 +11,26 @@ from longspan.operators.ordering import POS, ROWS, block_window, core_rows, with
 from longspan.operators.split import SPLIT_POS, SPLIT_ROWS
 
 STEPS = "x"
+SPANS = (7, 14)  # lengths of the summaries of a flattened window
 
 
-def candidate_windows(df: DataFrame, spec: PanelSpec, cfg: SequenceConfig, features: list[str] | None = None) -> DataFrame:
+def candidate_windows(
+    df: DataFrame, spec: PanelSpec, cfg: SequenceConfig, features: list[str] | None = None, summary_of: list[str] | None = None,
+) -> DataFrame:
     """One row per window whose input and target rows both exist, whether or not the target was observed.
 
     With ``features`` the input itself is attached as an array of float arrays; without it only the window's metadata is
-    built, which costs no copying. The window belongs to the split of its target row.
+    built, which costs no copying. The window belongs to the split of its target row. ``summary_of`` attaches mean, std, min
+    and max of the window's last rows of these columns as ``summary``, taken as running aggregates over rows.
     """
     isolated = cfg.boundary == "isolated_partition"
     scope = ["split"] if isolated else []
     at, length = (F.col(SPLIT_POS), F.col(SPLIT_ROWS)) if isolated else (F.col(POS), F.col(ROWS))
 
     carried = [spec.entity, spec.time, "split", spec.target, f"scaled_{spec.target}", spec.valid_flag]
+    values = {f"_s{i}": col(c).cast("float").cast("double").alias(f"_s{i}") for i, c in enumerate(summary_of or [])}
     rows = df.select(
-        *[col(c) for c in carried], POS, ROWS, SPLIT_POS, SPLIT_ROWS,
+        *[col(c) for c in carried], POS, ROWS, SPLIT_POS, SPLIT_ROWS, *values.values(),
         *([F.array(*[col(c).cast("float") for c in features]).alias("_step")] if features else []),
     )
     rows = with_blocks(rows, spec, back=cfg.lookback - 1, ahead=cfg.horizon)
@@ -45,11 +50,17 @@ def candidate_windows(df: DataFrame, spec: PanelSpec, cfg: SequenceConfig, featu
         ahead(spec.valid_flag).alias("target_observed"),
         ahead("split").alias("split"),
         *([F.collect_list("_step").over(frame).alias(STEPS)] if features else []),
+        *([F.array(*[e for v in values for n in SPANS for e in _summary(F.col(v), w.rowsBetween(-(min(n, cfg.lookback) - 1), 0))])
+           .alias("summary")] if values else []),
     )
     fits = (F.col("_at") >= cfg.lookback) & (F.col("_at") + cfg.horizon <= F.col("_length"))
     return rows.where(F.col("_core") & fits).drop("_core", "_at", "_length")
 
 
+def _summary(v: Column, last: WindowSpec) -> list[Column]:
+    return [F.avg(v).over(last), F.coalesce(F.stddev_samp(v).over(last), F.lit(0.0)), F.min(v).over(last), F.max(v).over(last)]
+
+
 def keep_observed(windows: DataFrame, cfg: SequenceConfig) -> DataFrame:
     return windows.where(F.col("target_observed")) if cfg.filter_missing_targets else windows
 
@@ -63,7 +74,8 @@ def window_counts(windows: DataFrame, cfg: SequenceConfig) -> DataFrame:
 
 
 def integrity(windows: DataFrame, cfg: SequenceConfig, width: int) -> DataFrame:
-    """Violations per split; every count of a sound dataset is zero."""
+    """Violations per split of windows that hold their input, for instance stored ones; every count of a sound dataset is
+    zero. It walks every value of every window: while windows are built, ``unusable_steps`` says the same per row."""
     bad_value = F.exists(STEPS, lambda s: F.exists(s, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf"))))
     checks = {
         "bad_length": F.size(STEPS) != cfg.lookback,
@@ -75,27 +87,30 @@ def integrity(windows: DataFrame, cfg: SequenceConfig, width: int) -> DataFrame:
     return windows.groupBy("split").agg(*[F.count_if(c).alias(n) for n, c in checks.items()])
 
 
+def unusable_steps(df: DataFrame, features: list[str]) -> DataFrame:
+    """Per split, rows with a null, NaN or infinite feature: a window is sound if all its rows are."""
+    values = [col(c).cast("float") for c in features]
+    bad = F.exists(F.array(*values), lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
+    return df.groupBy("split").agg(F.count_if(bad).alias("bad_value"))
+
+
+def written_counts(windows: DataFrame, cfg: SequenceConfig) -> dict[str, Column]:
+    """Aggregates over windows that say, as they are written, how many are broken; names as in ``integrity``."""
+    bad_target = F.col("y").isNull() | F.isnan("y") | F.col("y_scaled").isNull() | F.isnan("y_scaled")
+    return {
+        "n_windows": F.count("*"), "bad_length": F.count_if(F.size(STEPS) != cfg.lookback), "bad_target": F.count_if(bad_target),
+        "unobserved_target": F.count_if(~F.col("target_observed")),
+    }
+
+
 def dataset_summary(windows: DataFrame, cfg: SequenceConfig, features: list[str]) -> DataFrame:
     return windows.groupBy("split").agg(F.count("*").alias("n_samples")).select(
         "split", "n_samples", F.lit(cfg.lookback).alias("steps"), F.lit(len(features)).alias("width")
     )
 
 
-def flatten_samples(windows: DataFrame, features: list[str], summary_of: list[str], spans: tuple[int, ...] = (7, 14)) -> DataFrame:
-    """Tabular form of a window: all steps flattened, plus mean, std, min and max of the last rows of chosen features."""
-    extras = []
-    for name in summary_of:
-        i = features.index(name)
-        series = F.transform(STEPS, lambda s: s[i].cast("double"))
-        for span in spans:
-            tail = F.slice(series, F.greatest(F.size(STEPS) - span + 1, F.lit(1)), span)
-            n = F.size(tail).cast("double")
-            mean = F.aggregate(tail, F.lit(0.0), lambda a, v: a + v) / n
-            spread = F.aggregate(
-                F.transform(tail, lambda v: (v - mean) * (v - mean)), F.lit(0.0), lambda a, v: a + v
-            )
-            std = F.coalesce(F.sqrt(F.try_divide(spread, n - 1)), F.lit(0.0))
-            extras += [mean, std, F.array_min(tail), F.array_max(tail)]
+def flatten_samples(windows: DataFrame) -> DataFrame:
+    """Tabular form of a window: all steps flattened, then the ``summary`` that ``candidate_windows`` attached."""
     flat = F.transform(F.flatten(STEPS), lambda v: v.cast("double"))
-    vector = F.concat(flat, F.array(*extras)) if extras else flat
-    return windows.withColumn("flat", vector).drop(STEPS)
+    vector = F.concat(flat, F.col("summary")) if "summary" in windows.columns else flat
+    return windows.withColumn("flat", vector).drop(STEPS, "summary")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -73,39 +74,54 @@ def unexpected_categories(raw: DataFrame, spec: PanelSpec) -> DataFrame:
     return raw.where(bad_category(c, spec)).groupBy(strip(c).alias("value")).agg(F.count("*").alias("n"))
 
 
-@dataclass
-class ValidationReport:
-    row_count: int = 0
-    column_count: int = 0
-    missing_columns: list[str] = field(default_factory=list)
-    unexpected_columns: list[str] = field(default_factory=list)
-    duplicate_rows: int = 0
-    duplicate_keys: int = 0
-    empty_entities: int = 0
-    invalid_dates: int = 0
-    invalid_numbers: dict[str, int] = field(default_factory=dict)
-    negative_values: dict[str, int] = field(default_factory=dict)
-    invalid_categories: int = 0
-    checks: list[tuple] = field(default_factory=list)
-    errors: list[str] = field(default_factory=list)
-    warnings: list[str] = field(default_factory=list)
+class Check(NamedTuple):
+    """One check of one column: how often it fired, how bad that is, and examples."""
+
+    check_name: str
+    column: str
+    severity: str
+    n: int
+    detail: str = ""
+
+    def __str__(self) -> str:
+        return f"{self.check_name}: {self.n} in {self.column}{self.detail}"
+
+
+@dataclass(frozen=True)
+class Outcome:
+    """What validation found: every check as a row, those that fired and those that did not."""
+
+    n_rows: int
+    n_columns: int
+    checks: tuple[Check, ...]
+
+    def fired(self, severity: str) -> list[str]:
+        return [str(c) for c in self.checks if c.n and c.severity == severity]
+
+    def count(self, check_name: str) -> dict[str, int]:
+        """Findings of a check by column, where there are any."""
+        return {c.column: c.n for c in self.checks if c.check_name == check_name and c.n}
 
     @property
     def is_valid(self) -> bool:
-        return not self.errors
+        return not self.fired("error")
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame(list(self.checks), CHECKS_SCHEMA)
 
 
 # How each check is graded.
 SEVERITY = {
     "duplicate_rows": "warning", "duplicate_keys": "error", "empty_entities": "error", "invalid_dates": "error",
     "invalid_numbers": "error", "negative_values": "warning", "invalid_categories": "warning",
+    "missing_column": "error", "unexpected_column": "note",
 }
 
 
 def check_counts(raw: DataFrame, spec: PanelSpec) -> DataFrame:
     """Validation counters in long form: (check_name, column, severity, n, n_rows). ``raw`` has its null tokens cleared.
 
-    Everything but the duplicates comes from one pass, which also counts the rows.
+    The table is read once: equal rows are counted together, and all counters come from these counts.
     """
     require(raw, spec.required)
     cells: list[tuple[str, str, Column]] = [
@@ -115,58 +131,51 @@ def check_counts(raw: DataFrame, spec: PanelSpec) -> DataFrame:
     ]
     cells += [("invalid_numbers", c, bad_number(col(c))) for c in spec.numeric]
     cells += [("negative_values", c, parse_number(col(c)) < 0) for c in spec.numeric]
-    wide = raw.agg(F.count("*").alias("_rows"), *[F.count_if(e).alias(f"_{i}") for i, (_, _, e) in enumerate(cells)])
+    equal = raw.groupBy(*[col(c) for c in raw.columns]).agg(F.count("*").alias("_c"))
+    hits = [F.sum(F.when(e, F.col("_c")).otherwise(0)).alias(f"_{i}") for i, (_, _, e) in enumerate(cells)]
+    by_key = equal.groupBy(col(spec.entity), col(spec.time)).agg(
+        F.sum("_c").alias("_rows"), F.sum(F.col("_c") - 1).alias("_again"), *hits)
+    sums = [F.sum("_rows"), F.sum(F.col("_rows") - 1), F.sum("_again"), *[F.sum(f"_{i}") for i in range(len(cells))]]
+    names = ["_rows", "_keys", "_again", *[f"_{i}" for i in range(len(cells))]]
+    wide = by_key.agg(*[F.coalesce(e, F.lit(0)).alias(n) for e, n in zip(sums, names, strict=True)])
     entries = [_entry(name, c, F.col(f"_{i}"), F.col("_rows")) for i, (name, c, _) in enumerate(cells)]
-    counted = wide.select(F.inline(F.array(*entries)))
-    rows = duplicate_rows(raw).select(F.inline(F.array(_entry("duplicate_rows", "*", F.col("n_duplicates")))))
-    keys = duplicate_keys(raw, spec).select(
-        F.inline(F.array(_entry("duplicate_keys", f"{spec.entity},{spec.time}", F.col("n_duplicates"))))
-    )
-    return counted.unionByName(rows).unionByName(keys)
+    entries += [_entry("duplicate_rows", "*", F.col("_again"), F.col("_rows")),
+                _entry("duplicate_keys", f"{spec.entity},{spec.time}", F.col("_keys"), F.col("_rows"))]
+    return wide.select(F.inline(F.array(*entries)))
 
 
-def _entry(name: str, column: str, n: Column, n_rows: Column | None = None) -> Column:
-    n_rows = F.lit(None).cast("bigint") if n_rows is None else n_rows
+def _entry(name: str, column: str, n: Column, n_rows: Column) -> Column:
     return F.struct(
         F.lit(name).alias("check_name"), F.lit(column).alias("column"), F.lit(SEVERITY[name]).alias("severity"),
         n.alias("n"), n_rows.alias("n_rows"),
     )
 
 
-CHECKS_SCHEMA = "check_name string, column string, severity string, n bigint, n_rows bigint"
+CHECKS_SCHEMA = "check_name string, column string, severity string, n bigint, detail string"
 
 
-def validate_raw(raw: DataFrame, spec: PanelSpec) -> tuple[DataFrame | None, ValidationReport]:
+def schema_checks(raw: DataFrame, spec: PanelSpec) -> list[Check]:
+    found = [Check("missing_column", c, SEVERITY["missing_column"], 1) for c in spec.required if c not in raw.columns]
+    return found + [Check("unexpected_column", c, SEVERITY["unexpected_column"], 1) for c in raw.columns if c not in spec.required]
+
+
+def validate_raw(raw: DataFrame, spec: PanelSpec) -> tuple[DataFrame | None, Outcome]:
     """Type the panel and report every problem; no table comes back when required columns are missing."""
-    report = ValidationReport(column_count=len(raw.columns))
-    report.missing_columns = [c for c in spec.required if c not in raw.columns]
-    report.unexpected_columns = [c for c in raw.columns if c not in spec.required]
-    if report.missing_columns:
-        report.row_count = raw.count()
-        report.errors.append(f"missing required columns: {report.missing_columns}")
-        return None, report
-
-    raw = clean_nulls(raw)
-    panel = typed(raw, spec)
+    checks = schema_checks(raw, spec)
+    if any(c.severity == "error" for c in checks):
+        return None, Outcome(raw.count(), len(raw.columns), tuple(checks))
+
+    width, raw = len(raw.columns), clean_nulls(raw)
     counted = check_counts(raw, spec).orderBy("check_name", "column").collect()
-    report.checks = [tuple(r) for r in counted]
-    report.row_count = next(r["n_rows"] for r in counted if r["n_rows"] is not None)
     for r in counted:
-        if r["n"] == 0:
-            continue
-        if r["check_name"] in ("invalid_numbers", "negative_values"):
-            getattr(report, r["check_name"])[r["column"]] = r["n"]
-        else:
-            setattr(report, r["check_name"], r["n"])
         detail = ""
-        if r["check_name"] == "invalid_dates":
+        if r["n"] and r["check_name"] == "invalid_dates":
             detail = f", samples {[s['sample'] for s in invalid_date_samples(raw, spec).collect()]}"
-        if r["check_name"] == "invalid_categories":
-            unexpected = unexpected_categories(raw, spec).orderBy(F.desc("n"), "value").limit(20).collect()
+        if r["n"] and r["check_name"] == "invalid_categories":
+            unexpected = unexpected_categories(raw, spec).orderBy(F.desc("n"), "value").collect()  # a row per different value
             detail = f", values {[u['value'] for u in unexpected]}"
-        message = f"{r['check_name']}: {r['n']} in {r['column']}{detail}"
-        (report.errors if r["severity"] == "error" else report.warnings).append(message)
-    return panel, report
+        checks.append(Check(r["check_name"], r["column"], r["severity"], r["n"], detail))
+    return typed(raw, spec), Outcome(counted[0]["n_rows"], width, tuple(checks))
 
 
 def strict_counts(df: DataFrame, spec: PanelSpec) -> DataFrame:

@@ -4,37 +4,42 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from longspan.config import FeatureConfig, PanelSpec, SequenceConfig, SplitConfig
 from longspan.functions.columns import col
 from longspan.operators import explore, features, impute, profile, scale, sequences, split, validate
 from longspan.operators.ordering import POS, ROWS
-from longspan.session import pin
+from longspan.session import pin, temporary
 from longspan.sources import files
 
 POSITIONS = [POS, ROWS, split.SPLIT_POS, split.SPLIT_ROWS]
 
 
-def ingest(spark: SparkSession, raw_path: str, table_path: str, report_path: str, spec: PanelSpec) -> validate.ValidationReport:
+def ingest(
+    spark: SparkSession, raw_path: str, table_path: str, report_path: str, spec: PanelSpec, multi_line: bool = False
+) -> validate.Outcome:
     """CSV to validated Parquet. The profile is written even when validation fails; the table only when it passes."""
-    raw = files.read_raw_csv(spark, raw_path)
-    panel, report = validate.validate_raw(raw, spec)
-    if panel is None:
-        raise ValueError(f"validation failed: {report.errors}")
-    panel = pin(panel)  # parse the text once; the profile and the table both read the typed rows
-    checks = spark.createDataFrame(report.checks, validate.CHECKS_SCHEMA)
-    files.write_report(profile.profile_report(panel, spec, checks), report_path)
-    if not report.is_valid:
-        raise ValueError(f"validation failed: {report.errors}")
-    files.write_panel(validate.sorted_panel(panel, spec), table_path)
-    return report
+    with temporary(spark):
+        raw = pin(files.read_raw_csv(spark, raw_path, multi_line))  # the text is parsed once
+        panel, outcome = validate.validate_raw(raw, spec)
+        source = profile.Source(raw_path, files.file_bytes(spark, raw_path))
+        if panel is None:
+            files.write_report(profile.outcome_report(spark, outcome, source), report_path)
+            raise ValueError(f"validation failed: {outcome.fired('error')}")
+        panel = pin(panel)  # the profile and the table both read the typed rows
+        files.write_report(profile.profile_report(panel, spec, outcome, source), report_path)
+        if not outcome.is_valid:
+            raise ValueError(f"validation failed: {outcome.fired('error')}")
+        files.write_panel(validate.sorted_panel(panel, spec), table_path)
+    return outcome
 
 
 def explore_panel(spark: SparkSession, table_path: str, report_path: str, spec: PanelSpec) -> DataFrame:
-    report = explore.explore_report(files.read_panel(spark, table_path), spec)
-    files.write_report(report, report_path)
+    with temporary(spark):
+        report = explore.explore_report(files.read_panel(spark, table_path), spec)
+        files.write_report(report, report_path)
     return files.read_report(spark, report_path)
 
 
@@ -67,16 +72,20 @@ def preprocess(
     The forward-filled table is pinned because the fit and the write both read it.
     """
     panel = validate.validate_strict(files.read_panel(spark, table_path), spec)
-    filled = pin(split_and_fill(panel, spec, cfg))
-    leaks = split.temporal_leaks(filled, spec).limit(20).collect()
-    if leaks:
-        raise ValueError(f"splits overlap in time for {[r[0] for r in leaks]}")
-    done = impute_and_scale(filled, spec, cfg)
-    files.write_by_split(done.table, out_path)
-    files.save_params(spark, done.params, params_path)
-    written = files.read_panel(spark, out_path)
-    impute.require_complete(written, spec.numeric)
-    return Prepared(written, done.params)
+    with temporary(spark):
+        filled = pin(split_and_fill(panel, spec, cfg))
+        leaks = split.temporal_leaks(filled, spec)
+        named = leaks.limit(20).collect()
+        if named:
+            raise ValueError(f"splits overlap in time for {leaks.count()} entities, such as {[r[0] for r in named]}")
+        done = impute_and_scale(filled, spec, cfg)
+        left = Observation("left")
+        counts = [F.count_if(col(c).isNull()).alias(c) for c in spec.numeric]
+        files.write_by_split(done.table.observe(left, *counts), out_path)
+        if missing := {c: n for c, n in left.get.items() if n}:
+            raise ValueError(f"missing values remain after imputation: {missing}")
+        files.save_params(spark, done.params, params_path)
+    return Prepared(files.read_panel(spark, out_path), done.params)
 
 
 @dataclass
@@ -104,17 +113,23 @@ def build_samples(
     spark: SparkSession, prepared_path: str, out_path: str, params_path: str, spec: PanelSpec,
     fcfg: FeatureConfig, scfg: SequenceConfig | None = None,
 ) -> Samples:
-    """Preprocessed table to look-back samples, one directory per split."""
+    """Preprocessed table to look-back samples, one directory per split.
+
+    Rows are checked before they are copied into windows, and the windows are counted as they are written.
+    """
     scfg = scfg or SequenceConfig()
     prepared = files.read_panel(spark, prepared_path)
-    table, names, params = model_table(prepared, spec, fcfg, pinned=True)
-    windows = sequences.keep_observed(sequences.candidate_windows(table, spec, scfg, names), scfg)
-    files.write_by_split(windows, out_path)
-    files.save_params(spark, params, params_path)
-    written = files.read_panel(spark, out_path)
-    broken = sequences.integrity(written, scfg, len(names))
-    bad = [c for c in broken.columns if c != "split" and (c != "unobserved_target" or scfg.filter_missing_targets)]
-    problems = broken.where(sum((F.col(c) for c in bad[1:]), F.col(bad[0])) > 0).collect()
-    if problems:
-        raise ValueError(f"sample integrity violated: {problems}")
-    return Samples(written, names, params)
+    with temporary(spark):
+        table, names, params = model_table(prepared, spec, fcfg, pinned=True)
+        broken = {r["split"]: r["bad_value"] for r in sequences.unusable_steps(table, names).collect() if r["bad_value"]}
+        if broken:
+            raise ValueError(f"sample integrity violated: rows with null or infinite features {broken}")
+        windows = sequences.keep_observed(sequences.candidate_windows(table, spec, scfg, names), scfg)
+        counted = Observation("windows")
+        checks = [e.alias(n) for n, e in sequences.written_counts(windows, scfg).items()]
+        files.write_by_split(windows.observe(counted, *checks), out_path)
+        allowed = {"n_windows"} if scfg.filter_missing_targets else {"n_windows", "unobserved_target"}
+        if problems := {n: k for n, k in counted.get.items() if k and n not in allowed}:
+            raise ValueError(f"sample integrity violated: {problems}")
+        files.save_params(spark, params, params_path)
+    return Samples(files.read_panel(spark, out_path), names, params)

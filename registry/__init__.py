@@ -5,7 +5,7 @@ from importlib import import_module
 from registry.core import ORACLES, QUERIES
 
 for _m in ("sources", "validation", "profiling", "exploring", "splitting", "preparing", "featuring", "sampling", "lookups",
-           "scoring", "modelling"):
+           "scoring", "modelling", "reporting"):
     import_module(f"registry.{_m}")
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -22,9 +22,9 @@ SPEC = PanelSpec(
     measures=("qty_a", "price_a", "disc_a", "tax_a", "qty_n", "price_n", "disc_n", "tax_n", "qty_r", "price_r", "disc_r", "tax_r"),
     target="target", category="bucket", valid_flag="target_valid",
 )
-FEATURES = FeatureConfig(
-    lag_columns=("qty_a", "price_a", "qty_n", "target"), rolling_columns=("qty_a", "price_a", "qty_n", "target"),
-    roc_columns=("qty_a", "price_a", "qty_n", "disc_a", "target"), volatility_columns=("qty_a", "price_a", "target"),
+FEATURES = FeatureConfig.of(
+    lags=("qty_a", "price_a", "qty_n", "target"), rolling=("qty_a", "price_a", "qty_n", "target"),
+    change=("qty_a", "price_a", "qty_n", "disc_a", "target"), volatility=("qty_a", "price_a", "target"),
 )
 MEASURES, NUMERIC = list(SPEC.measures), SPEC.numeric
 
@@ -108,7 +108,7 @@ def clean_raw(spark: SparkSession, sf: str) -> DataFrame:
 _stages: dict[tuple, object] = {}
 
 
-def _once(spark: SparkSession, sf: str, name: str, build):
+def once(spark: SparkSession, sf: str, name: str, build):
     key = (spark.sparkContext.applicationId, sf, name)
     if key not in _stages:
         _stages[key] = build()
@@ -117,17 +117,17 @@ def _once(spark: SparkSession, sf: str, name: str, build):
 
 def filled(spark: SparkSession, sf: str) -> DataFrame:
     """Split and forward-filled panel, pinned once per session because many queries start from it."""
-    return _once(spark, sf, "filled", lambda: pin(stages.split_and_fill(panel(spark, sf), SPEC)))
+    return once(spark, sf, "filled", lambda: pin(stages.split_and_fill(panel(spark, sf), SPEC)))
 
 
 def prepared(spark: SparkSession, sf: str) -> stages.Prepared:
     """Imputed and scaled panel with its fitted parameters."""
-    return _once(spark, sf, "prepared", lambda: stages.impute_and_scale(filled(spark, sf), SPEC))
+    return once(spark, sf, "prepared", lambda: stages.impute_and_scale(filled(spark, sf), SPEC))
 
 
 def engineered(spark: SparkSession, sf: str) -> DataFrame:
     """All features, unscaled, pinned."""
-    return _once(spark, sf, "engineered", lambda: pin(features.engineer(prepared(spark, sf).table, SPEC, FEATURES)))
+    return once(spark, sf, "engineered", lambda: pin(features.engineer(prepared(spark, sf).table, SPEC, FEATURES)))
 
 
 def model_ready(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str]]:
@@ -137,4 +137,4 @@ def model_ready(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str]]:
         params = features.fit_feature_scaler(raw, SPEC, FEATURES)
         scaled = features.scale_engineered(raw, SPEC, FEATURES, params)
         return scaled, features.model_features(SPEC, FEATURES, scaled.columns)
-    return _once(spark, sf, "model_ready", build)
+    return once(spark, sf, "model_ready", build)

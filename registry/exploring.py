@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from longspan.config import PanelSpec
 from longspan.operators import explore, profile
+from longspan.functions.quantiles import bracketed_quantiles
+from longspan.operators.ranks import rank_correlations
 from registry import sql
 from registry.core import MEASURES, NUMERIC, SPEC, panel, query, table, tidy
 from registry.profiling import MISSING, summary
@@ -69,6 +71,16 @@ def entity_statistics(spark, sf):
 _PROBS = dict(zip(explore.DISTRIBUTION_NAMES, explore.DISTRIBUTION_PROBS))
 
 
+@query("E6_entity_statistics_bracketed", sql.with_(sql.PANEL, f"""
+SELECT entity, {', '.join(sql.r(f'quantile_cont(target, {p})', n) for p, n in ((0.05, 'p5'), (0.5, 'median'), (0.95, 'p95')))}, count(target) AS n
+FROM (SELECT CASE WHEN entity <> 'NATION_13' THEN entity END AS entity, target FROM panel) GROUP BY entity HAVING count(target) > 0"""))
+def entity_statistics_bracketed(spark, sf):
+    """The way that groups of many distinct values take, forced, with brackets narrowed twice and a group whose key is null."""
+    rows = panel(spark, sf).select(F.when(F.col("entity") != "NATION_13", F.col("entity")).alias("entity"), F.col("target").alias("_v"))
+    found = bracketed_quantiles(rows.where("_v IS NOT NULL"), ["entity"], [0.05, 0.5, 0.95], ["p5", "median", "p95"], accuracy=100, sliver_rows=5)
+    return tidy(found)
+
+
 @query("E7_distributions", sql.with_(sql.PANEL, sql.union(summary(c, _PROBS, 4, sql.r(f"skewness({c})", "skewness", 4) + ",") for c in MEASURES)))
 def distributions(spark, sf):
     return tidy(explore.distribution_summary(panel(spark, sf), MEASURES), 4)
@@ -141,6 +153,24 @@ def spearman_matrix(spark, sf):
     return tidy(explore.spearman_matrix(panel(spark, sf), SPEC, NUMERIC))
 
 
+_JOIN_PAIRS = [("qty_a", "target"), ("disc_a", "price_n"), ("tax_r", "qty_n")]
+_TWICE = """,
+twice AS (SELECT * FROM panel UNION ALL SELECT * REPLACE (NULL AS qty_a, target AS disc_a) FROM panel WHERE month(d) = 3
+  UNION ALL SELECT * REPLACE (NULL AS target, qty_a AS disc_a) FROM panel WHERE month(d) = 3)"""
+
+
+@query("E12_spearman_join_path", sql.with_(sql.PANEL + _TWICE, sql.union(
+    f"SELECT '{a}' AS x, '{b}' AS y, {sql.r('corr(rx, ry)', 'rho')}, count(*) AS n_pairs FROM {_ranked(a, b).replace('FROM panel', 'FROM twice')}"
+    for a, b in _JOIN_PAIRS)))
+def spearman_join_path(spark, sf):
+    """The way that large rank tables take, forced: keys that occur three times with different gaps, frequent values broadcast."""
+    rows, march = panel(spark, sf), F.month("d") == 3
+    none = F.lit(None).cast("double")
+    rows = rows.unionByName(rows.where(march).withColumns({"disc_a": F.col("target").cast("double"), "qty_a": none})).unionByName(
+        rows.where(march).withColumns({"disc_a": F.col("qty_a").cast("double"), "target": none}))
+    return tidy(rank_correlations(rows, ["entity", "d"], _JOIN_PAIRS, broadcast_bytes=0, hot_cells=200, range_values=500))
+
+
 _TARGET_CORR = sql.union(f"""SELECT '{m}' AS "column", (SELECT corr({m}, target) FROM panel) AS pearson_r,
   (SELECT regr_count({m}, target) FROM panel) AS n_pairs, (SELECT corr(rx, ry) FROM {_ranked(m, 'target')}) AS spearman_rho""" for m in MEASURES)
 _TARGET_CORR = f'SELECT "column", {sql.r("pearson_r", "pearson_r")}, CAST(n_pairs AS BIGINT) AS n_pairs, {sql.r("spearman_rho", "spearman_rho")} FROM ({_TARGET_CORR})'
@@ -151,11 +181,6 @@ def target_correlations(spark, sf):
     return tidy(explore.target_correlations(panel(spark, sf), SPEC))
 
 
-@query("E14_explore_report")
-def explore_report(spark, sf):
-    return explore.explore_report(panel(spark, sf), SPEC)
-
-
 _BINS = {**{m: 40 for m in MEASURES}, "target": 60}
 
 
@@ -192,12 +217,20 @@ def month_end_by_entity(spark, sf):
     return tidy(explore.month_end_means(panel(spark, sf), SPEC, by_entity=True))
 
 
-@query("E17_entity_ranking", sql.with_(sql.PANEL, f"SELECT entity, {sql.r('avg(target)', 'mean')} FROM panel WHERE target IS NOT NULL GROUP BY entity"))
+@query("E16_month_end_selected", sql.with_(sql.PANEL + "," + _month_ends("entity IN ('NATION_13', 'NATION_8')", "entity"), f"""
+SELECT entity, CAST(month_end AS VARCHAR) AS month_end, {sql.r('mean', 'mean')} FROM months LEFT JOIN means USING (entity, month_end)"""))
+def month_end_selected(spark, sf):
+    return tidy(explore.month_end_means(panel(spark, sf), SPEC, ["NATION_13", "NATION_8"], by_entity=True))
+
+
+@query("E17_entity_ranking", sql.with_(sql.PANEL, f"""
+SELECT entity, {sql.r('avg(target)', 'mean')}, row_number() OVER (ORDER BY avg(target), entity) AS place FROM panel WHERE target IS NOT NULL GROUP BY entity"""))
 def entity_ranking(spark, sf):
     return tidy(explore.entity_ranking(panel(spark, sf), SPEC))
 
 
-@query("E18_missing_ranking", sql.with_(sql.PANEL, f"SELECT * FROM ({MISSING}) WHERE pct_missing > 0 ORDER BY pct_missing DESC"))
+@query("E18_missing_ranking", sql.with_(sql.PANEL, f"""
+SELECT *, row_number() OVER (ORDER BY pct_missing DESC, "column") AS place FROM ({MISSING}) WHERE pct_missing > 0"""))
 def missing_ranking(spark, sf):
     return tidy(explore.missing_ranking(panel(spark, sf)))
 
@@ -219,12 +252,12 @@ def category_shares(spark, sf):
     return tidy(explore.category_shares(panel(spark, sf), SPEC))
 
 
-@query("E21_outlier_ranking", sql.with_(_FENCES, _AUDIT + 'ORDER BY pct_outliers DESC, "column"'))
+@query("E21_outlier_ranking", sql.with_(_FENCES, f'SELECT *, row_number() OVER (ORDER BY pct_outliers DESC, "column") AS place FROM ({_AUDIT})'))
 def outlier_ranking(spark, sf):
     return tidy(explore.outlier_ranking(panel(spark, sf), NUMERIC))
 
 
-@query("E21_correlation_ranking", sql.with_(sql.PANEL, _TARGET_CORR + ' ORDER BY pearson_r DESC, "column"'))
+@query("E21_correlation_ranking", sql.with_(sql.PANEL, f'SELECT *, row_number() OVER (ORDER BY pearson_r DESC NULLS LAST, "column") AS place FROM ({_TARGET_CORR})'))
 def correlation_ranking(spark, sf):
     return tidy(explore.correlation_ranking(panel(spark, sf), SPEC))
 

@@ -1,5 +1,6 @@
 """Engineered features."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from longspan.operators import features, split, validate
@@ -72,6 +73,28 @@ def future_probe(spark, sf):
     return tidy(kept.exceptAll(probe).select("entity", "d", "split"))
 
 
+_CENTRED = "avg(qty_a) OVER (PARTITION BY entity, split ORDER BY d ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)"
+
+
+@query("F14_centred_probe", sql.with_(sql.IMPUTED + f""",
+plain AS (SELECT entity, d, split, spos, sn, {_CENTRED} AS v FROM imputed),
+changed AS (SELECT entity, d, split, avg(v) OVER (PARTITION BY entity, split ORDER BY d ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING) AS v
+  FROM (SELECT entity, d, split, CASE WHEN spos > floor(sn / 2) THEN 10000.0 ELSE qty_a END AS v FROM imputed))""", """
+SELECT p.entity, CAST(p.d AS VARCHAR) AS d, p.split FROM plain p JOIN changed c ON p.entity = c.entity AND p.d = c.d
+WHERE p.spos <= floor(p.sn / 2) AND abs(p.v - c.v) > 1e-9"""))
+def centred_probe(spark, sf):
+    """The same probe on a window that looks ahead: it must name the rows before the cut that see altered ones."""
+    base = prepared(spark, sf).table
+    cut = F.col("_split_pos") > F.floor(F.col("_split_rows") / 2)
+    altered = base.withColumn("qty_a", F.when(cut, F.lit(10000.0)).otherwise(F.col("qty_a")))
+    centred = F.avg("qty_a").over(Window.partitionBy("entity", "split").orderBy("d").rowsBetween(-3, 3))
+
+    def probed(df):
+        return df.withColumn("v", F.round(centred, 6)).where(~cut).select("entity", "d", "split", "v")
+
+    return tidy(probed(base).exceptAll(probed(altered)).select("entity", "d", "split"))
+
+
 @query("B14_first_difference", sql.with_(sql.PANEL, f"""
 SELECT entity, {sql.day('d', 'd')}, {', '.join(sql.r(f'{c} - lag({c}) OVER (PARTITION BY entity ORDER BY panel.d)', f'{c}_diff') for c in NUMERIC)} FROM panel"""))
 def first_difference(spark, sf):

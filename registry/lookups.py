@@ -122,6 +122,23 @@ def attention_weights(spark, sf):
                            F.aggregate(w, F.lit(0.0), lambda a, v: a + v).alias("total"), F.size(w).alias("steps")))
 
 
+@query("B18_attention_with_gaps", sql.with_(_FUZZY + """,
+energies AS (SELECT entity, d, pos, CASE WHEN pos % 5 <> 2 THEN scaled_target * coalesce(gamma, 1.0::DOUBLE) END AS e FROM gammas),
+spread AS (SELECT entity, d, pos, e, max(e) OVER w AS peak, lag(e, 29) OVER (PARTITION BY entity ORDER BY d) AS e0,
+           list(e) FILTER (WHERE e IS NOT NULL) OVER w AS es FROM energies
+           WINDOW w AS (PARTITION BY entity ORDER BY d ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)),
+totals AS (SELECT *, list_sum(list_transform(es, lambda x: exp(x - peak))) AS total FROM spread WHERE pos >= 30)""",
+    f"""SELECT entity, {sql.day('d', 'd')}, {sql.r('coalesce(exp(e0 - peak) / total, 0.0)', 'oldest')}, {sql.r('coalesce(exp(e - peak) / total, 0.0)', 'newest')},
+    CAST(30 AS BIGINT) AS steps, CAST(30 - len(es) AS BIGINT) AS n_zero FROM totals"""))
+def attention_with_gaps(spark, sf):
+    """Every fifth score missing: its step stays, with weight 0."""
+    rows = _fuzzy(spark, sf).withColumn("scaled_target", F.when(F.col("_pos") % 5 != 2, F.col("scaled_target")))
+    w = F.col("weights")
+    out = fuzzy.attention_weights(rows, SPEC, "scaled_target")
+    return tidy(out.select("entity", "d", w[0].alias("oldest"), F.element_at(w, -1).alias("newest"), F.size(w).alias("steps"),
+                           F.size(F.filter(w, lambda v: v == 0)).alias("n_zero")))
+
+
 _BEST = f"greatest({', '.join(f'scaled_{m}' for m in MEASURES)})"
 
 

@@ -1,12 +1,12 @@
 """Scenarios, tabular samples, tree baseline, folds and permutation importance."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from longspan.config import SequenceConfig
-from longspan.functions.columns import per_column
 from longspan.operators import baseline, scenario, sequences
+from longspan.session import pin
 from registry import sql
-from registry.core import MEASURES, NUMERIC, SPEC, model_ready, panel, prepared, query, tidy
+from registry.core import SPEC, model_ready, once, prepared, query, tidy
 from registry.sampling import CONTINUOUS
 
 SCENARIOS = {
@@ -50,40 +50,64 @@ def scenario_forecast(spark, sf):
 _SUMMARY_OF = ["scaled_qty_a", "scaled_price_a", "scaled_qty_n", "scaled_target"]
 
 
-def _flat(spark, sf, lookback=30, names=None):
-    data, all_names = model_ready(spark, sf)
-    names, cfg = names or all_names, SequenceConfig(lookback=lookback)
-    windows = sequences.keep_observed(sequences.candidate_windows(data, SPEC, cfg, names), cfg)
-    return sequences.flatten_samples(windows, names, _SUMMARY_OF)
+def _flat(spark, sf):
+    data, names = model_ready(spark, sf)
+    windows = sequences.keep_observed(sequences.candidate_windows(data, SPEC, CONTINUOUS, names, _SUMMARY_OF), CONTINUOUS)
+    return sequences.flatten_samples(windows)
 
 
-_TAIL = "OVER (PARTITION BY entity ORDER BY d ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"
-_VALUE = "CAST(scaled_qty_a AS FLOAT)::DOUBLE"
+def _tail(c: str, span: int) -> list[str]:
+    w = f"OVER (PARTITION BY entity ORDER BY d ROWS BETWEEN {span - 1} PRECEDING AND CURRENT ROW)"
+    v = f"CAST({c} AS FLOAT)::DOUBLE"
+    return [f"avg({v}) {w} AS {c}_mean_{span}", f"coalesce(stddev_samp({v}) {w}, 0.0) AS {c}_std_{span}",
+            f"min({v}) {w} AS {c}_min_{span}", f"max({v}) {w} AS {c}_max_{span}"]
+
+
+_SUMMARIES = [f"{c}_{m}_{n}" for c in _SUMMARY_OF for n in (7, 14) for m in ("mean", "std", "min", "max")]
 
 
 @query("B24_tabular_samples", sql.with_(sql.windows() + f""",
-tails AS (SELECT entity, d, avg({_VALUE}) {_TAIL} AS mean_7, stddev_samp({_VALUE}) {_TAIL} AS std_7, min({_VALUE}) {_TAIL} AS min_7,
-          max({_VALUE}) {_TAIL} AS max_7 FROM model)""", f"""
+tails AS (SELECT entity, d, {', '.join(e for c in _SUMMARY_OF for n in (7, 14) for e in _tail(c, n))} FROM model)""", f"""
 SELECT c.entity, {sql.day('input_end', 'input_end')}, split, CAST(30 * 82 + 32 AS BIGINT) AS width, {sql.r('x_first', 'first_value', 4)},
-  {sql.r('mean_7', 'mean_7', 4)}, {sql.r('std_7', 'std_7', 4)}, {sql.r('min_7', 'min_7', 4)}, {sql.r('max_7', 'max_7', 4)}
+  {sql.r('x_last', 'last_value', 4)}, {sql.r('x_sum', 'x_sum', 2)}, {sql.r('x_weighted', 'x_weighted', 2)}, {', '.join(sql.r(n, n, 4) for n in _SUMMARIES)}
 FROM candidates c JOIN tails t ON t.entity = c.entity AND t.d = c.input_end WHERE target_observed"""))
 def tabular_samples(spark, sf):
     flat = F.col("flat")
-    extras = [flat[30 * 82 + i].alias(n) for i, n in enumerate(("mean_7", "std_7", "min_7", "max_7"))]
-    return tidy(_flat(spark, sf).select("entity", "input_end", "split", F.size(flat).alias("width"), flat[0].alias("first_value"), *extras), 4)
-
-
-def _small(spark, sf):
-    """Samples of the scaled base columns over a week, which keeps the trees quick to grow."""
-    return _flat(spark, sf, lookback=7, names=[f"scaled_{c}" for c in NUMERIC])
-
-
-@query("B25_boosted_trees")
+    steps = F.slice(flat, 1, 30 * 82)
+    weighted = F.aggregate(F.transform(steps, lambda v, i: (F.floor(i / 82) + 1) * (i % 82 % 7 + 1) * v), F.lit(0.0), lambda a, v: a + v)
+    sums = [F.round(F.aggregate(steps, F.lit(0.0), lambda a, v: a + v), 2).alias("x_sum"), F.round(weighted, 2).alias("x_weighted")]
+    extras = [flat[30 * 82 + i].alias(n) for i, n in enumerate(_SUMMARIES)]
+    return tidy(_flat(spark, sf).select("entity", "input_end", "split", F.size(flat).alias("width"), flat[0].alias("first_value"),
+                                        flat[30 * 82 - 1].alias("last_value"), *sums, *extras), 4)
+
+
+def _trees(spark, sf):
+    """The samples as stored, and the tree baseline fitted on all their steps and features."""
+    def build():
+        samples = pin(_flat(spark, sf))
+        return samples, baseline.fit_boosted_trees(samples)
+    return once(spark, sf, "trees", build)
+
+
+@query("B25_boosted_trees", sql.with_(sql.windows() + """,
+rivals AS (SELECT split, sqrt(avg(pow(y::DOUBLE - (SELECT quantile_cont(y::DOUBLE, 0.5) FROM candidates WHERE target_observed AND split = 'train'), 2))) AS rmse
+  FROM candidates WHERE target_observed GROUP BY split)""", f"""
+SELECT entity, {sql.day('target_time', 'target_time')}, split, {sql.r('y::DOUBLE', 'y', 3)}, true AS predicted, {sql.r('rmse', 'median_rmse', 3)},
+  true AS fits_better FROM candidates JOIN rivals USING (split) WHERE target_observed AND split <> 'train'"""))
 def boosted_trees(spark, sf):
-    samples = _small(spark, sf)
-    model = baseline.fit_boosted_trees(samples, rounds=5, depth=3)
-    scored = baseline.predict(model, samples.where("split <> 'train'"))
-    return scored.select("entity", "target_time", "split", "y", F.round("prediction", 4).alias("prediction"))
+    """Every validation and test sample with its forecast's presence and the error of the training median's forecast. On the
+    training samples the trees must come closer than that median; later targets are random here, so nothing beats it there."""
+    samples, model = _trees(spark, sf)
+    y, train = F.col("y").cast("double"), F.col("split") == "train"
+    typical = samples.where(train).agg(F.percentile(y, 0.5)).first()[0]
+    scored = baseline.predict(model, samples).withColumn("y", y)
+    whole = Window.partitionBy("split")
+    rival = F.sqrt(F.avg(F.pow(F.lit(typical) - F.col("y"), 2)).over(whole))
+    errors = scored.where(train).agg(F.avg(F.pow(F.col("prediction") - F.col("y"), 2)).alias("own"), F.avg(F.pow(F.lit(typical) - F.col("y"), 2)).alias("rival"))
+    better = errors.select((F.col("own") < F.col("rival")).alias("fits_better"))  # one row
+    predicted = F.col("prediction").isNotNull() & ~F.isnan("prediction")
+    rows = scored.where(~train).withColumn("median_rmse", rival).crossJoin(better)
+    return tidy(rows.select("entity", "target_time", "split", "y", predicted.alias("predicted"), "median_rmse", "fits_better"), 3)
 
 
 @query("B26_expanding_folds", sql.with_(sql.SPLIT + """,
@@ -94,10 +118,53 @@ def expanding_folds(spark, sf):
     return tidy(baseline.expanding_folds(prepared(spark, sf).table, SPEC).select("entity", "d", "fold", "role"))
 
 
-@query("B27_permutation_importance")
+_WEIGHTS = {"qty_n": 2.0, "price_a": 0.001, "disc_a": -40.0, "tax_r": 0.0}
+_GROUP_ROWS = 500
+_LINEAR = " + ".join(f"{w!r}::DOUBLE * {c}" for c, w in _WEIGHTS.items())
+
+
+def _shuffled(c: str) -> str:
+    order = f"md5(entity || '|' || CAST(d AS VARCHAR) || '|' || '{c}')"
+    group = f"CAST('0x' || substr({order}, 1, 8) AS BIGINT) % (SELECT CAST(ceil(count(*) / {_GROUP_ROWS}.0) AS BIGINT) FROM rows)"
+    w = "PARTITION BY g ORDER BY m, entity, d"
+    return f"""SELECT '{c}' AS "column", sqrt(avg(pow({_LINEAR} - target, 2))) AS rmse FROM (SELECT * REPLACE (coalesce(lead({c}) OVER ({w}),
+      first_value({c}) OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS {c}) FROM (SELECT *, {order} AS m, {group} AS g FROM rows))"""
+
+
+@query("B27_permutation_importance", sql.with_(sql.IMPUTED + ", rows AS MATERIALIZED (SELECT * FROM imputed WHERE split = 'test' AND target_valid)", f"""
+SELECT "column", {sql.r('rmse', 'rmse', 3)}, {sql.r(f'rmse - (SELECT sqrt(avg(pow({_LINEAR} - target, 2))) FROM rows)', 'increase', 3)} FROM (
+{sql.union(_shuffled(c) for c in _WEIGHTS)})"""))
 def permutation_importance(spark, sf):
-    t = prepared(spark, sf).table.where("split = 'test' AND target_valid")
-    fit = prepared(spark, sf).table.where("split = 'train'").agg(
-        F.regr_slope("target", "qty_n").alias("a"), F.regr_intercept("target", "qty_n").alias("b")).first()
-    forecast = scenario.linear_forecast({"qty_n": fit["a"], "qty_a": 0.0}, fit["b"])
-    return baseline.permutation_importance(t, ["entity", "d"], ["qty_n", "qty_a"], forecast, "target", groups=16)
+    """Of a line's inputs on the observed test rows, groups of about 500 rows."""
+    rows = prepared(spark, sf).table.where("split = 'test' AND target_valid")
+    forecast = scenario.linear_forecast(_WEIGHTS, 0.0)
+    inputs = {c: [c] for c in _WEIGHTS}
+    return tidy(baseline.permutation_importance(rows, ["entity", "d"], inputs, forecast, "target", _GROUP_ROWS), 3)
+
+
+@query("B27_tree_importance", "SELECT 12 AS n_inputs, true AS unused_add_nothing, true AS errors_known".replace("12", "CAST(12 AS BIGINT)"))
+def tree_importance(spark, sf):
+    """Importance of features of the tree baseline on the test samples: all steps of a feature move together. A feature that no
+    tree splits on must add exactly nothing."""
+    samples, model = _trees(spark, sf)
+    names = model_ready(spark, sf)[1]
+    chosen, width = names[:12], len(names)
+    steps = F.sequence(F.lit(0), F.lit(29))
+    wide = samples.where("split = 'test'").select("entity", "input_end", "y", "flat", *[
+        F.transform(steps, lambda s, f=f: F.get("flat", s * width + f)).alias(f"own_{n}") for f, n in enumerate(chosen)])
+
+    def forecast(df):
+        own = F.array(*[F.col(f"own_{n}") for n in chosen])
+
+        def cell(v, i):
+            feature, step = i % width, F.floor(i / width).cast("int")
+            return F.when((feature < len(chosen)) & (step < 30), F.get(F.get(own, feature), step)).otherwise(v)
+
+        return baseline.predict(model, df.withColumn("flat", F.transform("flat", cell)))
+
+    found = baseline.permutation_importance(wide, ["entity", "input_end"], {n: [f"own_{n}"] for n in chosen}, forecast, "y")
+    weights = model.featureImportances
+    unused = [n for f, n in enumerate(chosen) if not any(weights[s * width + f] for s in range(30))]
+    return found.agg(F.count("*").alias("n_inputs"),
+                     F.coalesce(F.bool_and(F.when(F.col("column").isin(unused), F.abs("increase") < 1e-9)), F.lit(True)).alias("unused_add_nothing"),
+                     F.bool_and(F.col("rmse").isNotNull() & ~F.isnan("rmse")).alias("errors_known"))

@@ -71,13 +71,7 @@ def training_statistics(spark, sf):
 SELECT split, count(*) FILTER (WHERE target_valid) AS n_observed, count(*) FILTER (WHERE NOT target_valid) AS n_missing,
        {sql.r('100.0::DOUBLE * count(*) FILTER (WHERE target_valid) / count(*)', 'pct_observed')} FROM filled GROUP BY split"""))
 def validity_by_split(spark, sf):
-    return tidy(impute_validity(prepared(spark, sf).table))
-
-
-def impute_validity(df):
-    flag = F.col(SPEC.valid_flag)
-    return df.groupBy("split").agg(F.count_if(flag).alias("n_observed"), F.count_if(~flag).alias("n_missing"),
-                                   (F.avg(flag.cast("int")) * 100.0).alias("pct_observed"))
+    return tidy(impute.validity_by_split(prepared(spark, sf).table, SPEC))
 
 
 @query("I9_missing_before_after", sql.with_(sql.IMPUTED, sql.union(

@@ -1,10 +1,8 @@
 """The dataset profile."""
 
-from pyspark.sql import functions as F
-
-from longspan.operators import profile, validate
+from longspan.operators import profile
 from registry import sql
-from registry.core import MEASURES, NUMERIC, SPEC, clean_raw, panel, query, tidy
+from registry.core import MEASURES, NUMERIC, SPEC, panel, query, tidy
 
 
 @query("P1_temporal_span", sql.with_(sql.PANEL, f"""
@@ -64,8 +62,3 @@ SELECT entity, count(*) AS n_rows, {sql.day('min(d)', 'min_date')}, {sql.day('ma
 def entity_profile(spark, sf):
     return tidy(profile.entity_profile(panel(spark, sf), SPEC))
 
-
-@query("P9_profile_report")
-def profile_report(spark, sf):
-    raw = clean_raw(spark, sf)
-    return profile.profile_report(validate.typed(raw, SPEC), SPEC, validate.check_counts(raw, SPEC))

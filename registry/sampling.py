@@ -21,20 +21,27 @@ def _windows(spark, sf, cfg=CONTINUOUS, tensors=False):
     return sequences.candidate_windows(data, SPEC, cfg, names if tensors else None)
 
 
+def _weighted():
+    """Sum of all values, each times its step (from 1) and a weight of its feature."""
+    def step(s, i):
+        return (i + 1) * F.aggregate(F.transform(s, lambda v, j: (j % 7 + 1) * v.cast("double")), F.lit(0.0), lambda b, v: b + v)
+    return F.aggregate(F.transform("x", step), F.lit(0.0), lambda a, v: a + v)
+
+
 def _checksum(windows, group=()):
-    """Collapse each window's array to its sum and its corner values."""
+    """Collapse each window's array to its sum, a sum weighted by step and feature (which any exchange changes) and corners."""
     total = F.aggregate("x", F.lit(0.0), lambda a, s: a + F.aggregate(s, F.lit(0.0), lambda b, v: b + v))
     return windows.withColumns({
-        "x_sum": F.round(total, 2), "x_first": F.round(F.col("x")[0][0].cast("double"), 4),
+        "x_sum": F.round(total, 2), "x_weighted": F.round(_weighted(), 2), "x_first": F.round(F.col("x")[0][0].cast("double"), 4),
         "x_last": F.round(F.element_at(F.element_at("x", -1), -1).cast("double"), 4), "steps": F.size("x"),
     }).drop("x")
 
 
 @query("Q1_look_back_windows", sql.with_(sql.windows(), f"""
-SELECT entity, {sql.day('input_end', 'input_end')}, {sql.r('x_sum', 'x_sum', 2)}, {sql.r('x_first', 'x_first', 4)}, {sql.r('x_last', 'x_last', 4)},
+SELECT entity, {sql.day('input_end', 'input_end')}, {sql.r('x_sum', 'x_sum', 2)}, {sql.r('x_weighted', 'x_weighted', 2)}, {sql.r('x_first', 'x_first', 4)}, {sql.r('x_last', 'x_last', 4)},
   CAST(30 AS BIGINT) AS steps FROM candidates"""))
 def look_back_windows(spark, sf):
-    return tidy(_checksum(_windows(spark, sf, tensors=True)).select("entity", "input_end", "x_sum", "x_first", "x_last", "steps"))
+    return tidy(_checksum(_windows(spark, sf, tensors=True)).select("entity", "input_end", "x_sum", "x_weighted", "x_first", "x_last", "steps"))
 
 
 @query("Q2_horizon_targets", sql.with_(sql.windows(horizon=3), f"""
@@ -96,6 +103,23 @@ def integrity(spark, sf):
     return sequences.integrity(sequences.keep_observed(_windows(spark, sf, tensors=True), CONTINUOUS), CONTINUOUS, len(names))
 
 
+@query("Q10_planted_damage", sql.with_(sql.windows(), """
+SELECT split, count(*) FILTER (WHERE place % 11 = 0) AS bad_length, count(*) FILTER (WHERE place % 13 = 0) AS bad_width,
+  count(*) FILTER (WHERE place % 17 = 0) AS bad_value, count(*) FILTER (WHERE place % 19 = 0) AS bad_target,
+  count(*) FILTER (WHERE NOT target_observed) AS unobserved_target FROM candidates GROUP BY split"""))
+def planted_damage(spark, sf):
+    """Windows with a step too few, a feature too few in a step, an infinite value, or no target."""
+    names = model_ready(spark, sf)[1]
+    at, odd = F.col("_pos"), F.lit(float("inf")).cast("float")
+    windows = _windows(spark, sf, tensors=True)
+    x = F.when(at % 17 == 0, F.transform("x", lambda s, i: F.when(i == 3, F.transform(s, lambda v, j: F.when(j == 0, odd).otherwise(v))).otherwise(s))).otherwise(F.col("x"))
+    windows = windows.withColumn("x", x)
+    windows = windows.withColumn("x", F.when(at % 13 == 0, F.transform("x", lambda s, i: F.when(i == 5, F.slice(s, 1, len(names) - 1)).otherwise(s))).otherwise(F.col("x")))
+    windows = windows.withColumn("x", F.when(at % 11 == 0, F.slice("x", 1, 29)).otherwise(F.col("x")))
+    windows = windows.withColumn("y", F.when(at % 19 != 0, F.col("y")))
+    return sequences.integrity(windows, CONTINUOUS, len(names))
+
+
 @query("Q11_dataset_summary", sql.with_(sql.windows(), """
 SELECT split, count(*) AS n_samples, CAST(30 AS BIGINT) AS steps, CAST(82 AS BIGINT) AS width FROM candidates WHERE target_observed GROUP BY split"""))
 def dataset_summary(spark, sf):
@@ -104,11 +128,12 @@ def dataset_summary(spark, sf):
 
 
 @query("Q12_build_samples", sql.with_(sql.windows(), f"""
-SELECT split, entity, count(*) AS n, {sql.r('sum(x_sum)', 'x_sum', 0)}, {sql.r('sum(y::DOUBLE)', 'y_sum', 0)} FROM candidates WHERE target_observed GROUP BY 1, 2"""))
+SELECT split, entity, count(*) AS n, {sql.r('sum(x_sum)', 'x_sum', 2)}, {sql.r('sum(x_weighted)', 'x_weighted', 2)}, {sql.r('sum(y::DOUBLE)', 'y_sum', 2)} FROM candidates WHERE target_observed GROUP BY 1, 2"""))
 def build_samples(spark, sf):
     source, out, params = (scratch_path(spark, n) for n in ("prepared", "samples", "params"))
     files.write_by_split(prepared(spark, sf).table, source)
     done = stages.build_samples(spark, source, out, params, SPEC, FEATURES)
     total = F.aggregate("x", F.lit(0.0), lambda a, s: a + F.aggregate(s, F.lit(0.0), lambda b, v: b + v))
     return tidy(done.windows.groupBy("split", "entity").agg(
-        F.count("*").alias("n"), F.sum(total).alias("x_sum"), F.sum(F.col("y").cast("double")).alias("y_sum")), 0)
+        F.count("*").alias("n"), F.sum(total).alias("x_sum"), F.sum(_weighted()).alias("x_weighted"),
+        F.sum(F.col("y").cast("double")).alias("y_sum")), 2)

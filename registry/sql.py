@@ -2,14 +2,26 @@
 
 from __future__ import annotations
 
-from longspan.config import BAND_LIMITS, CATEGORY_LABELS
-from longspan.functions.parsing import NULL_TOKENS
-from longspan.operators.features import continuous_names, feature_names, model_features
-from registry.core import FEATURES, NUMERIC, SPEC
-
-CONTINUOUS = continuous_names(SPEC, FEATURES)
-MODEL = model_features(SPEC, FEATURES, [f"scaled_{c}" for c in NUMERIC])
-CATEGORY_OF = feature_names(SPEC, FEATURES)
+# Nothing here comes from the package: columns, limits, tokens and feature names are written out by hand.
+NUMERIC = [f"{m}_{f}" for f in "anr" for m in ("qty", "price", "disc", "tax")] + ["target"]
+REQUIRED = ["entity", "d", *NUMERIC, "bucket"]
+_LIMITS = {50: "Good", 100: "Satisfactory", 200: "Moderate", 300: "Poor", 400: "Very Poor"}
+_NULL_TOKENS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+    "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+_LAGGED, _CHANGED = ["qty_a", "price_a", "qty_n", "target"], ["qty_a", "price_a", "qty_n", "disc_a", "target"]
+_VOLATILE, _BACK = ["qty_a", "price_a", "target"], [1, 3, 7]
+_ROLLED = ["mean_3", "mean_7", "mean_14", "std_7", "std_14", "min_7", "max_7"]
+CATEGORY_OF = {
+    "calendar": [f"{n}_{fn}" for n in ("day_of_week", "month", "day_of_year", "season") for fn in ("sin", "cos")],
+    "lag": [f"{c}_lag_{k}" for c in _LAGGED for k in _BACK],
+    "rolling": [f"{c}_roll_{w}" for c in _LAGGED for w in _ROLLED],
+    "roc": [f"{c}_roc_{k}" for c in _CHANGED for k in _BACK],
+    "volatility": [f"{c}_volatility_{w}" for c in _VOLATILE for w in (7, 14)],
+}
+CONTINUOUS = [n for family in ("lag", "rolling", "roc", "volatility") for n in CATEGORY_OF[family]]
+MODEL = [*[f"scaled_{c}" for c in NUMERIC], *CATEGORY_OF["calendar"], *CONTINUOUS]
 
 
 def r(expr: str, name: str, digits: int = 6) -> str:
@@ -22,8 +34,8 @@ def day(expr: str, name: str) -> str:
 
 
 def band(x: str) -> str:
-    cases = " ".join(f"WHEN {x} <= {limit} THEN '{name}'" for limit, name in zip(BAND_LIMITS, CATEGORY_LABELS))
-    return f"CASE {cases} WHEN {x} IS NOT NULL THEN '{CATEGORY_LABELS[-1]}' END"
+    cases = " ".join(f"WHEN {x} <= {limit} THEN '{name}'" for limit, name in _LIMITS.items())
+    return f"CASE {cases} WHEN {x} IS NOT NULL THEN 'Severe' END"
 
 
 def _join(items) -> str:
@@ -42,7 +54,7 @@ keyed AS MATERIALIZED (
     GROUP BY 1, 2)),
 panel AS (SELECT * EXCLUDE (nk) FROM keyed)"""
 
-_TEXT = _join(f"CAST({c} AS VARCHAR) AS {c}" for c in SPEC.required)
+_TEXT = _join(f"CAST({c} AS VARCHAR) AS {c}" for c in REQUIRED)
 RAW = PANEL + f""",
 texts AS (SELECT (d - DATE '1970-01-01') * 25 + nk AS code, {_TEXT} FROM keyed),
 faulty AS (SELECT * REPLACE (
@@ -54,7 +66,7 @@ faulty AS (SELECT * REPLACE (
     CASE WHEN code % 523 = 0 THEN 'Unknown' ELSE bucket END AS bucket) FROM texts),
 raw0 AS (SELECT * FROM faulty UNION ALL SELECT * FROM faulty WHERE code % 1009 = 0
          UNION ALL SELECT * REPLACE ('1' AS qty_a) FROM faulty WHERE code % 1013 = 0),
-raw AS MATERIALIZED (SELECT {_join(f"CASE WHEN {c} NOT IN ({_join(repr(t) for t in NULL_TOKENS)}) THEN {c} END AS {c}" for c in SPEC.required)} FROM raw0)"""
+raw AS MATERIALIZED (SELECT {_join(f"CASE WHEN {c} NOT IN ({_join(repr(t) for t in _NULL_TOKENS)}) THEN {c} END AS {c}" for c in REQUIRED)} FROM raw0)"""
 
 
 def strip(c: str) -> str:
@@ -107,7 +119,13 @@ def _frame(n: int) -> str:
 
 
 def lag(c: str, k: int) -> str:
-    return f"CASE WHEN sn > {k} THEN first_value({c}) {_frame(k + 1)} END"
+    """Shift inside the split; ``backfill`` comes after."""
+    return f"lag({c}, {k}) OVER (PARTITION BY entity, split ORDER BY d) AS {c}_shift_{k}"
+
+
+def backfill(c: str, k: int) -> str:
+    after = "OVER (PARTITION BY entity, split ORDER BY d ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
+    return f"first_value({c}_shift_{k} IGNORE NULLS) {after} AS {c}_lag_{k}"
 
 
 def rolling(name: str) -> str:
@@ -119,16 +137,16 @@ def rolling(name: str) -> str:
     return f"{fn}({c}) {_frame(int(w))}"
 
 
-_WINDOWED = [f"{lag(c, k)} AS {c}_lag_{k}" for c in FEATURES.lag_columns for k in FEATURES.lags]
-_WINDOWED += [f"{lag(c, k)} AS {c}_lag_{k}" for c in FEATURES.roc_columns if c not in FEATURES.lag_columns for k in FEATURES.roc_lags]
-_WINDOWED += [f"{rolling(n)} AS {n}" for n in CATEGORY_OF["rolling"]]
+_SHIFTS = [(c, k) for c in [*_LAGGED, "disc_a"] for k in _BACK]
+_SHIFTED, _FILLED = [lag(c, k) for c, k in _SHIFTS], [backfill(c, k) for c, k in _SHIFTS]
+_ROLLING = [f"{rolling(n)} AS {n}" for n in CATEGORY_OF["rolling"]]
 _ROC = [
     f"least(greatest(({c} - {c}_lag_{k}) / (abs({c}_lag_{k}) + 1e-4::DOUBLE), -5.0::DOUBLE), 5.0::DOUBLE) AS {c}_roc_{k}"
-    for c in FEATURES.roc_columns for k in FEATURES.roc_lags
+    for c in _CHANGED for k in _BACK
 ]
 _VOL = [
     f"least(greatest({c}_roll_std_{w} / (abs({c}_roll_mean_{w}) + 1e-4::DOUBLE), 0.0::DOUBLE), 5.0::DOUBLE) AS {c}_volatility_{w}"
-    for c in FEATURES.volatility_columns for w in FEATURES.volatility_windows
+    for c in _VOLATILE for w in (7, 14)
 ]
 SEASON = "CASE WHEN month(d) IN (3,4,5) THEN 1 WHEN month(d) IN (6,7,8,9) THEN 2 WHEN month(d) IN (10,11) THEN 3 ELSE 0 END"
 _PHASE = {"day_of_week": "(isodow(d) - 1) / 7.0::DOUBLE", "month": "month(d) / 12.0::DOUBLE",
@@ -136,7 +154,8 @@ _PHASE = {"day_of_week": "(isodow(d) - 1) / 7.0::DOUBLE", "month": "month(d) / 1
 CALENDAR = {f"{n}_{fn}": f"{fn}(2 * pi() * {p})" for n, p in _PHASE.items() for fn in ("sin", "cos")}
 
 ENGINEERED = SCALED + f""",
-windowed AS (SELECT *, {_join(_WINDOWED)} FROM scaled),
+shifted AS (SELECT *, {_join(_SHIFTED)}, {_join(_ROLLING)} FROM scaled),
+windowed AS (SELECT *, {_join(_FILLED)} FROM shifted),
 engineered AS MATERIALIZED (SELECT *, {_join(f'{e} AS {n}' for n, e in CALENDAR.items())}, {_join(_ROC)}, {_join(_VOL)} FROM windowed)"""
 
 MODEL_READY = ENGINEERED + f""",
@@ -149,14 +168,17 @@ def windows(isolated: bool = False, horizon: int = 1, lookback: int = 30) -> str
     by, at, length = ("entity, split", "spos", "sn") if isolated else ("entity", "pos", "n")
     w = f"OVER (PARTITION BY {by} ORDER BY d)"
     total = " + ".join(f"CAST({c} AS FLOAT)::DOUBLE" for c in MODEL)
+    weighted = " + ".join(f"{j % 7 + 1} * CAST({c} AS FLOAT)::DOUBLE" for j, c in enumerate(MODEL))
+    steps = f"OVER (PARTITION BY {by} ORDER BY d ROWS BETWEEN {lookback - 1} PRECEDING AND CURRENT ROW)"
     return MODEL_READY + f""",
-stepped AS (SELECT *, {total} AS step_sum FROM model),
+stepped AS (SELECT *, {total} AS step_sum, {weighted} AS step_weighted FROM model),
 candidates AS MATERIALIZED (SELECT * FROM (
   SELECT entity, {at} AS place, {length} AS len, d AS input_end, lag(d, {lookback - 1}) {w} AS input_start,
     lead(d, {horizon}) {w} AS target_time, lead(CAST(target AS FLOAT), {horizon}) {w} AS y,
     lead(CAST(scaled_target AS FLOAT), {horizon}) {w} AS y_scaled, lead(target_valid, {horizon}) {w} AS target_observed,
     lead(split, {horizon}) {w} AS split,
-    sum(step_sum) OVER (PARTITION BY {by} ORDER BY d ROWS BETWEEN {lookback - 1} PRECEDING AND CURRENT ROW) AS x_sum,
+    sum(step_sum) {steps} AS x_sum,
+    sum(step_weighted * {at}) {steps} - ({at} - {lookback}) * sum(step_weighted) {steps} AS x_weighted,
     lag(CAST({MODEL[0]} AS FLOAT)::DOUBLE, {lookback - 1}) {w} AS x_first, CAST({MODEL[-1]} AS FLOAT)::DOUBLE AS x_last
   FROM stepped) WHERE place >= {lookback} AND place + {horizon} <= len)"""
 

@@ -1,10 +1,12 @@
 """Validation and typing."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from longspan.functions.columns import col
-from longspan.functions.parsing import is_infinite, parse_date, parse_number, strip
+from longspan.functions.parsing import parse_date, parse_number, strip
 from longspan.operators import validate
+from longspan.session import scratch_path
+from longspan.sources import files
 from registry import sql
 from registry.core import NUMERIC, SPEC, clean_raw, panel, query, tidy
 
@@ -54,9 +56,9 @@ def invalid_numbers(spark, sf):
 
 
 @query("V6_number_parse", sql.with_(sql.RAW, "SELECT entity, d, " + ", ".join(
-    f"({sql.num(c)}) AS {c}" for c in NUMERIC if c != "tax_r") + " FROM raw"))
+    f"({sql.num(c)}) AS {c}" for c in NUMERIC) + " FROM raw"))
 def number_parse(spark, sf):
-    return clean_raw(spark, sf).select("entity", "d", *[parse_number(F.col(c)).alias(c) for c in NUMERIC if c != "tax_r"])
+    return clean_raw(spark, sf).select("entity", "d", *[parse_number(F.col(c)).alias(c) for c in NUMERIC])
 
 
 @query("V7_negative_counts", sql.with_(sql.TYPED, sql.union(
@@ -74,23 +76,33 @@ def category_domain(spark, sf):
     return validate.unexpected_categories(clean_raw(spark, sf), SPEC)
 
 
-@query("V9_sorted", sql.with_(sql.TYPED, "SELECT entity, CAST(d AS VARCHAR) AS d, target, bucket FROM typed ORDER BY entity NULLS LAST, d NULLS LAST"))
+@query("V9_sorted", sql.with_(sql.TYPED, """
+SELECT entity, CAST(d AS VARCHAR) AS d, rank() OVER (ORDER BY entity NULLS LAST, d NULLS LAST) AS place FROM typed"""))
 def sorted_rows(spark, sf):
-    return tidy(validate.sorted_panel(validate.typed(clean_raw(spark, sf), SPEC), SPEC).select("entity", "d", "target", "bucket"))
-
-
-_CHECKS = [
+    """The place of each row's key in the stored order; rows with equal keys share the first place."""
+    path = scratch_path(spark, "sorted")
+    files.write_panel(validate.sorted_panel(validate.typed(clean_raw(spark, sf), SPEC), SPEC), path)
+    rows = spark.read.parquet(path).select("entity", "d", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"))
+    names = rows.groupBy("file").agg(F.count("*").alias("n"), F.min("at").alias("low"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    names = names.select("file", "low", before.alias("before"))  # one row per file of the sorted table
+    placed = rows.join(names, "file").withColumn("place", F.col("before") + F.col("at") - F.col("low") + 1)
+    same = Window.partitionBy("entity", "d")
+    return tidy(placed.select("entity", "d", F.min("place").over(same).alias("place")))
+
+
+CHECKS = [
     f"SELECT 'empty_entities' AS check_name, 'entity' AS \"column\", 'error' AS severity, count(*) FILTER (WHERE entity IS NULL OR {sql.strip('entity')} = '') AS n FROM raw",
     f"SELECT 'invalid_dates', 'd', 'error', count(*) FILTER (WHERE d IS NOT NULL AND ({sql.date('d')}) IS NULL) FROM raw",
     f"SELECT 'invalid_categories', 'bucket', 'warning', count(*) FILTER (WHERE {sql.strip('bucket')} NOT IN ({_DOMAIN})) FROM raw",
     f"SELECT 'duplicate_rows', '*', 'warning', CAST(sum(c - 1) AS BIGINT) FROM (SELECT count(*) AS c FROM raw GROUP BY {_ALL})",
     "SELECT 'duplicate_keys', 'entity,d', 'error', CAST(sum(c - 1) AS BIGINT) FROM (SELECT count(*) AS c FROM raw GROUP BY entity, d)",
 ]
-_CHECKS += [f"SELECT 'invalid_numbers', '{c}', 'error', count(*) FILTER (WHERE {c} IS NOT NULL AND ({sql.num(c)}) IS NULL) FROM raw" for c in NUMERIC]
-_CHECKS += [f"SELECT 'negative_values', '{c}', 'warning', count(*) FILTER (WHERE ({sql.num(c)}) < 0) FROM raw" for c in NUMERIC]
+CHECKS += [f"SELECT 'invalid_numbers', '{c}', 'error', count(*) FILTER (WHERE {c} IS NOT NULL AND ({sql.num(c)}) IS NULL) FROM raw" for c in NUMERIC]
+CHECKS += [f"SELECT 'negative_values', '{c}', 'warning', count(*) FILTER (WHERE ({sql.num(c)}) < 0) FROM raw" for c in NUMERIC]
 
 
-@query("V10_validation_report", sql.with_(sql.RAW, sql.union(_CHECKS)))
+@query("V10_validation_report", sql.with_(sql.RAW, sql.union(CHECKS)))
 def validation_report(spark, sf):
     return validate.check_counts(clean_raw(spark, sf), SPEC).drop("n_rows")
 
@@ -104,9 +116,7 @@ def strict_validation(spark, sf):
 @query("V12_infinite_counts", sql.with_(sql.TYPED, sql.union(
     f"""SELECT '{c}' AS "column", count(*) FILTER (WHERE isinf({c})) AS n_infinite FROM typed""" for c in NUMERIC)))
 def infinite_counts(spark, sf):
-    typed = validate.typed(clean_raw(spark, sf), SPEC)
-    wide = typed.agg(*[F.count_if(is_infinite(col(c))).alias(c) for c in NUMERIC])
-    return wide.unpivot([], NUMERIC, "column", "n_infinite")
+    return validate.strict_counts(clean_raw(spark, sf), SPEC).select("column", "n_infinite")
 
 
 @query("V13_target_flag", sql.with_(sql.PANEL, f"SELECT entity, {sql.day('d', 'd')}, target IS NOT NULL AS target_valid FROM panel"))

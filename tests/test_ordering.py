@@ -12,7 +12,7 @@ from longspan.operators.ordering import with_blocks, with_position
 
 SPEC = PanelSpec(entity="e", time="d", measures=("a", "b"), target="y", category="k", valid_flag="ok")
 SMALL = replace(SPEC, bucket_days=3, block_rows=16)
-FEATURES = FeatureConfig(lag_columns=("a", "y"), rolling_columns=("a", "y"), roc_columns=("a", "b"), volatility_columns=("a",))
+FEATURES = FeatureConfig.of(lags=("a", "y"), rolling=("a", "y"), change=("a", "b"), volatility=("a",))
 
 
 @pytest.fixture(scope="module")
@@ -113,3 +113,13 @@ def test_no_window_group_exceeds_a_block(rows):
 def test_block_must_exceed_reach(rows):
     with pytest.raises(ValueError):
         with_blocks(with_position(rows, SMALL), SMALL, back=16)
+
+
+def test_rows_without_a_time_are_spread(spark):
+    rows = spark.createDataFrame([("x", None, float(i)) for i in range(500)] + [("x", 5, 0.0)], "e string, n int, a double")
+    df = rows.select("e", F.date_add(F.lit("2020-01-01").cast("date"), F.col("n")).alias("d"), "a", F.lit(1.0).alias("b"), F.lit(1.0).alias("y"))
+    from longspan.operators.ordering import time_bucket
+    buckets = df.select(time_bucket(df, SMALL).alias("t")).groupBy("t").count()
+    assert buckets.agg(F.max("count")).first()[0] < 50
+    placed = with_position(df, SMALL)
+    assert sorted(r["_pos"] for r in placed.collect()) == list(range(1, 502)) and placed.where("d is not null").first()["_pos"] == 1

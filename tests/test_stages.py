@@ -28,24 +28,28 @@ def raw(spark, rows, columns=COLUMNS):
 
 def test_valid_input(spark):
     panel, report = validate.validate_raw(raw(spark, raw_rows()), SPEC)
-    assert report.is_valid and report.row_count == 3 and panel.columns == COLUMNS
+    assert report.is_valid and report.n_rows == 3 and panel.columns == COLUMNS
     assert {r["City"] for r in panel.collect()} == {"Delhi", "Bengaluru"}
-    sections = {r["section"] for r in profile.profile_report(panel, SPEC, validate.check_counts(raw(spark, raw_rows()), SPEC)).collect()}
-    assert {"dataset_shape", "temporal_span", "numeric_summary", "entity_profiles", "integrity_audit"} <= sections
+    rows = profile.profile_report(panel, SPEC, report, profile.Source("a/b.csv", 9)).collect()
+    sections = {r["section"] for r in rows}
+    assert {"dataset_shape", "temporal_span", "numeric_summary", "entity_profiles", "integrity_audit", "validation", "source"} <= sections
+    told = {(r["section"], r["key"], r["metric"]): r["value"] for r in rows}
+    assert told["validation", "", "is_valid"] == "true" and told["source", "", "name"] == "b.csv" and told["geography", "", "entities"] == "Bengaluru,Delhi"
+    assert told["integrity_audit", "invalid_dates|Date", "severity"] == "error"
 
 
 def test_missing_and_unexpected_columns(spark):
     columns = ["extra" if c == "PM2.5" else c for c in COLUMNS]
     panel, report = validate.validate_raw(raw(spark, raw_rows(), columns), SPEC)
     assert panel is None and not report.is_valid
-    assert report.missing_columns == ["PM2.5"] and report.unexpected_columns == ["extra"]
+    assert report.count("missing_column") == {"PM2.5": 1} and report.count("unexpected_column") == {"extra": 1}
 
 
 @pytest.mark.parametrize("column, values, check", [
-    ("Date", ["invalid-date-format", "2020-02-30"], lambda r: r.invalid_dates == 2),
-    ("PM2.5", ["not_a_number"], lambda r: r.invalid_numbers == {"PM2.5": 1}),
-    ("NO2", ["12d"], lambda r: r.invalid_numbers == {"NO2": 1}),
-    ("City", ["  "], lambda r: r.empty_entities == 1),
+    ("Date", ["invalid-date-format", "2020-02-30"], lambda r: r.count("invalid_dates") == {"Date": 2}),
+    ("PM2.5", ["not_a_number"], lambda r: r.count("invalid_numbers") == {"PM2.5": 1}),
+    ("NO2", ["12d"], lambda r: r.count("invalid_numbers") == {"NO2": 1}),
+    ("City", ["  "], lambda r: r.count("empty_entities") == {"City": 1}),
 ])
 def test_errors(spark, column, values, check):
     rows = raw_rows()
@@ -60,18 +64,26 @@ def test_warnings_keep_the_table_valid(spark):
     rows[0][COLUMNS.index("PM10")] = "-15.0"
     rows[1][COLUMNS.index("AQI_Bucket")] = "Unknown"
     panel, report = validate.validate_raw(raw(spark, rows), SPEC)
-    assert report.is_valid and report.negative_values == {"PM10": 1} and report.invalid_categories == 1
+    assert report.is_valid and report.count("negative_values") == {"PM10": 1} and report.count("invalid_categories") == {"AQI_Bucket": 1}
     assert panel.where("PM10 < 0").count() == 1
 
 
 def test_duplicates(spark):
+    def found(rows):
+        _, report = validate.validate_raw(raw(spark, rows), SPEC)
+        return report.count("duplicate_rows"), report.count("duplicate_keys"), report.is_valid
+
     rows = raw_rows()
-    _, report = validate.validate_raw(raw(spark, [*rows, rows[0]]), SPEC)
-    assert (report.duplicate_rows, report.duplicate_keys, report.is_valid) == (1, 1, False)
+    assert found([*rows, rows[0]]) == ({"*": 1}, {"City,Date": 1}, False)
     other = list(rows[0])
     other[2] = "99"
-    _, report = validate.validate_raw(raw(spark, [*rows, other]), SPEC)
-    assert (report.duplicate_rows, report.duplicate_keys, report.is_valid) == (0, 1, False)
+    assert found([*rows, other]) == ({}, {"City,Date": 1}, False)
+
+
+def test_all_unexpected_categories_are_told(spark):
+    rows = [[*r[:-1], f"odd {i:02d}"] for i, r in enumerate([["Delhi", f"2020-01-{d:02d}", *["1"] * 12, "120", ""] for d in range(1, 31)])]
+    _, report = validate.validate_raw(raw(spark, rows), SPEC)
+    assert all(f"odd {i:02d}" in report.fired("warning")[0] for i in range(30))
 
 
 def test_parsing_rules(spark):
@@ -110,6 +122,26 @@ def test_ingest_round_trip(spark, tmp_path):
     assert stages.explore_panel(spark, str(tmp_path / "t"), str(tmp_path / "e"), SPEC).count() > 100
 
 
+def test_raw_text_is_parsed_once_and_line_breaks_are_read(spark, tmp_path):
+    rows = raw_rows()
+    path = tmp_path / "raw.csv"
+    path.write_text(",".join(COLUMNS) + "\n" + "\n".join(",".join(['"Del\nhi"', *r[1:]]) for r in rows[:2]))
+    report = stages.ingest(spark, str(path), str(tmp_path / "t"), str(tmp_path / "r"), SPEC, multi_line=True)
+    assert report.is_valid and files.read_panel(spark, str(tmp_path / "t")).first()["City"] == "Del\nhi"
+
+
+def test_columns_are_matched_by_header(spark, tmp_path):
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    (folder / "a.csv").write_text("e,d\nA,1\n")
+    (folder / "b.csv").write_text("d,e\n2,B\n3,C\n")
+    got = {tuple(r) for r in files.read_raw_csv(spark, str(folder)).select("e", "d").collect()}
+    assert got == {("A", "1"), ("B", "2"), ("C", "3")}
+    (folder / "c.csv").write_text("d,x\n2,B\n")
+    with pytest.raises(ValueError, match="different columns"):
+        files.read_raw_csv(spark, str(folder))
+
+
 def test_missing_and_empty_files(spark, tmp_path):
     for read in (files.read_raw_csv, files.read_panel, files.load_params):
         with pytest.raises(FileNotFoundError):
@@ -142,7 +174,7 @@ def test_split_arithmetic_equals_python(spark):
 
 
 def test_split_ratios_are_checked():
-    for bad in ({"train": 0.5}, {"train": 0.85, "val": 0.15, "test": 0.0}):
+    for bad in ({"train": 0.9}, {"train": 0.85, "val": 0.15}, {"train": 0.0}, {"val": -0.1}):
         with pytest.raises(ValueError):
             SplitConfig(**bad)
 
@@ -199,16 +231,22 @@ def test_remaining_nulls_are_an_error(spark):
         impute.require_complete(panel(spark, [None, 1.0], [1.0, 1.0]).withColumn("split", F.lit("train")), ["a"])
 
 
+# Own values: per entity the start and step of the measures and of the target; each anchor below follows from them by hand.
+RAMPS = (("CityA", 10.0, 1.0, 100.0, 2.0), ("CityB", 50.0, 0.5, 200.0, 1.5))
+UNOBSERVED = ("CityA", (10, 35))
+MEASURE_SCALE, TARGET_SCALE = (25, 10), (140, 20)
+
+
 def forty(spark):
     rows = []
-    for e, base, step, target, tstep in (("CityA", 10.0, 1.0, 100.0, 2.0), ("CityB", 50.0, 0.5, 200.0, 1.5)):
+    for e, base, step, target, tstep in RAMPS:
         for i in range(40):
-            rows.append((e, i, base + i * step, target + i * tstep, not (e == "CityA" and i in (10, 35))))
+            rows.append((e, i, base + i * step, target + i * tstep, not (e == UNOBSERVED[0] and i in UNOBSERVED[1])))
     df = spark.createDataFrame(rows, "City string, i int, v double, AQI double, aqi_target_valid boolean")
     cols = [F.col("v").alias(m) for m in AIR_QUALITY_MEASURES]
-    scaled = [((F.col("v") - 25) / 10).alias(f"scaled_{m}") for m in AIR_QUALITY_MEASURES]
+    scaled = [((F.col("v") - MEASURE_SCALE[0]) / MEASURE_SCALE[1]).alias(f"scaled_{m}") for m in AIR_QUALITY_MEASURES]
     df = df.select("City", F.date_add(F.lit("2020-01-01").cast("date"), F.col("i")).alias("Date"), "i", *cols, "AQI", "aqi_target_valid",
-                   *scaled, ((F.col("AQI") - 140) / 20).alias("scaled_AQI"))
+                   *scaled, ((F.col("AQI") - TARGET_SCALE[0]) / TARGET_SCALE[1]).alias("scaled_AQI"))
     from longspan.operators.ordering import with_position
     df = with_position(df, SPEC)
     return df.withColumns({"split": F.lit("train"), "_split_pos": F.col("_pos"), "_split_rows": F.col("_rows")})
@@ -231,6 +269,69 @@ def test_feature_anchors(spark):
     assert not {"City", "Date", "AQI", "AQI_Bucket", "aqi_target_valid", "split"} & set(model)
 
 
+def test_nulls_in_lagged_columns_are_an_error(spark):
+    gap = forty(spark).withColumn("CO", F.when(F.col("i") != 4, F.col("CO")))
+    with pytest.raises(Exception, match="anchored_lag"):
+        features.engineer(gap, SPEC, FeatureConfig()).collect()
+
+
+def test_missing_scores_keep_their_place(spark):
+    df = forty(spark).withColumns({"gamma": F.lit(1.0), "score": F.when(F.col("i") % 2 == 0, F.lit(2.0))})
+    got = fuzzy.attention_weights(df, SPEC, "score", lookback=3).where("City = 'CityA'").orderBy("Date").collect()
+    assert [len(r["weights"]) for r in got] == [3] * 38
+    assert got[0]["weights"] == pytest.approx([0.5, 0.0, 0.5]) and got[1]["weights"] == pytest.approx([0.0, 1.0, 0.0])
+
+
+def test_stages_leave_nothing_behind(spark, tmp_path):
+    from longspan.session import shared_dir
+    folder = Path(shared_dir(spark).removeprefix("file:")) / "longspan"
+    before = set(folder.glob("*")) if folder.exists() else set()
+    files.write_panel(panel(spark, [float(i % 9) for i in range(60)]), str(tmp_path / "t"))
+    stages.preprocess(spark, str(tmp_path / "t"), str(tmp_path / "p"), str(tmp_path / "q"), P)
+    one = FeatureConfig.of(("a",), ("a",), ("a",), ("a",))
+    done = stages.build_samples(spark, str(tmp_path / "p"), str(tmp_path / "s"), str(tmp_path / "u"), P, one, SequenceConfig(lookback=5))
+    assert done.windows.count() > 0 and (set(folder.glob("*")) if folder.exists() else set()) == before
+
+
+def test_cluster_needs_a_shared_folder(monkeypatch):
+    from longspan import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(Session())
+
+
+def scans(df):
+    """Table scans of a plan, shuffles that are used again counted once."""
+    return df._jdf.queryExecution().executedPlan().toString().count("FileScan")
+
+
+def test_reports_read_the_panel_few_times(spark, tmp_path):
+    files.write_panel(panel(spark, [float(i % 9) for i in range(60)]), str(tmp_path / "t"))
+    table = files.read_panel(spark, str(tmp_path / "t"))
+    raw_panel = pin_text(spark, table)
+    assert scans(validate.check_counts(raw_panel, P)) == 1
+    from longspan.operators import explore
+    assert scans(explore.duplicate_summary(table, P)) == 1
+
+
+def pin_text(spark, table):
+    from longspan.session import pin
+    return pin(table.select(*[F.col(c).cast("string").alias(c) for c in table.columns]))
+
+
 def test_later_rows_change_nothing(spark):
     base = forty(spark)
     changed = base.withColumns({c: F.when(F.col("i") == 35, 10000.0).otherwise(F.col(f"`{c}`")) for c in SPEC.numeric})
@@ -251,7 +352,11 @@ def test_windows_of_forty_rows(spark):
     kept = sequences.keep_observed(windows, cfg)
     row = sequences.integrity(kept, cfg, 12).first()
     assert all(row[c] == 0 for c in row.asDict() if c != "split")
-    flat = sequences.flatten_samples(kept, names, ["scaled_PM2.5"]).orderBy("input_end").first()["flat"]
+    summed = sequences.keep_observed(sequences.candidate_windows(forty(spark), SPEC, cfg, names, ["scaled_PM2.5"]).where("City = 'CityA'"), cfg)
+    flat = sequences.flatten_samples(summed).orderBy("input_end").first()["flat"]
+    assert sequences.unusable_steps(forty(spark), names).first()["bad_value"] == 0
+    odd = forty(spark).withColumn("scaled_CO", F.when(F.col("i") == 3, F.lit(float("inf"))).otherwise(F.col("scaled_CO")))
+    assert sequences.unusable_steps(odd, names).first()["bad_value"] == 2
     assert len(flat) == 30 * 12 + 8 and flat[-8:-4] == pytest.approx([1.1, 0.216025, 0.8, 1.4], abs=1e-5)
     assert sequences.candidate_windows(forty(spark), SPEC, SequenceConfig(lookback=40)).count() == 0
 

@@ -50,6 +50,23 @@ def test_both_quantile_paths(spark, grouped, buffered):
     check(q.grouped_quantiles(rows, ["g"], "v", PROBS, NAMES, buffered=buffered).toPandas(), grouped)
 
 
+def test_null_groups_and_no_groups(spark, grouped):
+    frame = grouped.copy()
+    frame.loc[frame["g"] == "s333", "g"] = None
+    rows = spark.createDataFrame(frame.astype(object).where(frame.notna(), None), "g string, v double")
+    one, two = (q.grouped_quantiles(rows, ["g"], "v", [0.5], ["m"], buffered=b).toPandas().sort_values("g").reset_index(drop=True) for b in (0, 10**9))
+    pd.testing.assert_frame_equal(one, two)
+    assert one["g"].isna().sum() == 1
+    whole = [q.grouped_quantiles(rows, [], "v", [0.25, 0.5], ["a", "b"], buffered=b).first() for b in (0, 10**9)]
+    assert whole[0] == whole[1] and whole[0]["b"] == pytest.approx(frame["v"].median())
+
+
+@pytest.mark.parametrize("options", [{}, {"broadcast_groups": 2, "hot_rows": 100}])
+def test_narrowed_brackets_are_exact(spark, grouped, options):
+    rows = spark.createDataFrame(grouped.dropna().rename(columns={"v": "_v"})).repartition(7)
+    check(q.bracketed_quantiles(rows, ["g"], PROBS, NAMES, accuracy=20, sliver_rows=10, **options).toPandas(), grouped)
+
+
 @pytest.fixture(scope="module")
 def table():
     rng = np.random.default_rng(3)
@@ -69,7 +86,8 @@ def as_spark(spark, t):
     return spark.createDataFrame(t.astype(object).where(t.notna(), None), "e string, d long, a double, b double, c double, f double, k double")
 
 
-@pytest.mark.parametrize("options", [{}, {"range_values": 20}, {"broadcast_bytes": 0}, {"range_values": 20, "broadcast_bytes": 0}])
+@pytest.mark.parametrize("options", [
+    {}, {"range_values": 20}, {"broadcast_bytes": 0}, {"range_values": 20, "broadcast_bytes": 0}, {"broadcast_bytes": 0, "hot_cells": 5}])
 def test_rank_correlations_match_pandas(spark, table, options):
     got = {(r["x"], r["y"]): r for r in rank_correlations(as_spark(spark, table), ["e", "d"], PAIRS, **options).collect()}
     for x, y in PAIRS:
@@ -78,6 +96,14 @@ def test_rank_correlations_match_pandas(spark, table, options):
         assert got[x, y]["rho"] == pytest.approx(want, abs=1e-12) and got[x, y]["n_pairs"] == len(complete)
 
 
+@pytest.mark.parametrize("options", [{}, {"broadcast_bytes": 0}, {"broadcast_bytes": 0, "hot_cells": 1}])
+def test_rows_of_one_key_with_different_gaps_stay_apart(spark, options):
+    rows = [("k", 1, 5.0, None), ("k", 1, None, 5.0), ("k", 2, 1.0, 2.0), ("k", 2, 2.0, 1.0), ("k", 3, 3.0, 3.0), ("k", 4, None, 7.0), ("k", 4, 7.0, None)]
+    df = spark.createDataFrame(rows, "e string, d long, a double, b double")
+    got = rank_correlations(df, ["e", "d"], [("a", "b")], **options).first()
+    assert got["rho"] == pytest.approx(0.5) and got["n_pairs"] == 3
+
+
 def test_pearson_matrix_and_constant_column(spark, table):
     got = {(r["x"], r["y"]): r["r"] for r in explore.pearson_matrix(as_spark(spark, table), ["a", "b", "c", "f", "k"]).collect()}
     want = table[["a", "b", "c", "f"]].corr()
