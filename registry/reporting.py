@@ -8,7 +8,7 @@ from registry import sql
 from registry.core import MEASURES, NUMERIC, ORACLES, SPEC, clean_raw, panel, query
 from registry.validation import CHECKS
 
-_DIGITS = 5
+_DIGITS = 6
 _SECTION_DIGITS = {"measure_summaries": 4, "target_summary": 4, "yearly": 4, "monthly": 4}  # as these sections' own checks round
 
 
