@@ -72,6 +72,23 @@ def clean(docs, items):
     return out
 
 
+@pytest.fixture
+def sf(spark, tmp_path):
+    """The smallest tables, with near copies that differ by a word within one long line."""
+    given = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{given}/documents.parquet")
+    rows = [r for r in docs.orderBy("doc_id").collect() if len(r.text.split()) > 300][:8]
+    planted = []
+    for i, r in enumerate(rows):
+        words = r.text.split()
+        for k, end in enumerate(("alpha", "beta")):
+            text = " ".join([*words[:-1], end])
+            planted.append((10_000 + 2 * i + k, text, r.lang, r.source, len(text)))
+    docs.unionByName(spark.createDataFrame(planted, docs.schema)).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.read.parquet(f"{given}/benchmark.parquet").write.parquet(str(tmp_path / "benchmark.parquet"))
+    return str(tmp_path)
+
+
 def test_stages_like_plain_python(spark, sf):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").orderBy("doc_id").collect()]
     items = [r.text for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
