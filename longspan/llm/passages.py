@@ -30,7 +30,7 @@ from longspan.llm.words import ALNUM, hashes, map_batches, map_blocks, mix, ragg
 from longspan.session import pin, scratch_path
 
 #: Words of a paragraph at least, block starts of which one is taken, words of a shingle, and similarity that links.
-MIN_WORDS, NEIGHBOURS, WIDTH, SIMILARITY = 16, 4, 5, 0.8
+MIN_WORDS, NEIGHBOURS, WIDTH, SIMILARITY = 16, 3, 5, 0.8
 #: Share of linked pairs whose bands must collide.
 RECALL = 0.99
 #: Members of a bucket that one task compares; larger buckets are compared in pairs of such chunks.
@@ -257,7 +257,7 @@ def _residual(members: DataFrame, roots: DataFrame, texts: DataFrame, similarity
 def _classes(paragraphs: DataFrame, similarity: float, recall: float, chunk: int) -> DataFrame:
     """``node, root`` of the contents that are linked to others."""
     bands, rows = tune_bands(similarity, recall)
-    told = _band_rows(paragraphs, bands, rows)
+    told = pin(_band_rows(paragraphs, bands, rows))
     buckets = told.groupBy("bucket").agg(F.min("content").alias("lead"), F.max("content").alias("top"))
     buckets = pin(buckets.where("lead < top").select("bucket", "lead"))
     members = pin(told.join(buckets, "bucket").distinct())
