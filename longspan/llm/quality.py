@@ -2,9 +2,13 @@
 
 Rules look at a document and vote good or bad, or abstain. How far each rule is to be believed is not set by hand: documents
 are counted by their vote pattern, and expectation-maximisation on these counts estimates each rule's accuracy, the probability
-that its vote is right. A document is kept if its posterior probability of being good reaches one half; so one vote of a rule
-that others contradict rejects nothing, and no vote at all keeps it. The driver only ever sees the counts of patterns, at most
-three to the power of the number of rules, whatever the corpus.
+that its vote is right. A document is kept if its posterior probability of being good reaches one half; no vote at all keeps it.
+The driver only ever sees the counts of patterns, at most three to the power of the number of rules, whatever the corpus.
+
+With ``DEFECTS`` as they stand, a document with a bad vote is beyond the good limit too and so never clean: its votes never
+contradict each other, the fit moves probabilities but no verdict, and kept are exactly the documents above the floor on which no
+defect fires. Rules that vote good on their own evidence were tried and are worse: nearly every document that the labels call bad
+has one bad vote and many good ones.
 
 Features are counted over whole texts, in blocks of bounded size, and nothing is shuffled but pattern counts. A null text has
 no words. Repeated rows vote alike and all count. A corpus without documents keeps none. Other columns take no part in a vote,

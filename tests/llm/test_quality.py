@@ -79,3 +79,15 @@ def test_labelled_documents(spark, sf):
     got = Q.digest(docs).join(labels, "doc_id").where("not base_failed").groupBy("quality", "kept").count().collect()
     n = {(r.quality, r.kept): r["count"] for r in got}
     assert n.get((1, False), 0) == 0 and n.get((0, True), 0) <= 0.05 * (n.get((0, False), 0) + n.get((0, True), 0))
+
+
+def test_verdict_equals_all_must_pass(spark, sf):
+    """As the README says: votes of the given rules never conflict, so the fit changes no verdict."""
+    texts = pa.array([r.text for r in spark.read.parquet(f"{sf.replace('sf0.001', 'sf0.01')}/documents.parquet").select("text").collect()])
+    f = Q.features(texts)
+    v = Q.votes(f)
+    fired = (v == Q.BAD).any(1)
+    assert fired.any() and not (fired & (v == Q.GOOD).any(1)).any()
+    numbers, count = np.unique(Q.pattern(v)[f["n_words"] > 0], return_counts=True)
+    for model in (Q.fit(Q._unpack(numbers, len(Q.RULES)), count.astype(float)), Q.LabelModel(np.full(len(Q.RULES), Q.ACCURACY))):
+        assert ((model.posterior(v) >= 0.5) == ~fired).all()
