@@ -1,19 +1,18 @@
 """Substring deduplication: paragraph MinHash banding.
 
 Paragraphs are blocks of sentences inside a line: from a sentence's start, the fewest sentences with at least ``MIN_WORDS``
-words. Text without sentence marks is cut after words whose hash says so, so copies are cut alike wherever they stand. Of any
-``NEIGHBOURS`` consecutive block starts of a line the one with the smallest first-shingle hash is taken (and each line's only
-ones), so a copied passage that holds that many whole blocks has at least one of them taken in every copy, at any place and
-behind any text.
+words. Text without sentence marks is cut after words whose hash says so, so copies are cut alike wherever they stand. Every block
+start is taken, so blocks overlap, and each whole block of a copied passage is found in every copy, at any place and behind any text.
 
 Equal paragraphs are one content, told once a task before the shuffle. Contents whose MinHash bands collide are verified by
 exact Jaccard similarity of their word shingles, and the links that hold make components. Nothing is told pairwise: the
 members of a band bucket are compared with its smallest content; where that leaves more than one component, members of
 different components are compared among themselves, a large bucket in pairs of chunks, and only what links is told.
 
-The first place of a component stays: smallest document id (absent ids last), then the earlier row, then the earlier word; all
-others are removals. Null and empty texts, and lines with fewer than ``MIN_WORDS`` words, have no paragraph. Repeated rows repeat
-each other. Other columns are kept by ``remove_repeats``, whatever their names.
+The first place of a component stays: smallest document id (absent ids last), then the earlier row, then the earlier word, then
+the shorter; all others are removals, but ``remove_repeats`` leaves those that overlap the first place itself. Null and empty
+texts, and lines with fewer than ``MIN_WORDS`` words, have no paragraph. Repeated rows repeat each other. Other columns are kept
+by ``remove_repeats``, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,8 +28,8 @@ from longspan.llm.components import components
 from longspan.llm.words import ALNUM, hashes, map_batches, map_blocks, mix, ragged, shingles, slices, words
 from longspan.session import pin, scratch_path
 
-#: Words of a paragraph at least, block starts of which one is taken, words of a shingle, and similarity that links.
-MIN_WORDS, NEIGHBOURS, WIDTH, SIMILARITY = 16, 3, 5, 0.8
+#: Words of a paragraph at least, words of a shingle, and similarity that links.
+MIN_WORDS, WIDTH, SIMILARITY = 16, 5, 0.8
 #: Share of linked pairs whose bands must collide.
 RECALL = 0.99
 #: Members of a bucket that one task compares; larger buckets are compared in pairs of such chunks.
@@ -42,8 +41,8 @@ _ENDS = np.isin(np.arange(256), np.frombuffer(b".!?", np.uint8))
 _CUT = 32
 
 
-def blocks_of(texts: pa.Array, min_words: int = MIN_WORDS, neighbours: int = NEIGHBOURS):
-    """The words of the texts, their hashes, and the first and last-but-one words of the blocks taken."""
+def blocks_of(texts: pa.Array, min_words: int = MIN_WORDS):
+    """The words of the texts, their hashes, and the first and last-but-one words of the blocks."""
     found = words(texts, ALNUM, fold=True)
     n = len(found.ids)
     none = np.zeros(0, np.int64)
@@ -67,23 +66,7 @@ def blocks_of(texts: pa.Array, min_words: int = MIN_WORDS, neighbours: int = NEI
     start, limit, at = start[whole], limit[whole], at[whole]
     stop = stops[at]
     whole = stop <= limit
-    start, stop, limit = start[whole], stop[whole], limit[whole]
-    if not len(start):
-        return found, hashed, none, none
-    # window minima over the starts of a line
-    first = shingles(np.concatenate((hashed, np.zeros(WIDTH, np.uint64))), WIDTH)[start]
-    taken = np.zeros(len(start), bool)
-    edge = np.flatnonzero(np.concatenate(([True], limit[1:] != limit[:-1])))
-    count = np.diff(np.append(edge, len(start)))
-    several = np.maximum(count - neighbours + 1, 1)
-    low = ragged(edge, several)
-    width = np.minimum(neighbours, np.repeat(count, several))
-    places = ragged(low, width)
-    cut = np.cumsum(width) - width
-    least = np.minimum.reduceat(first[places], cut)
-    hit = first[places] == np.repeat(least, width)
-    taken[places[hit]] = True
-    return found, hashed, start[taken], stop[taken]
+    return found, hashed, start[whole], stop[whole]
 
 
 def tune_bands(similarity: float = SIMILARITY, recall: float = RECALL, rows: int = 2) -> tuple[int, int]:
@@ -94,10 +77,10 @@ def tune_bands(similarity: float = SIMILARITY, recall: float = RECALL, rows: int
     return bands, rows
 
 
-def _paragraphs(docs: DataFrame, doc_id: str, text: str, min_words: int, neighbours: int) -> DataFrame:
+def _paragraphs(docs: DataFrame, doc_id: str, text: str, min_words: int) -> DataFrame:
     """One row per paragraph: its content's hash and words, and where it stands (words and bytes)."""
     def one(block):
-        found, _, start, stop = blocks_of(block.column("_text"), min_words, neighbours)
+        found, _, start, stop = blocks_of(block.column("_text"), min_words)
         if not len(start):
             return None
         size = found.end - found.start
@@ -271,20 +254,20 @@ def _classes(paragraphs: DataFrame, similarity: float, recall: float, chunk: int
     return components(links.unionByName(more)) if more.limit(1).count() else roots
 
 
-def _held(docs: DataFrame, doc_id: str, text: str, min_words: int, neighbours: int) -> DataFrame:
+def _held(docs: DataFrame, doc_id: str, text: str, min_words: int) -> DataFrame:
     path = scratch_path(docs.sparkSession, "paragraphs")
-    _paragraphs(docs, doc_id, text, min_words, neighbours).write.option("compression", "zstd").parquet(path)
+    _paragraphs(docs, doc_id, text, min_words).write.option("compression", "zstd").parquet(path)
     return docs.sparkSession.read.parquet(path)
 
 
 def _order() -> Column:
     return F.struct(F.col("doc").isNull().alias("none"), F.col("doc").alias("doc"), F.col("place").alias("place"),
-                    F.col("first_word").alias("first_word"))
+                    F.col("first_word").alias("first_word"), F.col("n_words").alias("n_words"), F.col("end_byte").alias("end_byte"))
 
 
-def _members(docs: DataFrame, doc_id: str, text: str, similarity: float, recall: float, min_words: int, neighbours: int,
+def _members(docs: DataFrame, doc_id: str, text: str, similarity: float, recall: float, min_words: int,
              chunk: int) -> DataFrame:
-    paragraphs = _held(docs, doc_id, text, min_words, neighbours)
+    paragraphs = _held(docs, doc_id, text, min_words)
     roots = pin(_classes(paragraphs, similarity, recall, chunk))
     light = paragraphs.drop("words")
     copied = light.groupBy("content").agg(F.count("*").alias("n")).where("n > 1").select(F.col("content").alias("node"))
@@ -295,23 +278,25 @@ def _members(docs: DataFrame, doc_id: str, text: str, similarity: float, recall:
 
 
 def repeated_passages(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,
-                      recall: float = RECALL, min_words: int = MIN_WORDS, neighbours: int = NEIGHBOURS, chunk: int = CHUNK) -> DataFrame:
+                      recall: float = RECALL, min_words: int = MIN_WORDS, chunk: int = CHUNK) -> DataFrame:
     """Each paragraph that stands, exactly or nearly, at another place too: where it stands, its class, the class's first place,
     and whether it is removed (all but that first place are)."""
     placed = docs.select(F.monotonically_increasing_id().alias("place"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    found = _members(placed, "doc_id", "text", similarity, recall, min_words, neighbours, chunk)
-    same = F.col("place").eqNullSafe(F.col("first.place")) & (F.col("first_word") == F.col("first.first_word"))
+    found = _members(placed, "doc_id", "text", similarity, recall, min_words, chunk)
+    same = F.col("place").eqNullSafe(F.col("first.place"))
+    same &= (F.col("first_word") == F.col("first.first_word")) & (F.col("n_words") == F.col("first.n_words"))
     return found.select(F.col("doc").alias("doc_id"), "first_word", "n_words", "class_id", F.col("first.doc").alias("first_doc_id"),
                         F.col("first.first_word").alias("first_doc_word"), (~same).alias("removed"))
 
 
 def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The documents, with their own columns, without the paragraphs that repeat an earlier one."""
+    """The documents, with their own columns, without the paragraphs that repeat an earlier one. Of overlapping paragraphs that are
+    similar to each other only, none is a repeat."""
     names = docs.columns
     held = pin(docs.select(F.monotonically_increasing_id().alias("place"), F.struct(*[F.col(f"`{c}`") for c in names]).alias("row")))
-    defaults = dict(similarity=SIMILARITY, recall=RECALL, min_words=MIN_WORDS, neighbours=NEIGHBOURS, chunk=CHUNK) | options
+    defaults = dict(similarity=SIMILARITY, recall=RECALL, min_words=MIN_WORDS, chunk=CHUNK) | options
     found = _members(held.select("place", F.col("row")[doc_id].alias("doc_id"), F.col("row")[text].alias("text")), "doc_id", "text", **defaults)
-    later = found.where((F.col("place") != F.col("first.place")) | (F.col("first_word") != F.col("first.first_word")))
+    later = found.where((F.col("place") != F.col("first.place")) | (F.col("first_byte") >= F.col("first.end_byte")))
     cuts = later.groupBy("place").agg(F.sort_array(F.collect_list(F.struct("first_byte", "end_byte"))).alias("cuts"))
     joined = held.join(pin(cuts), "place", "left").select("row", F.col("row")[text].alias("text"), "cuts")
 

@@ -42,6 +42,12 @@ def test_blocks_do_not_depend_on_what_stands_around():
     assert all(n >= P.MIN_WORDS for _, n in blocks(text(rng, 20)))
 
 
+def test_every_block_start_is_taken():
+    sentences = [sentence(random.Random(i), 9) for i in range(12)]
+    starts = {a for a, _ in blocks(" ".join(sentences))}
+    assert starts >= set(range(0, 99, 9))
+
+
 def corpus(seed):
     rng = random.Random(seed)
     shared = [passage(rng) for _ in range(4)]
@@ -103,6 +109,14 @@ def test_removal(spark):
     assert P.remove_repeats(df.limit(0)).count() == 0 and P.repeated_passages(df.limit(0)).count() == 0
 
 
+def test_overlapping_blocks_are_no_repeats(spark):
+    """A short sentence before a long one: two blocks that are nearly alike, and nothing stands twice."""
+    rng = random.Random(4)
+    rows = [(1, " ".join(f"Ab{i} {sentence(rng, 30)}".replace(" ", ". ", 1) for i in range(3)))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert P.remove_repeats(df).first().text == rows[0][1]
+
+
 def test_bands():
     for s, recall in ((0.8, 0.99), (0.5, 0.9)):
         b, r = P.tune_bands(s, recall)
