@@ -1,8 +1,11 @@
 """Substring deduplication: paragraph MinHash banding.
 
-Paragraphs are blocks of sentences inside a line: from a sentence's start, the fewest sentences with at least ``MIN_WORDS``
-words. Text without sentence marks is cut after words whose hash says so, so copies are cut alike wherever they stand. Every block
-start is taken, so blocks overlap, and each whole block of a copied passage is found in every copy, at any place and behind any text.
+Paragraphs are blocks of a text: from a cut, the fewest stretches between cuts with at least ``MIN_WORDS`` words. A text is cut
+after words whose hash is the smallest of the ``APART`` words on either side, where sentence marks and empty lines go before all
+other words; so copies are cut alike wherever they stand, text without marks is cut as often, and line ends have no part in it: a
+passage is cut alike in lines of any width. Each line of ``MIN_WORDS`` words and more also has a block at its start and one at its
+end. Every start is taken, so blocks overlap, and each whole block of a copied passage is found in every copy, at any place and
+behind any text. Cuts are far enough apart that blocks of one text are similar only where one holds the other or both start alike.
 
 Equal paragraphs are one content, told once a task before the shuffle. Contents whose MinHash bands collide are verified by
 exact Jaccard similarity of their word shingles, and the links that hold make components. Nothing is told pairwise: the
@@ -11,7 +14,7 @@ different components are compared among themselves, a large bucket in pairs of c
 
 The first place of a component stays: smallest document id (absent ids last), then the earlier row, then the earlier word, then
 the shorter; all others are removals, but ``remove_repeats`` leaves those that overlap the first place itself. Null and empty
-texts, and lines with fewer than ``MIN_WORDS`` words, have no paragraph. Repeated rows repeat each other. Other columns are kept
+texts, and texts with fewer than ``MIN_WORDS`` words, have no paragraph. Repeated rows repeat each other. Other columns are kept
 by ``remove_repeats``, whatever their names.
 """
 
@@ -37,8 +40,21 @@ CHUNK = 4000
 #: Contents a task remembers in order to tell each once; it forgets them beyond that, which only repeats rows.
 REMEMBERED = 2_000_000
 _ENDS = np.isin(np.arange(256), np.frombuffer(b".!?", np.uint8))
-#: One word in so many ends a block in text without sentence marks.
-_CUT = 32
+#: Sentence marks beyond ASCII, which are part of the word before them.
+_WIDE_ENDS = np.array([int.from_bytes(c.encode(), "big") for c in "\u3002\uff01\uff1f\uff0e\uff61\u2026\u203c\u061f\u06d4\u0964\u0965\u0589\u1362"])
+#: Cuts are more than so many words apart.
+APART = 5
+
+
+def _cuts(value: np.ndarray, text: np.ndarray, n_texts: int, apart: int = APART) -> np.ndarray:
+    """Which words have a smaller value than the words around them in their text; of equal ones the first."""
+    place = np.arange(len(value)) + apart * (text + 1)
+    around = np.full(len(value) + apart * (n_texts + 1), np.iinfo(np.uint64).max, np.uint64)
+    around[place] = value
+    least = np.ones(len(value), bool)
+    for k in range(1, apart + 1):
+        least &= (value < around[place - k]) & (value <= around[place + k])
+    return least
 
 
 def blocks_of(texts: pa.Array, min_words: int = MIN_WORDS):
@@ -52,21 +68,37 @@ def blocks_of(texts: pa.Array, min_words: int = MIN_WORDS):
     data = found.data
     newline = np.concatenate(([0], np.cumsum(data == 0x0A)))
     text = found.text_of
-    after = np.append(data, 0x20)[found.end]
-    last_of_line = np.ones(n, bool)
-    last_of_line[:-1] = (newline[found.start[1:]] > newline[found.end[:-1]]) | (text[1:] != text[:-1])
-    ends = last_of_line | _ENDS[after] | (hashed % np.uint64(_CUT) == 0)
+    last = np.append(text[1:] != text[:-1], True)
+    breaks = np.append(newline[found.start[1:]] - newline[found.end[:-1]], 0)
+    letter = np.zeros(n, np.int64)
+    for k in (3, 2, 1):
+        letter = letter << 8 | data[np.maximum(found.end - k, 0)]
+    marked = _ENDS[np.append(data, 0x20)[found.end]] | np.isin(letter, _WIDE_ENDS) | np.isin(letter & 0xFFFF, _WIDE_ENDS) | (breaks > 1)
+    value = hashed >> np.uint64(1) | (~marked).astype(np.uint64) << np.uint64(63)
+    ends = last | _cuts(value, text, len(found.counts))
     begins = np.concatenate(([True], ends[:-1]))
-    line_end = np.flatnonzero(last_of_line) + 1
-    start = np.flatnonzero(begins)
-    limit = line_end[np.searchsorted(line_end, start, side="right")]
-    stops = np.flatnonzero(ends) + 1
-    at = np.searchsorted(stops, start + min_words)
-    whole = at < len(stops)
-    start, limit, at = start[whole], limit[whole], at[whole]
-    stop = stops[at]
-    whole = stop <= limit
-    return found, hashed, start[whole], stop[whole]
+    text_end = found.first[1:][text]
+
+    def stops_of(start: np.ndarray) -> np.ndarray:
+        """Past the last word of the fewest stretches from there; beyond the text where they are too few."""
+        at = np.searchsorted(stops, start + min_words)
+        return np.append(stops, n + 1)[at]
+
+    stops, start = np.flatnonzero(ends) + 1, np.flatnonzero(begins)
+    stop = stops_of(start)
+    whole = stop <= text_end[start]
+    start, stop = start[whole], stop[whole]
+    # the first and the last block of a line
+    line_end = np.flatnonzero(last | (breaks > 0)) + 1
+    line = np.concatenate(([0], line_end[:-1]))
+    long = line_end - line >= min_words
+    line, line_end = line[long], line_end[long]
+    opened = np.append(np.flatnonzero(begins), n)
+    back = np.maximum(opened[np.searchsorted(opened, line_end - min_words, side="right") - 1], line)
+    start = np.concatenate((start, line, back))
+    stop = np.concatenate((stop, np.minimum(stops_of(line), line_end), line_end))
+    both = np.unique(start * (n + 1) + stop)
+    return found, hashed, both // (n + 1), both % (n + 1)
 
 
 def tune_bands(similarity: float = SIMILARITY, recall: float = RECALL, rows: int = 2) -> tuple[int, int]:

@@ -48,6 +48,30 @@ def test_every_block_start_is_taken():
     assert starts >= set(range(0, 99, 9))
 
 
+def wrapped(t, width):
+    w = t.split()
+    return "\n".join(" ".join(w[i:i + width]) for i in range(0, len(w), width))
+
+
+@pytest.mark.parametrize("marks", [".", "", "\u3002", "\u061f"])
+def test_passages_in_short_lines_and_without_marks(marks):
+    rng = random.Random(5)
+    for _ in range(50):
+        p = " ".join(f"{sentence(rng, 10).rstrip('.')}{marks}" for _ in range(6))
+        a, b = (f"{text(rng, 2)} cut off in {wrapped(p, n)} and on it goes {text(rng, 1)}" for n in (7, 11))
+        shared = set(blocks(a).values()) & set(blocks(b).values())
+        assert shared and any(s in " ".join(P.words(pa.array([p]), P.ALNUM, fold=True).dictionary.cast(pa.string()).to_pylist()) for s in shared)
+
+
+def test_cuts_do_not_depend_on_other_texts():
+    rng = random.Random(6)
+    texts = [text(rng, 2) for _ in range(20)] + ["", "a b", "one word " * 40]
+    found, _, start, stop = P.blocks_of(pa.array(texts, pa.string()))
+    of, at = found.text_of[start], start - found.first[found.text_of[start]]
+    for i, t in enumerate(texts):
+        assert set(zip(at[of == i].tolist(), (stop - start)[of == i].tolist(), strict=True)) == set(blocks(t))
+
+
 def corpus(seed):
     rng = random.Random(seed)
     shared = [passage(rng) for _ in range(4)]
