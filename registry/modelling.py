@@ -142,29 +142,53 @@ def permutation_importance(spark, sf):
     return tidy(baseline.permutation_importance(rows, ["entity", "d"], inputs, forecast, "target", _GROUP_ROWS), 3)
 
 
-@query("B27_tree_importance", "SELECT 12 AS n_inputs, true AS unused_add_nothing, true AS errors_known".replace("12", "CAST(12 AS BIGINT)"))
-def tree_importance(spark, sf):
-    """Importance of features of the tree baseline on the test samples: all steps of a feature move together. A feature that no
-    tree splits on must add exactly nothing."""
+_CHECKED, _AT_ONCE = 12, 12
+
+
+def _tree_importance(spark, sf, chosen: list[str]):
+    """``column, rmse, increase`` of features of the tree baseline on the test samples: all steps of a feature move together."""
     samples, model = _trees(spark, sf)
     names = model_ready(spark, sf)[1]
-    chosen, width = names[:12], len(names)
+    width, place = len(names), [names.index(n) for n in chosen]
     steps = F.sequence(F.lit(0), F.lit(29))
     wide = samples.where("split = 'test'").select("entity", "input_end", "y", "flat", *[
-        F.transform(steps, lambda s, f=f: F.get("flat", s * width + f)).alias(f"own_{n}") for f, n in enumerate(chosen)])
+        F.transform(steps, lambda s, f=f: F.get("flat", s * width + f)).alias(f"own_{n}") for f, n in zip(place, chosen, strict=True)])
+    first = F.array(*[F.lit(chosen.index(n) if n in chosen else None).cast("int") for n in names])
 
     def forecast(df):
         own = F.array(*[F.col(f"own_{n}") for n in chosen])
 
         def cell(v, i):
-            feature, step = i % width, F.floor(i / width).cast("int")
-            return F.when((feature < len(chosen)) & (step < 30), F.get(F.get(own, feature), step)).otherwise(v)
+            feature, step = F.get(first, (i % width).cast("int")), F.floor(i / width).cast("int")
+            return F.when(feature.isNotNull() & (step < 30), F.get(F.get(own, feature), step)).otherwise(v)
 
         return baseline.predict(model, df.withColumn("flat", F.transform("flat", cell)))
 
-    found = baseline.permutation_importance(wide, ["entity", "input_end"], {n: [f"own_{n}"] for n in chosen}, forecast, "y")
-    weights = model.featureImportances
-    unused = [n for f, n in enumerate(chosen) if not any(weights[s * width + f] for s in range(30))]
+    return baseline.permutation_importance(wide, ["entity", "input_end"], {n: [f"own_{n}"] for n in chosen}, forecast, "y")
+
+
+def _unused(spark, sf) -> list[str]:
+    """Features that no tree splits on at any step."""
+    weights, names = _trees(spark, sf)[1].featureImportances, model_ready(spark, sf)[1]
+    return [n for f, n in enumerate(names) if not any(weights[s * len(names) + f] for s in range(30))]
+
+
+@query("B27_tree_importance", "SELECT 12 AS n_inputs, true AS unused_add_nothing, true AS errors_known".replace("12", "CAST(12 AS BIGINT)"))
+def tree_importance(spark, sf):
+    """The first features only, as its SQL counts them; ``B27_tree_importance_by_feature`` has all. A feature that no tree splits
+    on must add exactly nothing."""
+    found = _tree_importance(spark, sf, model_ready(spark, sf)[1][:_CHECKED])
     return found.agg(F.count("*").alias("n_inputs"),
-                     F.coalesce(F.bool_and(F.when(F.col("column").isin(unused), F.abs("increase") < 1e-9)), F.lit(True)).alias("unused_add_nothing"),
+                     F.coalesce(F.bool_and(F.when(F.col("column").isin(_unused(spark, sf)), F.abs("increase") < 1e-9)), F.lit(True)).alias("unused_add_nothing"),
                      F.bool_and(F.col("rmse").isNotNull() & ~F.isnan("rmse")).alias("errors_known"))
+
+
+@query("B27_tree_importance_by_feature")
+def tree_importance_by_feature(spark, sf):
+    """Every feature of the tree baseline, some at a time to keep plans small, each row being one feature."""
+    names = model_ready(spark, sf)[1]
+    parts = [pin(_tree_importance(spark, sf, names[i:i + _AT_ONCE])) for i in range(0, len(names), _AT_ONCE)]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out.select(F.col("column").alias("feature"), "rmse", "increase")
