@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from longspan.llm import bpe, decontaminate, langid, licenses, lineruns, pagediff, passages, quality, simhash, warc
+from pyspark.sql import functions as F
+
+from longspan.llm import bpe, decontaminate, langid, licenses, lineruns, negatives, pagediff, passages, quality, simhash, topk, warc
 from longspan.llm.register import ORACLES, QUERIES, query, table
 
 #: Vocabulary file of the encoding operator.
@@ -13,6 +15,16 @@ _FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghij
 _WORDS = rf"regexp_extract_all({_FOLD}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 
+
+def _vectors(scale: int, more: str = "", where: str = "true") -> str:
+    """Rows of ``embeddings`` that take part, their components scaled and floored to whole numbers."""
+    return f"""v AS (SELECT row_number() OVER () AS r, vec_id{more}, list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND {where})"""
+
+
+_PRODUCT = "CAST(coalesce(list_sum(list_transform(range(1, least(len(q.e), len(c.e)) + 1), lambda i: q.e[i] * c.e[i])), 0) AS BIGINT)"
+
+
 @query("op5_benchmark_decontamination", f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
 i AS (SELECT row_number() OVER () AS r, item_id, {_WORDS} AS w FROM benchmark),
@@ -82,4 +94,27 @@ def simhash_near_dedup(spark, sf):
     return simhash.near_duplicates(table(spark, sf, "documents"))
 
 
+@query("op11_hard_negatives", f"""
+WITH {_vectors(256, ", CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label", "label IS NOT NULL")},
+s AS (SELECT q.r, q.vec_id AS anchor_id, c.r AS c, c.vec_id, c.label = q.label AS same, {_PRODUCT} AS score
+  FROM v AS q, v AS c WHERE q.vec_id % 50 = 0 AND q.r <> c.r),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST, c) <= 5),
+n AS (SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+  row_number() OVER (PARTITION BY p.r, p.c ORDER BY s.score DESC, s.vec_id NULLS LAST, s.c) AS rank
+  FROM p JOIN s ON p.r = s.r WHERE NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3""")
+def hard_negatives(spark, sf):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, sf, "embeddings"), label=label)
+
+
+@query("op13_exact_topk", f"""
+WITH {_vectors(64)},
+s AS (SELECT q.r, q.vec_id AS query_id, c.r AS c, c.vec_id, {_PRODUCT} AS score FROM v AS q, v AS c WHERE q.vec_id % 20 = 0 AND q.r <> c.r)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST, c) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST, c) <= 20""")
+def exact_topk(spark, sf):
+    return topk.top_products(table(spark, sf, "embeddings"))
+
+
 __all__ = ["ORACLES", "QUERIES"]
