@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from longspan.llm import bpe, decontaminate, langid, licenses, lineruns, negatives, pagediff, passages, quality, simhash, topk, warc
+from longspan.llm import bpe, collocations, decontaminate, langid, licenses, lineruns, negatives, pagediff, passages, quality, simhash, topk, warc
 from longspan.llm.register import ORACLES, QUERIES, query, table
 
 #: Vocabulary file of the encoding operator.
@@ -108,6 +108,28 @@ def hard_negatives(spark, sf):
     return negatives.hard_negatives(table(spark, sf, "embeddings"), label=label)
 
 
+@query("op12_phrase_collocations", f"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, 'und') AS lang, {_FOLD} AS t FROM documents),
+p AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w, row_number() OVER () AS piece
+  FROM (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM d)),
+f AS (SELECT lang, s, m, count(*) AS f FROM (SELECT lang, m, array_to_string(w[k:k + m - 1], ' ') AS s
+    FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS k FROM p, (SELECT unnest(range(1, 5)) AS m) WHERE len(w) >= m))
+  GROUP BY ALL HAVING count(*) >= 30),
+n AS (SELECT lang, sum(len(w)) AS n FROM p GROUP BY lang),
+c AS (SELECT lang, s, m, f AS a, string_split(s, ' ') AS w FROM f WHERE m > 1),
+cut AS (SELECT c.lang, c.s, c.a, k, l.f AS l, r.f AS r, CAST((CAST(2000000 AS HUGEINT) * c.a) // (l.f + r.f) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM c) AS c
+  JOIN f AS l ON l.lang = c.lang AND l.s = array_to_string(c.w[1:k], ' ') JOIN f AS r ON r.lang = c.lang AND r.s = array_to_string(c.w[k + 1:], ' ')),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, s ORDER BY score, k) = 1),
+inner_ AS (SELECT lang, array_to_string(w[q:q + size - 1], ' ') AS s, max(a) AS longer
+  FROM (SELECT *, unnest(range(1, m - size + 2)) AS q FROM (SELECT *, unnest(range(2, m)) AS size FROM c)) GROUP BY ALL),
+kept AS (SELECT best.* FROM best LEFT JOIN inner_ USING (lang, s) WHERE longer IS NULL OR 100 * CAST(longer AS HUGEINT) < 80 * CAST(a AS HUGEINT)),
+top AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, s) AS rank FROM kept QUALIFY rank <= 2000)
+SELECT lang, rank, s AS phrase, a, l, r, CAST(n AS BIGINT) AS n, score FROM top JOIN n USING (lang)""")
+def phrase_collocations(spark, sf):
+    return collocations.collocations(table(spark, sf, "documents"))
+
+
 @query("op13_exact_topk", f"""
 WITH {_vectors(64)},
 s AS (SELECT q.r, q.vec_id AS query_id, c.r AS c, c.vec_id, {_PRODUCT} AS score FROM v AS q, v AS c WHERE q.vec_id % 20 = 0 AND q.r <> c.r)
