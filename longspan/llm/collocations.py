@@ -8,8 +8,8 @@ after it is again a cell of a matrix: the same step counts phrases of three word
 frequent than its parts, so only frequent parts are extended.
 
 What moves is counted in its block first. A busy tile has a row from each block, so tiles are added up in groups of blocks before
-they meet. Numbers are brought back to the blocks by joins on the block's own different words and pairs, so no vocabulary is ever
-held by a task or the driver.
+they meet. Numbers of tokens and phrases come back to the blocks in a broadcast while they are few, which is counted; else by joins
+on the block's own different words and pairs, so that no task or driver holds a larger table. Both ways give the same numbers.
 
 A null text has no words, a null language is ``und``. Repeated rows count each time. Blocks hold whole texts, however long; an
 empty table gives no rows. Ties are broken down to the phrase, which is unique in its language. Other columns play no part.
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from longspan.llm.vectors import numbered
-from longspan.llm.words import FOLD, map_batches, mix, raw_bytes, slices, spans
+from longspan.llm.words import FOLD, batches_of, map_batches, mix, raw_bytes, slices, spans
 from longspan.session import pin
 
 #: Least count of a phrase, most words, results of a language, factor of the score, share of a longer phrase that replaces a shorter.
@@ -31,7 +31,11 @@ LEAST, LONGEST, BEST, FACTOR, SHARE = 30, 4, 2000, 2_000_000, 80
 #: Cells on a side of a tile, and tiles on a side of the dense corner.
 TILE, CORNER = 1024, 4
 #: Sparse entries that one task counts at a time, bytes of text in a block, vocabulary rows of a task.
-SPARSE_ROWS, BLOCK_BYTES, VOCABULARY_ROWS = 1 << 21, 8 << 20, 1 << 18
+SPARSE_ROWS, BLOCK_BYTES, VOCABULARY_ROWS = 1 << 20, 1 << 20, 1 << 18
+#: Numbers that are sent to all tasks at once, in rows and in bytes of words; beyond that they come by joins.
+LOOKUP_ROWS, LOOKUP_BYTES = 1 << 20, 32 << 20
+#: Bytes of packed rows that go to a task's Python worker at a time.
+BATCH_BYTES = 4 << 20
 UNKNOWN = "und"
 
 _BYTES = np.arange(256)
@@ -40,6 +44,18 @@ ENDS = np.isin(_BYTES, np.frombuffer(b".,;:!?\n\x0b\x0c\r", np.uint8))
 INSIDE = ~(ENDS | (_BYTES == 0x20) | (_BYTES == 0x09))
 
 
+def pack(x: np.ndarray) -> bytes:
+    """Whole numbers from -1 on in as few bytes each as the greatest needs, told by the first byte."""
+    x = x + 1
+    x = x.astype(np.min_scalar_type(int(x.max(initial=0))))
+    return bytes([x.itemsize]) + x.tobytes()
+
+
+def unpack(data) -> np.ndarray:
+    size = memoryview(data)[0]
+    return np.frombuffer(data, f"u{size}", offset=1).astype(np.int64) - 1
+
+
 def pieces(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """The different words of some texts, and the texts as places of words with -1 between two pieces."""
     data, offsets = raw_bytes(texts)
@@ -47,7 +63,7 @@ def pieces(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     start, end, first = spans(data, offsets, INSIDE)
     encoded = slices(data[INSIDE[data]], end - start).dictionary_encode()
     ids = np.asarray(encoded.indices).astype(np.int64)
-    closed = np.cumsum(ENDS[data], dtype=np.int64)
+    closed = np.cumsum(ENDS[data], dtype=np.int32 if len(data) < 1 << 31 else np.int64)
     new = np.zeros(len(start), bool)  # words that begin a piece
     new[1:] = closed[start[1:]] != closed[start[:-1]]
     new[first[:-1][first[:-1] < len(start)]] = True
@@ -57,7 +73,7 @@ def pieces(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
 
 def _blocks(docs: DataFrame, text: str, lang: str) -> DataFrame:
-    """``block, lang, words, counts, sequence``: texts of one language and about ``BLOCK_BYTES``."""
+    """``block, lang, words, counts, sequence, n_words``: texts of one language and about ``BLOCK_BYTES``."""
     source = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN)).alias("lang"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
 
     def one(lang: str, texts: list[pa.Array]):
@@ -66,7 +82,7 @@ def _blocks(docs: DataFrame, text: str, lang: str) -> DataFrame:
         listed = pa.array([0, len(words)], pa.int32())
         return pa.RecordBatch.from_arrays(
             [pa.array([lang]), pa.ListArray.from_arrays(listed, words.cast(pa.binary())), pa.ListArray.from_arrays(listed, pa.array(counts)),
-             pa.array([sequence.astype(np.int32).tobytes()], pa.binary())], names=["lang", "words", "counts", "sequence"])
+             pa.array([pack(sequence)], pa.binary()), pa.array([int((sequence >= 0).sum())])], names=["lang", "words", "counts", "sequence", "n_words"])
 
     def run(batches):
         held: dict[str, list] = {}
@@ -94,7 +110,7 @@ def _blocks(docs: DataFrame, text: str, lang: str) -> DataFrame:
         for lang, texts in held.items():
             yield one(lang, texts)
 
-    rows = map_batches(source, run, "lang string, words array<binary>, counts array<bigint>, sequence binary")
+    rows = map_batches(source, run, "lang string, words array<binary>, counts array<bigint>, sequence binary, n_words bigint")
     return rows.withColumn("block", F.monotonically_increasing_id())
 
 
@@ -148,24 +164,25 @@ class Tally:
         return self.parts[0]
 
 
-_PARTIAL = "cell bigint, block bigint, n bigint, pairs binary"
+_PARTIAL = "cell bigint, block bigint, rows binary, columns binary, counts binary"
 
 
-def _partial(cell: int, block: int, rows: np.ndarray, columns: np.ndarray, *more: np.ndarray) -> pa.RecordBatch:
-    data = b"".join(np.ascontiguousarray(x, np.int64).tobytes() for x in (rows, columns, *more))
-    return pa.RecordBatch.from_arrays([pa.array([cell]), pa.array([block]), pa.array([len(rows)]), pa.array([data], pa.binary())],
-                                      names=["cell", "block", "n", "pairs"])
+def _partial(cell: int, block: int, rows: np.ndarray, columns: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    """Triples of a cell in one row; the pairs' first numbers are in order and told by their steps."""
+    order = np.argsort(rows, kind="stable")
+    steps = np.diff(rows[order], prepend=0)
+    cells = [pa.array([pack(x)], pa.binary()) for x in (steps, columns[order], counts[order])]
+    return pa.RecordBatch.from_arrays([pa.array([cell]), pa.array([block]), *cells], names=["cell", "block", "rows", "columns", "counts"])
 
 
-def _read(batch: pa.RecordBatch, k: int, parts: int) -> list[np.ndarray]:
-    n = batch.column("n")[k].as_py()
-    return list(np.frombuffer(batch.column("pairs")[k].as_buffer(), np.int64).reshape(parts, n))
+def _read(batch: pa.RecordBatch, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    steps, columns, counts = (unpack(batch.column(c)[k].as_buffer()) for c in ("rows", "columns", "counts"))
+    return np.cumsum(steps), columns, counts
 
 
 def _pairs_of(block: pa.RecordBatch, k: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Places where a frequent phrase of ``width`` words is followed by a frequent word and its own end by that word, and both numbers."""
-    heads = np.frombuffer(block.column("heads")[k].as_buffer(), np.int64)
-    tokens = np.frombuffer(block.column("tokens")[k].as_buffer(), np.int64)
+    heads, tokens = (unpack(block.column(c)[k].as_buffer()) for c in ("heads", "tokens"))
     n = max(0, len(tokens) - width)
     at = np.flatnonzero((heads[:n] >= 0) & (heads[1:n + 1] >= 0) & (tokens[width:width + n] >= 0))
     return at, heads[at], tokens[at + width]
@@ -186,15 +203,15 @@ def _count_blocks(blocks: DataFrame, width: int, buckets: int) -> DataFrame:
     return map_batches(blocks.select("block", "heads", "tokens"), run, _PARTIAL)
 
 
-def _add_up(partial: DataFrame, group: list, least: int) -> DataFrame:
-    """Partial counts of each group in one row, from ``least`` on. Rows come sorted by group."""
+def _add_up(partial: DataFrame, group, least_of_tiles: int = 0) -> DataFrame:
+    """Partial counts of each cell and group in one row. Those of buckets are whole, so only the frequent ones go on."""
     def run(batches):
         key = tally = None
 
         def done():
             if tally is not None:
                 rows, columns, counts = tally.result()
-                good = counts >= least
+                good = counts >= (least_of_tiles if key[0] >= 0 else LEAST)
                 if good.any():
                     yield _partial(key[0], key[1], rows[good], columns[good], counts[good])
 
@@ -204,29 +221,50 @@ def _add_up(partial: DataFrame, group: list, least: int) -> DataFrame:
                 if now != key:
                     yield from done()
                     key, tally = now, Tally(now[0])
-                tally.add(*_read(batch, k, 3))
+                tally.add(*_read(batch, k))
         yield from done()
 
-    return map_batches(partial.select("cell", *group, "n", "pairs").repartition("cell", "block").sortWithinPartitions("cell", "block"), run, _PARTIAL)
+    return map_batches(partial.select("cell", group, "rows", "columns", "counts").repartition("cell", "block").sortWithinPartitions("cell", "block"), run, _PARTIAL)
 
 
-def _frequent(blocks: DataFrame, n_blocks: int, width: int, buckets: int) -> tuple[DataFrame, DataFrame]:
-    """The blocks' own pairs, and ``head, token, f`` of the frequent ones."""
-    partial = pin(_count_blocks(blocks, width, buckets))
+def _frequent(blocks: DataFrame, n_blocks: int, width: int, buckets: int) -> DataFrame:
+    """``head, token, f`` of the frequent pairs."""
     # A tile of the corner has a row from every block: these are added up in groups of about as many blocks as there are groups.
-    groups = max(1, round(n_blocks ** 0.5))
-    tiles = _add_up(partial.where("cell >= 0"), [F.pmod(F.xxhash64("block"), F.lit(groups)).alias("block")], 0)
-    whole = _add_up(tiles.unionByName(partial.where("cell < 0")), [F.lit(0).cast("bigint").alias("block")], LEAST)
+    salt = F.when(F.col("cell") >= 0, F.pmod(F.xxhash64("block"), F.lit(max(1, round(n_blocks ** 0.5))))).otherwise(0).alias("block")
+    first = pin(_add_up(_count_blocks(blocks, width, buckets), salt))
+    # Written before they are unpacked: a task needs one Python worker at a time.
+    tiles = pin(_add_up(first.where("cell >= 0"), F.lit(0).cast("bigint").alias("block"), LEAST))
+    whole = first.where("cell < 0").unionByName(tiles)
+
+    def run(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in _read(batch, k)], names=["head", "token", "f"])
+
+    return map_batches(whole, run, "head bigint, token bigint, f bigint")
+
+
+def _near_heads(blocks: DataFrame, frequent: DataFrame, width: int) -> DataFrame:
+    """As ``_next_heads``, with all numbers in a broadcast."""
+    table = frequent.select("head", "token", "id").toArrow()
+    known, ids, _ = _keyed(*(table.column(c).to_numpy() for c in ("head", "token", "id")))
+    sent = blocks.sparkSession.sparkContext.broadcast((known, ids))
 
     def run(batches):
+        known, ids = sent.value
         for batch in batches:
             for k in range(batch.num_rows):
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in _read(batch, k, 3)], names=["head", "token", "f"])
+                places, rows, columns = _pairs_of(batch, k, width)
+                at = find_pairs(known, rows, columns)
+                heads = np.full(len(unpack(batch.column("tokens")[k].as_buffer())), -1, np.int64)
+                heads[places[at >= 0]] = ids[at[at >= 0]]
+                yield pa.RecordBatch.from_arrays([batch.column("block").slice(k, 1), pa.array([pack(heads)], pa.binary()), batch.column("tokens").slice(k, 1)],
+                                                 names=["block", "heads", "tokens"])
 
-    return partial, map_batches(whole, run, "head bigint, token bigint, f bigint")
+    return map_batches(blocks.select("block", "heads", "tokens"), run, "block bigint, heads binary, tokens binary")
 
 
-def _next_heads(blocks: DataFrame, partial: DataFrame, frequent: DataFrame, width: int, buckets: int, n_blocks: int) -> DataFrame:
+def _next_heads(blocks: DataFrame, frequent: DataFrame, width: int, buckets: int, n_blocks: int) -> DataFrame:
     """The blocks with the number of the frequent phrase of ``width + 1`` words at each place as ``heads``.
 
     A cell's numbers go to each group of its blocks, meet the blocks' own pairs there, and return to the blocks.
@@ -242,9 +280,9 @@ def _next_heads(blocks: DataFrame, partial: DataFrame, frequent: DataFrame, widt
                 yield _partial(int(c), -1, rows[at], columns[at], ids[at])
 
     salt = F.pmod(F.xxhash64("block"), F.lit(groups))
-    own = partial.select("cell", salt.alias("salt"), "block", "n", "pairs")
+    own = _count_blocks(blocks, width, buckets).select("cell", salt.alias("salt"), "block", "rows", "columns", F.lit(bytes([1])).alias("counts"))
     known = map_batches(frequent.select("head", "token", "id"), by_cell, _PARTIAL).select(
-        "cell", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)).cast("array<bigint>")).alias("salt"), "block", "n", "pairs")
+        "cell", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)).cast("array<bigint>")).alias("salt"), "block", "rows", "columns", "counts")
     rows = known.unionByName(own).repartition("cell", "salt").sortWithinPartitions("cell", "salt", "block")
 
     def look_up(batches):
@@ -256,14 +294,14 @@ def _next_heads(blocks: DataFrame, partial: DataFrame, frequent: DataFrame, widt
                     key, parts, table = now, [], None
                 block = batch.column("block")[k].as_py()
                 if block < 0:
-                    parts.append(_read(batch, k, 3))
+                    parts.append(_read(batch, k))
                     continue
                 if not parts:
                     continue
                 if table is None:
                     known, ids, _ = _keyed(*(np.concatenate(x) for x in zip(*parts, strict=True)))
                     table = known, ids
-                rows, columns, _ = _read(batch, k, 3)
+                rows, columns, _ = _read(batch, k)
                 at = find_pairs(table[0], rows, columns)
                 good = at >= 0
                 if good.any():
@@ -274,14 +312,14 @@ def _next_heads(blocks: DataFrame, partial: DataFrame, frequent: DataFrame, widt
 
         def done():
             if held is not None:
-                heads = np.full(len(np.frombuffer(held[1], np.int64)), -1, np.int64)
+                heads = np.full(len(unpack(held[1])), -1, np.int64)
                 if parts:
                     known, ids, _ = _keyed(*(np.concatenate(x) for x in zip(*parts, strict=True)))
                     batch = pa.RecordBatch.from_arrays([pa.array([held[2]], pa.binary()), pa.array([held[1]], pa.binary())], names=["heads", "tokens"])
                     places, rows, columns = _pairs_of(batch, 0, width)
                     at = find_pairs(known, rows, columns)
                     heads[places[at >= 0]] = ids[at[at >= 0]]
-                yield pa.RecordBatch.from_arrays([pa.array([held[0]]), pa.array([heads.tobytes()], pa.binary()), pa.array([held[1]], pa.binary())],
+                yield pa.RecordBatch.from_arrays([pa.array([held[0]]), pa.array([pack(heads)], pa.binary()), pa.array([held[1]], pa.binary())],
                                                  names=["block", "heads", "tokens"])
 
         for batch in batches:
@@ -291,12 +329,12 @@ def _next_heads(blocks: DataFrame, partial: DataFrame, frequent: DataFrame, widt
                     yield from done()
                     held, parts = (block, batch.column("tokens")[k].as_py(), batch.column("heads")[k].as_py()), []
                 else:
-                    parts.append(_read(batch, k, 3))
+                    parts.append(_read(batch, k))
         yield from done()
 
     absent = F.lit(None).cast("binary")
     found = map_batches(rows, look_up, _PARTIAL).select("*", absent.alias("heads"), absent.alias("tokens"))
-    texts = blocks.select(F.lit(None).cast("bigint").alias("cell"), "block", F.lit(0).cast("bigint").alias("n"), absent.alias("pairs"), "heads", "tokens")
+    texts = blocks.select(F.lit(None).cast("bigint").alias("cell"), "block", *[absent.alias(c) for c in ("rows", "columns", "counts")], "heads", "tokens")
     both = texts.unionByName(found).repartition("block").sortWithinPartitions("block", F.col("cell").asc_nulls_first())
     return map_batches(both, fill, "block bigint, heads binary, tokens binary")
 
@@ -308,15 +346,18 @@ def _keyed(rows: np.ndarray, columns: np.ndarray, ids: np.ndarray):
 
 
 def find_pairs(known: tuple[np.ndarray, np.ndarray], rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
-    """Place of each pair among ordered ones, or -1: all pairs are put in one order, in which equal ones stand together."""
-    n = len(known[0])
-    r, c = np.concatenate((known[0], rows)), np.concatenate((known[1], columns))
-    order = np.lexsort((np.arange(len(r)) >= n, c, r))
-    new = np.concatenate(([True], (np.diff(r[order]) != 0) | (np.diff(c[order]) != 0))) if len(order) else np.zeros(0, bool)
-    first = order[np.flatnonzero(new)][np.cumsum(new) - 1]
-    out = np.empty(len(r), np.int64)
-    out[order] = np.where(first < n, first, -1)
-    return out[n:]
+    """Place of each pair among ordered ones, or -1."""
+    if not len(known[0]) or not len(rows):
+        return np.full(len(rows), -1, np.int64)
+    span = int(max(known[1].max(), columns.max())) + 1
+    if (int(max(known[0].max(), rows.max())) + 1) * span >= 2 ** 63:  # too large for one number: the first numbers are renumbered
+        names = np.unique(known[0])
+        at = np.minimum(np.searchsorted(names, rows), len(names) - 1)
+        out = find_pairs((np.searchsorted(names, known[0]), known[1]), at, columns)
+        return np.where(names[at] == rows, out, -1)
+    keys, wanted = known[0] * span + known[1], rows * span + columns
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[at] == wanted, at, -1)
 
 
 def _ranked(table: DataFrame, order: list[str]) -> DataFrame:
@@ -333,53 +374,95 @@ def _vocabulary(blocks: DataFrame, least: int) -> tuple[DataFrame, DataFrame, Da
     return entries, pin(_ranked(pin(counts.where(F.col("f") >= least)), ["lang", "word"])), totals
 
 
-def _tokens(blocks: DataFrame, entries: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """``block, heads, tokens``: the sequences as numbers of frequent tokens, -1 elsewhere."""
-    known = entries.join(vocabulary.select("lang", "word", "id"), ["lang", "word"]).groupBy("block").agg(
-        F.collect_list(F.struct("at", "id")).alias("known"))
-    rows = blocks.select("block", "sequence").join(known, "block", "left").select("block", "sequence", F.col("known.at").alias("at"), F.col("known.id").alias("id"))
+def _near_tokens(blocks: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """As ``_tokens``, with the vocabulary in a broadcast."""
+    table = vocabulary.select("lang", "word", "id").toArrow()
+    langs, ids = np.array(table.column("lang").to_pylist(), object), table.column("id").to_numpy()
+    words = table.column("word").combine_chunks().cast(pa.binary())
+    of = {lang: np.flatnonzero(langs == lang) for lang in set(langs)}
+    sent = blocks.sparkSession.sparkContext.broadcast({lang: (words.take(pa.array(at)), ids[at]) for lang, at in of.items()})
 
     def run(batches):
         for batch in batches:
             for k in range(batch.num_rows):
-                sequence = np.frombuffer(batch.column("sequence")[k].as_buffer(), np.int32)
+                own, sequence = batch.column("words")[k].values, unpack(batch.column("sequence")[k].as_buffer())
+                names = np.full(len(own) + 1, -1, np.int64)  # the last is for -1
+                if (known := sent.value.get(batch.column("lang")[k].as_py())) is not None:
+                    at = pa.compute.index_in(own.cast(pa.binary()), value_set=known[0])
+                    found = np.asarray(at.is_valid())
+                    names[:-1][found] = known[1][np.asarray(at.drop_null())]
+                tokens = pa.array([pack(names[sequence])], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column("block").slice(k, 1), tokens, tokens], names=["block", "heads", "tokens"])
+
+    return map_batches(blocks.select("block", "lang", "words", "sequence"), run, "block bigint, heads binary, tokens binary")
+
+
+def _tokens(blocks: DataFrame, entries: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """``block, heads, tokens``: the sequences as numbers of frequent tokens, -1 elsewhere."""
+    known = entries.join(vocabulary.select("lang", "word", "id"), ["lang", "word"]).select("block", "at", "id", F.lit(None).cast("binary").alias("sequence"))
+    texts = blocks.select("block", F.lit(-1).alias("at"), F.lit(-1).cast("bigint").alias("id"), "sequence")
+    rows = texts.unionByName(known).repartition("block").sortWithinPartitions("block", "at")
+
+    def run(batches):
+        held, parts = None, []
+
+        def done():
+            if held is not None:
+                sequence = unpack(held[1])
                 names = np.full(int(sequence.max(initial=-1)) + 2, -1, np.int64)  # the last is for -1
-                if batch.column("at")[k].is_valid:
-                    at, ids = (np.asarray(batch.column(c)[k].values) for c in ("at", "id"))
+                for at, ids in parts:
                     names[at] = ids
-                tokens = names[sequence].tobytes()
-                yield pa.RecordBatch.from_arrays([pa.array([batch.column("block")[k].as_py()]), pa.array([tokens], pa.binary()),
-                                                  pa.array([tokens], pa.binary())], names=["block", "heads", "tokens"])
+                tokens = pa.array([pack(names[sequence])], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array([held[0]]), tokens, tokens], names=["block", "heads", "tokens"])
+
+        for batch in batches:
+            at, ids = (np.array(batch.column(c)) for c in ("at", "id"))
+            for some in np.split(np.arange(len(at)), np.flatnonzero(at < 0)):
+                if len(some) and at[some[0]] < 0:
+                    yield from done()
+                    held, parts = (batch.column("block")[int(some[0])].as_py(), batch.column("sequence")[int(some[0])].as_py()), []
+                    some = some[1:]
+                parts.append((at[some], ids[some]))
+        yield from done()
 
     return map_batches(rows, run, "block bigint, heads binary, tokens binary")
 
 
-def phrase_counts(docs: DataFrame, *, text: str = "text", lang: str = "lang") -> tuple[DataFrame, DataFrame, DataFrame]:
+def phrase_counts(
+    docs: DataFrame, *, text: str = "text", lang: str = "lang", lookup_rows: int = LOOKUP_ROWS,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``words`` (token numbers), ``size`` and ``f`` of all frequent phrases of up to four words; the tokens; words of each language."""
+    with batches_of(docs.sparkSession, BATCH_BYTES):
+        return _phrase_counts(docs, text, lang, lookup_rows)
+
+
+def _phrase_counts(docs: DataFrame, text: str, lang: str, lookup_rows: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     blocks = pin(_blocks(docs, text, lang))
     entries, vocabulary, totals = _vocabulary(blocks, LEAST)
-    n_blocks, words = blocks.agg(F.count("*"), F.sum(F.length("sequence") / 4)).first()
+    n_blocks, words = blocks.agg(F.count("*"), F.sum("n_words")).first()
+    n_tokens, size = vocabulary.agg(F.count("*"), F.sum(F.length("word"))).first()
     buckets = max(1, -(-int(words or 0) // SPARSE_ROWS))
-    coded = pin(_tokens(blocks, entries, vocabulary))
+    near = n_tokens <= lookup_rows and (size or 0) <= LOOKUP_BYTES
+    coded = pin(_near_tokens(blocks, vocabulary) if near else _tokens(blocks, entries, vocabulary))
     phrases = vocabulary.select(F.array("id").alias("words"), F.col("id"), "f")
     all_ = [phrases]
     for width in range(1, LONGEST):
-        partial, frequent = _frequent(coded, n_blocks, width, buckets)
-        frequent = pin(_ranked(pin(frequent), ["head", "token"]))
+        frequent = pin(_ranked(pin(_frequent(coded, n_blocks, width, buckets)), ["head", "token"]))
         before = phrases.select(F.col("id").alias("head"), "words")
         phrases = pin(frequent.join(before, "head").select(F.concat("words", F.array("token")).alias("words"), "id", "f"))
         all_.append(phrases)
         if width + 1 < LONGEST:
-            coded = pin(_next_heads(coded, partial, frequent, width, buckets, n_blocks))
+            near = frequent.count() <= lookup_rows
+            coded = pin(_near_heads(coded, frequent, width) if near else _next_heads(coded, frequent, width, buckets, n_blocks))
     whole = all_[0]
     for more in all_[1:]:
         whole = whole.unionByName(more)
     return pin(whole.select("words", F.size("words").alias("size"), "f")), vocabulary, totals
 
 
-def collocations(docs: DataFrame, *, text: str = "text", lang: str = "lang", best: int = BEST) -> DataFrame:
+def collocations(docs: DataFrame, *, text: str = "text", lang: str = "lang", best: int = BEST, lookup_rows: int = LOOKUP_ROWS) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score`` of each language's best phrases of two to four words."""
-    phrases, vocabulary, totals = phrase_counts(docs, text=text, lang=lang)
+    phrases, vocabulary, totals = phrase_counts(docs, text=text, lang=lang, lookup_rows=lookup_rows)
     counts = phrases.select(F.col("words").alias("part"), F.col("f").alias("part_f"))
     cuts = phrases.where("size > 1").select("words", "size", F.col("f").alias("a"), F.explode(F.sequence(F.lit(1), F.col("size") - 1)).alias("k"))
     cuts = cuts.select("*", F.slice("words", F.lit(1), F.col("k")).alias("first"), F.slice("words", F.col("k") + 1, F.col("size") - F.col("k")).alias("rest"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from pathlib import Path
 
@@ -55,6 +56,18 @@ def map_batches(df: DataFrame, fn: Callable, schema: str | T.StructType) -> Data
     return df.mapInArrow(fn, schema)
 
 
+@contextmanager
+def batches_of(spark, max_bytes: int) -> Iterator[None]:
+    """Smaller Arrow batches for what is run inside: where rows are large, a batch of them would fill a task's memory."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(max_bytes))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def map_blocks(df: DataFrame, text: str, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | T.StructType,
                max_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``map_batches`` over blocks of bounded size; ``fn`` may return None for no rows."""

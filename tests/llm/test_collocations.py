@@ -47,10 +47,11 @@ def rows_of(seed=1, n=400):
     return rows + rows[:40] + [(None, None, "en", None, None, None), (1, "", None, 1, "", 1), (2, " ,. \n", "xx", 1, "", 1), (3, "in the end " * 5000, "fr", 1, "", 1)]
 
 
-@pytest.mark.parametrize("best", [2000, 5])
-def test_equals_plain_counting(spark, best):
+@pytest.mark.parametrize("best,lookup_rows", [(2000, 1 << 20), (5, 0)])
+def test_equals_plain_counting(spark, best, lookup_rows):
+    """With numbers in a broadcast and by joins."""
     rows = rows_of()
-    got = collocations.collocations(spark.createDataFrame(rows, SCHEMA).repartition(5), best=best)
+    got = collocations.collocations(spark.createDataFrame(rows, SCHEMA).repartition(5), best=best, lookup_rows=lookup_rows)
     want = plain(rows, best)
     assert sorted(tuple(r) for r in got.collect()) == want and len(want) > 8
     assert dict(got.dtypes)["rank"] == "bigint" and dict(got.dtypes)["score"] == "bigint"
@@ -97,3 +98,12 @@ def test_find_pairs():
     at = collocations.find_pairs(known, np.array([1, 3, 3, 2, 1]), np.array([9, 2, 3, 4, 9]))
     assert [None if x < 0 else ids[x] for x in at] == [71, 72, None, None, 71]
     assert collocations.find_pairs(known, np.zeros(0, int), np.zeros(0, int)).tolist() == []
+    large, _, _ = collocations._keyed(np.array([3 << 40, 1, 3 << 40]), np.array([4 << 40, 9, 2]), np.arange(3))
+    assert collocations.find_pairs(large, np.array([3 << 40, 5, 1]), np.array([4 << 40, 9, 9])).tolist() == [2, -1, 0]
+
+
+@pytest.mark.parametrize("top", [-1, 0, 254, 255, 70_000, 1 << 40])
+def test_packed_numbers_come_back(top):
+    x = np.array([-1, 0, top, 5])
+    assert collocations.unpack(collocations.pack(x)).tolist() == x.tolist()
+    assert collocations.unpack(collocations.pack(x[:0])).tolist() == []
