@@ -94,21 +94,73 @@ def unusable_steps(df: DataFrame, features: list[str]) -> DataFrame:
     return df.groupBy("split").agg(F.count_if(bad).alias("bad_value"))
 
 
-def written_counts(windows: DataFrame, cfg: SequenceConfig) -> dict[str, Column]:
-    """Aggregates over windows that say, as they are written, how many are broken; names as in ``integrity``."""
-    bad_target = F.col("y").isNull() | F.isnan("y") | F.col("y_scaled").isNull() | F.isnan("y_scaled")
-    return {
-        "n_windows": F.count("*"), "bad_length": F.count_if(F.size(STEPS) != cfg.lookback), "bad_target": F.count_if(bad_target),
-        "unobserved_target": F.count_if(~F.col("target_observed")),
-    }
-
-
 def dataset_summary(windows: DataFrame, cfg: SequenceConfig, features: list[str]) -> DataFrame:
     return windows.groupBy("split").agg(F.count("*").alias("n_samples")).select(
         "split", "n_samples", F.lit(cfg.lookback).alias("steps"), F.lit(len(features)).alias("width")
     )
 
 
+CHUNK_ROWS = 512  # rows of an entity that are stored together
+
+
+def sample_chunks(
+    df: DataFrame, spec: PanelSpec, cfg: SequenceConfig, features: list[str], chunk_rows: int = CHUNK_ROWS,
+) -> DataFrame:
+    """Samples without copies of their input: ``entity, split, chunk, steps, samples``.
+
+    An entity's rows are cut into chunks of positions. A chunk holds its rows' features once, and before them the rows that its
+    first samples look back on, as ``steps``; a sample is the place in ``steps`` at which its input begins, next to what
+    ``candidate_windows`` tells of it. A chunk with samples of two splits is stored once for each, cut to the steps it needs.
+    """
+    if chunk_rows < cfg.lookback:
+        raise ValueError("chunk_rows must reach the look-back")
+    e, back = col(spec.entity), cfg.lookback - 1
+
+    def chunk(shift: int) -> Column:
+        return F.floor((F.col(POS) - 1 + shift) / chunk_rows)
+
+    windows = keep_observed(candidate_windows(df, spec, cfg), cfg)
+    told = [c for c in windows.columns if c not in (spec.entity, "split")]
+    samples = windows.select(e, chunk(0).alias("chunk"), F.struct(POS, "split", *[c for c in told if c != POS]).alias("s")).groupBy(
+        e, "chunk").agg(F.sort_array(F.collect_list("s")).alias("_samples"))
+    step = F.array(*[col(c).cast("float") for c in features])
+    rows = df.select(e, POS, step.alias("step"), F.explode(F.sequence(chunk(0), chunk(back))).alias("chunk"))
+    steps = rows.groupBy(e, "chunk").agg(F.sort_array(F.collect_list(F.struct(POS, "step"))).alias("_steps"))
+    both = samples.join(steps, [spec.entity, "chunk"])
+    both = both.select("*", F.explode(F.array_distinct(F.transform("_samples", lambda s: s["split"]))).alias("split"))
+    both = both.withColumn("_own", F.filter("_samples", lambda s: s["split"].eqNullSafe(F.col("split"))))
+    first = F.get("_own", F.lit(0))[POS] - back
+    skipped = (first - F.get("_steps", F.lit(0))[POS]).cast("int")
+    length = (F.element_at("_own", -1)[POS] - first + 1).cast("int")
+    both = both.select(e, "split", "chunk", "_own", first.alias("_first"), F.slice(F.col("_steps.step"), skipped + 1, length).alias("steps"))
+    own = F.transform("_own", lambda s: F.struct((s[POS] - back - F.col("_first")).cast("int").alias("at"), *[s[c].alias(c) for c in told]))
+    return both.select(e, "split", "chunk", "steps", own.alias("samples"))
+
+
+def read_samples(chunks: DataFrame, spec: PanelSpec, cfg: SequenceConfig) -> DataFrame:
+    """The samples of ``sample_chunks`` with their input as ``x``: each a slice of its chunk's steps, taken as it is read."""
+    rows = chunks.select(col(spec.entity), "split", "steps", F.explode("samples").alias("s"))
+    told = [f.name for f in chunks.schema["samples"].dataType.elementType.fields if f.name != "at"]
+    return rows.select(col(spec.entity), *[F.col("s")[c].alias(c) for c in told], "split",
+                       F.slice("steps", F.col("s.at") + 1, F.lit(cfg.lookback)).alias(STEPS))
+
+
+def chunk_counts(cfg: SequenceConfig) -> dict[str, Column]:
+    """Aggregates over chunks that say, as they are written, how many of their samples are broken; names as in ``integrity``."""
+    def count(broken) -> Column:
+        return F.sum(F.size(F.filter("samples", broken)))
+
+    def unusable(v: Column) -> Column:
+        return v.isNull() | F.isnan(v)
+
+    return {
+        "n_windows": F.sum(F.size("samples")),
+        "bad_length": count(lambda s: (s["at"] < 0) | (s["at"] + cfg.lookback > F.size("steps"))),
+        "bad_target": count(lambda s: unusable(s["y"]) | unusable(s["y_scaled"])),
+        "unobserved_target": count(lambda s: ~s["target_observed"]),
+    }
+
+
 def flatten_samples(windows: DataFrame) -> DataFrame:
     """Tabular form of a window: all steps flattened, then the ``summary`` that ``candidate_windows`` attached."""
     flat = F.transform(F.flatten(STEPS), lambda v: v.cast("double"))

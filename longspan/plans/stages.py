@@ -115,7 +115,8 @@ def build_samples(
 ) -> Samples:
     """Preprocessed table to look-back samples, one directory per split.
 
-    Rows are checked before they are copied into windows, and the windows are counted as they are written.
+    Each row's features are stored about once, in chunks; the windows that come back are slices of them. Rows are checked before
+    that, and samples are counted as they are written.
     """
     scfg = scfg or SequenceConfig()
     prepared = files.read_panel(spark, prepared_path)
@@ -124,12 +125,11 @@ def build_samples(
         broken = {r["split"]: r["bad_value"] for r in sequences.unusable_steps(table, names).collect() if r["bad_value"]}
         if broken:
             raise ValueError(f"sample integrity violated: rows with null or infinite features {broken}")
-        windows = sequences.keep_observed(sequences.candidate_windows(table, spec, scfg, names), scfg)
-        counted = Observation("windows")
-        checks = [e.alias(n) for n, e in sequences.written_counts(windows, scfg).items()]
-        files.write_by_split(windows.observe(counted, *checks), out_path)
+        counted = Observation("samples")
+        checks = [e.alias(n) for n, e in sequences.chunk_counts(scfg).items()]
+        files.write_by_split(sequences.sample_chunks(table, spec, scfg, names).observe(counted, *checks), out_path)
         allowed = {"n_windows"} if scfg.filter_missing_targets else {"n_windows", "unobserved_target"}
         if problems := {n: k for n, k in counted.get.items() if k and n not in allowed}:
             raise ValueError(f"sample integrity violated: {problems}")
         files.save_params(spark, params, params_path)
-    return Samples(files.read_panel(spark, out_path), names, params)
+    return Samples(sequences.read_samples(files.read_panel(spark, out_path), spec, scfg), names, params)

@@ -91,9 +91,8 @@ def sample_sink(spark, sf):
     path = scratch_path(spark, "samples")
     data, names = model_ready(spark, sf)
     cfg = SequenceConfig()
-    windows = sequences.keep_observed(sequences.candidate_windows(data, SPEC, cfg, names), cfg)
-    files.write_by_split(windows, path)
-    return tidy(files.read_panel(spark, path).groupBy("split").agg(
+    files.write_by_split(sequences.sample_chunks(data, SPEC, cfg, names), path)
+    return tidy(sequences.read_samples(files.read_panel(spark, path), SPEC, cfg).groupBy("split").agg(
         F.count("*").alias("n"), F.sum(F.col("y").cast("double")).alias("y_sum"), F.sum(F.size("x")).alias("n_steps")), 1)
 
 
