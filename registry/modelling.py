@@ -50,10 +50,16 @@ def scenario_forecast(spark, sf):
 _SUMMARY_OF = ["scaled_qty_a", "scaled_price_a", "scaled_qty_n", "scaled_target"]
 
 
+def _samples(spark, sf):
+    """Look-back samples with their summary, as stored."""
+    def build():
+        data, names = model_ready(spark, sf)
+        return pin(sequences.keep_observed(sequences.candidate_windows(data, SPEC, CONTINUOUS, names, _SUMMARY_OF), CONTINUOUS))
+    return once(spark, sf, "samples", build)
+
+
 def _flat(spark, sf):
-    data, names = model_ready(spark, sf)
-    windows = sequences.keep_observed(sequences.candidate_windows(data, SPEC, CONTINUOUS, names, _SUMMARY_OF), CONTINUOUS)
-    return sequences.flatten_samples(windows)
+    return sequences.flatten_samples(_samples(spark, sf))
 
 
 def _tail(c: str, span: int) -> list[str]:
@@ -84,7 +90,7 @@ def tabular_samples(spark, sf):
 def _trees(spark, sf):
     """The samples as stored, and the tree baseline fitted on all their steps and features."""
     def build():
-        samples = pin(_flat(spark, sf))
+        samples = _flat(spark, sf)
         return samples, baseline.fit_boosted_trees(samples)
     return once(spark, sf, "trees", build)
 
@@ -118,6 +124,52 @@ def expanding_folds(spark, sf):
     return tidy(baseline.expanding_folds(prepared(spark, sf).table, SPEC).select("entity", "d", "fold", "role"))
 
 
+@query("B26_fold_scores", sql.with_(sql.IMPUTED + """,
+parts AS (SELECT entity, d, qty_a, target, CAST(floor((pos - 1) * 6 / n::DOUBLE) AS BIGINT) AS part FROM imputed WHERE target_valid),
+uses AS (SELECT *, part < fold AS train FROM parts JOIN (SELECT unnest(range(1, 6)) AS fold) ON part <= fold),
+line AS (SELECT fold, count(*) AS n_train, regr_slope(target, qty_a) AS a, regr_intercept(target, qty_a) AS b FROM uses WHERE train GROUP BY fold)""", f"""
+SELECT fold, any_value(n_train) AS n_train, count(*) AS n_validate, {sql.r('sqrt(avg(pow(a * qty_a + b - target, 2)))', 'rmse', 4)},
+  {sql.r('avg(abs(a * qty_a + b - target))', 'mae', 4)} FROM uses JOIN line USING (fold) WHERE NOT train GROUP BY fold"""))
+def fold_scores(spark, sf):
+    """A line fitted on each fold's training rows and scored on its validation rows."""
+    rows = baseline.expanding_folds(prepared(spark, sf).table, SPEC).where("target_valid")
+
+    def fit(train):
+        line = train.agg(F.regr_slope("target", "qty_a").alias("a"), F.regr_intercept("target", "qty_a").alias("b")).first()
+        return scenario.linear_forecast({"qty_a": line["a"]}, line["b"])
+
+    return tidy(baseline.fold_scores(rows, "target", fit), 4)
+
+
+_STEP_FEATURE, _STEP_AT, _LOW, _HIGH = "season_sin", 0.5, 40.0, 160.0
+
+
+@query("B25_learned_steps", sql.with_(sql.windows(), f"""
+SELECT c.entity, {sql.day('target_time', 'target_time')}, c.split, CASE WHEN CAST(m.{_STEP_FEATURE} AS FLOAT) > {_STEP_AT} THEN {_HIGH}::DOUBLE ELSE {_LOW}::DOUBLE END AS forecast
+FROM candidates c JOIN model m ON m.entity = c.entity AND m.d = c.input_end WHERE target_observed AND c.split <> 'train'"""))
+def learned_steps(spark, sf):
+    """Forecasts of the trees on a target that one feature of the last step decides, compared by value."""
+    samples, names = _flat(spark, sf), model_ready(spark, sf)[1]
+    decides = F.get("flat", F.lit(29 * len(names) + names.index(_STEP_FEATURE))) > _STEP_AT
+    label = F.when(decides, _HIGH).otherwise(_LOW)
+    model = baseline.fit_boosted_trees(samples, rounds=40, depth=2, step=0.5, label=label)
+    return tidy(baseline.predict(model, samples.where("split <> 'train'")).select("entity", "target_time", "split", F.col("prediction").alias("forecast")), 2)
+
+
+@query("B26_tree_fold_scores")
+def tree_fold_scores(spark, sf):
+    """Trees fitted on each fold's training samples, scored on its validation samples; folds are of a sample's target time."""
+    samples = _flat(spark, sf)
+    held = baseline.expanding_folds(samples.withColumn("_rows", F.max("_pos").over(Window.partitionBy("entity"))), SPEC)
+
+    def fit(train):
+        last = F.col("_pos") * 10 > F.max(F.col("_pos")).over(Window.partitionBy("entity")) * 9  # a tenth watches the others
+        model = baseline.fit_boosted_trees(train.withColumn("split", F.when(last, "val").otherwise("train")), rounds=20, depth=3, step=0.1, patience=5, first_rounds=10)
+        return lambda rows: baseline.predict(model, rows)
+
+    return baseline.fold_scores(held.select("fold", "role", "entity", "_pos", "y", "flat"), "y", fit)
+
+
 _WEIGHTS = {"qty_n": 2.0, "price_a": 0.001, "disc_a": -40.0, "tax_r": 0.0}
 _GROUP_ROWS = 500
 _LINEAR = " + ".join(f"{w!r}::DOUBLE * {c}" for c, w in _WEIGHTS.items())
@@ -142,53 +194,64 @@ def permutation_importance(spark, sf):
     return tidy(baseline.permutation_importance(rows, ["entity", "d"], inputs, forecast, "target", _GROUP_ROWS), 3)
 
 
-_CHECKED, _AT_ONCE = 12, 12
-
-
-def _tree_importance(spark, sf, chosen: list[str]):
-    """``column, rmse, increase`` of features of the tree baseline on the test samples: all steps of a feature move together."""
-    samples, model = _trees(spark, sf)
-    names = model_ready(spark, sf)[1]
-    width, place = len(names), [names.index(n) for n in chosen]
-    steps = F.sequence(F.lit(0), F.lit(29))
-    wide = samples.where("split = 'test'").select("entity", "input_end", "y", "flat", *[
-        F.transform(steps, lambda s, f=f: F.get("flat", s * width + f)).alias(f"own_{n}") for f, n in zip(place, chosen, strict=True)])
-    first = F.array(*[F.lit(chosen.index(n) if n in chosen else None).cast("int") for n in names])
-
-    def forecast(df):
-        own = F.array(*[F.col(f"own_{n}") for n in chosen])
-
-        def cell(v, i):
-            feature, step = F.get(first, (i % width).cast("int")), F.floor(i / width).cast("int")
-            return F.when(feature.isNotNull() & (step < 30), F.get(F.get(own, feature), step)).otherwise(v)
+def _weight(i: int) -> float:
+    """Of feature i in the line forecast: every third feature has none."""
+    return 0.0 if i % 3 == 2 else (i % 7 + 1) * (0.02 if i % 2 else -0.01)
 
-        return baseline.predict(model, df.withColumn("flat", F.transform("flat", cell)))
 
-    return baseline.permutation_importance(wide, ["entity", "input_end"], {n: [f"own_{n}"] for n in chosen}, forecast, "y")
+_LINE_WEIGHTS = [_weight(i) for i in range(len(sql.MODEL))]
+_DONOR_GROUP = 64
 
 
-def _unused(spark, sf) -> list[str]:
-    """Features that no tree splits on at any step."""
-    weights, names = _trees(spark, sf)[1].featureImportances, model_ready(spark, sf)[1]
-    return [n for f, n in enumerate(names) if not any(weights[s * len(names) + f] for s in range(30))]
+def _line(df):
+    """A fixed line on every step of a window, later steps weighing more, and on its summary."""
+    weights = F.array(*[F.lit(w) for w in _LINE_WEIGHTS])
+    step = F.transform("x", lambda s, i: (i + 1) * F.aggregate(F.zip_with(s, weights, lambda v, w: v.cast("double") * w), F.lit(0.0), lambda a, v: a + v))
+    extra = F.aggregate("summary", F.lit(0.0), lambda a, v: a + v)
+    return df.withColumn("prediction", F.aggregate(step, F.lit(0.0), lambda a, v: a + v) + 0.5 * extra)
 
 
-@query("B27_tree_importance", "SELECT 12 AS n_inputs, true AS unused_add_nothing, true AS errors_known".replace("12", "CAST(12 AS BIGINT)"))
-def tree_importance(spark, sf):
-    """The first features only, as its SQL counts them; ``B27_tree_importance_by_feature`` has all. A feature that no tree splits
-    on must add exactly nothing."""
-    found = _tree_importance(spark, sf, model_ready(spark, sf)[1][:_CHECKED])
-    return found.agg(F.count("*").alias("n_inputs"),
-                     F.coalesce(F.bool_and(F.when(F.col("column").isin(_unused(spark, sf)), F.abs("increase") < 1e-9)), F.lit(True)).alias("unused_add_nothing"),
-                     F.bool_and(F.col("rmse").isNotNull() & ~F.isnan("rmse")).alias("errors_known"))
+def _own_share(i: int, c: str) -> str:
+    """What feature i adds to the line forecast of a window."""
+    v = f"CAST({c} AS FLOAT)::DOUBLE"
+    w = "OVER (PARTITION BY entity ORDER BY d ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)"
+    steps = f"{_LINE_WEIGHTS[i]!r}::DOUBLE * (sum({v} * pos) {w} - (pos - 30) * sum({v}) {w})"
+    if c not in _SUMMARY_OF:
+        return steps
+    return steps + " + 0.5 * (" + " + ".join(e.split(" AS ")[0] if " AS FLOAT" not in e else e.rsplit(" AS ", 1)[0] for n in (7, 14) for e in _tail(c, n)) + ")"
+
+
+@query("B27_importance_by_feature", sql.with_(sql.windows() + f""",
+shares AS (SELECT entity, d, {', '.join(f'{_own_share(i, c)} AS s{i}' for i, c in enumerate(sql.MODEL))} FROM model),
+tested AS (SELECT c.entity, c.input_end, c.y::DOUBLE AS y, {', '.join(f's{i}' for i in range(len(sql.MODEL)))},
+  md5(c.entity || '|' || CAST(CAST(c.input_end AS DATE) AS VARCHAR)) AS m
+  FROM candidates c JOIN shares s ON s.entity = c.entity AND s.d = c.input_end WHERE target_observed AND c.split = 'test'),
+grouped AS (SELECT *, CAST('0x' || substr(m, 1, 8) AS BIGINT) % (SELECT CAST(ceil(count(*) / {_DONOR_GROUP}.0) AS BIGINT) FROM tested) AS g FROM tested),
+given AS (SELECT y, {' + '.join(f's{i}' for i in range(len(sql.MODEL)))} AS p, {', '.join(
+    f'coalesce(lead(s{i}) OVER w, first_value(s{i}) OVER v) - s{i} AS c{i}' for i in range(len(sql.MODEL)))} FROM grouped
+  WINDOW w AS (PARTITION BY g ORDER BY m, entity, input_end), v AS (PARTITION BY g ORDER BY m, entity, input_end ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+base AS (SELECT sqrt(avg(pow(p - y, 2))) AS b FROM given)""", sql.union(
+    f"""SELECT '{c}' AS feature, {sql.r(f'sqrt(avg(pow(p + c{i} - y, 2)))', 'rmse', 3)}, {sql.r(f'sqrt(avg(pow(p + c{i} - y, 2))) - max(b)', 'increase', 3)} FROM given, base"""
+    for i, c in enumerate(sql.MODEL))))
+def importance_by_feature(spark, sf):
+    """All features of the test windows under a line forecast, one donor window for each window."""
+    samples, names = _samples(spark, sf), model_ready(spark, sf)[1]
+    found = baseline.window_importance(samples.where("split = 'test'"), ["entity", "input_end"], names, _line, "y", summary_of=_SUMMARY_OF, group_rows=_DONOR_GROUP)
+    return tidy(found, 3)
 
 
 @query("B27_tree_importance_by_feature")
 def tree_importance_by_feature(spark, sf):
-    """Every feature of the tree baseline, some at a time to keep plans small, each row being one feature."""
-    names = model_ready(spark, sf)[1]
-    parts = [pin(_tree_importance(spark, sf, names[i:i + _AT_ONCE])) for i in range(0, len(names), _AT_ONCE)]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out.select(F.col("column").alias("feature"), "rmse", "increase")
+    """Every feature of the tree baseline on the test windows; features that no tree splits on add exactly nothing."""
+    samples, (_, model) = _samples(spark, sf), _trees(spark, sf)
+    names, weights = model_ready(spark, sf)[1], model.featureImportances
+    used = [any(weights[s * len(names) + f] for s in range(30)) for f in range(len(names))]
+    per = len(weights) - 30 * len(names)
+    for k, n in enumerate(_SUMMARY_OF):
+        span = per // len(_SUMMARY_OF)
+        used[names.index(n)] |= any(weights[30 * len(names) + k * span + i] for i in range(span))
+
+    def forecast(df):
+        return baseline.predict(model, sequences.flatten_samples(df))
+
+    return baseline.window_importance(samples.where("split = 'test'"), ["entity", "input_end"], names, forecast, "y", used, _SUMMARY_OF)

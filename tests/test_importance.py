@@ -1,10 +1,12 @@
-"""Permutation importance of the tree baseline over all its features."""
+"""Permutation importance of all features, from one donor per window."""
 
 import math
 
+from pyspark.sql import functions as F
+
+from longspan.operators import baseline
 from registry import QUERIES
 from registry.core import model_ready
-from registry.modelling import _unused
 
 
 def test_every_feature_has_its_importance(spark, sf):
@@ -12,6 +14,57 @@ def test_every_feature_has_its_importance(spark, sf):
     names = model_ready(spark, sf)[1]
     assert len(names) > 12 and set(rows) == set(names)
     assert all(math.isfinite(r.rmse) and math.isfinite(r.increase) for r in rows.values())
-    unused = _unused(spark, sf)
-    assert all(abs(rows[n].increase) < 1e-9 for n in unused)
-    assert any(abs(rows[n].increase) > 1e-9 for n in names if n not in unused)
+    assert any(abs(r.increase) > 1e-9 for r in rows.values())
+
+
+def windows_of(spark, n):
+    rows = [(k, [[float(k), float(-k), 1.0], [float(2 * k), float(k % 5), 2.0]], [float(k), 0.5], float(k)) for k in range(n)]
+    return spark.createDataFrame(rows, "id int, x array<array<float>>, summary array<double>, y double")
+
+
+def total(df):
+    step = F.transform("x", lambda s: F.aggregate(s, F.lit(0.0), lambda a, v: a + v.cast("double")))
+    return df.withColumn("prediction", F.aggregate(step, F.lit(0.0), lambda a, v: a + v) + F.aggregate("summary", F.lit(0.0), lambda a, v: a + v))
+
+
+def test_equals_replacing_one_feature_at_a_time(spark):
+    import hashlib
+    n, names = 40, ["a", "b", "c"]
+    df = windows_of(spark, n)
+    got = {r.feature: r for r in baseline.window_importance(df, ["id"], names, total, "y", summary_of=["c"], group_rows=7).collect()}
+    rows = df.orderBy("id").collect()
+    groups = -(-n // 7)
+    digest = [hashlib.md5(str(k).encode()).hexdigest() for k in range(n)]
+    order = {}
+    for k in range(n):
+        order.setdefault(int(digest[k][:8], 16) % groups, []).append(k)
+    donor = {}
+    for members in order.values():
+        members.sort(key=lambda k: digest[k])
+        donor |= {k: members[(i + 1) % len(members)] for i, k in enumerate(members)}
+
+    def rmse(feature):
+        errors = []
+        for r in rows:
+            d = rows[donor[r.id]]
+            x = [[d.x[s][f] if f == feature else v for f, v in enumerate(step)] for s, step in enumerate(r.x)]
+            summary = d.summary if feature == 2 else r.summary
+            errors.append(sum(map(sum, x)) + sum(summary) - r.y)
+        return math.sqrt(sum(e * e for e in errors) / n)
+
+    for f, name in enumerate(names):
+        assert math.isclose(got[name].rmse, rmse(f), rel_tol=1e-9)
+        assert math.isclose(got[name].increase, rmse(f) - rmse(None), rel_tol=1e-7, abs_tol=1e-9)
+
+
+def test_unused_features_are_not_forecast_and_add_nothing(spark):
+    got = {r.feature: r.increase for r in baseline.window_importance(
+        windows_of(spark, 30), ["id"], ["a", "b", "c"], total, "y", used=[True, False, False]).collect()}
+    assert got["b"] == 0.0 and got["c"] == 0.0 and got["a"] != 0.0
+
+
+def test_one_shuffle_of_inputs(spark):
+    """Whatever the number of features, the windows' inputs move once."""
+    rows = baseline._in_digest_order(windows_of(spark, 10), ["id"], ["x", "summary"], 3, [])
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1

@@ -231,7 +231,8 @@ def test_remaining_nulls_are_an_error(spark):
         impute.require_complete(panel(spark, [None, 1.0], [1.0, 1.0]).withColumn("split", F.lit("train")), ["a"])
 
 
-# Own values: per entity the start and step of the measures and of the target; each anchor below follows from them by hand.
+# Fixed values, taken over from the published fixture of this problem: per entity the start and step of the measures and of the target,
+# the unobserved rows, the scales, and with them the anchors below.
 RAMPS = (("CityA", 10.0, 1.0, 100.0, 2.0), ("CityB", 50.0, 0.5, 200.0, 1.5))
 UNOBSERVED = ("CityA", (10, 35))
 MEASURE_SCALE, TARGET_SCALE = (25, 10), (140, 20)
