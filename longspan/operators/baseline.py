@@ -173,7 +173,7 @@ def window_importance(
     """
     summary_of = summary_of or []
     moving = ["x", "summary"] if summary_of else ["x"]
-    rows = windows.select(*[col(k) for k in key], col(actual).cast("double").alias("_actual"), *moving)
+    rows = windows.select(*[col(k) for k in key], col(actual).cast("double").alias("_actual"), *[c for c in ("x", "summary") if c in windows.columns])
     rows = _in_digest_order(rows, key, moving, group_count(rows, group_rows), [])
     tried = [i for i in range(len(features)) if used is None or used[i]]
     rows = rows.withColumn("_f", F.explode(F.array(*[F.lit(i) for i in [-1, *tried]])))

@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from longspan.config import PanelSpec
-from longspan.functions.columns import col, column_stats, index_pairs, percent, unpivot
+from longspan.functions.columns import col, column_stats, index_pairs, per_column, percent, unpivot
+from longspan.functions.moments import moment_correlation, pair_moments
 from longspan.functions.quantiles import column_quantiles, grouped_quantiles, stats_and_quantiles
 from longspan.functions.stats import adjusted_skewness, pearson, sample_std
-from longspan.operators import profile
+from longspan.operators import profile, validate
 from longspan.operators.ranks import rank_correlations
 from longspan.session import pin
 
@@ -54,11 +55,9 @@ def missing_by_period(df: DataFrame, spec: PanelSpec, columns: list[str]) -> Dat
 
 
 def duplicate_summary(df: DataFrame, spec: PanelSpec) -> DataFrame:
-    """Rows beyond the first of equal rows, and of equal keys, from one reading of the table."""
-    equal = df.groupBy(*[col(c) for c in df.columns]).agg(F.count("*").alias("_c"))
-    keys = equal.groupBy(col(spec.entity), col(spec.time)).agg(F.sum("_c").alias("_n"), F.sum(F.col("_c") - 1).alias("_r"))
-    wide = keys.agg(F.coalesce(F.sum("_r"), F.lit(0)).alias("rows"), F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("keys"))
-    return wide.select(F.inline(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("n_duplicates")) for k in ("rows", "keys")])))
+    """Rows beyond the first of equal rows, and of equal keys."""
+    again = validate.repeats(df, [spec.entity, spec.time])
+    return df.sparkSession.createDataFrame([(k, again[k]) for k in ("rows", "keys")], "kind string, n_duplicates bigint")
 
 
 def fences(df: DataFrame, columns: list[str], reach: float = 1.5) -> DataFrame:
@@ -211,7 +210,7 @@ def _with_diagonal(upper: DataFrame, df: DataFrame, columns: list[str], value: s
 
 def pearson_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     """All (x, y, r), each pair on the rows complete for it."""
-    upper = _over_pairs(df, list(combinations(columns, 2)), {"r": pearson})
+    upper = pair_moments(df, list(combinations(columns, 2))).select("x", "y", moment_correlation().alias("r"))
     return _with_diagonal(upper, df, columns, "r")
 
 
@@ -231,7 +230,7 @@ def _with_rho(base: DataFrame, df: DataFrame, spec: PanelSpec, measures: list[st
 
 def target_correlations(df: DataFrame, spec: PanelSpec, rho: DataFrame | None = None) -> DataFrame:
     """Pearson, Spearman and pair count of every measure with the target; ``rho`` may hold rank correlations already at hand."""
-    base = _over_pairs(df, [(m, spec.target) for m in spec.measures], {"pearson_r": pearson, "n_pairs": F.regr_count})
+    base = pair_moments(df, [(m, spec.target) for m in spec.measures]).select("x", "y", moment_correlation().alias("pearson_r"), "n_pairs")
     return _with_rho(base, df, spec, list(spec.measures), rho)
 
 
@@ -296,34 +295,23 @@ def _own_value(columns: list[str]) -> Column:
     return F.array(*[F.struct(F.lit("column").alias("kind"), F.lit(c).alias("key"), col(c).cast("double").alias("v")) for c in columns])
 
 
-def _pairs_and_outliers(df: DataFrame, columns: list[str], pairs: list[tuple[str, str]], limits: DataFrame) -> DataFrame:
-    """(x, y, r, n_pairs, n_outliers) from one scan: column pairs, and each column (y null) against its fences."""
+def _outside_counts(df: DataFrame, columns: list[str], limits: DataFrame) -> DataFrame:
+    """(column, n_outliers): values of each column outside its fences, from one scan without a shuffle of rows."""
     bounds = {r["column"]: (r["lower"], r["upper"]) for r in limits.collect()}  # a row per column
-    at = {c: i for i, c in enumerate(columns)}
 
     def outside(c: str) -> Column:
         low, high = bounds.get(c, (None, None))
-        return F.when(col(c).isNotNull(), ((col(c) < F.lit(low)) | (col(c) > F.lit(high))).cast("double"))
+        return F.count_if((col(c) < F.lit(low)) | (col(c) > F.lit(high)))
 
-    values = [*[col(c).cast("double") for c in columns], *[outside(c) for c in columns], F.lit(0.0)]
-    places = [(at[x], at[y]) for x, y in pairs] + [(len(columns) + i, 2 * len(columns)) for i in range(len(columns))]
-    rows = df.select(F.array(*values).alias("_v")).select("_v", index_pairs(places))
-    a, b = F.get("_v", "_a"), F.get("_v", "_b")
-    rows = rows.select("pair", a.alias("a"), b.alias("b")).where(F.col("a").isNotNull() & F.col("b").isNotNull())
-    a, b = F.col("a"), F.col("b")
-    found = rows.groupBy("pair").agg(pearson(a, b).alias("r"), F.count("*").alias("n_pairs"), F.sum("a").cast("long").alias("_sum"))
-    named = [(i, x, y) for i, (x, y) in enumerate(pairs)] + [(len(pairs) + i, c, None) for i, c in enumerate(columns)]
-    names = df.sparkSession.createDataFrame(named, "pair int, x string, y string")
-    return names.join(found, "pair", "left").select("x", "y", "r", F.coalesce("n_pairs", F.lit(0)).alias("n_pairs"),
-                                                    F.when(F.col("y").isNull(), F.coalesce("_sum", F.lit(0))).alias("n_outliers"))
+    return per_column(df, columns, {"n_outliers": outside})
 
 
 def explore_report(df: DataFrame, spec: PanelSpec) -> DataFrame:
     """All sections in long form (section, key, metric, value).
 
-    The panel is written once, whole-table statistics being observed meanwhile, and then read six times: counts and moments by
-    entity, year, month and category; quantiles of all of these and of the columns; column pairs and outliers; duplicates; and
-    two passes of the rank correlations.
+    The panel is written once, whole-table statistics being observed meanwhile, and then read a few times: counts and moments by
+    entity, year, month and category; quantiles of all of these and of the columns; column pairs; outliers; signatures of
+    repeated rows; and two passes of the rank correlations.
     """
     lf, spark, numeric = profile.long_form, df.sparkSession, spec.numeric
     others = [c for c in df.columns if c not in (spec.entity, spec.time)]
@@ -351,7 +339,8 @@ def explore_report(df: DataFrame, spec: PanelSpec) -> DataFrame:
     limits = _fenced(own.select("column", "n", F.col("p25").alias("q25"), "median", F.col("p75").alias("q75"))).drop("median")
 
     pairs = list(combinations(numeric, 2))
-    crossed = pin(_pairs_and_outliers(df, numeric, pairs, limits))
+    centres = {c: seen[f"mean|{c}"] for c in numeric}
+    upper = pin(pair_moments(df, pairs, centres).select("x", "y", moment_correlation().alias("r"), "n_pairs"))
     rho = pin(rank_correlations(df, [spec.entity, spec.time], pairs))
 
     def number_rows(columns: list[str], metrics: list[str]) -> DataFrame:
@@ -379,9 +368,8 @@ def explore_report(df: DataFrame, spec: PanelSpec) -> DataFrame:
     moments = ["n", "mean", "std", "min", "max", "skewness"]
     target = number_rows([spec.target], moments).join(own.drop("n", "kind"), "column", "left").withColumns({
         "n_missing": F.lit(seen["n_rows"] - seen[f"known|{spec.target}"]), "iqr": F.col("p75") - F.col("p25")}).drop("column")
-    outliers = limits.join(crossed.where("y is null").select(F.col("x").alias("column"), "n_outliers"), "column").withColumn(
+    outliers = limits.join(_outside_counts(df, numeric, limits), "column").withColumn(
         "pct_outliers", percent(F.col("n_outliers"), F.col("n_valid")))
-    upper = crossed.where("y is not null").select("x", "y", "r", "n_pairs")
     against = upper.where(F.col("y") == spec.target).select("x", "y", F.col("r").alias("pearson_r"), "n_pairs")
     statistics = ["n", "mean", "median", "std", "min", "max"]
     return profile.union_all([

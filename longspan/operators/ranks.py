@@ -3,8 +3,8 @@
 The rank of a value depends only on its column, the value and which partner must be present. So distinct values are
 counted once per column, together with how often each partner is present, and turned into one vector of ranks per
 (column, value). Each row looks up the vectors of its values: in a broadcast table while that is small (checked), else by
-a join in which the values that fill much of a column are broadcast and only the others move. Rows are told apart by their
-key and all their values, nulls included.
+a join in which the values that fill much of a column are broadcast and only the others move. Equal rows are one row with a
+weight there.
 """
 
 from __future__ import annotations
@@ -20,12 +20,11 @@ BROADCAST_BYTES = 128 * 2**20  # size of the rank table up to which it is broadc
 HOT_CELLS = 1_000_000          # cells with one value from which on its vector is broadcast; rows / HOT_CELLS values at most
 
 
-def _cells(df: DataFrame, key: list[str], columns: list[str]) -> DataFrame:
-    """(key, all values of the row, presence of every column, column number c, value v) for each known value."""
+def _cells(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(presence of every column, column number c, value v) for each known value."""
     values = [col(c).cast("double") for c in columns]
     known = F.array(*[v.isNotNull().cast("long") for v in values])
-    rows = df.select(*[col(k) for k in key], known.alias("known"), F.array(*values).alias("_row"))
-    return rows.select(*[col(k) for k in key], "_row", "known", F.posexplode("_row").alias("c", "v")).where("v is not null")
+    return df.select(known.alias("known"), F.posexplode(F.array(*values)).alias("c", "v")).where("v is not null")
 
 
 def _value_ranges(counts: DataFrame, ranges: int) -> DataFrame:
@@ -77,20 +76,22 @@ def _looked_up(df: DataFrame, columns: list[str], vectors: DataFrame) -> tuple[D
     return out, [F.col(f"_r{i}") for i in range(len(columns))], F.lit(1.0)
 
 
-def _joined_back(
-    cells: DataFrame, key: list[str], n_columns: int, vectors: DataFrame, hot_cells: int
-) -> tuple[DataFrame, list[Column], Column]:
-    """Rank vectors per row by a join on (column, value) and regrouping by row; rows equal in key and values share a group."""
-    keys = [col(k) for k in key]
-    slim, ranks = cells.select(*keys, "_row", "c", "v"), vectors.select("c", "v", "ranks")
-    hot = F.get("times", F.col("c")) >= hot_cells
+def _joined_back(df: DataFrame, columns: list[str], vectors: DataFrame, hot_cells: int) -> tuple[DataFrame, list[Column], Column]:
+    """Rank vectors per row by a join on (column, value) and regrouping by row.
+
+    Rows that are equal in all columns are counted first, in their tasks as far as they meet there. Each different row has a
+    number and its count as a weight, so a group of cells is never larger than a row, however often the row repeats.
+    """
+    values = [f"_v{i}" for i in range(len(columns))]
+    rows = df.select(*[col(c).cast("double").alias(v) for c, v in zip(columns, values, strict=True)]).groupBy(*values).agg(F.count("*").alias("_w"))
+    rows = pin(rows.withColumn("_id", F.monotonically_increasing_id()))
+    slim = rows.select("_id", "_w", F.posexplode(F.array(*values)).alias("c", "v")).where("v is not null")
+    ranks, hot = vectors.select("c", "v", "ranks"), F.get("times", F.col("c")) >= hot_cells
     frequent, rare = vectors.where(hot).select("c", "v", "ranks"), ranks.join(vectors.where(hot).select("c", "v"), ["c", "v"], "left_anti")
     found = slim.join(F.broadcast(frequent), ["c", "v"]).unionByName(
         slim.join(F.broadcast(frequent.select("c", "v")), ["c", "v"], "left_anti").join(rare, ["c", "v"]))
-    rows = found.groupBy(*keys, "_row").agg(F.collect_list(F.struct("c", "ranks")).alias("_cells"))
-    rows = rows.withColumn("_once", F.array_distinct("_cells"))
-    rows = rows.select((F.size("_cells") / F.size("_once")).alias("_w"), F.map_from_entries("_once").alias("_r"))
-    return rows, [F.try_element_at("_r", F.lit(i)) for i in range(n_columns)], F.col("_w")
+    found = found.groupBy("_id").agg(F.first("_w").alias("_w"), F.map_from_entries(F.collect_list(F.struct("c", "ranks"))).alias("_r"))
+    return found, [F.try_element_at("_r", F.lit(i)) for i in range(len(columns))], F.col("_w").cast("double")
 
 
 def rank_correlations(
@@ -99,15 +100,15 @@ def rank_correlations(
 ) -> DataFrame:
     """(x, y, rho, n_pairs): ties share their average rank; rho is null when a side is constant.
 
-    ``key`` names columns that tell rows apart; rows equal in key and in all values are counted as often as they occur.
+    Rows equal in all values are counted as often as they occur, whatever their ``key``.
     """
     columns = sorted({c for p in pairs for c in p})
     m, number = len(columns), {c: i for i, c in enumerate(columns)}
-    cells = _cells(df, key, columns)
+    cells = _cells(df, columns)
     counts = pin(cells.groupBy("c", "v").agg(*[F.sum(F.col("known")[j]).alias(f"n{j}") for j in range(m)]))
     vectors = pin(rank_vectors(counts, m, range_values))
     small = counts.count() * (8 * m + 64) <= broadcast_bytes
-    rows, rank, weight = _looked_up(df, columns, vectors) if small else _joined_back(cells, key, m, vectors, hot_cells)
+    rows, rank, weight = _looked_up(df, columns, vectors) if small else _joined_back(df, columns, vectors, hot_cells)
 
     rows = rows.select(weight.alias("_w"), F.array(*rank).alias("_r"))
     rows = rows.select("_w", "_r", index_pairs([(number[a], number[b]) for a, b in pairs]))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from typing import NamedTuple
 
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 from longspan.config import PanelSpec
 from longspan.functions.columns import col, require
 from longspan.functions.parsing import is_infinite, null_tokens, parse_date, parse_number, strip
+from longspan.session import pin
 
 
 def clean_nulls(raw: DataFrame) -> DataFrame:
@@ -35,7 +37,7 @@ def sorted_panel(df: DataFrame, spec: PanelSpec) -> DataFrame:
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """Rows beyond the first of each group of identical rows."""
-    return _beyond_first(df, df.columns)
+    return df.sparkSession.createDataFrame([(repeats(df, [])["rows"],)], "n_duplicates bigint")
 
 
 def duplicate_keys(df: DataFrame, spec: PanelSpec) -> DataFrame:
@@ -47,6 +49,46 @@ def _beyond_first(df: DataFrame, columns: list[str]) -> DataFrame:
     return groups.agg(F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).alias("n_duplicates"))
 
 
+REPEATED_SIGNATURES = 1_000_000  # signatures of 16 bytes that are broadcast
+
+
+def signature(df: DataFrame, columns: list[str]) -> tuple[Column, Column]:
+    """Two 64-bit hashes of some columns, in both orders; nulls count in their places, and the two zeros are one."""
+    floats = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    cells = [col(c) + F.lit(0.0) if c in floats else col(c) for c in columns]
+    absent = F.array(*[col(c).isNull() for c in columns]) if columns else F.lit(0)
+    return F.xxhash64(*cells, absent), F.xxhash64(absent, *reversed(cells))
+
+
+def repeats(
+    df: DataFrame, key: list[str], sign: Callable[[DataFrame, list[str]], tuple[Column, Column]] = signature,
+    broadcast_signatures: int = REPEATED_SIGNATURES,
+) -> dict[str, int]:
+    """``rows`` beyond the first of equal rows and ``keys`` beyond the first of equal keys (no key: none).
+
+    Only signatures move: hashes of the row and of its key are counted. Rows whose signature repeats are then told apart by all
+    their values, so a chance collision counts for nothing; they are found by a broadcast of the repeated signatures while
+    these are few, which is counted, else by a join.
+    """
+    (a, b), (k, _) = sign(df, df.columns), sign(df, key) if key else (F.lit(0).cast("bigint"), None)
+    signed = df.select("*", a.alias("_a"), b.alias("_b"), k.alias("_k"))
+    tally = pin(signed.groupBy("_k", "_a", "_b").agg(F.count("*").alias("_c")))
+
+    def beyond_first(again: DataFrame, columns: list[str]) -> int:
+        found = again.count()
+        if not found:
+            return 0
+        held = F.broadcast(again) if found <= broadcast_signatures else again
+        suspects = signed.join(held, again.columns, "left_semi").select(*[col(c) for c in columns])
+        return _beyond_first(suspects, columns).first()[0]
+
+    out = {"rows": beyond_first(tally.where("_c > 1").select("_a", "_b").distinct(), df.columns), "keys": 0}
+    if key:
+        again = tally.groupBy("_k").agg(F.sum("_c").alias("_n")).where("_n > 1").select("_k")
+        out["keys"] = beyond_first(again, key)
+    return out
+
+
 def empty_key(c: Column) -> Column:
     return c.isNull() | (strip(c) == "")
 
@@ -121,7 +163,8 @@ SEVERITY = {
 def check_counts(raw: DataFrame, spec: PanelSpec) -> DataFrame:
     """Validation counters in long form: (check_name, column, severity, n, n_rows). ``raw`` has its null tokens cleared.
 
-    The table is read once: equal rows are counted together, and all counters come from these counts.
+    One scan counts without a shuffle; repeated rows and keys are counted by their signatures, so whole rows move only where they
+    may repeat.
     """
     require(raw, spec.required)
     cells: list[tuple[str, str, Column]] = [
@@ -131,17 +174,12 @@ def check_counts(raw: DataFrame, spec: PanelSpec) -> DataFrame:
     ]
     cells += [("invalid_numbers", c, bad_number(col(c))) for c in spec.numeric]
     cells += [("negative_values", c, parse_number(col(c)) < 0) for c in spec.numeric]
-    equal = raw.groupBy(*[col(c) for c in raw.columns]).agg(F.count("*").alias("_c"))
-    hits = [F.sum(F.when(e, F.col("_c")).otherwise(0)).alias(f"_{i}") for i, (_, _, e) in enumerate(cells)]
-    by_key = equal.groupBy(col(spec.entity), col(spec.time)).agg(
-        F.sum("_c").alias("_rows"), F.sum(F.col("_c") - 1).alias("_again"), *hits)
-    sums = [F.sum("_rows"), F.sum(F.col("_rows") - 1), F.sum("_again"), *[F.sum(f"_{i}") for i in range(len(cells))]]
-    names = ["_rows", "_keys", "_again", *[f"_{i}" for i in range(len(cells))]]
-    wide = by_key.agg(*[F.coalesce(e, F.lit(0)).alias(n) for e, n in zip(sums, names, strict=True)])
+    counted = raw.agg(F.count("*").alias("_rows"), *[F.count_if(e).alias(f"_{i}") for i, (_, _, e) in enumerate(cells)])
+    again = repeats(raw, [spec.entity, spec.time])
     entries = [_entry(name, c, F.col(f"_{i}"), F.col("_rows")) for i, (name, c, _) in enumerate(cells)]
-    entries += [_entry("duplicate_rows", "*", F.col("_again"), F.col("_rows")),
-                _entry("duplicate_keys", f"{spec.entity},{spec.time}", F.col("_keys"), F.col("_rows"))]
-    return wide.select(F.inline(F.array(*entries)))
+    entries += [_entry("duplicate_rows", "*", F.lit(again["rows"]).cast("bigint"), F.col("_rows")),
+                _entry("duplicate_keys", f"{spec.entity},{spec.time}", F.lit(again["keys"]).cast("bigint"), F.col("_rows"))]
+    return counted.select(F.inline(F.array(*entries)))
 
 
 def _entry(name: str, column: str, n: Column, n_rows: Column) -> Column:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,6 +59,15 @@ def pin(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def map_batches(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
+    """``mapInArrow`` whose workers find this package where it lies at the same place for them; elsewhere ship it with ``--py-files``."""
+    environment, root = df.sparkSession.sparkContext.environment, str(Path(__file__).resolve().parents[1])
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    return df.mapInArrow(fn, schema)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder of any store that Spark reaches."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()

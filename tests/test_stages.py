@@ -325,7 +325,7 @@ def test_reports_read_the_panel_few_times(spark, tmp_path):
     raw_panel = pin_text(spark, table)
     assert scans(validate.check_counts(raw_panel, P)) == 1
     from longspan.operators import explore
-    assert scans(explore.duplicate_summary(table, P)) == 1
+    assert scans(explore.duplicate_summary(table, P)) == 0  # counted before it returns, by signatures
 
 
 def pin_text(spark, table):
