@@ -101,14 +101,17 @@ def _rows(spark: SparkSession, section: str, rows: list[tuple]) -> DataFrame:
 
 
 def outcome_report(spark: SparkSession, outcome: Outcome, source: Source | None = None) -> DataFrame:
-    """What validation found, in long form: verdict, messages, every check with its severity, and the source."""
+    """What validation found, in long form: verdict, messages, every check with its severity, every unexpected category, and the source."""
     messages = [(f"{kind}s", [(f"{i + 1}", "message", m) for i, m in enumerate(outcome.fired(kind))]) for kind in ("error", "warning")]
     verdict = [("", "is_valid", str(outcome.is_valid).lower()), ("", "row_count", outcome.n_rows), ("", "column_count", outcome.n_columns),
                *[("", f"{name.removesuffix('s')}_count", len(rows)) for name, rows in messages]]
     audit = [(f"{c.check_name}|{c.column}", m, v) for c in outcome.checks for m, v in (("n", c.n), ("severity", c.severity))]
     origin = [("", "name", source.name), ("", "path", source.path), ("", "size_bytes", source.size_bytes)] if source else []
     parts = [("validation", verdict), *messages, ("integrity_audit", audit), ("source", origin)]
-    return union_all([_rows(spark, name, rows) for name, rows in parts])
+    found = [_rows(spark, name, rows) for name, rows in parts]
+    if outcome.unexpected is not None:
+        found.append(long_form(outcome.unexpected, "unexpected_categories", ["value"]))
+    return union_all(found)
 
 
 def _known_per_group(df: DataFrame, spec: PanelSpec) -> DataFrame:

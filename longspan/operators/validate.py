@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -136,6 +136,7 @@ class Outcome:
     n_rows: int
     n_columns: int
     checks: tuple[Check, ...]
+    unexpected: DataFrame | None = field(default=None, compare=False, repr=False)  # every unexpected category with its count
 
     def fired(self, severity: str) -> list[str]:
         return [str(c) for c in self.checks if c.n and c.severity == severity]
@@ -189,6 +190,8 @@ def _entry(name: str, column: str, n: Column, n_rows: Column) -> Column:
     )
 
 
+NAMED_CATEGORIES = 1000  # unexpected categories that a message names; the outcome's table has all
+
 CHECKS_SCHEMA = "check_name string, column string, severity string, n bigint, detail string"
 
 
@@ -203,17 +206,19 @@ def validate_raw(raw: DataFrame, spec: PanelSpec) -> tuple[DataFrame | None, Out
     if any(c.severity == "error" for c in checks):
         return None, Outcome(raw.count(), len(raw.columns), tuple(checks))
 
-    width, raw = len(raw.columns), clean_nulls(raw)
+    width, raw, unexpected = len(raw.columns), clean_nulls(raw), None
     counted = check_counts(raw, spec).orderBy("check_name", "column").collect()
     for r in counted:
         detail = ""
         if r["n"] and r["check_name"] == "invalid_dates":
             detail = f", samples {[s['sample'] for s in invalid_date_samples(raw, spec).collect()]}"
         if r["n"] and r["check_name"] == "invalid_categories":
-            unexpected = unexpected_categories(raw, spec).orderBy(F.desc("n"), "value").collect()  # a row per different value
-            detail = f", values {[u['value'] for u in unexpected]}"
+            unexpected = pin(unexpected_categories(raw, spec))
+            named = [u["value"] for u in unexpected.orderBy(F.desc("n"), "value").limit(NAMED_CATEGORIES).collect()]
+            more = unexpected.count() - len(named)
+            detail = f", values {named}" + (f" and {more} more" if more else "")
         checks.append(Check(r["check_name"], r["column"], r["severity"], r["n"], detail))
-    return typed(raw, spec), Outcome(counted[0]["n_rows"], width, tuple(checks))
+    return typed(raw, spec), Outcome(counted[0]["n_rows"], width, tuple(checks), unexpected)
 
 
 def strict_counts(df: DataFrame, spec: PanelSpec) -> DataFrame:

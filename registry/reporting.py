@@ -80,6 +80,8 @@ entities AS (SELECT entity, count(*) AS n_rows, min(d) AS min_date, max(d) AS ma
 checks AS ({sql.union(CHECKS)}),
 verdict AS (SELECT 'false' AS is_valid, (SELECT count(*) FROM raw) AS row_count, 16 AS column_count,
   count(*) FILTER (WHERE severity = 'error' AND n > 0) AS error_count, count(*) FILTER (WHERE severity = 'warning' AND n > 0) AS warning_count FROM checks),
+unexpected AS (SELECT {sql.strip('bucket')} AS value, count(*) AS n FROM raw
+  WHERE {sql.strip('bucket')} NOT IN ('Good', 'Satisfactory', 'Moderate', 'Poor', 'Very Poor', 'Severe') GROUP BY 1),
 source AS (SELECT 'raw' AS name, CAST(7 AS BIGINT) AS size_bytes)"""
 _PROFILED = [
     ("dataset_shape", "shape", [], ["row_count", "column_count"], []), ("columns", "kinds", ["column"], ["position"], ["data_type"]),
@@ -92,6 +94,7 @@ _PROFILED = [
     ("entity_profiles", "entities", ["entity"], ["n_rows", "n_valid", "n_missing", "pct_available"], ["min_date", "max_date"]),
     ("validation", "verdict", [], ["row_count", "column_count", "error_count", "warning_count"], ["is_valid"]),
     ("integrity_audit", "checks", ["check_name", "column"], ["n"], ["severity"]),
+    ("unexpected_categories", "unexpected", ["value"], ["n"], []),
     ("source", "source", [], ["size_bytes"], ["name"]),
 ]
 

@@ -86,6 +86,18 @@ def test_all_unexpected_categories_are_told(spark):
     assert all(f"odd {i:02d}" in report.fired("warning")[0] for i in range(30))
 
 
+def test_very_many_unexpected_categories(spark):
+    """The message names a bounded number of them, the outcome's table and the report have all."""
+    cells = [F.lit("Delhi"), F.lit("2020-01-01"), *[F.lit("1")] * 13, F.concat(F.lit("odd "), F.col("id"))]
+    df = spark.range(100_000).select(*[c.alias(n) for c, n in zip(cells, SPEC.required, strict=True)])
+    _, found = validate.validate_raw(df, SPEC)
+    message = next(m for m in found.fired("warning") if m.startswith("invalid_categories"))
+    assert message.count("'odd ") == validate.NAMED_CATEGORIES and message.endswith(f"and {100_000 - validate.NAMED_CATEGORIES} more")
+    assert found.unexpected.count() == 100_000
+    from longspan.operators import profile
+    assert profile.outcome_report(spark, found).where("section = 'unexpected_categories'").count() == 100_000
+
+
 def test_parsing_rules(spark):
     texts = [*NULL_TOKENS, "1", " 2.5 ", "+.5", "3.", "1e3", "-Infinity", "INF", "1_000", "12d", "0x1", "nAn"]
     df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", parse_number(null_tokens(F.col("t"))).alias("n"))
