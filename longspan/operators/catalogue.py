@@ -35,8 +35,10 @@ def entity_catalogue(df: DataFrame, spec: PanelSpec) -> DataFrame:
 
 
 def latest_rows(df: DataFrame, entity: str, time: str, keep: list[str]) -> DataFrame:
-    """The newest row of each entity; combined before the shuffle, so long series are no burden."""
-    newest = F.max_by(F.struct(*[col(c) for c in keep]), col(time))
+    """The newest row of each entity, of several at that time the largest by the columns kept; combined before the shuffle, so
+    long series are no burden."""
+    row = F.struct(*[col(c) for c in keep])
+    newest = F.max_by(row, F.when(col(time).isNotNull(), F.struct(col(time), row)))
     return df.groupBy(col(entity)).agg(F.max(col(time)).alias(time), newest.alias("_row")).select(
         col(entity), col(time), *[F.col("_row").getField(c).alias(c) for c in keep]
     )
@@ -49,28 +51,66 @@ def snapshot(df: DataFrame, entity: str, time: str, keep: list[str], at, exact:
     return latest_rows(df.where(col(time) <= F.lit(at)), entity, time, keep)
 
 
+#: Days that one bitmap holds at most (bits of a long, the sign left alone).
+BITMAP_DAYS = 62
+
+
 def lookback_pull(requests: DataFrame, df: DataFrame, spec: PanelSpec, days: int = 30) -> DataFrame:
-    """The ``days`` consecutive daily rows ending at each requested (entity, reference_date).
+    """Whether each requested (entity, reference_date) ends a run of ``days`` consecutive daily rows.
 
-    Each request names the exact days it needs, so this is an equality join and no range has to be searched. Every
-    request yields ``n_found`` and ``accepted``; ``lookback_rows`` gives the rows of the accepted ones.
+    The days that an entity has are one bitmap a stretch of days, made before the shuffle; a request looks up the two or so stretches
+    that its days touch by an equality join and counts bits. Every request yields ``n_found`` and ``accepted``; ``lookback_rows``
+    gives the rows of the accepted ones. Requests without an entity or a date find nothing; repeated rows count once.
     """
-    found = _request_days(requests, spec, days).join(df.select(col(spec.entity), col(spec.time)), [spec.entity, spec.time], "left_semi")
-    counted = found.groupBy(col(spec.entity), "reference_date").agg(F.count("*").alias("n_found"))
+    width = min(days, BITMAP_DAYS)
+    known = _dated(df.select(col(spec.entity), col(spec.time)), spec).groupBy(col(spec.entity), _stretch(F.col("_day"), width).alias("_stretch")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(_day, {width}) AS int))")).alias("_known"))
     asked = requests.select(col(spec.entity), "reference_date").distinct()
+    found = _touched(asked, days, width).join(known, [spec.entity, "_stretch"])
+    counted = found.groupBy(col(spec.entity), "reference_date").agg(
+        F.sum(F.bit_count(F.col("_known").bitwiseAND(F.col("_wanted")))).alias("n_found"))
     return asked.join(counted, [spec.entity, "reference_date"], "left").fillna(0, ["n_found"]).withColumn(
         "accepted", F.col("n_found") == days
     )
 
 
 def lookback_rows(requests: DataFrame, df: DataFrame, spec: PanelSpec, days: int = 30) -> DataFrame:
-    accepted = lookback_pull(requests, df, spec, days).where("accepted").select(col(spec.entity), "reference_date")
-    return _request_days(accepted, spec, days).join(df, [spec.entity, spec.time])
+    """The rows of the accepted requests, once for each request that they belong to.
 
-
-def _request_days(requests: DataFrame, spec: PanelSpec, days: int) -> DataFrame:
-    wanted = F.sequence(F.date_sub("reference_date", days - 1), F.col("reference_date"))
-    return requests.select(col(spec.entity), "reference_date").distinct().withColumn(spec.time, F.explode(wanted))
+    Requests of a stretch of days are merged first: their days in one bitmap, their dates in one list (no longer than the days that
+    can look back on the stretch). So each row of the panel is looked up once, however many requests overlap on it.
+    """
+    width = min(days, BITMAP_DAYS)
+    accepted = lookback_pull(requests, df, spec, days).where("accepted").select(col(spec.entity), "reference_date")
+    merged = _touched(accepted, days, width).groupBy(col(spec.entity), "_stretch").agg(
+        F.bit_or("_wanted").alias("_wanted"), F.collect_list("reference_date").alias("_dates"))
+    placed = _dated(df, spec).withColumn("_stretch", _stretch(F.col("_day"), width))
+    needed = F.expr(f"shiftright(_wanted, cast(pmod(_day, {width}) AS int)) & 1L") == 1
+    rows = placed.join(merged, [spec.entity, "_stretch"]).where(needed)
+    own = F.filter("_dates", lambda r: F.unix_date(r).between(F.col("_day"), F.col("_day") + days - 1))
+    rest = [col(c) for c in df.columns if c not in (spec.entity, spec.time)]
+    return rows.select(col(spec.entity), col(spec.time), F.explode(own).alias("reference_date"), *rest)
+
+
+def _dated(df: DataFrame, spec: PanelSpec) -> DataFrame:
+    """Rows of whole days, with the number of the day."""
+    day = col(spec.time).cast("date")
+    return df.where(day == col(spec.time)).withColumn("_day", F.unix_date(day))
+
+
+def _stretch(day: Column, width: int) -> Column:
+    return F.floor(day / F.lit(width)).cast("bigint")
+
+
+def _touched(requests: DataFrame, days: int, width: int) -> DataFrame:
+    """Each request once for each stretch of days it looks back on, with a bitmap of its days there."""
+    last = F.unix_date(F.col("reference_date").cast("date"))
+    stretch = F.explode(F.sequence(_stretch(last - (days - 1), width), _stretch(last, width)))
+    out = requests.withColumn("_stretch", stretch).withColumn("_start", F.col("_stretch") * width)
+    low = F.greatest(last - (days - 1) - F.col("_start"), F.lit(0)).cast("int").alias("_low")
+    high = F.least(last - F.col("_start"), F.lit(width - 1)).cast("int").alias("_high")
+    bits = F.expr("(shiftleft(1L, _high + 1) - 1L) & ~(shiftleft(1L, _low) - 1L)")
+    return out.select("*", low, high).withColumn("_wanted", bits).drop("_start", "_low", "_high")
 
 
 def dominant_driver(df: DataFrame, spec: PanelSpec) -> DataFrame:
