@@ -64,19 +64,86 @@ def interpolate(df: DataFrame, spec: PanelSpec, columns: list[str], max_gap: int
     return out.withColumns(fills).drop(*[f"{p}{c}" for p in ("_prev_", "_next_") for c in columns])
 
 
-def default_mask(spec: PanelSpec, percent: int = 10) -> Column:
-    """A repeatable choice of cells to hide, by a hash of the key."""
-    return F.pmod(F.xxhash64(col(spec.entity), col(spec.time)), F.lit(100)) < percent
+#: Draws that stand for the observed gap lengths of a column.
+DRAWS = 100
 
 
-def masked_audit(df: DataFrame, spec: PanelSpec, columns: list[str], mask: Column, fill) -> DataFrame:
-    """Reconstruction error per column: hide the known cells chosen by ``mask``, fill, compare with the hidden values."""
-    truth = {f"_true_{c}": F.when(mask, col(c)) for c in columns}
-    hidden = df.withColumns(truth).withColumns({c: F.when(~mask, col(c)) for c in columns})
-    filled = fill(hidden)
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), col(f"_true_{c}").alias("t"), col(c).alias("f")) for c in columns])
-    cells = filled.select(F.inline(cells)).where(F.col("t").isNotNull())
+def _digest(spec: PanelSpec, column: str, at: int) -> Column:
+    """A number below 65,536 for each cell, by a hash of its key and column."""
+    text = F.concat_ws("|", col(spec.entity).cast("string"), col(spec.time).cast("string"), F.lit(column))
+    return F.conv(F.substring(F.md5(text.cast("binary")), at, 4), 16, 10).cast("bigint")
+
+
+def default_mask(spec: PanelSpec, columns: list[str], percent: int = 10) -> dict[str, Column]:
+    """A repeatable choice of single cells to hide, of each column its own."""
+    return {c: _digest(spec, c, 1) * 100 < 65536 * percent for c in columns}
+
+
+def gap_draws(df: DataFrame, spec: PanelSpec, columns: list[str]) -> dict[str, list[int]]:
+    """The observed gap lengths of each column, as ``DRAWS`` equally likely ones; 1 for a column without gaps.
+
+    A gap is a run of missing cells between two known ones of an entity and split. Lengths are counted by Spark; the driver gets
+    ``DRAWS`` numbers a column.
+    """
+    near = next_known(last_known(df, spec, columns, SCOPE, "_prev_"), spec, columns, SCOPE, "_next_")
+    cells = []
+    for c in columns:
+        before, after = col(f"_prev_{c}").getField("pos"), col(f"_next_{c}").getField("pos")
+        length = F.when(col(c).isNull() & (F.col(POS) == before + 1), after - before - 1)
+        cells.append(F.struct(F.lit(c).alias("column"), length.cast("bigint").alias("length")))
+    found = near.select(F.inline(F.filter(F.array(*cells), lambda x: x["length"].isNotNull())))
+    counts = found.groupBy("column", "length").agg(F.count("*").alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("column").orderBy("length").rowsBetween(Window.unboundedPreceding, 0))
+    counts = counts.select("column", "length", upto.alias("upto"), F.sum("n").over(Window.partitionBy("column")).alias("total"))
+    # draw k is the smallest length that more than k of DRAWS equal shares reach up to, so a length has the draws up to its own share
+    last = F.expr(f"cast((upto * {DRAWS} + total - 1) div total AS int)")
+    drawn = counts.groupBy("column", last.alias("stop")).agg(F.min("length").alias("length"))
+    out = {c: [1] * DRAWS for c in columns}
+    rows = sorted((r["column"], r["stop"], r["length"]) for r in drawn.collect())  # DRAWS rows a column at most
+    at = dict.fromkeys(columns, 0)
+    for c, stop, length in rows:
+        out[c][at[c]:stop] = [length] * (stop - at[c])
+        at[c] = stop
+    return out
+
+
+def _hide(df: DataFrame, columns: list[str], hidden: dict[str, Column], fill) -> DataFrame:
+    """The table filled after the chosen cells were hidden, with what they held."""
+    chosen = {c: F.coalesce(hidden[c], F.lit(False)) for c in columns}
+    truth = df.withColumns({f"_true_{c}": F.when(chosen[c], col(c)) for c in columns})
+    return fill(truth.withColumns({c: F.when(~chosen[c], col(c)) for c in columns}))
+
+
+def _errors(cells: DataFrame, by: list[str]) -> DataFrame:
     err = F.col("f") - F.col("t")
-    return cells.groupBy("column").agg(
+    return cells.where(F.col("t").isNotNull()).groupBy(*by).agg(
         F.count("*").alias("n_masked"), F.sqrt(F.avg(err * err)).alias("rmse"), F.avg(F.abs(err)).alias("mae")
     )
+
+
+def masked_audit(df: DataFrame, spec: PanelSpec, columns: list[str], mask: Column | dict[str, Column], fill) -> DataFrame:
+    """Reconstruction error per column: hide the known cells chosen by ``mask`` (of all columns, or one a column), fill, compare with
+    the hidden values."""
+    filled = _hide(df, columns, mask if isinstance(mask, dict) else dict.fromkeys(columns, mask), fill)
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), col(f"_true_{c}").alias("t"), col(c).alias("f")) for c in columns])
+    return _errors(filled.select(F.inline(cells)), ["column"])
+
+
+def gap_audit(df: DataFrame, spec: PanelSpec, columns: list[str], fill, percent: int = 10) -> DataFrame:
+    """Reconstruction error per column and gap length, with cells hidden as they are missed in fact: in runs whose lengths are drawn from
+    the column's observed gaps, about ``percent`` of the cells together.
+
+    Runs start at cells chosen by a hash of key and column and stay inside entity and split; a run that starts inside another ends it.
+    """
+    draws = gap_draws(df, spec, columns)
+    starts = {}
+    for c in columns:
+        length = F.element_at(F.lit(draws[c]), (F.pmod(_digest(spec, c, 5), F.lit(DRAWS)) + 1).cast("int"))
+        starts[f"_run_{c}"] = F.when(_digest(spec, c, 1) * sum(draws[c]) < 65536 * percent, length.cast("bigint"))
+    placed = last_known(df.withColumns(starts), spec, list(starts), SCOPE, "_last")
+    run = {c: col(f"_last_run_{c}") for c in columns}
+    hidden = {c: run[c].getField("pos") + run[c].getField("value") > F.col(POS) for c in columns}
+    filled = _hide(placed, columns, hidden, fill)
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), run[c].getField("value").alias("gap_length"),
+                               col(f"_true_{c}").alias("t"), col(c).alias("f")) for c in columns])
+    return _errors(filled.select(F.inline(cells)), ["column", "gap_length"])

@@ -131,6 +131,39 @@ def masked_audit(spark, sf):
     return tidy(impute.masked_audit(_splits(spark, sf), SPEC, NUMERIC, mask, fill), 4)
 
 
+def _digits(c: str, at: int) -> str:
+    return f"CAST('0x' || substr(md5(entity || '|' || CAST(d AS VARCHAR) || '|{c}'), {at}, 4) AS BIGINT)"
+
+
+_W = "OVER (PARTITION BY entity, split ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+_REFILLED = sql.SPLIT + f""",
+near AS MATERIALIZED (SELECT *, {', '.join(_neighbours(c) for c in NUMERIC)} FROM splits),
+gaps AS (""" + sql.union(f"""SELECT '{c}' AS col, p1_{c} - p0_{c} - 1 AS len, count(*) AS n FROM near
+  WHERE {c} IS NULL AND pos = p0_{c} + 1 AND p1_{c} IS NOT NULL GROUP BY 2""" for c in NUMERIC) + f"""),
+shares AS (SELECT col, len, sum(n) OVER (PARTITION BY col ORDER BY len) AS upto, sum(n) OVER (PARTITION BY col) AS total FROM gaps),
+draws AS (SELECT c.col, k, coalesce(min(len), 1) AS len FROM (SELECT unnest({NUMERIC}) AS col) c CROSS JOIN range(100) AS r(k)
+          LEFT JOIN shares s ON s.col = c.col AND upto * 100 > k * total GROUP BY 1, 2),
+lists AS MATERIALIZED (SELECT col, list(len ORDER BY k) AS lens, CAST(sum(len) AS BIGINT) AS total FROM draws GROUP BY 1),
+started AS (SELECT *, {', '.join(f"""CASE WHEN {_digits(c, 1)} * (SELECT total FROM lists WHERE col = '{c}') < 655360
+  THEN (SELECT lens FROM lists WHERE col = '{c}')[{_digits(c, 5)} % 100 + 1] END AS st_{c}""" for c in NUMERIC)} FROM splits),
+ran AS MATERIALIZED (SELECT *, {', '.join(f"coalesce(last_value(pos + st_{c} IGNORE NULLS) {_W} > pos, false) AS hid_{c}, last_value(st_{c} IGNORE NULLS) {_W} AS len_{c}" for c in NUMERIC)} FROM started),
+hidden AS (SELECT * REPLACE ({', '.join(f'CASE WHEN NOT hid_{c} THEN {c} END AS {c}' for c in NUMERIC)}), {', '.join(f'CASE WHEN hid_{c} THEN {c} END AS t_{c}' for c in NUMERIC)} FROM ran),
+refilled AS MATERIALIZED (SELECT split, {', '.join(f't_{c}, len_{c}, {sql.ffill(c)} AS {c}' for c in NUMERIC)} FROM hidden),
+remed AS (SELECT {', '.join(f"quantile_cont({c}, 0.5) AS m_{c}" for c in NUMERIC)} FROM refilled WHERE split = 'train')"""
+
+
+@query("B21_gap_audit", sql.with_(_REFILLED, sql.union(
+    f"""SELECT '{c}' AS "column", CAST(len_{c} AS BIGINT) AS gap_length, count(*) AS n_masked, {sql.r(f'sqrt(avg(pow(coalesce({c}, m_{c}) - t_{c}, 2)))', 'rmse', 4)},
+    {sql.r(f'avg(abs(coalesce({c}, m_{c}) - t_{c}))', 'mae', 4)} FROM refilled CROSS JOIN remed WHERE t_{c} IS NOT NULL GROUP BY len_{c}""" for c in NUMERIC)))
+def gap_audit(spark, sf):
+    """Cells hidden in runs as long as the column's own gaps; the error of each gap length."""
+    def fill(df):
+        f = impute.forward_fill(df, SPEC)
+        return impute.fill_constants(f, impute.fit_medians(f, NUMERIC))
+
+    return tidy(impute.gap_audit(_splits(spark, sf), SPEC, NUMERIC, fill), 4)
+
+
 @query("B22_robust_minmax", sql.with_(sql.IMPUTED + f""",
 fit AS (SELECT {', '.join(f'quantile_cont({c}, 0.5) AS q_{c}, quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) AS i_{c}, min({c}) AS lo_{c}, max({c}) - min({c}) AS w_{c}' for c in NUMERIC)}
         FROM imputed WHERE split = 'train')""",
