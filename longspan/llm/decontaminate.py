@@ -2,7 +2,8 @@
 
 Every task sorts the suffixes of its documents, shard by shard, and binary-searches every suffix of the test items in each
 shard: the search narrows a range of the suffix array word by word, so its last non-empty range is the longest verbatim match
-and holds all its places. No row is shuffled; the test items are sent out only in blocks of a checked size, one pass over the
+and holds all its places. Matches of more than ``WALK`` words are not walked to their end: the suffix's place among the sorted ones
+is found by comparing hashes of runs, in steps that grow with the logarithm of the match. No row is shuffled; the test items are sent out only in blocks of a checked size, one pass over the
 documents per block.
 
 Null and empty texts have no words: such documents are clean, such items match nothing. Repeated documents are judged one by
@@ -20,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from longspan.llm.words import ALNUM, Words, map_blocks, ragged, words
+from longspan.llm.words import ALNUM, Runs, Words, map_blocks, ragged, words
 from longspan.session import pin
 
 #: Words of a window; an item with fewer words is one window of all its words.
@@ -29,6 +30,8 @@ WINDOW = 10
 ITEM_BYTES = 16 << 20
 #: UTF-8 bytes of training text in one suffix array.
 SHARD_BYTES = 6 << 20
+#: Words of a match that are compared one by one; longer matches are told by their hashes.
+WALK = 64
 
 
 @dataclass
@@ -136,7 +139,8 @@ def search(padded: np.ndarray, order: np.ndarray, wanted: np.ndarray, items: Ite
     out = Found(*(np.zeros(m, np.int64) for _ in range(5)))
     out.hi[:] = len(order)
     active, depth = np.arange(m), 0
-    while len(active):
+    walk = max(WALK, int(items.window.max(initial=0)))
+    while len(active) and depth < walk:
         at = active + depth
         active = active[(at < items.stop[active])]
         want = wanted[active + depth]
@@ -150,9 +154,38 @@ def search(padded: np.ndarray, order: np.ndarray, wanted: np.ndarray, items: Ite
         out.length[active] = depth
         full = active[items.window[active] == depth]
         out.window_lo[full], out.window_hi[full] = out.lo[full], out.hi[full]
+    if len(active):
+        _finish(padded, order, np.where(wanted > 0, wanted, -1), items, out, active)
     return out
 
 
+def _finish(padded: np.ndarray, order: np.ndarray, wanted: np.ndarray, items: Items, out: Found, active: np.ndarray) -> None:
+    """The whole match of the suffixes that agree so far: its end is at one of the two neighbours of the suffix among the sorted."""
+    runs = Runs(wanted, padded)
+    lo, hi, limit = out.lo[active], out.hi[active], items.stop[active] - active
+
+    def bound(limit: np.ndarray, beyond: bool) -> np.ndarray:
+        """First place in each range whose suffix, cut to ``limit`` words, is not before the wanted one, or is beyond it."""
+        low, high = lo.copy(), hi.copy()
+        open_ = np.flatnonzero(low < high)
+        while len(open_):
+            mid = (low[open_] + high[open_]) >> 1
+            i, j = active[open_], order[mid]
+            n = runs.common(i, j, limit[open_])
+            same = n == limit[open_]
+            less = padded[j + n] < wanted[np.minimum(i + n, len(wanted) - 1)]
+            less = np.where(same, beyond, less)
+            low[open_[less]] = mid[less] + 1
+            high[open_[~less]] = mid[~less]
+            open_ = open_[low[open_] < high[open_]]
+        return low
+
+    place = bound(limit, False)
+    before, after = np.maximum(place - 1, lo), np.minimum(place, hi - 1)
+    out.length[active] = longest = np.maximum(runs.common(active, order[before], limit), runs.common(active, order[after], limit))
+    out.lo[active], out.hi[active] = bound(longest, False), bound(longest, True)
+
+
 def _shard(texts: pa.Array, items: Items) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray, Found]:
     """Suffix array of the block's documents, with a 0 after each of them, and every test suffix looked up in it."""
     found = words(texts, ALNUM, fold=True)

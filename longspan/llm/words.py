@@ -181,3 +181,30 @@ def ragged(start: np.ndarray, size: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     base = np.repeat(start - np.concatenate(([0], np.cumsum(size)[:-1])), size)
     return base + np.arange(total)
+
+
+class Runs:
+    """Equal runs of two value arrays, found by prefix sums of a polynomial hash instead of value by value."""
+
+    _BASE = np.uint64(0x9E3779B97F4A7C15)
+
+    def __init__(self, a: np.ndarray, b: np.ndarray):
+        self.power = np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(max(len(a), len(b)), self._BASE))))
+        self.a, self.b = self._sums(a), self._sums(b)
+
+    def _sums(self, values: np.ndarray) -> np.ndarray:
+        spread = mix(values.astype(np.int64).view(np.uint64) + self._BASE)
+        return np.concatenate((np.zeros(1, np.uint64), np.cumsum(spread * self.power[:len(values)])))
+
+    def equal(self, i: np.ndarray, j: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Whether ``a[i:i + size]`` is ``b[j:j + size]``."""
+        return (self.a[i + size] - self.a[i]) * self.power[j] == (self.b[j + size] - self.b[j]) * self.power[i]
+
+    def common(self, i: np.ndarray, j: np.ndarray, limit: np.ndarray, back: bool = False) -> np.ndarray:
+        """Values, ``limit`` at most, that ``a`` from ``i`` and ``b`` from ``j`` on have in common; with ``back`` those before them."""
+        low, high = np.zeros_like(limit), limit.copy()
+        while (low < high).any():
+            size = (low + high + 1) >> 1
+            same = self.equal(i - size, j - size, size) if back else self.equal(i, j, size)
+            low, high = np.where(same, size, low), np.where(same, high, size - 1)
+        return low

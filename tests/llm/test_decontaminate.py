@@ -97,3 +97,44 @@ def test_empty_tables(spark):
     some = spark.createDataFrame([(1, "a b")], "doc_id bigint, text string")
     assert D.digest(none, items).count() == 0
     assert D.digest(some, items).first().n_hit == 0
+
+
+def longest_by_words(doc, item):
+    """Longest match of each item suffix, and how often it stands, by comparing word by word."""
+    out = []
+    for i in range(len(item)):
+        best = {}
+        for p in range(len(doc)):
+            n = 0
+            while i + n < len(item) and p + n < len(doc) and doc[p + n] == item[i + n]:
+                n += 1
+            best.setdefault(n, []).append(p)
+        top = max(best)
+        out.append((top, sorted(best[top]) if top else None))
+    return out
+
+
+@pytest.mark.parametrize("walk", [2, 64])
+def test_long_matches_are_whole(monkeypatch, walk):
+    monkeypatch.setattr(D, "WALK", walk)
+    rng = random.Random(walk)
+    for vocab, n in ((["a"], 90), (["a", "b"], 120), ([f"w{k}" for k in range(40)], 200)):
+        doc = [rng.choice(vocab) for _ in range(n)]
+        item = [rng.choice(vocab) for _ in range(7)] + doc[15:85] + ["zz"] + doc[5:40] + doc[5:40]
+        items = D.prepare_items([1], [" ".join(item)])
+        _, _, order, _, found = D._shard(D.pa.array([" ".join(doc)]), items)
+        for i, (length, places) in enumerate(longest_by_words(doc, item)):
+            assert found.length[i] == length
+            if length:
+                assert sorted(order[found.lo[i]:found.hi[i]].tolist()) == places
+
+
+def test_long_verbatim_items_take_seconds():
+    import time
+    rng = np.random.default_rng(3)
+    for text in (" ".join(map(str, rng.integers(0, 5000, 100_000).tolist())), "same " * 20_000):
+        items = D.prepare_items(["long"], [text])
+        began = time.time()
+        counts, hit, doc, item = D._mark(D.pa.array(["before " + text]), items)
+        assert hit.sum() == counts[0] - 1 and item.tolist() == [0]
+        assert time.time() - began < 60
