@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from longspan.llm.words import SOLID, map_batches, map_blocks, mix, ragged, raw_bytes, spans
+from longspan.llm.words import SOLID, Runs, map_batches, map_blocks, mix, ragged, raw_bytes, spans
 from longspan.session import pin
 
 #: A run with fewer words is no repeat.
@@ -105,22 +105,30 @@ def _window_rows(sequences: DataFrame, min_words: int) -> DataFrame:
 
 
 def _extend(batches):
-    """The runs of equal lines, along one diagonal of two texts, that hold a matched window."""
+    """The runs of equal lines of two texts that hold a matched window, from any line of it on both ways."""
     for batch in batches:
-        out: list[tuple] = []
-        for r in batch.to_pylist():
-            a, b = np.array(r["src_hashes"], np.int64), np.array(r["hashes"], np.int64)
-            shift = r["shift"]
-            low, high = max(0, shift), min(len(b), len(a) + shift)
-            equal = np.concatenate(([False], b[low:high] == a[low - shift:high - shift], [False]))
-            edge = np.flatnonzero(equal[1:] != equal[:-1])
-            for s, e in zip((edge[::2] + low).tolist(), (edge[1::2] + low).tolist(), strict=True):
-                if any(s <= i < e for i in r["starts"]):
-                    out.append((r["place"], r["doc"], r["numbers"][s], r["numbers"][e - 1], e - s, sum(r["sizes"][s:e]),
-                                r["src_doc"], r["src_numbers"][s - shift]))
-        if out:
-            names = ["place", "doc_id", "first_line", "last_line", "n_lines", "n_words", "source_doc_id", "source_line"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=names)
+        if not batch.num_rows:
+            continue
+        lists = {c: (_flat(batch.column(c)), np.asarray(batch.column(c).offsets).astype(np.int64)) for c in ("hashes", "src_hashes")}
+        (b, b_first), (a, a_first) = ((v, o - o[0]) for v, o in lists.values())
+        offsets = np.asarray(batch.column("matched").offsets).astype(np.int64)
+        matched = batch.column("matched").flatten()
+        row = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
+        at, src = (np.asarray(matched.field(k)) for k in (0, 1))
+        at, src = at + b_first[row], src + a_first[row]
+        runs = Runs(a, b)
+        back = runs.common(src, at, np.minimum(at - b_first[row], src - a_first[row]), back=True)
+        size = back + runs.common(src, at, np.minimum(b_first[row + 1] - at, a_first[row + 1] - src))
+        # one run for all windows that lie on it
+        _, one = np.unique(np.stack((at - back, src - back)), axis=1, return_index=True)
+        low, start, size, row = (at - back)[one], (src - back)[one], size[one], row[one]
+        words_of = np.concatenate(([0], np.cumsum(_flat(batch.column("sizes")))))
+        number, src_number = _flat(batch.column("numbers")), _flat(batch.column("src_numbers"))
+        of = pa.array(row)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("place").take(of), batch.column("doc").take(of), pa.array(number[low]), pa.array(number[low + size - 1]),
+             pa.array(size), pa.array(words_of[low + size] - words_of[low]), batch.column("src_doc").take(of), pa.array(src_number[start])],
+            names=["place", "doc_id", "first_line", "last_line", "n_lines", "n_words", "source_doc_id", "source_line"])
 
 
 def _order(prefix: str = "") -> Column:
@@ -138,11 +146,11 @@ def _runs(held: DataFrame, doc_id: str, text: str, min_words: int) -> DataFrame:
     first = pin(rows.groupBy("mark", "content").agg(F.min(_order()).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"))
     later = rows.join(first, ["mark", "content"]).where(
         (F.col("place") != F.col("first.place")) | (F.col("at") != F.col("first.at")))
-    diagonals = pin(later.groupBy("place", F.col("first.place").alias("src_place"), (F.col("at") - F.col("first.at")).alias("shift")).agg(
-        F.collect_list("at").alias("starts")))
+    pairs = pin(later.groupBy("place", F.col("first.place").alias("src_place")).agg(
+        F.collect_list(F.struct("at", F.col("first.at").alias("src_at"))).alias("matched")))
     source = lines.select(F.col("place").alias("src_place"), F.col("doc").alias("src_doc"), F.col("hashes").alias("src_hashes"),
                           F.col("numbers").alias("src_numbers"))
-    joined = diagonals.join(source, "src_place").join(lines, "place")
+    joined = pairs.join(source, "src_place").join(lines, "place")
     return map_batches(joined, _extend, "place bigint, doc_id bigint, first_line bigint, last_line bigint, n_lines bigint, "
                                         "n_words bigint, source_doc_id bigint, source_line bigint")
 
@@ -153,6 +161,20 @@ def repeated_runs(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
     return _runs(pin(held), "doc_id", "text", min_words).drop("place")
 
 
+def _without(batches):
+    """Texts without the lines of their cuts, in one pass over the lines however the cuts overlap."""
+    for batch in batches:
+        cuts, left = batch.column("cuts"), batch.column("left").to_pylist()
+        for i in np.flatnonzero(np.asarray(cuts.is_valid())).tolist():
+            lines = left[i].split("\n")
+            edge = np.zeros(len(lines) + 1, np.int64)
+            spans_ = cuts[i].values
+            np.add.at(edge, np.asarray(spans_.field(0)), 1)
+            np.add.at(edge, np.asarray(spans_.field(1)) + 1, -1)
+            left[i] = "\n".join([lines[k] for k in np.flatnonzero(np.cumsum(edge[:-1]) == 0).tolist()])
+        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(left, pa.string()), cuts], names=["row", "left", "cuts"])
+
+
 def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", n_chars: str = "n_chars",
                    min_words: int = MIN_WORDS) -> DataFrame:
     """The documents without their later runs and with their own columns; ``n_chars``, where there is one, follows the text.
@@ -163,11 +185,8 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     held = pin(docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.monotonically_increasing_id().alias("place")))
     found = _runs(held.select("place", F.col("row")[doc_id].alias("doc_id"), F.col("row")[text].alias("text")), "doc_id", "text", min_words)
     cuts = pin(found.groupBy("place").agg(F.collect_set(F.struct("first_line", "last_line")).alias("cuts")))
-    joined = held.join(cuts, "place", "left")
-    left = F.array_join(F.filter(
-        F.split(F.col("row")[text], "\n", -1),
-        lambda _, i: ~F.exists("cuts", lambda c: (i >= c["first_line"]) & (i <= c["last_line"]))), "\n")
-    joined = joined.withColumn("left", F.when(F.col("cuts").isNull(), F.col("row")[text]).otherwise(left))
+    joined = held.join(cuts, "place", "left").select("row", F.col("row")[text].alias("left"), "cuts")
+    joined = map_batches(joined, _without, joined.schema)
     joined = joined.where(F.col("cuts").isNull() | F.col("left").rlike("[^ \\t\\n\\x0B\\f\\r]"))
 
     def column(c: str) -> Column:

@@ -85,3 +85,15 @@ def test_guarantee_of_window_minima():
         start, content, least, _ = L.windows(h, np.full(len(h), 10), np.array([0, len(h)]), 50)
         marks.append({(int(c), int(m)) for s, c, m in zip(start, content, least, strict=True) if n <= s <= n + 1})
     assert marks[0] == marks[1] == marks[2] and len(marks[0]) == 2 and size.sum() == 60
+
+
+def test_many_equal_lines_in_one_text(spark):
+    """20,000 equal lines, and a text of two lines in turn: one run a start, and one pass over the lines to delete them."""
+    line, other = " ".join(f"w{k}" for k in range(50)), " ".join(f"v{k}" for k in range(50))
+    n = 20_000
+    docs = [(1, "\n".join([line] * n)), (2, "\n".join([other, line] * 500)), (3, "\n".join(f"own line {k}" for k in range(60)))]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    got = L.repeated_runs(df).groupBy("doc_id").count().collect()
+    assert {r["doc_id"]: r["count"] for r in got} == {1: n - 1, 2: 500 + 499}
+    left = {r.doc_id: r.text for r in L.remove_repeats(df).collect()}
+    assert left == {1: line, 2: other, 3: docs[2][1]}
