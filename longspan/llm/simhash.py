@@ -91,15 +91,17 @@ def trie_links(prints: np.ndarray, first: np.ndarray, budget: int = BUDGET) -> n
     """Smallest linked place of each fingerprint within its group.
 
     ``prints`` are distinct and ascending in each group, ``first`` has the groups' offsets. A node is a range of fingerprints
-    with the same leading bits.
+    with the same leading bits. Longer fingerprints are rows of 64-bit words, the leading word first.
     """
     n = len(prints)
+    columns = [prints] if prints.ndim == 1 else list(prints.T.copy())
     label = np.arange(n)
     ones: dict[int, np.ndarray] = {}
 
     def set_before(bit: int) -> np.ndarray:
         if bit not in ones:
-            ones[bit] = np.concatenate(([0], np.cumsum((prints >> np.uint64(bit)) & np.uint64(1), dtype=np.int32)))
+            word = columns[len(columns) - 1 - bit // BITS]
+            ones[bit] = np.concatenate(([0], np.cumsum((word >> np.uint64(bit % BITS)) & np.uint64(1), dtype=np.int32)))
         return ones[bit]
 
     links: list[tuple[np.ndarray, np.ndarray]] = []
@@ -115,7 +117,7 @@ def trie_links(prints: np.ndarray, first: np.ndarray, budget: int = BUDGET) -> n
     size = np.diff(first)
     roots = size > 1
     lo, hi = first[:-1][roots], first[1:][roots]
-    stack = [(lo, hi, lo, hi, np.zeros(len(lo), np.int64), BITS - 1)]
+    stack = [(lo, hi, lo, hi, np.zeros(len(lo), np.int64), BITS * len(columns) - 1)]
     while stack:
         a0, a1, b0, b1, err, bit = stack.pop()
         if len(a0) > FRONTIER:
@@ -128,7 +130,7 @@ def trie_links(prints: np.ndarray, first: np.ndarray, budget: int = BUDGET) -> n
             which = np.repeat(np.arange(int(leaf.sum())), pairs[leaf])
             at = ragged(np.zeros(len(width), np.int64), pairs[leaf])
             x, y = a0[leaf][which] + at // width[which], b0[leaf][which] + at % width[which]
-            near = (x < y) & (_count_ones(prints[x] ^ prints[y]) <= budget)
+            near = (x < y) & (sum(_count_ones(c[x] ^ c[y]) for c in columns) <= budget)
             if near.any():
                 links.append((x[near], y[near]))
                 if sum(len(x) for x, _ in links) > LINKS:

@@ -7,7 +7,7 @@ import public_tokenizers
 import pytest
 from test_decontaminate import words as item_words
 from test_lineruns import expected as expected_runs
-from test_simhash import classes, fingerprint
+from test_nearprints import classes, fingerprint
 from test_quality import expected as counted
 from tokenizers import Tokenizer
 
