@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from longspan.config import BAND_COLOURS, BAND_LIMITS, CATEGORY_LABELS, PanelSpec
 from longspan.functions.columns import col, percent
 from longspan.operators.ordering import POS, with_position
+from longspan.sources.listing import after_key
 
 
 def _band(value: Column, names: tuple[str, ...]) -> Column:
@@ -123,10 +124,10 @@ def dominant_driver(df: DataFrame, spec: PanelSpec) -> DataFrame:
 
 
 def page(df: DataFrame, order: list[str], size: int, offset: int = 0, after: tuple | None = None) -> DataFrame:
-    """One page of a sorted listing. ``after`` (the last key of the previous page) keeps deep pages as cheap as the first."""
+    """One page of a sorted listing. ``after`` (the last key of the previous page) keeps deep pages as cheap as the first; where
+    many pages are wanted, ``sources.listing`` stores a sorted copy, of which a page reads the files it shows."""
     if after is not None:
-        key = F.struct(*[col(o) for o in order])
-        df = df.where(key > F.struct(*[F.lit(v) for v in after]))
+        df = df.where(after_key(order, after))
     return df.orderBy(*[col(o) for o in order]).offset(offset).limit(size)
 
 

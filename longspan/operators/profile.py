@@ -152,12 +152,13 @@ def profile_report(df: DataFrame, spec: PanelSpec, outcome: Outcome | None = Non
         n.alias("n_rows"), F.min("_from").alias("min_date"), F.max("_to").alias("max_date"), known(spec.target).alias("n_valid"),
         (n - known(spec.target)).alias("n_missing"), percent(known(spec.target), n).alias("pct_available"))
     categories = groups.groupBy(F.coalesce("_c", F.lit("Missing")).alias("category")).agg(n.alias("n"))
-    geography = groups.agg(F.count_distinct("_e").alias("entity_count"),
-                           F.concat_ws(",", F.array_sort(F.collect_set("_e"))).alias("entities"))
+    geography = groups.agg(F.count_distinct("_e").alias("entity_count"))
+    listed = groups.where("_e is not null").select(F.col("_e").alias("entity")).distinct().withColumn("name", F.col("entity"))
     parts = [
         long_form(shape, "dataset_shape", []),
         _rows(spark, "columns", types),
         long_form(geography, "geography", []),
+        long_form(listed, "entities", ["entity"]),
         long_form(span, "temporal_span", []),
         long_form(per_name(df.columns, missing), "missing_values", ["column"]),
         long_form(per_name([spec.target], available).drop("column"), "target_availability", []),

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from longspan.config import BAND_COLOURS, BAND_LIMITS, PanelSpec
 from longspan.operators import catalogue, fuzzy
 from longspan.session import scratch_path
-from longspan.sources import files
+from longspan.sources import files, listing
 from registry import sql
 from registry.core import MEASURES, NUMERIC, SPEC, model_ready, panel, prepared, query, table, tidy
 
@@ -157,6 +157,16 @@ def page(spark, sf):
     return tidy(catalogue.page(panel(spark, sf), ["entity", "d"], 50, offset=100).select("entity", "d", "target", "bucket"))
 
 
+@query("B30_page_of_listing", sql.with_(sql.PANEL, f"""
+SELECT entity, {sql.day('d', 'd')}, {sql.r('target', 'target')}, bucket FROM (
+  SELECT *, row_number() OVER (ORDER BY entity, d) AS place FROM panel) WHERE place > 150 AND place <= 200"""))
+def page_of_listing(spark, sf):
+    path = scratch_path(spark, "listing")
+    stored = listing.write_listing(panel(spark, sf).select("entity", "d", "target", "bucket"), ["entity", "d"], path)
+    last = stored.page(spark, 1, offset=149).first()
+    return tidy(stored.page(spark, 50, after=(last["entity"], last["d"])))
+
+
 @query("B30_csv_export", sql.with_(sql.PANEL, f"SELECT entity, CAST(d AS VARCHAR) AS d, {', '.join(sql.r(c, c) for c in NUMERIC)} FROM panel"))
 def csv_export(spark, sf):
     path = scratch_path(spark, "export")

@@ -68,7 +68,8 @@ _PROFILE = sql.TYPED + f""",
 finite AS (SELECT * FROM typed),
 shape AS (SELECT count(*) AS row_count, CAST(16 AS BIGINT) AS column_count FROM typed),
 kinds AS ({sql.union(f"""SELECT '{c}' AS "column", {i} AS position, '{t}' AS data_type""" for i, (c, t) in enumerate(_TYPES.items()))}),
-geography AS (SELECT count(DISTINCT entity) AS entity_count, string_agg(DISTINCT entity, ',' ORDER BY entity) AS entities FROM typed),
+geography AS (SELECT count(DISTINCT entity) AS entity_count FROM typed),
+listed AS (SELECT DISTINCT entity, entity AS name FROM typed WHERE entity IS NOT NULL),
 span AS (SELECT min(d) AS min_date, max(d) AS max_date, max(d) - min(d) + 1 AS span_days FROM typed),
 missing AS ({sql.union(f"""SELECT '{c}' AS "column", count(*) - count({c}) AS n_missing, 100.0::DOUBLE * (count(*) - count({c})) / count(*) AS pct_missing FROM typed""" for c in _TYPES)}),
 target_known AS (SELECT {_AVAILABLE.format(c='target')}),
@@ -85,7 +86,7 @@ unexpected AS (SELECT {sql.strip('bucket')} AS value, count(*) AS n FROM raw
 source AS (SELECT 'raw' AS name, CAST(7 AS BIGINT) AS size_bytes)"""
 _PROFILED = [
     ("dataset_shape", "shape", [], ["row_count", "column_count"], []), ("columns", "kinds", ["column"], ["position"], ["data_type"]),
-    ("geography", "geography", [], ["entity_count"], ["entities"]), ("temporal_span", "span", [], ["span_days"], ["min_date", "max_date"]),
+    ("geography", "geography", [], ["entity_count"], []), ("entities", "listed", ["entity"], [], ["name"]), ("temporal_span", "span", [], ["span_days"], ["min_date", "max_date"]),
     ("missing_values", "missing", ["column"], ["n_missing", "pct_missing"], []),
     ("target_availability", "target_known", [], ["n_total", "n_valid", "n_missing", "pct_available"], []),
     ("measure_availability", "measures", ["column"], ["n_total", "n_valid", "n_missing", "pct_available"], []),

@@ -34,7 +34,8 @@ def test_valid_input(spark):
     sections = {r["section"] for r in rows}
     assert {"dataset_shape", "temporal_span", "numeric_summary", "entity_profiles", "integrity_audit", "validation", "source"} <= sections
     told = {(r["section"], r["key"], r["metric"]): r["value"] for r in rows}
-    assert told["validation", "", "is_valid"] == "true" and told["source", "", "name"] == "b.csv" and told["geography", "", "entities"] == "Bengaluru,Delhi"
+    assert told["validation", "", "is_valid"] == "true" and told["source", "", "name"] == "b.csv" and told["geography", "", "entity_count"] == "2"
+    assert {(k, v) for (s, k, _), v in told.items() if s == "entities"} == {("Bengaluru", "Bengaluru"), ("Delhi", "Delhi")}
     assert told["integrity_audit", "invalid_dates|Date", "severity"] == "error"
 
 
