@@ -1,6 +1,6 @@
 """License scans by ordered signature rules.
 
-A rule is a phrase pattern over the words of a text, a label, a priority and keywords. The keywords are looked up once per
+A rule is a pattern over the words of a text (``license_rules`` has them), a label, a priority and keywords. The keywords are looked up once per
 block in its word dictionary, and a rule's pattern runs only on texts that have all of its keywords. Of overlapping
 detections, one that lies within another of higher priority (or of equal priority and greater length, or of an earlier rule
 with the same span) is suppressed. Words are runs of digits, small letters and characters beyond ASCII after A-Z are
@@ -22,71 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from longspan.llm import license_rules
 from longspan.llm.words import ALNUM, map_blocks, words
 
 #: The contract's phrases and labels; all their places are told, suppressed or not.
 BASE = (("gnu general public license", "gpl"), ("apache license", "apache"), ("cc by", "cc-by"), ("mit license", "mit"))
-
-#: Names as they stand in notices: words of the pattern, those in brackets may be absent.
-NAMES = (
-    ("gpl-1.0", "gnu general public license (version) (v) 1"), ("gpl-2.0", "gnu general public license (version) (v) 2"),
-    ("gpl-3.0", "gnu general public license (version) (v) 3"), ("gpl-2.0", "gnu gpl (version) (v) 2"), ("gpl-3.0", "gnu gpl (version) (v) 3"),
-    ("gpl-2.0", "gplv2"), ("gpl-3.0", "gplv3"), ("gpl-2.0", "gpl 2 0"), ("gpl-3.0", "gpl 3 0"),
-    ("lgpl-2.0", "gnu library general public license"), ("lgpl-2.1", "gnu lesser general public license (version) (v) 2 1"),
-    ("lgpl-3.0", "gnu lesser general public license (version) (v) 3"), ("lgpl", "gnu lesser general public license"),
-    ("lgpl-2.1", "lgpl 2 1"), ("lgpl-3.0", "lgpl 3 0"), ("lgpl-3.0", "lgplv3"), ("agpl-3.0", "gnu affero general public license (version) (v) 3"),
-    ("agpl", "gnu affero general public license"), ("agpl-3.0", "agpl 3 0"), ("agpl-3.0", "agplv3"),
-    ("gfdl-1.3", "gnu free documentation license (version) (v) 1 3"), ("gfdl", "gnu free documentation license"),
-    ("apache-1.1", "apache (software) license (version) (v) 1 1"), ("apache-2.0", "apache license (version) (v) 2 0"),
-    ("apache-2.0", "apache license (version) 2"), ("apache-2.0", "apache 2 0"), ("apache", "apache software license"),
-    ("mit", "mit license"), ("mit", "mit licence"), ("mit", "expat license"), ("mit-0", "mit no attribution"), ("mit-0", "mit 0"),
-    ("bsd-2-clause", "bsd 2 clause (license)"), ("bsd-3-clause", "bsd 3 clause (license)"), ("bsd-4-clause", "bsd 4 clause (license)"),
-    ("bsd-2-clause", "simplified bsd license"), ("bsd-3-clause", "new bsd license"), ("bsd-3-clause", "modified bsd license"),
-    ("bsd", "bsd license"), ("0bsd", "zero clause bsd (license)"), ("isc", "isc license"), ("mpl-1.1", "mozilla public license (version) (v) 1 1"),
-    ("mpl-2.0", "mozilla public license (version) (v) 2 0"), ("mpl", "mozilla public license"), ("mpl-2.0", "mpl 2 0"),
-    ("epl-1.0", "eclipse public license (version) (v) 1 0"), ("epl-2.0", "eclipse public license (version) (v) 2 0"),
-    ("epl", "eclipse public license"), ("cddl-1.0", "common development and distribution license"), ("cpl-1.0", "common public license"),
-    ("artistic-2.0", "artistic license (version) 2 0"), ("artistic", "artistic license"), ("zlib", "zlib license"),
-    ("bsl-1.0", "boost software license"), ("unlicense", "the unlicense"), ("wtfpl", "do what the fuck you want to public license"),
-    ("postgresql", "postgresql license"), ("python-2.0", "python software foundation license"), ("ofl-1.1", "sil open font license"),
-    ("ms-pl", "microsoft public license"), ("ms-rl", "microsoft reciprocal license"), ("eupl-1.2", "european union public licence"),
-    ("osl-3.0", "open software license"), ("ncsa", "university of illinois ncsa open source license"), ("odbl-1.0", "open database license"),
-    ("pddl-1.0", "public domain dedication and license"), ("cc0-1.0", "cc0 1 0"), ("cc0-1.0", "cc0"), ("cc0-1.0", "creative commons zero"),
-    ("cc-by-4.0", "cc by 4 0"), ("cc-by-3.0", "cc by 3 0"), ("cc-by-sa-4.0", "cc by sa 4 0"), ("cc-by-sa-3.0", "cc by sa 3 0"),
-    ("cc-by-sa", "cc by sa"), ("cc-by-nc", "cc by nc"), ("cc-by-nd", "cc by nd"), ("cc-by-nc-sa", "cc by nc sa"), ("cc-by-nc-nd", "cc by nc nd"),
-    ("cc-by-4.0", "creative commons attribution 4 0 (international)"), ("cc-by", "creative commons attribution"),
-    ("cc-by-sa", "creative commons attribution sharealike"), ("cc-by-sa", "creative commons attribution share alike"),
-    ("cc-by-nc", "creative commons attribution noncommercial"), ("cc-by-nc", "creative commons attribution non commercial"),
-)
-#: What may stand around a name: priority, confidence, words before and after it.
-FRAMES = (
-    ("identifier", 90, 1.0, "spdx license identifier", ""),
-    ("grant", 80, 0.95, "(is) licensed under (the) (terms) (of) (the)", ""),
-    ("release", 80, 0.95, "released under (the) (terms) (of) (the)", ""),
-    ("notice", 60, 0.8, "under (the) terms of (the)", ""),
-    ("title", 40, 0.6, "", ""),
-)
-#: Sentences of the license texts themselves, and other tell-tale notices.
-TEXTS = (
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software"),
-    ("mit", "the above copyright notice and this permission notice shall be included in all copies"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted"),
-    ("bsd-3-clause", "neither the name of"), ("bsd-4-clause", "all advertising materials mentioning features or use of this software"),
-    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee"),
-    ("apache-2.0", "you may not use this file except in compliance with the license"), ("apache-2.0", "apache org licenses license 2 0"),
-    ("gpl", "this program is free software you can redistribute it and or modify it"), ("gpl", "gnu org licenses"),
-    ("lgpl", "this library is free software you can redistribute it and or modify it"), ("mpl-2.0", "mozilla org mpl 2 0"),
-    ("mpl", "this source code form is subject to the terms of the mozilla public license"),
-    ("unlicense", "this is free and unencumbered software released into the public domain"),
-    ("zlib", "altered source versions must be plainly marked as such"), ("bsl-1.0", "boost org license 1 0"),
-    ("public-domain", "released into the public domain"), ("public-domain", "dedicated to the public domain"),
-    ("cc0-1.0", "creativecommons org publicdomain zero 1 0"), ("cc-by-4.0", "creativecommons org licenses by 4 0"),
-    ("cc-by-3.0", "creativecommons org licenses by 3 0"), ("cc-by-sa-4.0", "creativecommons org licenses by sa 4 0"),
-    ("cc-by-sa-3.0", "creativecommons org licenses by sa 3 0"), ("cc-by-nc", "creativecommons org licenses by nc"),
-    ("cc-by-nd", "creativecommons org licenses by nd"), ("proprietary", "all rights reserved"), ("proprietary", "proprietary and confidential"),
-    ("proprietary", "no part of this publication may be reproduced"), ("unknown-spdx", "spdx license identifier"),
-)
-
+#: Priority and confidence of a base phrase as a rule.
+BASE_RANK = (30, 0.5)
 
 @dataclass(frozen=True)
 class Rule:
@@ -101,30 +43,13 @@ class Rule:
     pattern: re.Pattern
 
 
-def compile_phrase(phrase: str) -> tuple[re.Pattern, frozenset[str]]:
-    """Pattern over words joined by one space, and the words that it cannot do without."""
-    parts, needed = "", []
-    for w in phrase.split():
-        if w.startswith("("):
-            parts += f"(?:{re.escape(w[1:-1])} )?"
-        else:
-            parts += f"{re.escape(w)} "
-            needed.append(w)
-    return re.compile(rf"(?<![^ ]){parts.removesuffix(' ')}(?![^ ])"), frozenset(needed)
-
-
 def build_rules() -> list[Rule]:
     """All rules, highest priority first; the base phrases come as a kind of their own."""
-    found = [(30, 0.5, "base", label, phrase) for phrase, label in BASE]
-    found += [(70 if len(p.split()) > 6 else 50, 0.9 if len(p.split()) > 6 else 0.7, "text", label, p) for label, p in TEXTS]
-    found += [(priority, confidence, kind, label, f"{before} {name} {after}".strip())
-              for kind, priority, confidence, before, after in FRAMES for label, name in NAMES]
+    found = [(*license_rules.KINDS[kind], kind, label, keywords, pattern) for kind, label, keywords, pattern in license_rules.lines()]
+    found += [(*BASE_RANK, "base", label, phrase, phrase) for phrase, label in BASE]
     found.sort(key=lambda x: -x[0])
-    rules = []
-    for order, (priority, confidence, kind, label, phrase) in enumerate(found):
-        pattern, keywords = compile_phrase(phrase)
-        rules.append(Rule(order, kind, label, priority, confidence, keywords, pattern))
-    return rules
+    return [Rule(order, kind, label, priority, confidence, frozenset(keywords.split()), re.compile(rf"(?<![^ ])(?:{pattern})(?![^ ])"))
+            for order, (priority, confidence, kind, label, keywords, pattern) in enumerate(found)]
 
 
 @dataclass(frozen=True)

@@ -69,3 +69,51 @@ def test_rules_are_ordered_and_gated():
     for w in text.split(" "):
         starts.append(starts[-1] + len(w) + 1)
     assert sorted((starts[d.first], starts[d.end] - 1, d.rule.order) for d in found[0]) == every
+
+
+def samples(parsed, rng):
+    """A text that the parsed pattern matches, its choices drawn at random."""
+    out = []
+    for op, arg in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            out.append(chr(arg))
+        elif name == "NOT_LITERAL":
+            out.append(rng.choice("abc"))
+        elif name == "IN":
+            kinds = [a for a in arg if str(a[0]) == "LITERAL"]
+            out.append(rng.choice("abc") if str(arg[0][0]) == "NEGATE" else chr(rng.choice(kinds)[1]))
+        elif name == "BRANCH":
+            out.append(samples(rng.choice(arg[1]), rng))
+        elif name == "SUBPATTERN":
+            out.append(samples(arg[3], rng))
+        elif name == "MAX_REPEAT":
+            low, high, inner = arg
+            out += [samples(inner, rng) for _ in range(rng.randint(low, min(int(high), low + 3)))]
+        else:
+            assert name in ("ASSERT_NOT", "ASSERT"), name
+    return "".join(out)
+
+
+def test_every_rule_finds_its_samples_with_its_keywords():
+    rng = random.Random(8)
+    for r in L.build_rules():
+        parsed = re._parser.parse(r.pattern.pattern)
+        for _ in range(25):
+            t = samples(parsed, rng)
+            assert r.pattern.fullmatch(t), (r.label, t)
+            assert r.keywords <= set(t.split(" ")), (r.label, r.kind, sorted(r.keywords - set(t.split(" "))), t)
+
+
+def test_forms_that_licenses_take():
+    def labels(text):
+        return [(x[2], x[3]) for x in kept(text)]
+    assert labels("// SPDX-License-Identifier: GPL-2.0-only WITH Linux-syscall-note") == [("linux-syscall-note", "identifier")]
+    assert labels("SPDX-License-Identifier: MIT OR Apache-2.0") == [("mit-or-apache-2.0", "identifier")]
+    assert labels("This code is not licensed under the GNU General Public License.")[0] == ("not-gpl", "negation")
+    assert labels("Licensed under either of the Apache License, Version 2.0 or the MIT license")[0][0] == "mit-or-apache-2.0"
+    assert labels("see http://www.gnu.org/licenses/gpl-3.0.html") == [("gpl-3.0", "url")]
+    assert labels("distributed under the terms of the GNU General Public License v2 or later") == [("gpl-2.0+", "grant")]
+    assert labels("with the Classpath exception") == [("classpath-exception", "exception")]
+    assert labels("Creative Commons Attribution-ShareAlike 4.0") == [("cc-by-sa", "title")]
+    assert labels("an MIT licence, and a BSD 3-Clause License") == [("mit", "title"), ("bsd-3-clause", "title")]
