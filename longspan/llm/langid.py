@@ -27,6 +27,8 @@ BUCKETS, WIDTHS, SMOOTHING = 1 << 15, (1, 2, 3, 4), 0.5
 #: Bucket number under which documents are counted.
 DOCUMENTS = -1
 UNKNOWN = "und"
+#: Cells (languages times buckets) of a model at most: 32 MB as it is sent to the executors.
+MODEL_CELLS = 1 << 23
 
 
 def word_grams(dictionary: pa.Array, buckets: int = BUCKETS, widths: tuple[int, ...] = WIDTHS) -> tuple[np.ndarray, np.ndarray]:
@@ -67,6 +69,8 @@ def count_grams(docs: DataFrame, *, text: str = "text", lang: str = "lang", buck
                 word, of = _gram_words(count), found.text_of
                 names = np.array(block.column("_lang").to_pylist(), dtype=object)
                 for name in set(names):
+                    if name not in total and (len(total) + 1) * buckets > MODEL_CELLS:
+                        raise ValueError(f"the model of the languages in {lang} has more than {MODEL_CELLS} cells; take fewer languages or buckets")
                     mine = names == name
                     times = np.bincount(found.ids[mine[of]], minlength=len(found.dictionary))
                     sums = np.bincount(bucket, weights=times[word], minlength=buckets)
@@ -93,8 +97,11 @@ class Model:
 
 def fit(docs: DataFrame, *, text: str = "text", lang: str = "lang", buckets: int = BUCKETS, widths: tuple[int, ...] = WIDTHS,
         smoothing: float = SMOOTHING) -> Model:
-    """Learn from all documents that have a language; the driver gets languages times buckets numbers at most."""
-    counts = count_grams(docs, text=text, lang=lang, buckets=buckets, widths=widths).toPandas()
+    """Learn from all documents that have a language; the driver gets languages times buckets numbers, ``MODEL_CELLS`` at most. More
+    (a column that holds no languages, say) is an error, as the matrix goes to every executor."""
+    counts = count_grams(docs, text=text, lang=lang, buckets=buckets, widths=widths).limit(MODEL_CELLS + 1).toPandas()
+    if max(len(counts), counts["lang"].nunique() * buckets) > MODEL_CELLS:
+        raise ValueError(f"the model of the languages in {lang} has more than {MODEL_CELLS} cells; take fewer languages or buckets")
     langs = sorted(counts["lang"].unique())
     place = counts["lang"].map({n: i for i, n in enumerate(langs)}).to_numpy(np.int64)
     matrix, documents = np.zeros((len(langs), buckets)), np.zeros(len(langs))

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from longspan.llm import langid as L
@@ -74,3 +75,11 @@ def test_held_out_accuracy(spark, sf):
     got = L.digest(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out")
     right = got.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("double"))).first()[0]
     assert right > 0.97
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+def test_too_many_languages_are_an_error(spark, parts):
+    """In one task, and where only all tasks together have too many."""
+    docs = spark.createDataFrame([(i, "some words", f"l{i}", "x") for i in range(300)], "doc_id bigint, text string, lang string, score string")
+    with pytest.raises(Exception, match="more than 8388608 cells"):
+        L.fit(docs.repartition(parts))
