@@ -2,13 +2,15 @@
 
 The built-in exact percentile keeps every distinct value of a group in one buffer, which is right while groups have few
 distinct values; that is checked first. Otherwise a bounded sketch brackets each wanted rank, and brackets that still hold
-many values are narrowed by sketches of what is inside them. One aggregate then counts the values between the brackets and
+many values are narrowed by sketches of what is inside them. A caller with many groupings of the same values gives sketches that it
+merged from one scan. One aggregate then counts the values between the brackets and
 keeps distinct values only inside them, so no task holds more than a sliver of a group. The counts decide the answer, the
 sketches only set how narrow the brackets are. Null is a group like any other on either way.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -25,15 +27,18 @@ SLIVER_ROWS = 1_000_000       # rows of one bracket that one task may order
 GRID = 256                    # values by which a bracket is cut when it is narrowed
 BROADCAST_GROUPS = 100_000    # groups whose brackets are broadcast
 HOT_ROWS = 50_000_000         # rows of one group that may be joined in one task
+SKETCH_ITEMS = 4_096          # items of a mergeable sketch: about 80 kB, ranks within 0.1 % of the rows at 99 %
+SKETCH_MARGIN = 0.005         # by which brackets from such a sketch reach beyond the wanted rank
 
 
 def grouped_quantiles(
     df: DataFrame, keys: list[str], value: str, probs: list[float], names: list[str] | None = None,
-    buffered: int = BUFFERED_VALUES, known: tuple[int, int] | None = None,
+    buffered: int = BUFFERED_VALUES, known: tuple[int, int] | None = None, sketches: Callable[[], DataFrame] | None = None,
 ) -> DataFrame:
     """One row per group with its non-null count ``n`` and one column per probability.
 
-    ``known`` tells the distinct values of the widest group (roughly) and the number of groups where a caller has them already.
+    ``known`` tells the distinct values of the widest group (roughly) and the number of groups where a caller has them already;
+    ``sketches`` makes the groups' sketches (keys, ``_n``, ``_sketch``), and is called where values don't fit a buffer.
     """
     names = names or [f"p{round(p * 100):d}" for p in probs]
     rows = df.select(*[col(k) for k in keys], col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
@@ -44,7 +49,8 @@ def grouped_quantiles(
         known = found["d"] or 0, found["n"]
     widest, held = known[0], min(known[1], BUFFERED_GROUPS)
     if widest > buffered or widest * held > max(buffered, BUFFERED_TOTAL):
-        return bracketed_quantiles(rows, keys, probs, names)
+        ready = sketch_brackets(sketches(), keys, probs) if sketches else None
+        return bracketed_quantiles(rows, keys, probs, names, sketch=ready)
     q = F.percentile("_v", [float(p) for p in probs])
     out = rows.groupBy(*group).agg(F.count("*").alias("n"), q.alias("_q"))
     return out.select(*group, "n", *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)])
@@ -98,6 +104,24 @@ def _narrowed(
     return out.drop("_before") if moved else None
 
 
+def sketch_of(value: Column) -> Column:
+    """A mergeable sketch of a column's values."""
+    return F.kll_sketch_agg_double(value.cast("double"), F.lit(SKETCH_ITEMS))
+
+
+def merged(sketch: Column) -> Column:
+    return F.kll_merge_agg_double(sketch, F.lit(SKETCH_ITEMS))
+
+
+def sketch_brackets(sketches: DataFrame, keys: list[str], probs: list[float]) -> DataFrame | None:
+    """The brackets (keys, ``_n``, ``_ends``) of groups with sketches of all their values; None if some hold NaN, which sketches leave out."""
+    sketches = pin(sketches.where(F.col("_n") > 0))
+    if sketches.where(F.kll_sketch_get_n_double("_sketch") != F.col("_n")).limit(1).count():
+        return None
+    ranks = [F.lit(e) for p in probs for e in (max(0.0, p - SKETCH_MARGIN), min(1.0, p + SKETCH_MARGIN))]
+    return pin(sketches.select(*[col(k) for k in keys], "_n", F.kll_sketch_get_quantile_double("_sketch", F.array(*ranks)).alias("_ends")))
+
+
 def _widest(placed: DataFrame, keys: list[str], m: int) -> int:
     """Distinct values, roughly, that the fullest bracket of any group holds."""
     v = F.col("_v")
@@ -108,18 +132,21 @@ def _widest(placed: DataFrame, keys: list[str], m: int) -> int:
 
 def bracketed_quantiles(
     rows: DataFrame, keys: list[str], probs: list[float], names: list[str], accuracy: int = ACCURACY,
-    broadcast_groups: int = BROADCAST_GROUPS, hot_rows: int = HOT_ROWS, sliver_rows: int = SLIVER_ROWS,
+    broadcast_groups: int = BROADCAST_GROUPS, hot_rows: int = HOT_ROWS, sliver_rows: int = SLIVER_ROWS, sketch: DataFrame | None = None,
 ) -> DataFrame:
-    """Quantiles of ``_v`` by sketch and count, for groups with any number of distinct values."""
+    """Quantiles of ``_v`` by sketch and count, for groups with any number of distinct values. ``sketch`` gives brackets that a caller
+    has; where even four margins of the largest group's rows are few, they are not measured first."""
     group = [col(k) for k in keys]
     # The sketch is pinned: every task of the second pass, retried or not, must see the same brackets.
     margin = 3.0 / accuracy
     ends = [e for p in probs for e in (max(0.0, p - margin), min(1.0, p + margin))]
-    sketch = pin(rows.groupBy(*group).agg(
-        F.count("*").alias("_n"), F.percentile_approx("_v", ends, F.lit(accuracy)).alias("_ends")
-    ))
+    narrow = sketch is not None and 4 * SKETCH_MARGIN * (sketch.agg(F.max("_n").alias("n")).first()["n"] or 0) <= sliver_rows
+    if sketch is None:
+        sketch = pin(rows.groupBy(*group).agg(
+            F.count("*").alias("_n"), F.percentile_approx("_v", ends, F.lit(accuracy)).alias("_ends")
+        ))
 
-    while _widest(_with_brackets(rows, sketch, keys, broadcast_groups, hot_rows), keys, len(probs)) > sliver_rows:
+    while not narrow and _widest(_with_brackets(rows, sketch, keys, broadcast_groups, hot_rows), keys, len(probs)) > sliver_rows:
         narrower = _narrowed(rows, sketch, keys, probs, broadcast_groups, hot_rows, sliver_rows)
         if narrower is None:
             break

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from longspan.config import PanelSpec
 from longspan.functions.columns import col, column_stats, index_pairs, per_column, percent, unpivot
 from longspan.functions.moments import moment_correlation, pair_moments
-from longspan.functions.quantiles import column_quantiles, grouped_quantiles, stats_and_quantiles
+from longspan.functions.quantiles import BUFFERED_VALUES, column_quantiles, grouped_quantiles, merged, sketch_of, stats_and_quantiles
 from longspan.functions.stats import adjusted_skewness, pearson, sample_std
 from longspan.operators import profile, validate
 from longspan.operators.ranks import rank_correlations
@@ -290,6 +290,20 @@ def _target_groups(df: DataFrame, spec: PanelSpec) -> Column:
     return F.array(*[F.struct(F.lit(k).alias("kind"), c.cast("string").alias("key"), y.alias("v")) for k, c in keys.items()])
 
 
+def _group_sketches(df: DataFrame, spec: PanelSpec, columns: list[str]) -> DataFrame:
+    """(kind, key, _n, _sketch) of the target's groups and of the columns, from one scan: the target is sketched by entity and month,
+    which merge to entities, years and months of any year; the columns' sketches are observed meanwhile."""
+    seen, t, y = Observation("columns"), col(spec.time), col(spec.target)
+    watched = [e for c in columns for e in (sketch_of(col(c)).alias(f"sketch|{c}"), F.count(col(c)).alias(f"n|{c}"))]
+    cells = pin(df.observe(seen, *watched).groupBy(col(spec.entity).cast("string").alias("entity"), F.year(t).alias("year"), F.month(t).alias("month")).agg(
+        sketch_of(y).alias("_sketch"), F.count(y).alias("_n")))
+    keys = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).cast("string").alias("key")) for k in ("entity", "year", "month")])
+    up = cells.where("_n > 0").select(F.inline(keys), "_n", "_sketch").where("key is not null").groupBy("kind", "key").agg(
+        F.sum("_n").alias("_n"), merged("_sketch").alias("_sketch"))
+    own = [("column", c, seen.get[f"n|{c}"], bytearray(seen.get[f"sketch|{c}"])) for c in columns]  # about 80 kB a column
+    return up.unionByName(df.sparkSession.createDataFrame(own, "kind string, key string, _n bigint, _sketch binary"))
+
+
 def _own_value(columns: list[str]) -> Column:
     """(kind, key, v): each column's value under the column's name."""
     return F.array(*[F.struct(F.lit("column").alias("kind"), F.lit(c).alias("key"), col(c).cast("double").alias("v")) for c in columns])
@@ -306,12 +320,13 @@ def _outside_counts(df: DataFrame, columns: list[str], limits: DataFrame) -> Dat
     return per_column(df, columns, {"n_outliers": outside})
 
 
-def explore_report(df: DataFrame, spec: PanelSpec) -> DataFrame:
+def explore_report(df: DataFrame, spec: PanelSpec, buffered: int = BUFFERED_VALUES) -> DataFrame:
     """All sections in long form (section, key, metric, value).
 
     The panel is written once, whole-table statistics being observed meanwhile, and then read a few times: counts and moments by
-    entity, year, month and category; quantiles of all of these and of the columns; column pairs; outliers; signatures of
-    repeated rows; and two passes of the rank correlations.
+    entity, year, month and category; nulls by entity; quantiles of all of these and of the columns, by buffers of at most
+    ``buffered`` values or else by one scan that sketches and one that counts; column pairs; outliers; signatures of repeated rows;
+    and two passes of the rank correlations.
     """
     lf, spark, numeric = profile.long_form, df.sparkSession, spec.numeric
     others = [c for c in df.columns if c not in (spec.entity, spec.time)]
@@ -325,16 +340,18 @@ def explore_report(df: DataFrame, spec: PanelSpec) -> DataFrame:
     df = pin(df.observe(whole, *watched))
     seen = whole.get
 
-    groups = pin(df.select(*[col(c) for c in others], F.inline(_target_groups(df, spec))).where("key is not null").groupBy("kind", "key").agg(
+    groups = pin(df.select(F.inline(_target_groups(df, spec))).where("key is not null").groupBy("kind", "key").agg(
         F.count("*").alias("n_rows"), F.count("v").alias("n_valid"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
-        F.min("v").alias("min"), F.max("v").alias("max"), F.approx_count_distinct("v").alias("d"),
-        *[F.count_if(col(c).isNull()).alias(f"_null_{c}") for c in others]))
+        F.min("v").alias("min"), F.max("v").alias("max"), F.approx_count_distinct("v").alias("d")))
+    nulls = df.where(col(spec.entity).isNotNull()).groupBy(col(spec.entity).cast("string").alias("entity")).agg(
+        F.count("*").alias("n_rows"), *[F.count_if(col(c).isNull()).alias(f"_null_{c}") for c in others])
     found = groups.agg(F.max("d").alias("d"), F.count("*").alias("n"), F.count_if(F.col("kind") == "entity").alias("e")).first()
     widest = max([found["d"] or 0, *[seen[f"d|{c}"] or 0 for c in numeric]])
 
     cells = df.select(F.inline(F.concat(_own_value(numeric), F.filter(_target_groups(df, spec), lambda g: g["kind"] != "category"))))
     probs, names = [*DISTRIBUTION_PROBS, 0.90], [*DISTRIBUTION_NAMES, "p90"]
-    quantiles = pin(grouped_quantiles(cells.where("key is not null"), ["kind", "key"], "v", probs, names, known=(widest, found["n"] + len(numeric))))
+    quantiles = pin(grouped_quantiles(cells.where("key is not null"), ["kind", "key"], "v", probs, names, buffered,
+                                      known=(widest, found["n"] + len(numeric)), sketches=lambda: _group_sketches(df, spec, numeric)))
     own = quantiles.where("kind = 'column'").withColumnRenamed("key", "column")
     limits = _fenced(own.select("column", "n", F.col("p25").alias("q25"), "median", F.col("p75").alias("q75"))).drop("median")
 
@@ -363,7 +380,7 @@ def explore_report(df: DataFrame, spec: PanelSpec) -> DataFrame:
     missing = spark.createDataFrame(
         [(c, seen["n_rows"] - seen[f"known|{c}"], 100.0 * (seen["n_rows"] - seen[f"known|{c}"]) / max(1, seen["n_rows"])) for c in df.columns],
         "column string, n_missing bigint, pct_missing double")
-    by_entity = groups.where("kind = 'entity'").select(F.col("key").alias("entity"), F.inline(F.array(*[
+    by_entity = nulls.select("entity", F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), percent(col(f"_null_{c}"), F.col("n_rows")).alias("pct_missing")) for c in others])))
     moments = ["n", "mean", "std", "min", "max", "skewness"]
     target = number_rows([spec.target], moments).join(own.drop("n", "kind"), "column", "left").withColumns({
