@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Observation, Window
@@ -260,9 +261,10 @@ def histograms(df: DataFrame, bins: dict[str, int]) -> DataFrame:
 
 def _bin(v: Column, lo: float, hi: float, n: int) -> Column:
     """1-based bin of a value. Bins are closed at their lower edge, the last one also at its upper; the edges decide."""
-    if lo == hi:
-        return F.when(v.isNotNull(), F.lit(1).cast("bigint"))
-    step = (hi - lo) / n
+    step = (hi - lo) / n if lo < hi else 0.0
+    edges = Counter(lo + k * step for k in range(n))
+    if len(edges) < n:  # a constant column, or one so narrow that lower edges coincide: all but the last of these bins are empty
+        return F.when(v.isNotNull(), sum((F.when(v >= e, times).otherwise(0) for e, times in edges.items()), F.lit(0)).cast("bigint"))
     guess = F.least(F.floor((v - lo) / F.lit(hi - lo) * F.lit(float(n))), F.lit(n - 1).cast("bigint"))
     too_high = v < F.lit(lo) + guess * F.lit(step)
     too_low = (v >= F.lit(lo) + (guess + 1) * F.lit(step)) & (guess < n - 1)

@@ -137,3 +137,17 @@ def test_month_ends_include_empty_months(spark):
     df = df.withColumn("d", df["d"].cast("date"))
     got = [(str(r["month_end"]), r["mean"]) for r in explore.month_end_means(df, spec).orderBy("month_end").collect()]
     assert got == [("2020-01-31", 2.0), ("2020-02-29", None), ("2020-03-31", None), ("2020-04-30", 5.0)]
+
+
+def test_histogram_of_constant_and_very_narrow_columns(spark):
+    """Where lower edges coincide only the last of such bins has room for a value: constants lie in the last bin."""
+    far = 2.0 ** 53
+    frame = pd.DataFrame({"same": [0.1] * 5, "narrow": [far, far, far + 2, far + 4, far + 4], "infinite": [np.inf] * 5, "wide": [0.0, 1.0, 2.0, 3.0, 4.0]})
+    got = explore.histograms(spark.createDataFrame(frame), {"same": 40, "narrow": 40, "infinite": 8, "wide": 4}).toPandas()
+    counts = {c: part.set_index("bin")["n"] for c, part in got.groupby("column")}
+    assert counts["same"][40] == 5 and counts["same"].sum() == 5
+    assert counts["infinite"][8] == 5 and counts["infinite"].sum() == 5
+    assert counts["wide"].sort_index().tolist() == [1, 1, 1, 2]
+    edges = np.array([far + k * (4.0 / 40) for k in range(40)])
+    want = pd.Series([(edges <= v).sum() for v in frame["narrow"]]).value_counts()
+    assert counts["narrow"][counts["narrow"] > 0].to_dict() == want.to_dict()
