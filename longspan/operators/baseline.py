@@ -112,6 +112,21 @@ def predict(model: GBTRegressionModel, samples: DataFrame) -> DataFrame:
     return model.transform(samples.withColumn("features", array_to_vector("flat"))).drop("features")
 
 
+def used_features(model: GBTRegressionModel, features: list[str], steps: int, summary_of: list[str], span: int) -> list[bool]:
+    """Whether the trees split on any step of each feature of a flattened window, or on its ``span`` places of the summary.
+
+    A model cut to its first trees tells importances up to the last feature that they split on only, so places are looked up by index.
+    """
+    split_on = set(model.featureImportances.indices.tolist())
+
+    def places(at: int, name: str) -> list[int]:
+        own = [s * len(features) + at for s in range(steps)]
+        after = steps * len(features)
+        return own + [after + k * span + i for k, n in enumerate(summary_of) if n == name for i in range(span)]
+
+    return [not split_on.isdisjoint(places(at, name)) for at, name in enumerate(features)]
+
+
 GROUP_ROWS = 100_000  # rows that one task orders
 
 

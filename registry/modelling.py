@@ -244,12 +244,8 @@ def importance_by_feature(spark, sf):
 def tree_importance_by_feature(spark, sf):
     """Every feature of the tree baseline on the test windows; features that no tree splits on add exactly nothing."""
     samples, (_, model) = _samples(spark, sf), _trees(spark, sf)
-    names, weights = model_ready(spark, sf)[1], model.featureImportances
-    used = [any(weights[s * len(names) + f] for s in range(30)) for f in range(len(names))]
-    per = len(weights) - 30 * len(names)
-    for k, n in enumerate(_SUMMARY_OF):
-        span = per // len(_SUMMARY_OF)
-        used[names.index(n)] |= any(weights[30 * len(names) + k * span + i] for i in range(span))
+    names = model_ready(spark, sf)[1]
+    used = baseline.used_features(model, names, 30, _SUMMARY_OF, len(_SUMMARIES) // len(_SUMMARY_OF))
 
     def forecast(df):
         return baseline.predict(model, sequences.flatten_samples(df))

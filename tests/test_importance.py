@@ -2,10 +2,12 @@
 
 import math
 
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
 from longspan.operators import baseline
-from registry import QUERIES
+from registry import QUERIES, modelling
 from registry.core import model_ready
 
 
@@ -68,3 +70,17 @@ def test_one_shuffle_of_inputs(spark):
     rows = baseline._in_digest_order(windows_of(spark, 10), ["id"], ["x", "summary"], 3, [])
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_trees_that_leave_the_last_features_alone(spark, sf, monkeypatch):
+    """A model cut to its first trees; the highest place that they split on is a single step of one feature, or within the summary."""
+    samples, names = modelling._flat(spark, sf), model_ready(spark, sf)[1]
+    width = 30 * len(names) + len(modelling._SUMMARIES)
+    extreme = 30 * len(names) + modelling._SUMMARIES.index("scaled_price_a_max_14")  # no step holds it
+    for place, name in ((3 * len(names) + 5, names[5]), (extreme, "scaled_price_a")):
+        rows = samples.where("split = 'train'").select(array_to_vector("flat").alias("features"), F.get("flat", F.lit(place)).alias("label"))
+        model = baseline._first_trees(GBTRegressor(maxDepth=1, maxIter=2, subsamplingRate=1.0, featureSubsetStrategy="all", seed=1).fit(rows), 1)
+        assert model.featureImportances.indices.tolist() == [place] and place < width - 1
+        monkeypatch.setattr(modelling, "_trees", lambda spark, sf, model=model: (samples, model))
+        rows = {r.feature: r.increase for r in QUERIES["B27_tree_importance_by_feature"](spark, sf).collect()}
+        assert set(rows) == set(names) and {n for n, v in rows.items() if v != 0.0} == {name}
