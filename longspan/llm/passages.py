@@ -7,10 +7,15 @@ passage is cut alike in lines of any width. Each line of ``MIN_WORDS`` words and
 end. Every start is taken, so blocks overlap, and each whole block of a copied passage is found in every copy, at any place and
 behind any text. Cuts are far enough apart that blocks of one text are similar only where one holds the other or both start alike.
 
-Equal paragraphs are one content, told once a task before the shuffle. Contents whose MinHash bands collide are verified by
-exact Jaccard similarity of their word shingles, and the links that hold make components. Nothing is told pairwise: the
-members of a band bucket are compared with its smallest content; where that leaves more than one component, members of
-different components are compared among themselves, a large bucket in pairs of chunks, and only what links is told.
+Equal paragraphs are one content, told once a task before the shuffle. Of a paragraph only its place, the hash of its words, the
+hashes of its MinHash bands and a sketch of its shingles are stored; words are cut from the texts again for contents that may be
+linked, so the documents are read twice and must be the same both times. Contents whose bands collide are verified by exact
+Jaccard similarity of their word shingles, and the links that hold make components. The sketches of a pair (how many shingles, and
+the parity of those that fall on each bit) bound its similarity from above: pairs that cannot reach the threshold are dropped
+where the bucket is read, and no others. In a bucket of up to ``FEW`` contents all pairs are looked at. In a larger one nothing is
+told pairwise: its members are compared with its first content; where that leaves more than one component, members of different
+components are compared among themselves, a very large bucket in pairs of chunks, and only what links is told. Shuffle files go as
+soon as a step has ended.
 
 The first place of a component stays: smallest document id (absent ids last), then the earlier row, then the earlier word, then
 the shorter; all others are removals, but ``remove_repeats`` leaves those that overlap the first place itself. Null and empty
@@ -28,13 +33,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from longspan.llm.components import components
-from longspan.llm.words import ALNUM, hashes, map_batches, map_blocks, mix, ragged, shingles, slices, words
-from longspan.session import pin, scratch_path
+from longspan.llm.words import ALNUM, FOLD, blocks, map_batches, mix, raw_bytes, shingles, words
+from longspan.session import brief_shuffles, pin, scratch_path
 
 #: Words of a paragraph at least, words of a shingle, and similarity that links.
 MIN_WORDS, WIDTH, SIMILARITY = 16, 5, 0.8
 #: Share of linked pairs whose bands must collide.
 RECALL = 0.99
+#: Contents of a bucket up to which all its pairs are looked at.
+FEW = 16
 #: Members of a bucket that one task compares; larger buckets are compared in pairs of such chunks.
 CHUNK = 4000
 #: Contents a task remembers in order to tell each once; it forgets them beyond that, which only repeats rows.
@@ -44,6 +51,18 @@ _ENDS = np.isin(np.arange(256), np.frombuffer(b".!?", np.uint8))
 _WIDE_ENDS = np.array([int.from_bytes(c.encode(), "big") for c in "\u3002\uff01\uff1f\uff0e\uff61\u2026\u203c\u061f\u06d4\u0964\u0965\u0589\u1362"])
 #: Cuts are more than so many words apart.
 APART = 5
+#: Bits of a bucket's key that are the sketch of its content: parities, and above them how many shingles (0: not sketched).
+_PARITY, _SKETCH = 18, 24
+_MOST = (1 << _SKETCH - _PARITY) - 1
+#: Bytes of words lower-cased, all others a space.
+_SPACED = np.where(ALNUM[FOLD], FOLD, 0x20).astype(np.uint8).tobytes()
+
+
+def run_hashes(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """64-bit hashes of runs of bytes."""
+    import xxhash
+    one, data = xxhash.xxh3_64_intdigest, data.tobytes()
+    return np.fromiter((one(data[a:b]) for a, b in zip(start.tolist(), stop.tolist(), strict=True)), np.uint64, len(start))
 
 
 def _cuts(value: np.ndarray, text: np.ndarray, n_texts: int, apart: int = APART) -> np.ndarray:
@@ -64,16 +83,19 @@ def blocks_of(texts: pa.Array, min_words: int = MIN_WORDS):
     none = np.zeros(0, np.int64)
     if not n:
         return found, np.zeros(0, np.uint64), none, none
-    hashed = hashes(found.dictionary)[found.ids]
+    spelled, edge = raw_bytes(found.dictionary)
+    hashed = run_hashes(spelled, edge[:-1], edge[1:])[found.ids]
     data = found.data
-    newline = np.concatenate(([0], np.cumsum(data == 0x0A)))
+    newline = np.concatenate((np.zeros(1, np.int32), np.cumsum(data == 0x0A, dtype=np.int32)))
     text = found.text_of
     last = np.append(text[1:] != text[:-1], True)
     breaks = np.append(newline[found.start[1:]] - newline[found.end[:-1]], 0)
-    letter = np.zeros(n, np.int64)
+    marked = _ENDS[np.append(data, 0x20)[found.end]] | (breaks > 1)
+    wide = np.flatnonzero(data[found.end - 1] >= 0x80)
+    letter = np.zeros(len(wide), np.int64)
     for k in (3, 2, 1):
-        letter = letter << 8 | data[np.maximum(found.end - k, 0)]
-    marked = _ENDS[np.append(data, 0x20)[found.end]] | np.isin(letter, _WIDE_ENDS) | np.isin(letter & 0xFFFF, _WIDE_ENDS) | (breaks > 1)
+        letter = letter << 8 | data[np.maximum(found.end[wide] - k, 0)]
+    marked[wide] |= np.isin(letter, _WIDE_ENDS) | np.isin(letter & 0xFFFF, _WIDE_ENDS)
     value = hashed >> np.uint64(1) | (~marked).astype(np.uint64) << np.uint64(63)
     ends = last | _cuts(value, text, len(found.counts))
     begins = np.concatenate(([True], ends[:-1]))
@@ -109,72 +131,158 @@ def tune_bands(similarity: float = SIMILARITY, recall: float = RECALL, rows: int
     return bands, rows
 
 
-def _paragraphs(docs: DataFrame, doc_id: str, text: str, min_words: int) -> DataFrame:
-    """One row per paragraph: its content's hash and words, and where it stands (words and bytes)."""
-    def one(block):
-        found, _, start, stop = blocks_of(block.column("_text"), min_words)
-        if not len(start):
-            return None
-        size = found.end - found.start
-        kept = found.data[ALNUM[found.data]]
-        joined = np.full(len(kept) + len(size), 0x20, np.uint8)
-        joined[np.arange(len(kept)) + np.repeat(np.arange(len(size)), size)] = kept
-        end = np.cumsum(size) + np.arange(len(size))
-        first, last = (end - size)[start], end[stop - 1]
-        texts = slices(joined[ragged(first, last - first)], last - first)
-        row = found.text_of[start]
-        of = pa.array(row)
-        return pa.RecordBatch.from_arrays(
-            [block.column("place").take(of), block.column("doc").take(of), pa.array(start - found.first[row]), pa.array(stop - start),
-             pa.array(found.start[start] - found.offsets[row]), pa.array(found.end[stop - 1] - found.offsets[row]),
-             pa.array(hashes(texts).view(np.int64)), texts.cast(pa.large_string()).cast(pa.string())],
-            names=["place", "doc", "first_word", "n_words", "first_byte", "end_byte", "content", "words"])
-
-    source = docs.select("place", F.col(doc_id).cast("bigint").alias("doc"), F.col(text).cast("string").alias("_text"))
-    return map_blocks(source, "_text", one, "place bigint, doc bigint, first_word bigint, n_words bigint, first_byte bigint, "
-                                            "end_byte bigint, content bigint, words string")
-
-
-def band_values(texts: pa.Array, bands: int, rows: int, width: int = WIDTH) -> np.ndarray:
-    """MinHash bands (columns) of paragraphs (rows)."""
-    found = words(texts)
-    hashed = hashes(found.dictionary)[found.ids]
-    n = np.maximum(found.counts - width + 1, 1)
-    at = ragged(found.first[:-1], n)
-    every = shingles(np.concatenate((hashed, np.zeros(width, np.uint64))), width)[at]
-    edge = np.cumsum(n) - n
-    out = np.zeros((len(n), bands), np.uint64)
+def band_values(every: np.ndarray, start: np.ndarray, end: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """MinHash bands (columns) of runs of shingles (rows), cut down to the bits beside the sketch."""
+    edge = np.column_stack((start, end)).ravel()
+    out = np.zeros((len(start), bands), np.int64)
     for b in range(bands):
-        value = np.full(len(n), b, np.uint64)
+        value = np.full(len(start), b, np.uint64)
         for r in range(rows):
             salt = mix(np.array([b * rows + r + 1], np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-            value = mix(value ^ np.minimum.reduceat(mix(every ^ salt), edge))
-        out[:, b] = value
+            value = mix(value ^ np.minimum.reduceat(mix(every ^ salt), edge)[::2])
+        out[:, b] = (value >> np.uint64(_SKETCH)).view(np.int64)
     return out
 
 
-def _band_rows(paragraphs: DataFrame, bands: int, rows: int) -> DataFrame:
-    """``bucket, content``, each content once a task."""
+def sketches(every: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Number and parities of the shingles of runs; 0 where a shingle comes twice or there are too many to count."""
+    before, short = np.full(len(every), -1), every.astype(np.uint32)
+    for k in range(1, min(_MOST, len(every))):
+        at = np.flatnonzero(short[k:] == short[:-k]) + k
+        before[at] = np.maximum(before[at], at - k)
+    twice = np.maximum.reduceat(before, np.column_stack((start, end)).ravel())[::2] >= start
+    parity = np.zeros(len(every) + 1, np.int64)
+    parity[1:] = np.bitwise_xor.accumulate(np.int64(1) << (mix(every) % np.uint64(_PARITY)).astype(np.int64))
+    size = end - start
+    return np.where(twice | (size > _MOST), 0, size << _PARITY | parity[start] ^ parity[end])
+
+
+def may_link(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
+    """Whether sketches leave it open that the Jaccard similarity reaches the threshold. Parities differ in no more bits than there
+    are shingles in one of the sets alone, and of sets at the threshold those are few."""
+    m, n = a >> _PARITY, b >> _PARITY
+    alone = np.maximum(np.abs(m - n), np.bitwise_count((a ^ b) & ((1 << _PARITY) - 1)))
+    return (a == 0) | (b == 0) | (alone <= (m + n) * (1 - similarity) / (1 + similarity) + 1e-6)
+
+
+def _paragraphs(docs: DataFrame, doc_id: str, text: str, min_words: int, bands: int, rows: int) -> DataFrame:
+    """One row per paragraph: its content's hash, where it stands (words and bytes, and the hash of the text), and, each content once
+    a task, bands and sketch."""
     def run(batches):
         seen = np.zeros(0, np.int64)
         for batch in batches:
-            content, at = np.unique(np.asarray(batch.column("content")), return_index=True)
-            new = ~np.isin(content, seen)
-            content, at = content[new], at[new]
-            if not len(content):
+            for block in blocks(batch, "_text"):
+                found, hashed, start, stop = blocks_of(block.column("_text"), min_words)
+                if not len(start):
+                    continue
+                content = run_hashes(hashed, 8 * start, 8 * stop).view(np.int64)
+                distinct, at = np.unique(content, return_index=True)
+                new = ~np.isin(distinct, seen)
+                seen = np.union1d(seen if len(seen) < REMEMBERED else seen[:0], distinct[new])
+                at = np.sort(at[new])
+                every = shingles(np.concatenate((hashed, np.zeros(WIDTH, np.uint64))), WIDTH)
+                first, end = start[at], np.maximum(stop[at] - WIDTH, start[at]) + 1
+                told = np.zeros(len(start), np.int64)
+                told[at] = bands
+                sketch = np.zeros(len(start), np.int32)
+                sketch[at] = sketches(every, first, end)
+                values = pa.array(band_values(every, first, end, bands, rows).ravel())
+                row = found.text_of[start]
+                of = pa.array(row)
+                yield pa.RecordBatch.from_arrays(
+                    [*(block.column(c).take(of) for c in ("place", "doc", "text_id")), pa.array(start - found.first[row]), pa.array(stop - start),
+                     pa.array(found.start[start] - found.offsets[row]), pa.array(found.end[stop - 1] - found.offsets[row]), pa.array(content),
+                     pa.array(sketch), pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(told))), pa.int32()), values)],
+                    names=["place", "doc", "text_id", "first_word", "n_words", "first_byte", "end_byte", "content", "sketch", "bands"])
+
+    source = docs.select("place", F.col(doc_id).cast("bigint").alias("doc"), _text_id(text), F.col(text).cast("string").alias("_text"))
+    return map_batches(source, run, "place bigint, doc bigint, text_id bigint, first_word bigint, n_words bigint, first_byte bigint, "
+                                    "end_byte bigint, content bigint, sketch int, bands array<bigint>")
+
+
+def _text_id(text: str) -> Column:
+    return F.xxhash64(F.col(text).cast("string")).alias("text_id")
+
+
+def _bucket_pairs(paragraphs: DataFrame, similarity: float, few: int) -> DataFrame:
+    """``a, b, bucket``: contents of a bucket that may be linked (bucket null), or, where a bucket has more than ``few``, its first
+    content and each of its contents. Buckets of one content are left out."""
+    def buckets_of(key, content):
+        bucket = key >> _SKETCH
+        same = bucket[1:] == bucket[:-1]
+        more = np.append(same, False) | np.append(False, same)
+        key, content = key[more], content[more]
+        order = np.lexsort((content, key))
+        key, content = key[order], content[order]
+        new = np.append(True, (key[1:] != key[:-1]) | (content[1:] != content[:-1]))[:len(key)]
+        key, content = key[new], content[new]
+        if not len(key):
+            return
+        bucket, sketch = key >> _SKETCH, key & ((1 << _SKETCH) - 1)
+        first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+        size = np.diff(np.append(first, len(key)))
+        of = np.repeat(np.arange(len(first)), size)
+        place, n = np.arange(len(key)) - first[of], size[of]
+        a, b, large = [], [], n > few
+        for k in range(1, few):
+            i = np.flatnonzero(~large & (place + k < n))
+            if not len(i):
+                break
+            i = i[may_link(sketch[i], sketch[i + k], similarity)]
+            a.append(np.minimum(content[i], content[i + k]))
+            b.append(np.maximum(content[i], content[i + k]))
+        a.append(content[first[of[large]]])
+        b.append(content[large])
+        told = sum(map(len, a[:-1]))
+        a, b = np.concatenate(a), np.concatenate(b)
+        if len(a):
+            bucket = pa.array(np.concatenate((np.zeros(told, np.int64), bucket[large])), mask=np.arange(len(a)) < told)
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), bucket], names=["a", "b", "bucket"])
+
+    def run(batches):
+        held = []
+        for batch in batches:
+            key, content = (np.asarray(batch.column(c)) for c in ("key", "content"))
+            if not len(key):
                 continue
-            seen = np.union1d(seen if len(seen) < REMEMBERED else seen[:0], content)
-            values = band_values(batch.column("words").take(pa.array(at)), bands, rows)
-            yield pa.RecordBatch.from_arrays([pa.array(values.ravel().view(np.int64)), pa.array(np.repeat(content, bands))],
-                                             names=["bucket", "content"])
+            last = int(np.searchsorted(key >> _SKETCH, key[-1] >> _SKETCH))
+            if last or held and held[-1][0][-1] >> _SKETCH != key[0] >> _SKETCH:  # what came before the last bucket is whole
+                held.append((key[:last], content[:last]))
+                yield from buckets_of(*map(np.concatenate, zip(*held, strict=True)))
+                held = []
+            held.append((key[last:], content[last:]))
+        if held:
+            yield from buckets_of(*map(np.concatenate, zip(*held, strict=True)))
+
+    told = paragraphs.select(F.explode("bands").alias("band"), "sketch", "content")
+    told = told.select(F.shiftleft("band", _SKETCH).bitwiseOR(F.col("sketch").cast("bigint")).alias("key"), "content")
+    told = told.repartition(F.shiftright("key", _SKETCH)).sortWithinPartitions("key")
+    return map_batches(told, run, "a bigint, b bigint, bucket bigint")
+
+
+def _texts(docs: DataFrame, text: str, paragraphs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``content, words`` of the wanted contents, each cut from one text in which it stands."""
+    spans = paragraphs.select("content", "text_id", "first_byte", "end_byte")
+    spans = spans.join(wanted.hint("shuffle_hash"), "content", "left_semi")
+    spans = spans.dropDuplicates(["content"]).groupBy("text_id").agg(F.collect_list(F.struct("content", "first_byte", "end_byte")).alias("spans"))
+    whole = docs.where(F.col(text).isNotNull()).select(_text_id(text), F.col(text).cast("string").alias("_text")).groupBy("text_id").agg(F.first("_text").alias("_text"))
+
+    def run(batches):
+        for block in (b for batch in batches for b in blocks(batch, "_text")):
+            contents, cut = [], []
+            for t, spans in zip(block.column("_text").cast(pa.binary()), block.column("spans").to_pylist(), strict=True):
+                data = t.as_py().translate(_SPACED)
+                contents += [s["content"] for s in spans]
+                cut += [b" ".join(data[s["first_byte"]:s["end_byte"]].split()).decode() for s in spans]
+            yield pa.RecordBatch.from_arrays([pa.array(contents, pa.int64()), pa.array(cut, pa.string())], names=["content", "words"])
 
-    return map_batches(paragraphs.select("content", "words"), run, "bucket bigint, content bigint")
+    return map_batches(whole.join(spans, "text_id").select("_text", "spans"), run, "content bigint, words string")
 
 
-def word_shingles(text: str, width: int = WIDTH) -> frozenset[str]:
+def word_shingles(text: str, width: int = WIDTH) -> frozenset[tuple[str, ...]]:
     """Runs of ``width`` words; fewer words are one run."""
     w = text.split(" ")
-    return frozenset(" ".join(w[i:i + width]) for i in range(max(1, len(w) - width + 1)))
+    return frozenset(zip(*(w[k:] for k in range(width)), strict=False)) if len(w) > width else frozenset([tuple(w)])
 
 
 def similar(a: frozenset, b: frozenset, similarity: float = SIMILARITY) -> bool:
@@ -199,11 +307,11 @@ def _verify(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
 def _candidates(sets: list[frozenset], similarity: float) -> Iterator[tuple[int, int]]:
     """Pairs of places that share one of their rarest shingles, as similar sets must: of n shingles, more than
     ``(1 - similarity) * n`` in any common order hold one of the other set's."""
-    times: dict[str, int] = {}
+    times: dict[tuple, int] = {}
     for s in sets:
         for x in s:
             times[x] = times.get(x, 0) + 1
-    holders: dict[str, list[int]] = {}
+    holders: dict[tuple, list[int]] = {}
     for i, s in enumerate(sets):
         own = sorted(s, key=lambda x: (times[x], x))
         for x in own[:len(s) - int(np.ceil(similarity * len(s) - 1e-9)) + 1]:
@@ -269,26 +377,31 @@ def _residual(members: DataFrame, roots: DataFrame, texts: DataFrame, similarity
     return map_batches(rows.select("bucket", "i", "j", "root", "content", "words"), run, "a bigint, b bigint")
 
 
-def _classes(paragraphs: DataFrame, similarity: float, recall: float, chunk: int) -> DataFrame:
+def _classes(docs: DataFrame, text: str, paragraphs: DataFrame, similarity: float, chunk: int) -> DataFrame:
     """``node, root`` of the contents that are linked to others."""
-    bands, rows = tune_bands(similarity, recall)
-    told = pin(_band_rows(paragraphs, bands, rows))
-    buckets = told.groupBy("bucket").agg(F.min("content").alias("lead"), F.max("content").alias("top"))
-    buckets = pin(buckets.where("lead < top").select("bucket", "lead"))
-    members = pin(told.join(buckets, "bucket").distinct())
-    wanted = members.select("content").distinct()
-    once = paragraphs.groupBy("content").agg(F.first("words").alias("words"))  # copies meet in their task before they move
-    texts = pin(once.join(wanted, "content", "left_semi"))
-    pairs = members.where("content != lead").select(F.col("lead").alias("a"), F.col("content").alias("b")).distinct()
+    told = pin(_bucket_pairs(paragraphs, similarity, min(FEW, chunk)))
+    members = told.where("bucket IS NOT NULL").select("bucket", F.col("b").alias("content"))
+    pairs = pin(told.where("a != b").select("a", "b").distinct())
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("content")).distinct()
+    texts = pin(_texts(docs, text, paragraphs, wanted))
     links = pin(_verify(pairs, texts, similarity))
-    roots = components(links)
+    roots = pin(components(links))
     more = pin(_residual(members, roots, texts, similarity, chunk))
-    return components(links.unionByName(more)) if more.limit(1).count() else roots
+    return _joined(roots, more) if more.limit(1).count() else roots
+
+
+def _joined(roots: DataFrame, more: DataFrame) -> DataFrame:
+    """``node, root`` after more links between the components and contents that are in none."""
+    ends = more.join(roots.select(F.col("node").alias("a"), F.col("root").alias("left")), "a", "left")
+    ends = ends.join(roots.select(F.col("node").alias("b"), F.col("root").alias("right")), "b", "left")
+    up = pin(components(ends.select(F.coalesce("left", "a").alias("a"), F.coalesce("right", "b").alias("b"))))
+    moved = roots.join(up.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left")
+    return moved.select("node", F.coalesce("top", "root").alias("root")).unionByName(up.join(roots, "node", "left_anti"))
 
 
-def _held(docs: DataFrame, doc_id: str, text: str, min_words: int) -> DataFrame:
+def _held(docs: DataFrame, doc_id: str, text: str, min_words: int, bands: int, rows: int) -> DataFrame:
     path = scratch_path(docs.sparkSession, "paragraphs")
-    _paragraphs(docs, doc_id, text, min_words).write.option("compression", "zstd").parquet(path)
+    _paragraphs(docs, doc_id, text, min_words, bands, rows).write.option("compression", "zstd").parquet(path)
     return docs.sparkSession.read.parquet(path)
 
 
@@ -299,13 +412,14 @@ def _order() -> Column:
 
 def _members(docs: DataFrame, doc_id: str, text: str, similarity: float, recall: float, min_words: int,
              chunk: int) -> DataFrame:
-    paragraphs = _held(docs, doc_id, text, min_words)
-    roots = pin(_classes(paragraphs, similarity, recall, chunk))
-    light = paragraphs.drop("words")
-    copied = light.groupBy("content").agg(F.count("*").alias("n")).where("n > 1").select(F.col("content").alias("node"))
-    classes = copied.join(roots, "node", "full").select(F.col("node").alias("content"), F.coalesce("root", "node").alias("class_id"))
-    members = pin(light.join(pin(classes), "content"))
-    first = pin(members.groupBy("class_id").agg(F.min(_order()).alias("first"), F.count("*").alias("n")).where("n > 1"))
+    with brief_shuffles(docs.sparkSession):
+        paragraphs = _held(docs, doc_id, text, min_words, *tune_bands(similarity, recall))
+        roots = pin(_classes(docs, text, paragraphs, similarity, chunk))
+        light = paragraphs.drop("text_id", "sketch", "bands")
+        copied = light.groupBy("content").agg(F.count("*").alias("n")).where("n > 1").select(F.col("content").alias("node"))
+        classes = copied.join(roots, "node", "full").select(F.col("node").alias("content"), F.coalesce("root", "node").alias("class_id"))
+        members = pin(light.join(pin(classes).hint("shuffle_hash"), "content"))
+        first = pin(members.groupBy("class_id").agg(F.min(_order()).alias("first"), F.count("*").alias("n")).where("n > 1"))
     return members.join(first.drop("n"), "class_id")
 
 

@@ -1,12 +1,15 @@
 """Passage deduplication against all pairs of blocks."""
 
 import random
+from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
 from longspan.llm import passages as P
 from longspan.llm.words import words
+from longspan.session import shared_dir
 
 
 def sentence(rng, n=None):
@@ -151,3 +154,56 @@ def test_bands():
 def test_words_helper():
     w = words(pa.array(["a b", None, "", " c "]))
     assert w.counts.tolist() == [2, 0, 0, 1] and w.start.tolist() == [0, 2, 4]
+
+
+def test_little_is_stored(spark):
+    """Neither the words of overlapping blocks nor rows of buckets with one content."""
+    rng = random.Random(7)
+    docs = [text(rng, 8) for _ in range(400)]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id bigint, text string").coalesce(1)
+    folder = Path(shared_dir(spark).removeprefix("file:"))
+
+    def stored():
+        return sum(f.stat().st_size for f in folder.rglob("*.parquet"))
+    before = stored()
+    P.repeated_passages(df).count()
+    assert stored() - before < 2 * sum(map(len, docs))
+
+
+def test_sketches_drop_no_pair_that_links():
+    rng = random.Random(8)
+    sets, sketches = [], []
+    for _ in range(60):
+        base = [f"w{rng.randrange(9 if rng.random() < 0.2 else 9000)}" for _ in range(rng.randrange(16, 80))]
+        for _ in range(6):
+            w = base[:len(base) - rng.randrange(4)]
+            w[rng.randrange(len(w))] = rng.choice(["x", w[0]])
+            found, hashed, _, _ = P.blocks_of(pa.array([" ".join(w)]))
+            every = P.shingles(np.concatenate((hashed, np.zeros(P.WIDTH, np.uint64))), P.WIDTH)
+            sketches.append(int(P.sketches(every, np.array([0]), np.array([len(w) - P.WIDTH + 1]))[0]))
+            sets.append(P.word_shingles(" ".join(w)))
+            n = sketches[-1] >> P._PARITY
+            assert n == (len(sets[-1]) if len(sets[-1]) == len(w) - P.WIDTH + 1 <= P._MOST else 0)
+    linked = dropped = 0
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            may = bool(P.may_link(np.array(sketches[i]), np.array(sketches[j]))[()])
+            if P.similar(a, b):
+                assert may
+                linked += 1
+            dropped += not may
+    assert linked > 30 and dropped > 10000
+
+
+def test_buckets_by_all_pairs_and_by_their_first(spark):
+    """Chains of near copies are one class, whether a bucket's pairs are told or its members are compared with its first content."""
+    rng = random.Random(9)
+    w = [f"q{rng.randrange(10 ** 6)}" for _ in range(60)]
+    rows = []
+    for i in range(40):
+        rows.append((i, " ".join(w)))
+        w[(7 * i) % 60] = f"n{i}"
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    columns = ["doc_id", "first_word", "n_words", "first_doc_id", "first_doc_word", "removed"]
+    got = [{tuple(r) for r in P.repeated_passages(df, recall=0.999999, chunk=c).select(*columns).collect()} for c in (2, 4000)]
+    assert got[0] == got[1] == expected(rows)
