@@ -7,9 +7,11 @@ counted as sorted (row, column, count) triples. Frequent pairs are then numbered
 after it is again a cell of a matrix: the same step counts phrases of three words, and once more of four. A phrase cannot be more
 frequent than its parts, so only frequent parts are extended.
 
-What moves is counted in its block first. A busy tile has a row from each block, so tiles are added up in groups of blocks before
-they meet. Numbers of tokens and phrases come back to the blocks in a broadcast while they are few, which is counted; else by joins
-on the block's own different words and pairs, so that no task or driver holds a larger table. Both ways give the same numbers.
+What moves is counted first, over some blocks of a task. Buckets of sparse pairs grow in number with the input as the blocks do, so
+a row for each bucket and block would grow with its square: pairs are dealt out twice, to stretches of buckets, as many as the root
+of their number, and to groups of blocks, added up there, and then to their own bucket or tile. Numbers of tokens and phrases come
+back to the blocks in a broadcast while they are few, which is counted; else by joins on the block's own different words and pairs,
+so that no task or driver holds a larger table. Both ways give the same numbers.
 
 A null text has no words, a null language is ``und``. Repeated rows count each time. Blocks hold whole texts, however long; an
 empty table gives no rows. Ties are broken down to the phrase, which is unique in its language. Other columns play no part.
@@ -17,6 +19,8 @@ empty table gives no rows. Ties are broken down to the phrase, which is unique i
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -24,7 +28,7 @@ from pyspark.sql import functions as F
 
 from longspan.llm.vectors import numbered
 from longspan.llm.words import FOLD, batches_of, map_batches, mix, raw_bytes, slices, spans
-from longspan.session import pin
+from longspan.session import brief_shuffles, pin, remove, scratch_path, temporary
 
 #: Least count of a phrase, most words, results of a language, factor of the score, share of a longer phrase that replaces a shorter.
 LEAST, LONGEST, BEST, FACTOR, SHARE = 30, 4, 2000, 2_000_000, 80
@@ -32,6 +36,8 @@ LEAST, LONGEST, BEST, FACTOR, SHARE = 30, 4, 2000, 2_000_000, 80
 TILE, CORNER = 1024, 4
 #: Sparse entries that one task counts at a time, bytes of text in a block, vocabulary rows of a task.
 SPARSE_ROWS, BLOCK_BYTES, VOCABULARY_ROWS = 1 << 20, 1 << 20, 1 << 18
+#: Places of pairs that a task counts before it deals them out, and numbers of pairs that a task looks up at a time.
+HELD_ROWS, KNOWN_ROWS = 1 << 19, 1 << 18
 #: Numbers that are sent to all tasks at once, in rows and in bytes of words; beyond that they come by joins.
 LOOKUP_ROWS, LOOKUP_BYTES = 1 << 20, 32 << 20
 #: Bytes of packed rows that go to a task's Python worker at a time.
@@ -122,9 +128,24 @@ def _cells(rows: np.ndarray, columns: np.ndarray, buckets: int) -> np.ndarray:
     return np.where((rows < side) & (columns < side), tile, -1 - spread.astype(np.int64))
 
 
+def _order(rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """Order by both numbers, sorted as one where they fit into it."""
+    span = int(columns.max(initial=0)) + 1
+    return np.lexsort((columns, rows)) if (int(rows.max(initial=0)) + 1) * span >= 2 ** 63 else np.argsort(rows * span + columns)
+
+
+def tallied(rows: np.ndarray, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different pairs in order, and how often each is there."""
+    span = int(columns.max(initial=0)) + 1
+    if (int(rows.max(initial=0)) + 1) * span >= 2 ** 63:
+        return runs(rows, columns, np.ones(len(rows), np.int64))
+    keys, counts = np.unique(rows * span + columns, return_counts=True)
+    return keys // span, keys % span, counts
+
+
 def runs(rows: np.ndarray, columns: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Equal pairs added up, by sorting."""
-    order = np.lexsort((columns, rows))
+    order = _order(rows, columns)
     rows, columns, counts = rows[order], columns[order], counts[order]
     first = np.flatnonzero(np.concatenate(([True], (np.diff(rows) != 0) | (np.diff(columns) != 0)))) if len(rows) else np.zeros(0, int)
     return rows[first], columns[first], np.add.reduceat(counts, first) if len(first) else counts
@@ -167,12 +188,16 @@ class Tally:
 _PARTIAL = "cell bigint, block bigint, rows binary, columns binary, counts binary"
 
 
-def _partial(cell: int, block: int, rows: np.ndarray, columns: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-    """Triples of a cell in one row; the pairs' first numbers are in order and told by their steps."""
-    order = np.argsort(rows, kind="stable")
-    steps = np.diff(rows[order], prepend=0)
-    cells = [pa.array([pack(x)], pa.binary()) for x in (steps, columns[order], counts[order])]
-    return pa.RecordBatch.from_arrays([pa.array([cell]), pa.array([block]), *cells], names=["cell", "block", "rows", "columns", "counts"])
+def _dealt(cell: np.ndarray, block: int, rows: np.ndarray, columns: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    """Triples with a row for each cell. They come in order, so the pairs' first numbers are told by their steps."""
+    order = np.argsort(cell, kind="stable")
+    cell, rows, columns, counts = (x[order] for x in (cell, rows, columns, counts))
+    first = np.flatnonzero(np.diff(cell, prepend=cell[:1] - 1))
+    steps = np.diff(rows, prepend=0)
+    steps[first] = rows[first]
+    cells = [pa.array([pack(x[a:b]) for a, b in zip(first, np.append(first[1:], len(cell)), strict=True)], pa.binary()) for x in (steps, columns, counts)]
+    return pa.RecordBatch.from_arrays([pa.array(cell[first]), pa.array(np.full(len(first), block, np.int64)), *cells],
+                                      names=["cell", "block", "rows", "columns", "counts"])
 
 
 def _read(batch: pa.RecordBatch, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -188,32 +213,48 @@ def _pairs_of(block: pa.RecordBatch, k: int, width: int) -> tuple[np.ndarray, np
     return at, heads[at], tokens[at + width]
 
 
-def _count_blocks(blocks: DataFrame, width: int, buckets: int) -> DataFrame:
-    """Each block's different pairs with their counts, by cell."""
+def _count_blocks(blocks: DataFrame, width: int, buckets: int, step: int | None = None, held_rows: int = HELD_ROWS) -> DataFrame:
+    """Different pairs of some blocks of a task with their counts, told by the first of the blocks, by cell; ``step`` buckets (the
+    root of their number if not given) are one cell. With ``held_rows`` 0 each block is on its own."""
+    step = step or max(1, round(buckets ** 0.5))
+
     def run(batches):
+        held, size, first = [], 0, None
+
+        def done():
+            if size:
+                rows, columns, counts = tallied(*(np.concatenate(x) for x in zip(*held, strict=True)))
+                cell = _cells(rows, columns, buckets)
+                yield _dealt(np.where(cell < 0, -1 - (-1 - cell) // step, cell), first, rows, columns, counts)
+
         for batch in batches:
             for k in range(batch.num_rows):
                 _, rows, columns = _pairs_of(batch, k, width)
-                rows, columns, counts = runs(rows, columns, np.ones(len(rows), np.int64))
-                cell = _cells(rows, columns, buckets)
-                order = np.argsort(cell, kind="stable")
-                for some in np.split(order, np.flatnonzero(np.diff(cell[order])) + 1) if len(order) else ():
-                    yield _partial(int(cell[some[0]]), batch.column("block")[k].as_py(), rows[some], columns[some], counts[some])
+                if size and size + len(rows) > held_rows:
+                    yield from done()
+                    held, size = [], 0
+                if not size:
+                    first = batch.column("block")[k].as_py()
+                held.append((rows, columns))
+                size += len(rows)
+        yield from done()
 
     return map_batches(blocks.select("block", "heads", "tokens"), run, _PARTIAL)
 
 
-def _add_up(partial: DataFrame, group, least_of_tiles: int = 0) -> DataFrame:
-    """Partial counts of each cell and group in one row. Those of buckets are whole, so only the frequent ones go on."""
+def _add_up(partial: DataFrame, group, least: int, buckets: int = 0) -> DataFrame:
+    """Partial counts of each cell and group added up, those of at least ``least``; stretches of buckets are cut into buckets."""
     def run(batches):
         key = tally = None
 
         def done():
             if tally is not None:
                 rows, columns, counts = tally.result()
-                good = counts >= (least_of_tiles if key[0] >= 0 else LEAST)
+                good = counts >= least
                 if good.any():
-                    yield _partial(key[0], key[1], rows[good], columns[good], counts[good])
+                    rows, columns, counts = rows[good], columns[good], counts[good]
+                    cell = _cells(rows, columns, buckets) if key[0] < 0 and buckets else np.full(len(rows), key[0], np.int64)
+                    yield _dealt(cell, key[1], rows, columns, counts)
 
         for batch in batches:
             for k in range(batch.num_rows):
@@ -227,14 +268,13 @@ def _add_up(partial: DataFrame, group, least_of_tiles: int = 0) -> DataFrame:
     return map_batches(partial.select("cell", group, "rows", "columns", "counts").repartition("cell", "block").sortWithinPartitions("cell", "block"), run, _PARTIAL)
 
 
-def _frequent(blocks: DataFrame, n_blocks: int, width: int, buckets: int) -> DataFrame:
-    """``head, token, f`` of the frequent pairs."""
-    # A tile of the corner has a row from every block: these are added up in groups of about as many blocks as there are groups.
-    salt = F.when(F.col("cell") >= 0, F.pmod(F.xxhash64("block"), F.lit(max(1, round(n_blocks ** 0.5))))).otherwise(0).alias("block")
-    first = pin(_add_up(_count_blocks(blocks, width, buckets), salt))
+def _frequent(blocks: DataFrame, places: int, width: int, buckets: int) -> DataFrame:
+    """``head, token, f`` of the frequent pairs of some ``places``."""
+    # A tile of the corner and a stretch of buckets have a row from all blocks: these are added up in groups of about as many rows as there are groups.
+    groups = max(1, round((places / HELD_ROWS) ** 0.5))
+    first = pin(_add_up(_count_blocks(blocks, width, buckets), F.pmod(F.xxhash64("block"), F.lit(groups)).alias("block"), 1, buckets))
     # Written before they are unpacked: a task needs one Python worker at a time.
-    tiles = pin(_add_up(first.where("cell >= 0"), F.lit(0).cast("bigint").alias("block"), LEAST))
-    whole = first.where("cell < 0").unionByName(tiles)
+    whole = pin(_add_up(first, F.lit(0).cast("bigint").alias("block"), LEAST))
 
     def run(batches):
         for batch in batches:
@@ -264,23 +304,31 @@ def _near_heads(blocks: DataFrame, frequent: DataFrame, width: int) -> DataFrame
     return map_batches(blocks.select("block", "heads", "tokens"), run, "block bigint, heads binary, tokens binary")
 
 
-def _next_heads(blocks: DataFrame, frequent: DataFrame, width: int, buckets: int, n_blocks: int) -> DataFrame:
+def _next_heads(blocks: DataFrame, frequent: DataFrame, n_frequent: int, width: int, n_blocks: int) -> DataFrame:
     """The blocks with the number of the frequent phrase of ``width + 1`` words at each place as ``heads``.
 
     A cell's numbers go to each group of its blocks, meet the blocks' own pairs there, and return to the blocks.
     """
-    groups = max(1, round(n_blocks ** 0.5))
+    groups, buckets = max(1, round(n_blocks ** 0.5)), max(1, -(-n_frequent // KNOWN_ROWS))
 
     def by_cell(batches):
+        held, size = [], 0
+
+        def done():
+            if size:
+                (rows, columns), ids, _ = _keyed(*(np.concatenate(x) for x in zip(*held, strict=True)))
+                yield _dealt(_cells(rows, columns, buckets), -1, rows, columns, ids)
+
         for batch in batches:
-            rows, columns, ids = (np.asarray(batch.column(c)) for c in ("head", "token", "id"))
-            cell = _cells(rows, columns, buckets)
-            for c in np.unique(cell):
-                at = cell == c
-                yield _partial(int(c), -1, rows[at], columns[at], ids[at])
+            held.append(tuple(np.array(batch.column(c)) for c in ("head", "token", "id")))
+            size += batch.num_rows
+            if size >= KNOWN_ROWS:
+                yield from done()
+                held, size = [], 0
+        yield from done()
 
     salt = F.pmod(F.xxhash64("block"), F.lit(groups))
-    own = _count_blocks(blocks, width, buckets).select("cell", salt.alias("salt"), "block", "rows", "columns", F.lit(bytes([1])).alias("counts"))
+    own = _count_blocks(blocks, width, buckets, 1, 0).select("cell", salt.alias("salt"), "block", "rows", "columns", F.lit(bytes([1])).alias("counts"))
     known = map_batches(frequent.select("head", "token", "id"), by_cell, _PARTIAL).select(
         "cell", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)).cast("array<bigint>")).alias("salt"), "block", "rows", "columns", "counts")
     rows = known.unionByName(own).repartition("cell", "salt").sortWithinPartitions("cell", "salt", "block")
@@ -305,7 +353,7 @@ def _next_heads(blocks: DataFrame, frequent: DataFrame, width: int, buckets: int
                 at = find_pairs(table[0], rows, columns)
                 good = at >= 0
                 if good.any():
-                    yield _partial(now[0], block, rows[good], columns[good], table[1][at[good]])
+                    yield _dealt(np.full(int(good.sum()), now[0], np.int64), block, rows[good], columns[good], table[1][at[good]])
 
     def fill(batches):
         held, parts = None, []
@@ -341,7 +389,7 @@ def _next_heads(blocks: DataFrame, frequent: DataFrame, width: int, buckets: int
 
 def _keyed(rows: np.ndarray, columns: np.ndarray, ids: np.ndarray):
     """Pairs in order, and their numbers in that order."""
-    order = np.lexsort((columns, rows))
+    order = _order(rows, columns)
     return (rows[order], columns[order]), ids[order], order
 
 
@@ -365,13 +413,21 @@ def _ranked(table: DataFrame, order: list[str]) -> DataFrame:
     return numbered(table, [F.col("f").desc(), *[F.col(c) for c in order]], VOCABULARY_ROWS).withColumnRenamed("number", "id")
 
 
+def _kept(df: DataFrame, make: Callable[[], DataFrame]) -> DataFrame:
+    """What ``make`` gives, written; tables that it pins on the way are removed then."""
+    path = scratch_path(df.sparkSession, "kept")
+    with temporary(df.sparkSession):
+        make().write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _vocabulary(blocks: DataFrame, least: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Entries ``block, at, lang, word`` of all blocks; numbered frequent tokens; words of each language."""
     entries = blocks.select("block", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "e")).select(
         "block", "lang", "at", F.col("e.words").alias("word"), F.col("e.counts").alias("c"))
     counts = entries.groupBy("lang", "word").agg(F.sum("c").alias("f"))
     totals = blocks.select("lang", F.aggregate("counts", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("c")).groupBy("lang").agg(F.sum("c").alias("n"))
-    return entries, pin(_ranked(pin(counts.where(F.col("f") >= least)), ["lang", "word"])), totals
+    return entries, _kept(blocks, lambda: _ranked(pin(counts.where(F.col("f") >= least)), ["lang", "word"])), pin(totals)
 
 
 def _near_tokens(blocks: DataFrame, vocabulary: DataFrame) -> DataFrame:
@@ -432,28 +488,40 @@ def phrase_counts(
     docs: DataFrame, *, text: str = "text", lang: str = "lang", lookup_rows: int = LOOKUP_ROWS,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``words`` (token numbers), ``size`` and ``f`` of all frequent phrases of up to four words; the tokens; words of each language."""
-    with batches_of(docs.sparkSession, BATCH_BYTES):
+    with batches_of(docs.sparkSession, BATCH_BYTES), brief_shuffles(docs.sparkSession):
         return _phrase_counts(docs, text, lang, lookup_rows)
 
 
 def _phrase_counts(docs: DataFrame, text: str, lang: str, lookup_rows: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    blocks = pin(_blocks(docs, text, lang))
+    spark = docs.sparkSession
+
+    def written(df: DataFrame) -> tuple[DataFrame, str]:
+        path = scratch_path(spark, "blocks")
+        df.write.parquet(path)
+        return spark.read.parquet(path), path
+
+    blocks, path = written(_blocks(docs, text, lang))
     entries, vocabulary, totals = _vocabulary(blocks, LEAST)
     n_blocks, words = blocks.agg(F.count("*"), F.sum("n_words")).first()
     n_tokens, size = vocabulary.agg(F.count("*"), F.sum(F.length("word"))).first()
-    buckets = max(1, -(-int(words or 0) // SPARSE_ROWS))
+    words = int(words or 0)
+    buckets = max(1, -(-words // SPARSE_ROWS))
     near = n_tokens <= lookup_rows and (size or 0) <= LOOKUP_BYTES
-    coded = pin(_near_tokens(blocks, vocabulary) if near else _tokens(blocks, entries, vocabulary))
+    coded, at = written(_near_tokens(blocks, vocabulary) if near else _tokens(blocks, entries, vocabulary))
+    remove(spark, path)
     phrases = vocabulary.select(F.array("id").alias("words"), F.col("id"), "f")
     all_ = [phrases]
     for width in range(1, LONGEST):
-        frequent = pin(_ranked(pin(_frequent(coded, n_blocks, width, buckets)), ["head", "token"]))
+        frequent = _kept(coded, lambda now=coded, width=width: _ranked(pin(_frequent(now, words, width, buckets)), ["head", "token"]))
         before = phrases.select(F.col("id").alias("head"), "words")
         phrases = pin(frequent.join(before, "head").select(F.concat("words", F.array("token")).alias("words"), "id", "f"))
         all_.append(phrases)
         if width + 1 < LONGEST:
-            near = frequent.count() <= lookup_rows
-            coded = pin(_near_heads(coded, frequent, width) if near else _next_heads(coded, frequent, width, buckets, n_blocks))
+            path, n_frequent = at, frequent.count()
+            near = n_frequent <= lookup_rows
+            coded, at = written(_near_heads(coded, frequent, width) if near else _next_heads(coded, frequent, n_frequent, width, n_blocks))
+            remove(spark, path)
+    remove(spark, at)
     whole = all_[0]
     for more in all_[1:]:
         whole = whole.unionByName(more)

@@ -4,6 +4,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from longspan.llm import collocations
 
@@ -73,6 +74,38 @@ def test_phrase_counts_and_ids_beyond_the_corner(spark):
     assert got == {(m, 30): n - pieces * (m - 1) for m in range(1, 5)}
 
 
+@pytest.mark.parametrize("lookup_rows", [1 << 20, 0])
+def test_many_buckets_and_groups(spark, monkeypatch, lookup_rows):
+    """As many buckets, cells of known pairs and groups as a much larger input has give the same phrases."""
+    for name, rows in (("SPARSE_ROWS", 500), ("KNOWN_ROWS", 100), ("HELD_ROWS", 2000)):
+        monkeypatch.setattr(collocations, name, rows)
+    words = [f"w{k}" for k in range(collocations.TILE * collocations.CORNER + 600)]
+    texts = [" ".join(words[k:k + 700]) for k in range(0, len(words), 700)] * 30
+    docs = spark.createDataFrame([(i, t, "en", 1, "", 1) for i, t in enumerate(texts)], SCHEMA).repartition(7)
+    phrases, _, _ = collocations.phrase_counts(docs, lookup_rows=lookup_rows)
+    pieces = -(-len(words) // 700)
+    assert {(r["size"], r["f"]): r["count"] for r in phrases.groupBy("size", "f").count().collect()} == {
+        (m, 30): len(words) - pieces * (m - 1) for m in range(1, 5)}
+
+
+def test_rows_dealt_out_by_a_block_do_not_grow_with_the_buckets(spark):
+    """Buckets are as many as the input is large: a row for each of them from each block would be the square of it."""
+    random, n_blocks, buckets = np.random.default_rng(6), 12, 900
+    sequences = [random.integers(0, 60_000, 20_000) for _ in range(n_blocks)]
+    coded = [(k, *[bytearray(collocations.pack(x))] * 2) for k, x in enumerate(sequences)]
+    blocks = spark.createDataFrame(coded, "block bigint, heads binary, tokens binary").repartition(3)
+    rows = collocations._count_blocks(blocks, 1, buckets)
+    assert rows.count() <= n_blocks * (collocations.CORNER ** 2 + 2 * buckets ** 0.5)
+    whole = Counter()
+    for r in collocations._add_up(rows, F.col("block"), 1, buckets).collect():
+        steps, columns, counts = (collocations.unpack(bytes(r[c])) for c in ("rows", "columns", "counts"))
+        heads = np.cumsum(steps)
+        assert set(collocations._cells(heads, columns, buckets).tolist()) == {r["cell"]}
+        for h, t, f in zip(heads.tolist(), columns.tolist(), counts.tolist(), strict=True):
+            whole[h, t] += f
+    assert whole == Counter(p for x in sequences for p in zip(x[:-1].tolist(), x[1:].tolist(), strict=True))
+
+
 def test_pieces_never_join_texts():
     words, sequence = collocations.pieces(pa.array(["a b", "b,a", None, "", "!", "A"]))
     told = [None if x < 0 else words[int(x)].as_py().decode() for x in sequence]
