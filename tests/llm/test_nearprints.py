@@ -139,6 +139,21 @@ def test_recall_against_all_pairs_and_other_texts_stay():
     assert not any(linked(prints[2 * i], prints[2 * j]) for i in range(150) for j in range(i))
 
 
+def test_pairs_at_the_budget_are_linked(spark):
+    """Tables are enough for the farthest pairs that count as linked, not for the usual ones only."""
+    rng = random.Random(12)
+    pairs = []
+    for _ in range(300):
+        x = rng.getrandbits(256)
+        pairs.append((x, x ^ sum(1 << b for b in rng.sample(range(256), N.BUDGET))))
+    rows = np.array([[x >> (64 * k) & (1 << 64) - 1 for k in range(N.PRINT_WORDS)] for p in pairs for x in p], np.uint64)
+    told = N._as_bytes(rows).to_pylist()
+    prints = spark.createDataFrame([(bytearray(x),) for x in told], "fp binary")
+    found = {frozenset((bytes(r.a), bytes(r.b))) for r in N.links(prints).collect()}
+    assert found <= {frozenset(told[2 * k:2 * k + 2]) for k in range(300)}
+    assert len(found) >= 0.97 * len(pairs)
+
+
 def test_fingerprinting_takes_little_memory():
     """Blocks of ``TEXT_BYTES`` bound what a task holds; one more bound is on the bits that are unpacked at a time."""
     import tracemalloc
